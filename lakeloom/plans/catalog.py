@@ -124,3 +124,103 @@ SELECT COUNT(*) AS total_registros, CAST(SUM(valor_fob) AS DECIMAL(38,2)) AS som
 FROM fact_export"""))
 def fact_total(spark, sf_dir):
     return ts.fact_total(build_facts(si.Tables(spark, sf_dir))[0])
+
+
+# ------------------------------------------------------------------ registry star
+
+from ..operators import registry_star as rs  # noqa: E402
+
+
+def build_registry(t: si.Tables):
+    comps, est = si.companies(t), si.establishments(t)
+    d_company = rs.dim_company(comps, si.legal_natures(t))
+    d_est = rs.dim_establishment(est, comps)
+    d_partner = rs.dim_partner(si.partners(t), si.qualifications(t), si.registry_countries(t))
+    fact = rs.fact_establishment(d_company, d_est)
+    est_view = rs.establishment_view(d_est, rs.establishment_flags(est))
+    return dict(companies=comps, est=est, d_company=d_company, d_est=d_est, d_partner=d_partner,
+                fact=fact, est_view=est_view)
+
+
+def _reg(spark, sf_dir):
+    return build_registry(si.Tables(spark, sf_dir))
+
+
+R = q.REGISTRY_CTES
+
+
+@register("dim_opening_date", q.with_(R, f"""
+SELECT DT_INICIO_ATIVIDADE, CAST(year(DT_INICIO_ATIVIDADE) AS INTEGER) AS CO_ANO,
+       CAST(month(DT_INICIO_ATIVIDADE) AS INTEGER) AS CO_MES,
+       CAST(ceil(month(DT_INICIO_ATIVIDADE) / 3) AS BIGINT) AS CO_TRIMESTRE,
+       CAST(ceil(month(DT_INICIO_ATIVIDADE) / 6) AS BIGINT) AS CO_SEMESTRE,
+       strftime(DT_INICIO_ATIVIDADE, '%B') AS NO_MES,
+       CAST(CAST(ceil(month(DT_INICIO_ATIVIDADE) / 3) AS BIGINT) AS VARCHAR) || 'º Trimestre' AS NO_TRIMESTRE,
+       CAST(CAST(ceil(month(DT_INICIO_ATIVIDADE) / 6) AS BIGINT) AS VARCHAR) || 'º Semestre' AS NO_SEMESTRE,
+       {q.sk('DT_INICIO_ATIVIDADE')} AS sk_tempo_abertura
+FROM (SELECT DISTINCT DT_INICIO_ATIVIDADE FROM est WHERE DT_INICIO_ATIVIDADE IS NOT NULL) d"""))
+def dim_opening_date(spark, sf_dir):
+    return rs.dim_opening_date(si.establishments(si.Tables(spark, sf_dir)))
+
+
+@register("dim_company", q.with_(R, "SELECT * FROM dim_company"))
+def dim_company(spark, sf_dir):
+    return _reg(spark, sf_dir)["d_company"]
+
+
+@register("dim_establishment", q.with_(R, "SELECT * FROM dim_establishment"))
+def dim_establishment(spark, sf_dir):
+    return _reg(spark, sf_dir)["d_est"]
+
+
+@register("dim_partner", q.with_(R, "SELECT * FROM dim_partner"))
+def dim_partner(spark, sf_dir):
+    return _reg(spark, sf_dir)["d_partner"]
+
+
+@register("fact_establishment", q.with_(R, "SELECT * FROM fact_establishment"))
+def fact_establishment(spark, sf_dir):
+    return _reg(spark, sf_dir)["fact"]
+
+
+@register("branch_counts", q.with_(R, """
+SELECT CNPJ_BASICO, CNPJ_ORDEM, IS_MATRIZ, IS_ATIVA, QT_FILIAIS FROM flags"""))
+def branch_counts(spark, sf_dir):
+    est = si.establishments(si.Tables(spark, sf_dir))
+    return rs.establishment_flags(est).select("CNPJ_BASICO", "CNPJ_ORDEM", "IS_MATRIZ", "IS_ATIVA",
+                                              "QT_FILIAIS")
+
+
+@register("company_complete", q.with_(R, """
+SELECT e.CO_CNPJ_BASICO, e.NO_RAZAO_SOCIAL, e.VL_CAPITAL_SOCIAL, e.PORTE_EMPRESA AS NO_PORTE,
+       e.SG_UF_RESPONSAVEL, est.CO_CNPJ_ORDEM, est.SG_UF, est.CO_MUNICIPIO, est.CO_CNAE_PRINCIPAL,
+       est.DT_INICIO_ATIVIDADE, est.FL_ATIVA, est.QT_FILIAIS
+FROM fact_establishment e LEFT JOIN est_view est ON e.CO_CNPJ_BASICO = est.CO_CNPJ_BASICO"""))
+def company_complete(spark, sf_dir):
+    r = _reg(spark, sf_dir)
+    return rs.company_complete(r["fact"], r["est_view"])
+
+
+@register("company_partner", q.with_(R, """
+SELECT es.CO_CNPJ_BASICO, e.NO_RAZAO_SOCIAL, es.ID_SOCIO, es.NO_SOCIO, es.NU_CPF_CNPJ_SOCIO,
+       es.NO_QUALIFICACAO, es.NO_FAIXA_ETARIA, es.NO_PAIS, es.DT_ENTRADA_SOCIEDADE,
+       e.PORTE_EMPRESA AS NO_PORTE, e.VL_CAPITAL_SOCIAL
+FROM dim_partner es LEFT JOIN fact_establishment e ON es.CO_CNPJ_BASICO = e.CO_CNPJ_BASICO"""))
+def company_partner(spark, sf_dir):
+    r = _reg(spark, sf_dir)
+    return rs.company_partner(r["d_partner"], r["fact"])
+
+
+@register("region_rollup", q.with_(R, """
+SELECT est.SG_UF AS SG_UF,
+       COUNT(DISTINCT e.CO_CNPJ_BASICO) AS total_empresas,
+       COUNT(DISTINCT est.CO_CNPJ_BASICO) AS total_estabelecimentos,
+       CAST(SUM(e.VL_CAPITAL_SOCIAL) AS DECIMAL(38,2)) AS total_capital_social,
+       AVG(CAST(e.VL_CAPITAL_SOCIAL AS DOUBLE)) AS media_capital_social,
+       CAST(SUM(CASE WHEN est.FL_ATIVA THEN 1 ELSE 0 END) AS BIGINT) AS estabelecimentos_ativos,
+       CAST(SUM(est.QT_FILIAIS) AS BIGINT) AS total_filiais
+FROM fact_establishment e LEFT JOIN est_view est ON e.CO_CNPJ_BASICO = est.CO_CNPJ_BASICO
+GROUP BY est.SG_UF"""))
+def region_rollup(spark, sf_dir):
+    r = _reg(spark, sf_dir)
+    return rs.region_rollup(r["fact"], r["est_view"])

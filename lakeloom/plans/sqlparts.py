@@ -61,7 +61,8 @@ DIM_PRODUCT_CTE = f"""ncm AS (
 ),
 sh AS (
   SELECT CO_SH6, substring(CO_SH6, 1, 4) AS CO_SH4, substring(CO_SH6, 1, 2) AS CO_SH2, NO_SH6_POR
-  FROM (SELECT DISTINCT {pad("regexp_extract(p_brand, '(\\d+)$', 1)", 6)} AS CO_SH6, p_brand AS NO_SH6_POR FROM part) x
+  FROM (SELECT {pad("regexp_extract(p_brand, '(\\d+)$', 1)", 6)} AS CO_SH6, min(p_brand) AS NO_SH6_POR
+        FROM part GROUP BY 1) x
 ),
 isic AS (SELECT DISTINCT p_type AS CO_ISIC_CLASSE, lower(p_type) AS NO_ISIC_CLASSE FROM part),
 cgce AS (
@@ -134,3 +135,137 @@ STAR_CTES = [TRADE_CTE, DIM_MONTH_CTE, DIM_PRODUCT_CTE, DIM_GEO_CTE,
 
 def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+# ------------------------------------------------------------------ registry
+
+def clean_text_sql(expr: str) -> str:
+    """trim -> accents -> keep [a-zA-Z0-9] and ASCII whitespace -> blank to NULL -> upper."""
+    from ..functions.cleaning import ACCENTED, UNACCENTED
+    r = (f"regexp_replace(translate(trim({expr}), '{ACCENTED}', '{UNACCENTED}'), "
+         r"'[^a-zA-Z0-9 \t\n\x0B\f\r]', '', 'g')")
+    return f"upper(CASE WHEN trim({r}) = '' THEN NULL ELSE {r} END)"
+
+
+def order_all(*cols: str) -> str:
+    return ", ".join(f"{c} NULLS FIRST" for c in cols)
+
+
+COMPANIES_CTE = f"""companies AS (
+  SELECT {pad_nt('c_custkey', 8)} AS CNPJ_BASICO,
+         {clean_text_sql('c_name')} AS RAZAO_SOCIAL_NOME_EMPRESARIAL,
+         {pad('c_nationkey', 4)} AS NATUREZA_JURIDICA,
+         {pad('c_custkey % 5', 2)} AS QUALIFICACAO_DO_RESPONSAVEL,
+         TRY_CAST(c_acctbal AS DECIMAL(18,2)) AS CAPITAL_SOCIAL_DA_EMPRESA,
+         c_mktsegment AS PORTE_DA_EMPRESA,
+         'NAO INFORMADO' AS ENTE_FEDERATIVO_RESPONSAVEL
+  FROM customer
+  WHERE {pad_nt('c_custkey', 8)} IS NOT NULL AND {pad_nt('c_custkey', 8)} <> '00000000'
+)"""
+
+NATURES_CTE = f"natures AS (SELECT {pad('n_nationkey', 4)} AS CODIGO, n_name AS DESCRICAO FROM nation)"
+RCOUNTRIES_CTE = f"rcountries AS (SELECT {pad('n_nationkey', 3)} AS CODIGO, n_name AS DESCRICAO FROM nation)"
+QUALS_CTE = f"quals AS (SELECT {pad('r_regionkey', 2)} AS CODIGO, r_name AS DESCRICAO FROM region)"
+
+EST_CTE = f"""est AS (
+  SELECT {pad_nt('o.o_custkey', 8)} AS CNPJ_BASICO,
+         {pad_nt('o.o_orderkey', 4)} AS CNPJ_ORDEM,
+         {pad('o.o_orderkey % 97', 2)} AS CNPJ_DV,
+         CASE WHEN o.o_orderkey = h.head_key THEN '1' ELSE '2' END AS IDENTIFICADOR_MATRIZ_FILIAL,
+         CASE WHEN o.o_orderstatus = 'O' THEN '02' WHEN o.o_orderstatus = 'F' THEN '08' ELSE '04' END
+           AS SITUACAO_CADASTRAL,
+         CAST(o.o_orderdate AS DATE) AS DT_INICIO_ATIVIDADE,
+         {pad("regexp_extract(o.o_orderpriority, '^(\\d+)', 1)", 7)} AS CNAE_FISCAL_PRINCIPAL,
+         {pad('n.n_regionkey', 2)} AS UF,
+         {pad('c.c_nationkey', 4)} AS MUNICIPIO
+  FROM orders o
+  LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS head_key FROM orders GROUP BY o_custkey) h
+    ON o.o_custkey = h.o_custkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""
+
+PARTNERS_CTE = f"""partners AS (
+  SELECT {pad_nt('p.o_custkey', 8)} AS CNPJ_BASICO,
+         {pad_nt('p.l_suppkey', 6)} AS IDENTIFICADOR_DO_SOCIO,
+         upper(s.s_name) AS NOME_DO_SOCIO,
+         '***' || {pad('p.l_suppkey % 1000', 3)} || '**' AS CPF_CNPJ_DO_SOCIO,
+         {pad('p.l_suppkey % 5', 2)} AS QUALIFICACAO_DO_SOCIO,
+         CAST(p.first_date AS DATE) AS DATA_DE_ENTRADA_NA_SOCIEDADE,
+         {pad('s.s_nationkey', 3)} AS PAIS,
+         '0' AS FAIXA_ETARIA
+  FROM (SELECT o.o_custkey, l.l_suppkey, min(o.o_orderdate) AS first_date
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        GROUP BY o.o_custkey, l.l_suppkey) p
+  LEFT JOIN supplier s ON p.l_suppkey = s.s_suppkey
+)"""
+
+DIM_COMPANY_CTE = f"""dim_company AS (
+  SELECT c.CNPJ_BASICO AS CO_CNPJ_BASICO, c.RAZAO_SOCIAL_NOME_EMPRESARIAL AS NO_RAZAO_SOCIAL,
+         c.NATUREZA_JURIDICA, n.DESCRICAO AS NO_NATUREZA_JURIDICA,
+         c.QUALIFICACAO_DO_RESPONSAVEL AS QUALIFICACAO_RESPONSAVEL,
+         c.CAPITAL_SOCIAL_DA_EMPRESA AS VL_CAPITAL_SOCIAL, c.PORTE_DA_EMPRESA AS PORTE_EMPRESA,
+         c.ENTE_FEDERATIVO_RESPONSAVEL, {sk('c.CNPJ_BASICO')} AS sk_empresa
+  FROM companies c LEFT JOIN natures n ON c.NATUREZA_JURIDICA = n.CODIGO
+  QUALIFY row_number() OVER (PARTITION BY c.CNPJ_BASICO ORDER BY {order_all(
+      'c.RAZAO_SOCIAL_NOME_EMPRESARIAL', 'c.NATUREZA_JURIDICA', 'n.DESCRICAO', 'c.QUALIFICACAO_DO_RESPONSAVEL',
+      'c.CAPITAL_SOCIAL_DA_EMPRESA', 'c.PORTE_DA_EMPRESA')}) = 1
+)"""
+
+DIM_EST_CTE = f"""dim_establishment AS (
+  SELECT e.CNPJ_BASICO AS CO_CNPJ_BASICO, e.CNPJ_ORDEM AS CO_CNPJ_ORDEM, e.CNPJ_DV AS CO_CNPJ_DV,
+         e.UF AS SG_UF, e.MUNICIPIO AS CO_MUNICIPIO, e.CNAE_FISCAL_PRINCIPAL AS CO_CNAE_PRINCIPAL,
+         e.DT_INICIO_ATIVIDADE, e.SITUACAO_CADASTRAL AS CO_SITUACAO_CADASTRAL, cp.CO_PORTE,
+         {sk('e.CNPJ_BASICO', 'e.CNPJ_ORDEM', 'e.CNPJ_DV')} AS sk_estabelecimento
+  FROM est e
+  LEFT JOIN (SELECT CNPJ_BASICO, min(PORTE_DA_EMPRESA) AS CO_PORTE FROM companies GROUP BY CNPJ_BASICO) cp
+    ON e.CNPJ_BASICO = cp.CNPJ_BASICO
+  QUALIFY row_number() OVER (PARTITION BY e.CNPJ_BASICO, e.CNPJ_ORDEM, e.CNPJ_DV ORDER BY {order_all(
+      'e.UF', 'e.MUNICIPIO', 'e.CNAE_FISCAL_PRINCIPAL', 'e.DT_INICIO_ATIVIDADE', 'e.SITUACAO_CADASTRAL',
+      'cp.CO_PORTE')}) = 1
+)"""
+
+DIM_PARTNER_CTE = f"""dim_partner AS (
+  SELECT p.CNPJ_BASICO AS CO_CNPJ_BASICO, p.IDENTIFICADOR_DO_SOCIO AS ID_SOCIO, p.NOME_DO_SOCIO AS NO_SOCIO,
+         p.CPF_CNPJ_DO_SOCIO AS NU_CPF_CNPJ_SOCIO, p.QUALIFICACAO_DO_SOCIO AS CO_QUALIFICACAO,
+         q.DESCRICAO AS NO_QUALIFICACAO, p.FAIXA_ETARIA AS NO_FAIXA_ETARIA, p.PAIS AS CO_PAIS,
+         k.DESCRICAO AS NO_PAIS, p.DATA_DE_ENTRADA_NA_SOCIEDADE AS DT_ENTRADA_SOCIEDADE,
+         {sk('p.CNPJ_BASICO', 'p.IDENTIFICADOR_DO_SOCIO')} AS sk_socio
+  FROM partners p
+  LEFT JOIN quals q ON p.QUALIFICACAO_DO_SOCIO = q.CODIGO
+  LEFT JOIN rcountries k ON p.PAIS = k.CODIGO
+  QUALIFY row_number() OVER (PARTITION BY p.CNPJ_BASICO, p.IDENTIFICADOR_DO_SOCIO ORDER BY {order_all(
+      'p.NOME_DO_SOCIO', 'p.CPF_CNPJ_DO_SOCIO', 'p.QUALIFICACAO_DO_SOCIO', 'q.DESCRICAO', 'p.FAIXA_ETARIA',
+      'p.PAIS', 'k.DESCRICAO', 'p.DATA_DE_ENTRADA_NA_SOCIEDADE')}) = 1
+)"""
+
+FACT_EST_CTE = """head AS (
+  SELECT CO_CNPJ_BASICO, SG_UF AS SG_UF_RESPONSAVEL, DT_INICIO_ATIVIDADE, sk_estabelecimento AS fk_estabelecimento
+  FROM dim_establishment
+  QUALIFY row_number() OVER (PARTITION BY CO_CNPJ_BASICO ORDER BY length(CO_CNPJ_ORDEM), CO_CNPJ_ORDEM,
+          CO_CNPJ_DV, SG_UF NULLS FIRST, DT_INICIO_ATIVIDADE NULLS FIRST, sk_estabelecimento) = 1
+),
+fact_establishment AS (
+  SELECT d.CO_CNPJ_BASICO, d.NO_RAZAO_SOCIAL, d.VL_CAPITAL_SOCIAL, d.PORTE_EMPRESA, h.SG_UF_RESPONSAVEL,
+         h.DT_INICIO_ATIVIDADE, d.sk_empresa AS fk_empresa, h.fk_estabelecimento
+  FROM dim_company d LEFT JOIN head h ON d.CO_CNPJ_BASICO = h.CO_CNPJ_BASICO
+)"""
+
+FLAGS_CTE = """flags AS (
+  SELECT e.*, coalesce(e.IDENTIFICADOR_MATRIZ_FILIAL = '1', false) AS IS_MATRIZ,
+         coalesce(e.SITUACAO_CADASTRAL = '02', false) AS IS_ATIVA,
+         coalesce(b.QT_FILIAIS, 0) AS QT_FILIAIS
+  FROM est e
+  LEFT JOIN (SELECT CNPJ_BASICO, count(*) AS QT_FILIAIS FROM est
+             WHERE NOT coalesce(IDENTIFICADOR_MATRIZ_FILIAL = '1', false) GROUP BY CNPJ_BASICO) b
+    ON e.CNPJ_BASICO = b.CNPJ_BASICO
+),
+est_view AS (
+  SELECT d.*, f.IS_ATIVA AS FL_ATIVA, f.QT_FILIAIS
+  FROM dim_establishment d
+  LEFT JOIN flags f ON d.CO_CNPJ_BASICO = f.CNPJ_BASICO AND d.CO_CNPJ_ORDEM = f.CNPJ_ORDEM
+                   AND d.CO_CNPJ_DV = f.CNPJ_DV
+)"""
+
+REGISTRY_CTES = [COMPANIES_CTE, NATURES_CTE, RCOUNTRIES_CTE, QUALS_CTE, EST_CTE, PARTNERS_CTE,
+                 DIM_COMPANY_CTE, DIM_EST_CTE, DIM_PARTNER_CTE, FACT_EST_CTE, FLAGS_CTE]

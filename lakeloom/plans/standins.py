@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import clean_text_df, zero_pad
+from ..functions.cleaning import clean_text_df, not_informed, zero_pad
 from ..operators.joins import bounded_broadcast
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -105,7 +105,7 @@ def product_codes(t: Tables) -> DataFrame:
 def hs_lookup(t: Tables) -> DataFrame:
     """L2 shape: HS hierarchy by brand."""
     code = zero_pad(F.regexp_extract("p_brand", r"(\d+)$", 1), 6)
-    return (t.part.select(code.alias("CO_SH6"), F.col("p_brand").alias("NO_SH6_POR")).distinct()
+    return (t.part.groupBy(code.alias("CO_SH6")).agg(F.min("p_brand").alias("NO_SH6_POR"))
             .select("CO_SH6", F.substring("CO_SH6", 1, 4).alias("CO_SH4"),
                     F.substring("CO_SH6", 1, 2).alias("CO_SH2"), "NO_SH6_POR"))
 
@@ -164,7 +164,7 @@ def companies(t: Tables) -> DataFrame:
         zero_pad(F.pmod(F.col("c_custkey"), F.lit(5)), 2).alias("QUALIFICACAO_DO_RESPONSAVEL"),
         F.col("c_acctbal").try_cast("decimal(18,2)").alias("CAPITAL_SOCIAL_DA_EMPRESA"),
         F.col("c_mktsegment").alias("PORTE_DA_EMPRESA"),
-        F.col("c_nationkey").cast("int").alias("NATION_KEY"),
+        not_informed(F.lit(None).cast("string")).alias("ENTE_FEDERATIVO_RESPONSAVEL"),
     )
     c = c.filter(F.col("CNPJ_BASICO").isNotNull() & (F.col("CNPJ_BASICO") != "00000000"))
     return clean_text_df(c, ["RAZAO_SOCIAL_NOME_EMPRESARIAL"])
@@ -197,7 +197,10 @@ def establishments(t: Tables) -> DataFrame:
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     heads = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("head_key"))
-    j = o.join(heads, "o_custkey", "left")
+    n = bounded_broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
+    loc = (t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+           .join(n, "c_nationkey", "left"))
+    j = o.join(heads, "o_custkey", "left").join(loc, "o_custkey", "left")
     status = (F.when(F.col("o_orderstatus") == "O", F.lit("02"))
                .when(F.col("o_orderstatus") == "F", F.lit("08"))
                .otherwise(F.lit("04")))
@@ -210,6 +213,8 @@ def establishments(t: Tables) -> DataFrame:
         status.alias("SITUACAO_CADASTRAL"),
         F.to_date("o_orderdate").alias("DT_INICIO_ATIVIDADE"),
         zero_pad(F.regexp_extract("o_orderpriority", r"^(\d+)", 1), 7).alias("CNAE_FISCAL_PRINCIPAL"),
+        zero_pad(F.col("n_regionkey"), 2).alias("UF"),
+        zero_pad(F.col("c_nationkey"), 4).alias("MUNICIPIO"),
     )
 
 
@@ -237,12 +242,3 @@ def partners(t: Tables) -> DataFrame:
         zero_pad(F.col("s_nationkey"), 3).alias("PAIS"),
         F.lit("0").alias("FAIXA_ETARIA"),
     )
-
-
-def company_locations(t: Tables) -> DataFrame:
-    """Company key with its municipality (nation) and state (region) codes."""
-    n = bounded_broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
-    return (t.customer.select("c_custkey", "c_nationkey").join(n, "c_nationkey", "left")
-            .select(zero_pad(F.col("c_custkey"), 8, truncate=False).alias("CNPJ_BASICO"),
-                    zero_pad(F.col("c_nationkey"), 4).alias("MUNICIPIO"),
-                    zero_pad(F.col("n_regionkey"), 2).alias("UF")))
