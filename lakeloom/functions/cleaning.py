@@ -102,7 +102,7 @@ def zero_pad(c, width: int, truncate: bool = True) -> Column:
 
 def parse_date(c, fmt: str = "yyyyMMdd") -> Column:
     """text -> date; bad or impossible dates (20230229, 00000000, 0, '') -> NULL."""
-    return F.try_to_date(_c(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(_c(c).cast("string"), fmt)
 
 
 def parse_decimal(c, precision: int = 18, scale: int = 2) -> Column:
