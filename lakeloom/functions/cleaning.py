@@ -144,7 +144,7 @@ def delimiter_count(c, delimiter: str) -> Column:
 
 def collapse_spaces(c) -> Column:
     """BOM strip, trim, whitespace runs -> one space."""
-    return F.regexp_replace(F.trim(F.regexp_replace(_c(c), "^﻿", "")), r"\s+", " ")
+    return F.regexp_replace(F.trim(F.regexp_replace(_c(c), "^\ufeff", "")), r"\s+", " ")
 
 
 # ---------------------------------------------------------------- DataFrame forms
