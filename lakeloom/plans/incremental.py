@@ -81,14 +81,17 @@ def new_rows(rows: DataFrame, manifest: DataFrame, name_col: str = "file_name_on
 
 def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze_path: str,
                    reader: Callable[[list[str]], DataFrame], tipo: str, run_ts: dt.datetime,
-                   partition_by: list[str] | None = None, glob: str | None = None) -> LoadResult:
+                   partition_by: list[str] | None = None, glob: str | None = None,
+                   full: bool = False) -> LoadResult:
     """One incremental bronze load (C1 -> read -> C3/C4 -> B1/B3 -> C5/B8).
 
     ``reader`` receives the new file paths and returns their rows as a DataFrame; the
     batch is identified by ``run_ts`` and written as its own ``batch_id`` partition.
+    ``full=True`` is the full-refresh mode (C12): every file is read and the table is
+    replaced.
     """
     files = list_files(spark, landing, path_glob_filter=glob)
-    todo = new_files(files, read_manifest(spark, manifest_path, tipo))
+    todo = files if full else new_files(files, read_manifest(spark, manifest_path, tipo))
     paths = [r["path"] for r in todo.select("path").collect()]  # file names only, no data
     if not paths:
         return LoadResult(0, 0)
@@ -100,7 +103,7 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
                        F.lit(batch).alias("batch_id"),
                        F.lit(tipo).alias("tipo_operacao"))
     parts = ["batch_id", *(partition_by or [])]
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic")
          .partitionBy(*parts).parquet(bronze_path))
     # Manifest from the written batch (not a second read of the sources): one row per file.
     written = spark.read.parquet(bronze_path).filter(F.col("batch_id") == F.lit(batch))
@@ -152,15 +155,22 @@ def register_watermark(spark: SparkSession, log_path: str, table: str, batch: Da
 
 def process_incremental(spark: SparkSession, source: DataFrame, log_path: str, table: str,
                         transform: Callable[[DataFrame], DataFrame], target_path: str,
-                        run_ts: dt.datetime, partition_by: list[str] | None = None) -> int:
-    """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns rows written."""
+                        run_ts: dt.datetime, partition_by: list[str] | None = None,
+                        mode: str = "append") -> int:
+    """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns the target's rows.
+
+    ``mode="append"`` adds the new rows (event tables); ``mode="overwrite"`` replaces
+    the target with the transformed new snapshot (code tables), and only when the
+    source holds rows after the watermark, so an idle run never empties a table.
+    """
     wm = read_watermark(spark, log_path, table)
     batch = after_watermark(source, wm)
+    if mode == "overwrite" and batch.isEmpty():
+        return spark.read.parquet(target_path).count() if _exists(spark, target_path) else 0
     out = transform(batch)
-    w = out.write.mode("append")
+    w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target_path)
-    written = spark.read.parquet(target_path)
     register_watermark(spark, log_path, table, batch, run_ts)
-    return written.count()
+    return spark.read.parquet(target_path).count()
