@@ -187,6 +187,6 @@ def region_rollup(fact: DataFrame, est_view: DataFrame) -> DataFrame:
         F.countDistinct(F.col("e.CO_CNPJ_BASICO")).alias("total_empresas"),
         F.countDistinct(F.col("est.CO_CNPJ_BASICO")).alias("total_estabelecimentos"),
         F.sum(F.col("e.VL_CAPITAL_SOCIAL")).cast("decimal(38,2)").alias("total_capital_social"),
-        F.avg(F.col("e.VL_CAPITAL_SOCIAL").cast("double")).alias("media_capital_social"),
+        F.avg(F.col("e.VL_CAPITAL_SOCIAL")).cast("decimal(38,6)").alias("media_capital_social"),
         F.sum(F.when(F.col("est.FL_ATIVA"), 1).otherwise(0)).cast("bigint").alias("estabelecimentos_ativos"),
         F.sum(F.col("est.QT_FILIAIS")).cast("bigint").alias("total_filiais"))

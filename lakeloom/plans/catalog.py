@@ -216,7 +216,10 @@ SELECT est.SG_UF AS SG_UF,
        COUNT(DISTINCT e.CO_CNPJ_BASICO) AS total_empresas,
        COUNT(DISTINCT est.CO_CNPJ_BASICO) AS total_estabelecimentos,
        CAST(SUM(e.VL_CAPITAL_SOCIAL) AS DECIMAL(38,2)) AS total_capital_social,
-       AVG(CAST(e.VL_CAPITAL_SOCIAL AS DOUBLE)) AS media_capital_social,
+       -- exact decimal mean rounded half-up at 6 places (integer arithmetic on cents)
+       CAST(sign(SUM(e.VL_CAPITAL_SOCIAL)) * ((2 * abs(CAST(SUM(e.VL_CAPITAL_SOCIAL) * 100 AS HUGEINT)) * 10000
+             + COUNT(e.VL_CAPITAL_SOCIAL)) // (2 * COUNT(e.VL_CAPITAL_SOCIAL))) AS DECIMAL(38,0))
+         * CAST(0.000001 AS DECIMAL(38,6)) AS media_capital_social,
        CAST(SUM(CASE WHEN est.FL_ATIVA THEN 1 ELSE 0 END) AS BIGINT) AS estabelecimentos_ativos,
        CAST(SUM(est.QT_FILIAIS) AS BIGINT) AS total_filiais
 FROM fact_establishment e LEFT JOIN est_view est ON e.CO_CNPJ_BASICO = est.CO_CNPJ_BASICO
