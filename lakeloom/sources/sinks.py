@@ -23,17 +23,29 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
 
 
 def save_as_table(df: DataFrame, name: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
-    """Managed catalog table."""
+                  partition_by: list[str] | None = None, path: str | None = None,
+                  bucket_by: tuple[int, list[str]] | None = None) -> None:
+    """Catalog table (managed, or external at ``path``).
+
+    ``bucket_by=(n, keys)`` writes a bucketed table: two tables bucketed alike on
+    their join key are joined without a shuffle (co-located join).
+    """
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        w = w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> None:
-    """Catalog entry over an existing parquet directory (no-op when present)."""
+    """Catalog entry over an existing parquet directory (no-op when present);
+    Hive-style partition folders are registered too."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
