@@ -29,6 +29,23 @@ DEFAULT_CONF = {
 }
 
 
+# Starting values for a large cluster (hundreds of executors, ~100 TB inputs). Many
+# shuffle partitions with AQE coalescing keeps each reducer near the advisory size
+# whatever the stage volume; skewed join partitions are split; a side is broadcast
+# only when its runtime size is under the adaptive threshold.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "lakeloom",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local/test builder. On a cluster the platform's session is used as is."""
