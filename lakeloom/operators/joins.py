@@ -35,3 +35,20 @@ def left_lookup(df: DataFrame, lookup: DataFrame, on, broadcast: str = "auto") -
     elif broadcast == "check":
         lookup = broadcast_if_small(lookup)
     return df.join(lookup, on=on, how="left")
+
+
+def one_to_many_left(one: DataFrame, many: DataFrame, one_key: str, many_key: str) -> DataFrame:
+    """``one LEFT JOIN many`` when ``one`` has a row per key and ``many`` may hold a hot key.
+
+    AQE can split a skewed partition only on the preserved side of an outer join, and
+    here the hot side is ``many``. The same result is built from an inner join (both
+    sides splittable) plus the ``one`` rows whose key is absent from ``many``; that
+    anti join runs against ``many``'s distinct keys, folded on the map side first.
+    """
+    matched = one.join(many, one[one_key] == many[many_key], "inner")
+    keys = many.select(F.col(many_key).alias("__k")).distinct()
+    unmatched = one.join(keys, one[one_key] == keys["__k"], "left_anti")
+    for c in many.columns:
+        if c not in unmatched.columns:
+            unmatched = unmatched.withColumn(c, F.lit(None).cast(many.schema[c].dataType))
+    return matched.unionByName(unmatched.select(*matched.columns))

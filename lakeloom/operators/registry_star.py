@@ -15,7 +15,7 @@ from ..functions.cleaning import flag_equals
 from ..functions.keys import (month_name, quarter, quarter_label, semester, semester_label,
                               surrogate_key)
 from .dedup import dedup_by_key
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, one_to_many_left
 
 
 def _stamp(df: DataFrame, name: str, run_ts) -> DataFrame:
@@ -152,18 +152,22 @@ def establishment_view(d_establishment: DataFrame, flags: DataFrame) -> DataFram
     return d_establishment.join(f, ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"], "left")
 
 
+def _fact_with_establishments(fact: DataFrame, est_view: DataFrame) -> DataFrame:
+    """fact LEFT JOIN establishments on the company key, written skew-safe (a company
+    may own a third of all establishments)."""
+    est = est_view.select(*[F.col(c).alias(f"est_{c}") for c in est_view.columns])
+    return one_to_many_left(fact, est, "CO_CNPJ_BASICO", "est_CO_CNPJ_BASICO")
+
+
 def company_complete(fact: DataFrame, est_view: DataFrame) -> DataFrame:
     """Company fact with every establishment of the company."""
-    e, s = fact.alias("e"), est_view.alias("est")
-    return e.join(s, F.col("e.CO_CNPJ_BASICO") == F.col("est.CO_CNPJ_BASICO"), "left").select(
-        F.col("e.CO_CNPJ_BASICO").alias("CO_CNPJ_BASICO"), F.col("e.NO_RAZAO_SOCIAL").alias("NO_RAZAO_SOCIAL"),
-        F.col("e.VL_CAPITAL_SOCIAL").alias("VL_CAPITAL_SOCIAL"), F.col("e.PORTE_EMPRESA").alias("NO_PORTE"),
-        F.col("e.SG_UF_RESPONSAVEL").alias("SG_UF_RESPONSAVEL"),
-        F.col("est.CO_CNPJ_ORDEM").alias("CO_CNPJ_ORDEM"), F.col("est.SG_UF").alias("SG_UF"),
-        F.col("est.CO_MUNICIPIO").alias("CO_MUNICIPIO"),
-        F.col("est.CO_CNAE_PRINCIPAL").alias("CO_CNAE_PRINCIPAL"),
-        F.col("est.DT_INICIO_ATIVIDADE").alias("DT_INICIO_ATIVIDADE"),
-        F.col("est.FL_ATIVA").alias("FL_ATIVA"), F.col("est.QT_FILIAIS").alias("QT_FILIAIS"))
+    j = _fact_with_establishments(fact, est_view)
+    return j.select(
+        "CO_CNPJ_BASICO", "NO_RAZAO_SOCIAL", "VL_CAPITAL_SOCIAL", F.col("PORTE_EMPRESA").alias("NO_PORTE"),
+        "SG_UF_RESPONSAVEL", F.col("est_CO_CNPJ_ORDEM").alias("CO_CNPJ_ORDEM"), F.col("est_SG_UF").alias("SG_UF"),
+        F.col("est_CO_MUNICIPIO").alias("CO_MUNICIPIO"), F.col("est_CO_CNAE_PRINCIPAL").alias("CO_CNAE_PRINCIPAL"),
+        F.col("est_DT_INICIO_ATIVIDADE").alias("DT_INICIO_ATIVIDADE"), F.col("est_FL_ATIVA").alias("FL_ATIVA"),
+        F.col("est_QT_FILIAIS").alias("QT_FILIAIS"))
 
 
 def company_partner(d_partner: DataFrame, fact: DataFrame) -> DataFrame:
@@ -181,12 +185,11 @@ def company_partner(d_partner: DataFrame, fact: DataFrame) -> DataFrame:
 
 def region_rollup(fact: DataFrame, est_view: DataFrame) -> DataFrame:
     """Per state, over company fact LEFT JOIN establishments (the view's grain)."""
-    e, s = fact.alias("e"), est_view.alias("est")
-    j = e.join(s, F.col("e.CO_CNPJ_BASICO") == F.col("est.CO_CNPJ_BASICO"), "left")
-    return j.groupBy(F.col("est.SG_UF").alias("SG_UF")).agg(
-        F.countDistinct(F.col("e.CO_CNPJ_BASICO")).alias("total_empresas"),
-        F.countDistinct(F.col("est.CO_CNPJ_BASICO")).alias("total_estabelecimentos"),
-        F.sum(F.col("e.VL_CAPITAL_SOCIAL")).cast("decimal(38,2)").alias("total_capital_social"),
-        F.avg(F.col("e.VL_CAPITAL_SOCIAL")).cast("decimal(38,6)").alias("media_capital_social"),
-        F.sum(F.when(F.col("est.FL_ATIVA"), 1).otherwise(0)).cast("bigint").alias("estabelecimentos_ativos"),
-        F.sum(F.col("est.QT_FILIAIS")).cast("bigint").alias("total_filiais"))
+    j = _fact_with_establishments(fact, est_view)
+    return j.groupBy(F.col("est_SG_UF").alias("SG_UF")).agg(
+        F.countDistinct("CO_CNPJ_BASICO").alias("total_empresas"),
+        F.countDistinct("est_CO_CNPJ_BASICO").alias("total_estabelecimentos"),
+        F.sum("VL_CAPITAL_SOCIAL").cast("decimal(38,2)").alias("total_capital_social"),
+        F.avg("VL_CAPITAL_SOCIAL").cast("decimal(38,6)").alias("media_capital_social"),
+        F.sum(F.when(F.col("est_FL_ATIVA"), 1).otherwise(0)).cast("bigint").alias("estabelecimentos_ativos"),
+        F.sum("est_QT_FILIAIS").cast("bigint").alias("total_filiais"))
