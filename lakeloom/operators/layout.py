@@ -103,3 +103,12 @@ def partition_advice(df: DataFrame, desired_file_mb: int = FILE_MB_INCREMENTAL,
         F.lit(desired_file_mb).alias("desired_file_mb"),
         F.greatest(F.lit(1), F.floor(total_bytes / F.lit(target))).cast("int")
          .alias("recommended_partitions"))
+
+
+def salted_layout(df: DataFrame, group_col: str, key_col: str) -> DataFrame:
+    """J1 + J4 + J5 for a write: salt buckets advised from the skew of ``group_col``
+    (one advice row reaches the driver), a ``salt`` column from ``key_col``, and an AQE
+    rebalance on (group, salt) so output files are cut to the advisory size instead of
+    one file per hot group."""
+    n = salt_advice(df, group_col).first()["salt"]
+    return add_salt(df, key_col, int(n or 1)).hint("rebalance", group_col, "salt")

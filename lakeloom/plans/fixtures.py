@@ -8,7 +8,6 @@ on data that grows with the tables.
 
 from __future__ import annotations
 
-import io
 import os
 import zipfile
 
@@ -79,21 +78,27 @@ def write_event_days(t: Tables, landing: str, first_day: str | None, last_day: s
 
 
 def _zip_writer(folder: str, member: str, group: str):
-    """Stream one task's lines into one archive member (memory bounded by a batch)."""
+    """Stream one task's lines into one archive member (memory bounded by a batch).
+
+    The archive is named after the partition and written under a temporary name, then
+    renamed: a retried task (lost executor) replaces its archive instead of adding one.
+    """
     def run(batches):
-        import uuid
-        name = f"{group}{uuid.uuid4().int % 10**6}.zip"
-        path = os.path.join(folder, name)
+        from pyspark import TaskContext
+        name = f"{group}{TaskContext.get().partitionId()}.zip"
+        final = os.path.join(folder, name)
+        tmp = os.path.join(folder, f".{name}.{TaskContext.get().taskAttemptId()}.tmp")
         n = 0
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
             with zf.open(member, "w") as out:
                 for pdf in batches:
                     for v in pdf["value"]:
                         out.write((v + "\r\n").encode("iso-8859-1"))
                         n += 1
         if n == 0:
-            os.remove(path)
+            os.remove(tmp)
             return
+        os.replace(tmp, final)
         yield pd.DataFrame({"archive": [name], "lines": [n]})
     return run
 

@@ -22,6 +22,7 @@ from ..operators import registry_star as rs
 from ..operators import trade_star as ts
 from ..operators.checks import duplicate_key_report, table_count_report
 from ..operators.dedup import dedup_by_key, distinct_rows
+from ..operators.layout import salted_layout
 from ..sources.archives import archive_lines
 from ..sources.csv import header_columns, read_csv_with_quotes, string_schema
 from ..sources.files import list_files, route_files
@@ -281,7 +282,7 @@ def silver_establishments(b: DataFrame) -> DataFrame:
     df = df.withColumn("UF", F.upper("UF")).withColumn("NOME_FANTASIA", cl.not_informed(F.col("NOME_FANTASIA")))
     df = df.withColumn("CNAE_FISCAL_SECUNDARIA", cl.pad_list("CNAE_FISCAL_SECUNDARIA", 7))
     df = df.withColumn("CNPJ_PREFIXO", F.substring("CNPJ_BASICO", 1, 2))
-    return rs.establishment_flags(distinct_rows(df))
+    return salted_layout(rs.establishment_flags(distinct_rows(df)), "CNPJ_PREFIXO", "CNPJ_BASICO")
 
 
 def silver_partners(b: DataFrame) -> DataFrame:
@@ -342,9 +343,10 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
             results.append((target, "skipped", 0, "no bronze table"))
             continue
         mode = "overwrite" if target in CODE_TABLES else "append"  # code tables are snapshots
+        parts = ["salt"] if target == "estabelecimentos_tratado" else None
         _guard(target, lambda: inc.process_incremental(spark, spark.read.parquet(lake.bronze(source)),
                                                        lake.watermarks, target, fn, lake.silver(target),
-                                                       run_ts, None, mode), results)
+                                                       run_ts, parts, mode), results)
     return _status(spark, results)
 
 
