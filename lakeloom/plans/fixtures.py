@@ -105,11 +105,14 @@ def _zip_writer(folder: str, member: str, group: str):
 
 def write_supplier_archives(t: Tables, partitions: int = 3) -> str:
     """Headerless ``;`` lines of supplier written as ZIP archives named ``Socios<n>.zip``,
-    every archive holding a member of the same name; one archive per task."""
+    every archive holding a member of the same name; one archive per task (at least
+    ``partitions`` archives)."""
     folder = scratch_path(t.spark, "landing-zip")
     lines = t.supplier.select(F.concat_ws(";", F.col("s_suppkey").cast("string"), "s_name",
                                           F.col("s_nationkey").cast("string")).alias("value"))
-    written = lines.repartition(partitions).mapInPandas(
+    # one archive per input partition (so archives grow in number, not size, with the data)
+    n = max(partitions, lines.rdd.getNumPartitions())
+    written = lines.repartition(n).mapInPandas(
         _zip_writer(folder, "K3241.SOCIOCSV", "Socios"), "archive string, lines long")
     written.write.format("noop").mode("overwrite").save()
     return folder
