@@ -2,8 +2,10 @@
 
 Each ZIP archive is one ``binaryFile`` row; ``mapInPandas`` opens it inside the task
 and yields its members' lines in bounded chunks, so archives are extracted in
-parallel and nothing passes through the driver. Limits: an archive is not
-splittable and must fit the ``binaryFile`` row limit (2 GB).
+parallel and nothing passes through the driver. ``binaryFile`` packs files into
+partitions of at most ``spark.sql.files.maxPartitionBytes``, so one Arrow batch holds
+either several small archives up to that size or one large archive alone. Limits: an
+archive is not splittable and must fit the ``binaryFile`` row limit (2 GB).
 """
 
 from __future__ import annotations
