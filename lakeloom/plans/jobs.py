@@ -365,6 +365,13 @@ def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataF
     fact = rs.fact_establishment(spark.read.parquet(lake.gold("dim_empresa")),
                                  spark.read.parquet(lake.gold("dim_estabelecimento")), run_ts)
     fact.write.mode("overwrite").partitionBy("SG_UF_RESPONSAVEL").parquet(lake.gold("fato_estabelecimento"))
+    g = lambda t: spark.read.parquet(lake.gold(t))
+    duplicate_key_report({"dim_empresa": (g("dim_empresa"), ["CO_CNPJ_BASICO"]),
+                          "dim_estabelecimento": (g("dim_estabelecimento"),
+                                                  ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"]),
+                          "dim_socios_perfil": (g("dim_socios_perfil"), ["CO_CNPJ_BASICO", "ID_SOCIO"]),
+                          "fato_estabelecimento": (g("fato_estabelecimento"), ["CO_CNPJ_BASICO"])}
+                         ).write.mode("overwrite").parquet(lake.gold("check_duplicate_keys"))
     return table_count_report({n: spark.read.parquet(lake.gold(n)) for n in
                                ("dim_tempo_abertura", "dim_empresa", "dim_estabelecimento",
                                 "dim_socios_perfil", "fato_estabelecimento")})

@@ -126,3 +126,13 @@ def test_registry_jobs_end_to_end(spark, tmp_path):
     st2 = {r["tabela"]: r["registros"] for r in jobs.bronze_registry(spark, landing, lake,
                                                                        dt.datetime(2024, 3, 2)).collect()}
     assert st2["empresas"] == 0
+
+
+def test_cli_trade(spark, tmp_path):
+    from lakeloom import cli
+    landing = str(tmp_path / "landing")
+    trade_landing(landing)
+    rc = cli.main(["trade", "--landing", landing, "--lake", str(tmp_path / "lake"),
+                   "--run-ts", "2024-03-01T06:00:00"])
+    assert rc == 0
+    assert spark.read.parquet(str(tmp_path / "lake" / "gold" / "fato_balanca_exp")).count() == 3
