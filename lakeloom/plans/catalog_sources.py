@@ -147,8 +147,8 @@ def _incremental_runs(spark, sf_dir):
                          F.col("value").try_cast("double").alias("value"), "dia", "ingestion_dt")
 
     for run in (RUN_2, RUN_3):
-        inc.process_incremental(spark, spark.read.parquet(bronze), wm_log, "silver_events", to_silver,
-                                silver, run)
+        source = inc.committed(spark, spark.read.parquet(bronze), manifest)
+        inc.process_incremental(spark, source, wm_log, "silver_events", to_silver, silver, run)
     return bronze, manifest, silver
 
 
@@ -158,8 +158,8 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_i
 FROM events""")
 def incremental_rows(spark, sf_dir):
     """The bronze table after three runs holds every event exactly once."""
-    bronze, _, _ = _incremental_runs(spark, sf_dir)
-    return spark.read.parquet(bronze).select(*EVENT_COLUMNS, "dia")
+    bronze, manifest, _ = _incremental_runs(spark, sf_dir)
+    return inc.committed(spark, spark.read.parquet(bronze), manifest).select(*EVENT_COLUMNS, "dia")
 
 
 @register("incremental_files", """

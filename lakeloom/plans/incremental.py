@@ -118,6 +118,35 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     return LoadResult(int(stats["f"]), int(stats["r"] or 0))
 
 
+def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str) -> DataFrame:
+    """Bronze rows of committed batches only: the manifest is the commit log.
+
+    A load writes its batch partition first and its manifest rows last, so a batch
+    left by a crashed run has no manifest row; it stays invisible here, and its files,
+    still absent from the manifest, are loaded again by the next run.
+    """
+    batches = read_manifest(spark, manifest_path).select("batch_id").distinct()
+    return bronze.join(broadcast_if_small(batches), "batch_id", "left_semi")
+
+
+def overwrite_touched_partitions(source: DataFrame, batch: DataFrame, keys: list[str],
+                                 transform: Callable[[DataFrame], DataFrame], target_path: str) -> None:
+    """Recompute and replace only the partitions (``keys`` values) a new batch touches.
+
+    The touched key values are a small distinct set; every source row of those
+    partitions is transformed again and written with dynamic partition overwrite, so
+    running the step twice (after a failure) gives the same table, never duplicates.
+    """
+    touched = broadcast_if_small(batch.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct())
+    cond = None
+    for k in keys:  # NULL-safe: rows with a NULL partition value are rebuilt too
+        c = F.col(k).eqNullSafe(F.col(f"__t_{k}"))
+        cond = c if cond is None else cond & c
+    rows = source.join(touched, cond, "left_semi")
+    (transform(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(target_path))
+
+
 def run_summary(manifest: DataFrame) -> DataFrame:
     """Files, rows and last load per operation type, ordered."""
     return (manifest.groupBy("tipo_operacao")
