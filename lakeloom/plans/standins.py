@@ -29,10 +29,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 class Tables:
-    """Lazy handles on ``{sf_dir}/{name}.parquet``."""
+    """Lazy handles on ``{sf_dir}/{name}.parquet``; ``overrides`` swaps in other sources
+    (for example catalog tables bucketed on their join keys, see ``bucket_for_joins``)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, overrides: dict[str, DataFrame] | None = None):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        for name, df in (overrides or {}).items():
+            setattr(self, name, df)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -242,3 +245,20 @@ def partners(t: Tables) -> DataFrame:
         zero_pad(F.col("s_nationkey"), 3).alias("PAIS"),
         F.lit("0").alias("FAIXA_ETARIA"),
     )
+
+
+def bucket_for_joins(t: Tables, location: str, buckets: int, prefix: str = "lk") -> Tables:
+    """Store lineitem and orders bucketed (and sorted) on the order key as catalog
+    tables, once; joins between them then run without a shuffle (co-located). Returns
+    a ``Tables`` whose lineitem/orders read the bucketed copies."""
+    import os
+
+    from ..sources.sinks import save_as_table
+    li = t.lineitem.withColumnRenamed("l_orderkey", "orderkey")
+    o = t.orders.withColumnRenamed("o_orderkey", "orderkey")
+    save_as_table(li, f"{prefix}_lineitem", path=os.path.join(location, "lineitem"), bucket_by=(buckets, ["orderkey"]))
+    save_as_table(o, f"{prefix}_orders", path=os.path.join(location, "orders"), bucket_by=(buckets, ["orderkey"]))
+    spark = t.spark
+    return Tables(spark, t.sf_dir, {
+        "lineitem": spark.table(f"{prefix}_lineitem").withColumnRenamed("orderkey", "l_orderkey"),
+        "orders": spark.table(f"{prefix}_orders").withColumnRenamed("orderkey", "o_orderkey")})

@@ -68,3 +68,48 @@ def test_sinks_catalog_roundtrip(spark, tmp_path):
     for name in ("t_lakeloom_b", "t_lakeloom_c"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     assert os.path.exists(str(tmp_path / "a"))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    """Co-located join: two tables bucketed alike on the key join with no Exchange."""
+    a = spark.range(2000).select((F.col("id") % 97).alias("k"), F.col("id").alias("x"))
+    b = spark.range(500).select((F.col("id") % 97).alias("k"), F.col("id").alias("y"))
+    sinks.save_as_table(a, "t_bucket_a", path=str(tmp_path / "ba"), bucket_by=(8, ["k"]))
+    sinks.save_as_table(b, "t_bucket_b", path=str(tmp_path / "bb"), bucket_by=(8, ["k"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_bucket_a").join(spark.table("t_bucket_b"), "k")
+        p = plan(j)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == a.join(b, "k").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS t_bucket_a")
+        spark.sql("DROP TABLE IF EXISTS t_bucket_b")
+
+
+def test_trade_rows_on_bucketed_tables(spark, tmp_path):
+    """With lineitem and orders bucketed on the order key, the lineitem-orders join of
+    the trade rows needs no shuffle, and the rows are the same."""
+    t = si.Tables(spark, SF)
+    bt = si.bucket_for_joins(t, str(tmp_path / "bucketed"), 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def exchanges(df):
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                df.explain()
+            return [ln for ln in buf.getvalue().splitlines() if "Exchange hashpartitioning" in ln]
+
+        rows = si.trade_rows(bt)
+        plain, bucketed = exchanges(si.trade_rows(t)), exchanges(rows)
+        assert any("l_orderkey" in ln for ln in plain)
+        # only the customer-key exchanges of the second join remain
+        assert bucketed and all("o_custkey" in ln for ln in bucketed)
+        assert rows.count() == si.trade_rows(t).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS lk_lineitem")
+        spark.sql("DROP TABLE IF EXISTS lk_orders")
