@@ -123,3 +123,24 @@ def test_watermark_before_at_after(spark, tmp_path):
     assert wm == t1
     assert [r["id"] for r in inc.after_watermark(df, wm).collect()] == [3]
     assert inc.read_watermark(spark, log, "other") is None
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_token = st.text(alphabet="abcXYZ019 ãé|", min_size=0, max_size=4)
+_line = st.lists(_token, min_size=1, max_size=5).map(lambda ts: ";".join(ts))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_line, min_size=1, max_size=25))
+def test_sanitizer_partitions_its_input(spark, tmp_path_factory, lines):
+    """Every non-blank line ends up either parsed or rejected, never both, never lost."""
+    folder = tmp_path_factory.mktemp("prop")
+    write(str(folder / "f.csv"), "\n".join(lines) + "\n")
+    res = sanitize_csv(spark, str(folder), forced_header_cols=["A", "B", "C"])
+    expected = sum(1 for ln in lines if ln.strip())
+    good, bad = res.clean.count(), res.rejected.count()
+    # rows equal to the header in every column are dropped after parsing
+    headers = sum(1 for ln in lines if ln == "A;B;C")
+    assert good + bad + headers == expected
