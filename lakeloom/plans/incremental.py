@@ -189,15 +189,17 @@ def process_incremental(spark: SparkSession, source: DataFrame, log_path: str, t
     """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns the target's rows.
 
     ``mode="append"`` adds the new rows (event tables); ``mode="overwrite"`` replaces
-    the target with the transformed new snapshot (code tables), and only when the
-    source holds rows after the watermark, so an idle run never empties a table.
+    the target with the transformed new snapshot (code tables); ``mode="rebuild"``
+    replaces it with the transform of the whole source (tables deduplicated across
+    batches, idempotent on rerun). The last two write only when the source holds rows
+    after the watermark, so an idle run never empties a table.
     """
     wm = read_watermark(spark, log_path, table)
     batch = after_watermark(source, wm)
-    if mode == "overwrite" and batch.isEmpty():
+    if mode in ("overwrite", "rebuild") and batch.isEmpty():
         return spark.read.parquet(target_path).count() if _exists(spark, target_path) else 0
-    out = transform(batch)
-    w = out.write.mode(mode)
+    out = transform(source if mode == "rebuild" else batch)
+    w = out.write.mode("overwrite" if mode == "rebuild" else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target_path)

@@ -194,14 +194,16 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFr
         if not _exists(spark, lake.bronze(source)):
             results.append((target, "skipped", 0, "no bronze table"))
             continue
-        bronze = spark.read.parquet(lake.bronze(source))
-        if "batch_id" in bronze.columns:
-            bronze = inc.committed(spark, bronze, lake.manifest)
-        if parts:  # event tables: replace the year/month partitions the new rows touch
-            _guard(target, lambda: _touched(spark, bronze, lake, target, fn, parts, run_ts), results)
-        else:
-            _guard(target, lambda: inc.process_incremental(spark, bronze, lake.watermarks, target, fn,
-                                                           lake.silver(target), run_ts, None, mode), results)
+        def step(source=source, target=target, fn=fn, parts=parts, mode=mode):
+            bronze = spark.read.parquet(lake.bronze(source))
+            if "batch_id" in bronze.columns:
+                bronze = inc.committed(spark, bronze, lake.manifest)
+            if parts:  # event tables: replace the year/month partitions the new rows touch
+                return _touched(spark, bronze, lake, target, fn, parts, run_ts)
+            return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
+                                           run_ts, None, mode)
+
+        _guard(target, step, results)
     return _status(spark, results)
 
 
@@ -255,6 +257,7 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
     lines = lines.join(seen, "member_key", "left_anti")
     results: list = []
     anomes = run_ts.strftime("%Y%m")
+    batch = run_ts.strftime("%Y%m%d%H%M%S%f")
     for grp, (table, cols) in S.REGISTRY_GROUPS.items():
         def load(grp=grp, table=table, cols=cols):
             ddl = ", ".join(f"`{c}` STRING" for c in cols)
@@ -262,13 +265,15 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
             parsed = part.select(F.from_csv("line", ddl, {"sep": ";", "quote": '"', "escape": '"'}).alias("r"),
                                  "member_key", F.col("member").alias("file_name_only"))
             out = parsed.select("r.*", F.col("member_key").alias("origin_path_name"), "file_name_only",
-                                F.lit(run_ts).cast("timestamp").alias("ingestion_dt"), F.lit(anomes).alias("anomes"))
-            out.write.mode("append").partitionBy("anomes").parquet(lake.bronze(table))
-            written = spark.read.parquet(lake.bronze(table)).filter(F.col("ingestion_dt") == F.lit(run_ts))
+                                F.lit(run_ts).cast("timestamp").alias("ingestion_dt"), F.lit(anomes).alias("anomes"),
+                                F.lit(batch).alias("batch_id"))
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("anomes", "batch_id").parquet(lake.bronze(table)))
+            written = spark.read.parquet(lake.bronze(table)).filter(F.col("batch_id") == F.lit(batch))
             m = (written.groupBy("origin_path_name", "file_name_only").count()
                  .select(F.col("origin_path_name").alias("caminho_arquivo"),
                          F.col("file_name_only").alias("nome_arquivo"), F.lit(grp).alias("tipo_operacao"),
-                         F.lit(anomes).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("data_processamento"),
+                         F.lit(batch).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("data_processamento"),
                          F.col("count").cast("long").alias("num_registros")))
             m.write.mode("append").parquet(lake.manifest)
             return m.agg(F.coalesce(F.sum("num_registros"), F.lit(0))).first()[0]
@@ -357,17 +362,26 @@ CODE_TABLES = {"naturezas_tratado", "qualificacoes_tratado", "paises_tratado", "
 
 
 def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """Registry silver tables, rows after each table's own watermark."""
+    """Registry silver tables from committed bronze batches.
+
+    When a table's bronze has rows after its watermark, code tables are replaced by the
+    new snapshot and entity tables are rebuilt from every committed batch, so their
+    deduplication spans batches and a rerun after a failure gives the same table.
+    """
     results: list = []
     for target, (source, fn) in REGISTRY_SILVER.items():
         if not _exists(spark, lake.bronze(source)):
             results.append((target, "skipped", 0, "no bronze table"))
             continue
-        mode = "overwrite" if target in CODE_TABLES else "append"  # code tables are snapshots
+        mode = "overwrite" if target in CODE_TABLES else "rebuild"
         parts = ["salt"] if target == "estabelecimentos_tratado" else None
-        _guard(target, lambda: inc.process_incremental(spark, spark.read.parquet(lake.bronze(source)),
-                                                       lake.watermarks, target, fn, lake.silver(target),
-                                                       run_ts, parts, mode), results)
+
+        def step(source=source, target=target, fn=fn, mode=mode, parts=parts):
+            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest)
+            return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
+                                           run_ts, parts, mode)
+
+        _guard(target, step, results)
     return _status(spark, results)
 
 
