@@ -78,8 +78,7 @@ def zip_member(folder, archive, member, lines):
         fh.write(buf.getvalue())
 
 
-def test_registry_jobs_end_to_end(spark, tmp_path):
-    landing, lake = str(tmp_path / "zips"), jobs.Lake(str(tmp_path / "lake"))
+def registry_landing(landing):
     zip_member(landing, "Empresas0.zip", "K.EMPRECSV", [
         '"12345678";"ACME; Açúcar LTDA";"2062";"49";"1000,00";"03";""',
         '"00000000";"SENTINEL";"2062";"49";"1,00";"01";""',
@@ -97,6 +96,11 @@ def test_registry_jobs_end_to_end(spark, tmp_path):
     zip_member(landing, "Naturezas.zip", "K.NATJUCSV", ['"2062";"Sociedade Empresária Limitada"'])
     zip_member(landing, "Qualificacoes.zip", "K.QUALSCSV", ['"49";"Sócio-Administrador"'])
     zip_member(landing, "Paises.zip", "K.PAISCSV", ['"105";"BRASIL"'])
+
+
+def test_registry_jobs_end_to_end(spark, tmp_path):
+    landing, lake = str(tmp_path / "zips"), jobs.Lake(str(tmp_path / "lake"))
+    registry_landing(landing)
     run1 = dt.datetime(2024, 3, 1, 6)
     st = {r["tabela"]: r for r in jobs.bronze_registry(spark, landing, lake, run1).collect()}
     assert st["empresas"]["registros"] == 4 and st["estabelecimentos"]["registros"] == 3
@@ -158,3 +162,19 @@ def test_trade_rerun_after_partial_batch_is_exact(spark, tmp_path):
     jobs.gold_trade(spark, lake, run2)                                   # a repeated gold step
     assert spark.read.parquet(lake.silver("exp_tratado")).count() == 3
     assert spark.read.parquet(lake.gold("fato_balanca_exp")).count() == 3
+
+
+def test_registry_rerun_after_partial_batch_is_exact(spark, tmp_path):
+    import shutil
+    landing, lake = str(tmp_path / "zips"), jobs.Lake(str(tmp_path / "lake"))
+    registry_landing(landing)
+    jobs.bronze_registry(spark, landing, lake, dt.datetime(2024, 3, 1, 6))
+    shutil.rmtree(lake.manifest)                     # crash before the commit log was written
+    run2 = dt.datetime(2024, 3, 2, 6)
+    jobs.bronze_registry(spark, landing, lake, run2)
+    jobs.silver_registry(spark, lake, run2)
+    jobs.silver_registry(spark, lake, run2)          # a repeated silver step
+    assert spark.read.parquet(lake.silver("empresas_tratado")).count() == 3
+    assert spark.read.parquet(lake.silver("estabelecimentos_tratado")).count() == 3
+    counts = {r["table_name"]: r["total_registros"] for r in jobs.gold_registry(spark, lake, run2).collect()}
+    assert counts["dim_empresa"] == 3 and counts["fato_estabelecimento"] == 3
