@@ -144,3 +144,27 @@ def test_sanitizer_partitions_its_input(spark, tmp_path_factory, lines):
     # rows equal to the header in every column are dropped after parsing
     headers = sum(1 for ln in lines if ln == "A;B;C")
     assert good + bad + headers == expected
+
+
+def test_binary_lines_provenance_and_small_readers(spark, tmp_path):
+    from lakeloom.sources.csv import empty_like, read_table, with_provenance
+    from lakeloom.sources.sanitize import lines_from_binary, read_binary_files
+    write(str(tmp_path / "b" / "x.csv"), "CO;NO\r\n1;São\r\n\r\n2;Ção\r\n")
+    lines = lines_from_binary(read_binary_files(spark, str(tmp_path / "b")))
+    assert [r["linha"] for r in lines.collect()] == ["CO;NO", "1;São", "2;Ção"]
+    ok = read_csv_with_quotes(spark, str(tmp_path / "b")).ok
+    prov = with_provenance(ok).first()
+    assert prov["file_name_only"] == "x.csv" and prov["origin_path_name"].endswith("/b/x.csv")
+    e = empty_like(spark, ok.schema)
+    assert e.count() == 0 and e.columns == ok.columns
+    ok.write.parquet(str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t")).count() == 2
+
+
+def test_left_lookup_modes(spark):
+    from lakeloom.operators.joins import left_lookup
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    lk = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    for mode in ("auto", "bounded", "check"):
+        out = {r["k"]: r["v"] for r in left_lookup(df, lk, "k", mode).collect()}
+        assert out == {1: "a", 2: "b", 3: None}
