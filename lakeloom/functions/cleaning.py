@@ -196,11 +196,20 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def clean_text_df(df: DataFrame, columns=None, upper: bool = True) -> DataFrame:
-    """The registry text recipe in one Project: F1 -> F2 -> F4 (-> F11)."""
-    def recipe(c: Column) -> Column:
-        out = blank_to_null(remove_accents(strip(c)))
+    """The registry text recipe: F1 -> F2 -> F4 (-> F11).
+
+    Written as two projections on purpose: the blank test and the value both use the
+    cleaned text, and Catalyst keeps an expensive expression that is referenced twice
+    in its own projection instead of evaluating the regex twice per row.
+    """
+    targets = set(string_columns(df, columns))
+    cleaned = df.select([remove_accents(strip(F.col(n))).alias(n) if n in targets else F.col(n)
+                         for n in df.columns])
+
+    def finish(c: Column) -> Column:
+        out = blank_to_null(c)
         return F.upper(out) if upper else out
-    return apply_to_columns(df, columns, recipe)
+    return cleaned.select([finish(F.col(n)).alias(n) if n in targets else F.col(n) for n in df.columns])
 
 
 # ---------------------------------------------------------------- predicates

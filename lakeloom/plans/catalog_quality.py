@@ -32,12 +32,11 @@ SELECT doc_id,
 FROM documents""")
 def clean_text(spark, sf_dir):
     """F1, F2, F4, F5, F11 over whole documents."""
-    d = si.Tables(spark, sf_dir).documents
-    return d.select(
-        "doc_id",
-        F.upper(cl.blank_to_null(cl.remove_accents(cl.strip("text")))).alias("text_clean"),
-        cl.whitespace_blank_to_null("source").alias("source_clean"),
-        cl.strip("lang").alias("lang_clean"))
+    d = si.Tables(spark, sf_dir).documents.select("doc_id", F.col("text").alias("text_clean"),
+                                                  F.col("source").alias("source_clean"),
+                                                  cl.strip("lang").alias("lang_clean"))
+    cleaned = cl.clean_text_df(d, ["text_clean"])
+    return cleaned.withColumn("source_clean", cl.whitespace_blank_to_null("source_clean"))
 
 
 @register("charset_repair", "SELECT doc_id, text AS repaired, text AS kept FROM documents")
@@ -45,9 +44,10 @@ def charset_repair(spark, sf_dir):
     """every document double-encoded (UTF-8 bytes read as Latin-1) and repaired;
     the untouched text run through the same repair must stay as it is."""
     d = si.Tables(spark, sf_dir).documents
-    mojibake = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return d.select("doc_id", cl.repair_double_encoding(mojibake).alias("repaired"),
-                    cl.repair_double_encoding(F.col("text")).alias("kept"))
+    # the double-encoded text is its own projection, so the repair reads it once per row
+    broken = d.select("doc_id", "text", F.decode(F.encode("text", "UTF-8"), "ISO-8859-1").alias("mojibake"))
+    return broken.select("doc_id", cl.repair_double_encoding(F.col("mojibake")).alias("repaired"),
+                         cl.repair_double_encoding(F.col("text")).alias("kept"))
 
 
 @register("placeholder_fill", f"""
