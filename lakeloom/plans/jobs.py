@@ -401,6 +401,12 @@ def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataF
                                  spark.read.parquet(lake.gold("dim_estabelecimento")), run_ts)
     fact.write.mode("overwrite").partitionBy("SG_UF_RESPONSAVEL").parquet(lake.gold("fato_estabelecimento"))
     g = lambda t: spark.read.parquet(lake.gold(t))
+    # M17-M19 (B12): the analytic views over the written gold tables
+    est_view = rs.establishment_view(g("dim_estabelecimento"), rd("estabelecimentos_tratado"))
+    rs.company_complete(g("fato_estabelecimento"), est_view).createOrReplaceTempView("vw_empresa_completa")
+    rs.company_partner(g("dim_socios_perfil"), g("fato_estabelecimento")).createOrReplaceTempView(
+        "vw_empresa_socios_detalhado")
+    rs.region_rollup(g("fato_estabelecimento"), est_view).createOrReplaceTempView("vw_empresas_por_regiao")
     duplicate_key_report({"dim_empresa": (g("dim_empresa"), ["CO_CNPJ_BASICO"]),
                           "dim_estabelecimento": (g("dim_estabelecimento"),
                                                   ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"]),

@@ -126,6 +126,10 @@ def test_registry_jobs_end_to_end(spark, tmp_path):
     assert dc["12345678"]["NO_NATUREZA_JURIDICA"] == "SOCIEDADE EMPRESARIA LIMITADA"
     p = spark.read.parquet(lake.gold("dim_socios_perfil")).first()
     assert p["NO_QUALIFICACAO"] == "SOCIOADMINISTRADOR" and p["CO_PAIS"] == "105" and p["NO_PAIS"] == "BRASIL"
+    assert spark.table("vw_empresa_completa").count() == 4          # 3 establishments + 1 company without any
+    regions = {r["SG_UF"]: r["total_empresas"] for r in spark.table("vw_empresas_por_regiao").collect()}
+    assert regions["SP"] == 1 and regions["RJ"] == 1
+    assert spark.table("vw_empresa_socios_detalhado").first()["NO_RAZAO_SOCIAL"] == "ACME ACUCAR LTDA"
     # rerun: the manifest keys on (archive, member), nothing is loaded twice
     st2 = {r["tabela"]: r["registros"] for r in jobs.bronze_registry(spark, landing, lake,
                                                                        dt.datetime(2024, 3, 2)).collect()}
