@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_text_df, not_informed, zero_pad
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import broadcast_if_small
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -200,7 +200,7 @@ def establishments(t: Tables) -> DataFrame:
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     heads = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("head_key"))
-    n = bounded_broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
+    n = broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
     loc = (t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
            .join(n, "c_nationkey", "left"))
     j = o.join(heads, "o_custkey", "left").join(loc, "o_custkey", "left")
