@@ -22,6 +22,7 @@ from ..operators import registry_star as rs
 from ..operators import trade_star as ts
 from ..operators.checks import duplicate_key_report, table_count_report
 from ..operators.dedup import dedup_by_key, distinct_rows
+from ..operators.joins import broadcast_if_small
 from ..operators.layout import salted_layout
 from ..sources.archives import archive_lines
 from ..sources.csv import header_columns, read_csv_with_quotes, string_schema
@@ -187,7 +188,7 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFr
     results: list = []
     steps = [("exp_tratado", "exp", lambda d: silver_trade_rows(d, ts.EXPORT), ["CO_ANO", "CO_MES"], "append"),
              ("imp_tratado", "imp", lambda d: silver_trade_rows(d, ts.IMPORT), ["CO_ANO", "CO_MES"], "append"),
-             ("ncm_tratado", "ncm", silver_product_codes, None, "append")]
+             ("ncm_tratado", "ncm", silver_product_codes, None, "overwrite")]  # product codes: a snapshot
     steps += [(f"{t}_tratado", t, (lambda d, r=r: silver_lookup(d, *r)), None, "overwrite")
               for t, r in TRADE_LOOKUPS.items()]
     for target, source, fn, parts, mode in steps:
@@ -208,8 +209,9 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFr
 
 
 def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """M1-M9: dimensions (overwritten), facts (rows after the watermark, appended by
-    year/month, Q18/Q19), consolidated view registered, validation tables written."""
+    """M1-M9: dimensions (overwritten), facts (the year/month partitions touched by rows
+    after the watermark are rebuilt, Q18/Q19), consolidated view registered, validation
+    tables written."""
     rd = lambda t: spark.read.parquet(lake.silver(t))
     exp, imp = rd("exp_tratado"), rd("imp_tratado")
     d_month = ts.dim_month(exp, imp, run_ts=run_ts)
@@ -250,18 +252,18 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
     """K5-K9: every archive's members parsed quote-aware (``from_csv``) into the table of
     its group, keyed by (archive, member) (Q32), partitioned by load month ``anomes``
     (Q15: ``yyyyMM``). Members already in the manifest are skipped (C1)."""
-    lines = archive_lines(spark, landing)
     manifest = inc.read_manifest(spark, lake.manifest)
     seen = manifest.select(F.col("caminho_arquivo").alias("member_key")).distinct()
-    lines = lines.withColumn("member_key", F.concat_ws("!", "archive", "member"))
-    lines = lines.join(seen, "member_key", "left_anti")
     results: list = []
     anomes = run_ts.strftime("%Y%m")
     batch = run_ts.strftime("%Y%m%d%H%M%S%f")
     for grp, (table, cols) in S.REGISTRY_GROUPS.items():
         def load(grp=grp, table=table, cols=cols):
             ddl = ", ".join(f"`{c}` STRING" for c in cols)
-            part = lines.filter(F.col("grp") == F.lit(grp))
+            # only this group's archives are opened; each archive is extracted once per run
+            part = archive_lines(spark, landing, group=grp)
+            part = part.withColumn("member_key", F.concat_ws("!", "archive", "member"))
+            part = part.join(broadcast_if_small(seen), "member_key", "left_anti")
             parsed = part.select(F.from_csv("line", ddl, {"sep": ";", "quote": '"', "escape": '"'}).alias("r"),
                                  "member_key", F.col("member").alias("file_name_only"))
             out = parsed.select("r.*", F.col("member_key").alias("origin_path_name"), "file_name_only",

@@ -16,6 +16,7 @@ import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LINE_SCHEMA = "archive string, grp string, member string, line_no long, line string"
 CHUNK_LINES = 50_000
@@ -52,13 +53,23 @@ def _extract(encoding: str, drop_empty: bool):
     return run
 
 
+def group_of(path_col) -> "F.Column":
+    """Column form of ``archive_group`` over a file path."""
+    name = F.regexp_extract(path_col, r"[^/]+$", 0)
+    return F.regexp_replace(F.regexp_replace(name, r"\.[^.]*$", ""), "[0-9]", "")
+
+
 def archive_lines(spark: SparkSession, path, encoding: str = "iso-8859-1", glob: str = "*.zip",
-                  recursive: bool = True, drop_empty_lines: bool = True) -> DataFrame:
+                  recursive: bool = True, drop_empty_lines: bool = True,
+                  group: str | None = None) -> DataFrame:
     """``(archive, grp, member, line_no, line)`` for every member line of every archive.
 
     Members are keyed by (archive, member), never by member name alone (Q32), so two
-    archives holding a member of the same name stay distinct.
+    archives holding a member of the same name stay distinct. ``group`` keeps only the
+    archives of one group, selected on the file path before any archive is opened.
     """
     bins = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "content"))
-    return bins.mapInPandas(_extract(encoding, drop_empty_lines), LINE_SCHEMA)
+            .option("recursiveFileLookup", str(recursive).lower()).load(path))
+    if group is not None:
+        bins = bins.filter(group_of(F.col("path")) == F.lit(group))
+    return bins.select("path", "content").mapInPandas(_extract(encoding, drop_empty_lines), LINE_SCHEMA)
