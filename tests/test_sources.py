@@ -168,3 +168,13 @@ def test_left_lookup_modes(spark):
     for mode in ("auto", "bounded", "check"):
         out = {r["k"]: r["v"] for r in left_lookup(df, lk, "k", mode).collect()}
         assert out == {1: "a", 2: "b", 3: None}
+
+
+def test_expected_columns_align_header_driven_reads_only(spark, tmp_path):
+    write(str(tmp_path / "e" / "x.csv"), "B;A;Z\n1;2;3\n")
+    res = read_csv_with_quotes(spark, str(tmp_path / "e"), expected_cols=["A", "B", "C"])
+    assert res.columns == ["A", "B", "C"] and tuple(res.ok.first()) == ("2", "1", None)
+    from lakeloom.sources.csv import string_schema
+    res2 = read_csv_with_quotes(spark, str(tmp_path / "e"), schema=string_schema(["P", "Q", "R"], None),
+                                expected_cols=["A"])
+    assert res2.columns == ["P", "Q", "R"]                      # Q2: a given schema wins
