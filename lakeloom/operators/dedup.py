@@ -29,6 +29,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Co
     keys = list(keys)
     low_keys = {k.lower() for k in keys}
     rest = [c for c in df.columns if c.lower() not in low_keys]
+    if not rest:  # the keys are the whole row: a plain distinct
+        return df.dropDuplicates(keys)
     order_exprs = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}")
                    for i, o in enumerate(order_by)]
     packed = F.struct(*order_exprs, *[F.col(c) for c in rest])

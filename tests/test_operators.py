@@ -88,3 +88,8 @@ def test_fact_left_joins_keep_rows_and_null_fk(spark):
 def test_duplicate_keys_check(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,)], "k int")
     assert duplicate_keys(df, ["k"]).first()["duplicate_keys"] == 2
+
+
+def test_dedup_by_key_on_all_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    assert sorted(tuple(r) for r in dd.dedup_by_key(df, ["k", "v"]).collect()) == [(1, "a"), (2, "b")]
