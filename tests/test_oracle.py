@@ -54,4 +54,8 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(c.lower() for c in df.columns) == sorted(c.lower() for c in ocols)
+    from tools.check_oracle import spark_type_name
+    stypes = {f.name.lower(): spark_type_name(f.dataType) for f in df.schema.fields}
+    otypes = {d[0].lower(): str(d[1]) for d in cur.description}
+    assert stypes == otypes
     assert _canon(rows, df.columns) == _canon(cur.fetchall(), ocols)
