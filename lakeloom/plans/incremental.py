@@ -95,7 +95,7 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     paths = [r["path"] for r in todo.select("path").collect()]  # file names only, no data
     if not paths:
         return LoadResult(0, 0)
-    batch = run_ts.strftime("%Y%m%d%H%M%S%f")
+    batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
     rows = reader(paths)
     rows = rows.select("*", F.col("_metadata.file_path").alias("origin_path_name"),
                        base_name(F.col("_metadata.file_path")).alias("file_name_only"),

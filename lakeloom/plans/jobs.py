@@ -109,7 +109,7 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datet
             ok = ok.select("*", F.lit(run_ts).cast("timestamp").alias("ingestion_dt"))
             ok.write.mode("overwrite").parquet(lake.bronze(name))
             n = spark.read.parquet(lake.bronze(name)).count()
-            spark.createDataFrame([(path, file_name, "AUX", run_ts.strftime("%Y%m%d%H%M%S%f"), run_ts, n)],
+            spark.createDataFrame([(path, file_name, "AUX", "b" + run_ts.strftime("%Y%m%d%H%M%S%f"), run_ts, n)],
                                   inc.MANIFEST_SCHEMA).write.mode("append").parquet(lake.manifest)
             return n
 
@@ -256,7 +256,7 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
     seen = manifest.select(F.col("caminho_arquivo").alias("member_key")).distinct()
     results: list = []
     anomes = run_ts.strftime("%Y%m")
-    batch = run_ts.strftime("%Y%m%d%H%M%S%f")
+    batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
     for grp, (table, cols) in S.REGISTRY_GROUPS.items():
         def load(grp=grp, table=table, cols=cols):
             ddl = ", ".join(f"`{c}` STRING" for c in cols)
