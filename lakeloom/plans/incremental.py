@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
@@ -32,6 +32,8 @@ MANIFEST_SCHEMA = StructType([
     StructField("batch_id", StringType(), True),
     StructField("data_processamento", TimestampType(), True),
     StructField("num_registros", LongType(), True),
+    StructField("tamanho", LongType(), True),
+    StructField("modificado", TimestampType(), True),
 ])
 
 WATERMARK_SCHEMA = StructType([
@@ -64,11 +66,17 @@ def read_manifest(spark: SparkSession, manifest_path: str, tipo: str | None = No
 
 
 def new_files(files: DataFrame, manifest: DataFrame, key: str = "name") -> DataFrame:
-    """Files whose name (or ``key``) is not yet in the manifest.
+    """Files not yet in the manifest.
 
-    The manifest holds one row per loaded file: its size is checked before it is
-    broadcast; beyond the bound the anti join stays a shuffle join.
+    ``key="name"`` compares bare file names (the source behaviour); ``key="version"``
+    compares (name, size, modification time), so a file republished under the same
+    name is loaded again (Q33). The manifest holds one row per loaded file: its size
+    is checked before it is broadcast; beyond the bound the anti join stays a shuffle.
     """
+    if key == "version":
+        seen = manifest.select(F.col("nome_arquivo").alias("name"), F.col("tamanho").alias("length"),
+                               F.col("modificado").alias("modificationTime")).distinct()
+        return files.join(broadcast_if_small(seen), ["name", "length", "modificationTime"], "left_anti")
     seen = manifest.select(F.col("nome_arquivo").alias(key)).distinct()
     return files.join(broadcast_if_small(seen), key, "left_anti")
 
@@ -82,7 +90,7 @@ def new_rows(rows: DataFrame, manifest: DataFrame, name_col: str = "file_name_on
 def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze_path: str,
                    reader: Callable[[list[str]], DataFrame], tipo: str, run_ts: dt.datetime,
                    partition_by: list[str] | None = None, glob: str | None = None,
-                   full: bool = False) -> LoadResult:
+                   full: bool = False, key: str = "name") -> LoadResult:
     """One incremental bronze load (C1 -> read -> C3/C4 -> B1/B3 -> C5/B8).
 
     ``reader`` receives the new file paths and returns their rows as a DataFrame; the
@@ -91,10 +99,13 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     replaced.
     """
     files = list_files(spark, landing, path_glob_filter=glob)
-    todo = files if full else new_files(files, read_manifest(spark, manifest_path, tipo))
-    paths = [r["path"] for r in todo.select("path").collect()]  # file names only, no data
+    todo = files if full else new_files(files, read_manifest(spark, manifest_path, tipo), key)
+    listed = todo.select("path", "length", "modificationTime").collect()  # file names only, no data
+    paths = [r["path"] for r in listed]
     if not paths:
         return LoadResult(0, 0)
+    versions = spark.createDataFrame([(r["path"], r["length"], r["modificationTime"]) for r in listed],
+                                     "caminho_arquivo string, tamanho long, modificado timestamp")
     batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
     rows = reader(paths)
     rows = rows.select("*", F.col("_metadata.file_path").alias("origin_path_name"),
@@ -112,10 +123,16 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
                              F.col("file_name_only").alias("nome_arquivo"),
                              F.lit(tipo).alias("tipo_operacao"), F.lit(batch).alias("batch_id"),
                              F.lit(run_ts).cast("timestamp").alias("data_processamento"),
-                             F.col("count").cast("long").alias("num_registros")))
-    manifest_rows.write.mode("append").parquet(manifest_path)
-    stats = manifest_rows.agg(F.count(F.lit(1)).alias("f"), F.sum("num_registros").alias("r")).first()
-    return LoadResult(int(stats["f"]), int(stats["r"] or 0))
+                             F.col("count").cast("long").alias("num_registros"))
+                     .join(versions, "caminho_arquivo", "left")
+                     .select(*MANIFEST_SCHEMA.fieldNames()))
+    # Q28: the load's file and row totals are observed on the manifest write itself,
+    # not recomputed by another job.
+    obs = Observation("load")
+    (manifest_rows.observe(obs, F.count(F.lit(1)).alias("f"), F.sum("num_registros").alias("r"))
+        .write.mode("append").parquet(manifest_path))
+    stats = obs.get
+    return LoadResult(int(stats["f"] or 0), int(stats["r"] or 0))
 
 
 def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str) -> DataFrame:

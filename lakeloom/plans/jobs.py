@@ -109,8 +109,8 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datet
             ok = ok.select("*", F.lit(run_ts).cast("timestamp").alias("ingestion_dt"))
             ok.write.mode("overwrite").parquet(lake.bronze(name))
             n = spark.read.parquet(lake.bronze(name)).count()
-            spark.createDataFrame([(path, file_name, "AUX", "b" + run_ts.strftime("%Y%m%d%H%M%S%f"), run_ts, n)],
-                                  inc.MANIFEST_SCHEMA).write.mode("append").parquet(lake.manifest)
+            spark.createDataFrame([(path, file_name, "AUX", "b" + run_ts.strftime("%Y%m%d%H%M%S%f"), run_ts, n,
+                                    None, None)], inc.MANIFEST_SCHEMA).write.mode("append").parquet(lake.manifest)
             return n
 
         _guard(name, load_aux, results)
@@ -183,11 +183,23 @@ def _touched(spark, source, lake, target, fn, keys, run_ts, wm_col="DATA_TRANSFO
     return spark.read.parquet(lake.silver(target)).count() if _exists(spark, lake.silver(target)) else 0
 
 
-def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """L1-L11 (+L22): each silver table from rows after its watermark."""
+def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bool = False) -> DataFrame:
+    """L1-L11 (+L22): each silver table from rows after its watermark.
+    ``dedup=True`` removes identical trade rows (the deduplication the source documents
+    but does not do, Q27)."""
     results: list = []
-    steps = [("exp_tratado", "exp", lambda d: silver_trade_rows(d, ts.EXPORT), ["CO_ANO", "CO_MES"], "append"),
-             ("imp_tratado", "imp", lambda d: silver_trade_rows(d, ts.IMPORT), ["CO_ANO", "CO_MES"], "append"),
+
+    def trade(kind):
+        def fn(d):
+            out = silver_trade_rows(d, kind)
+            if dedup:  # identical business rows, whatever batch brought them: keep the first load
+                return dedup_by_key(out, [c for c in out.columns if c != "DATA_TRANSFORMACAO"],
+                                    ["DATA_TRANSFORMACAO"])
+            return out
+        return fn
+
+    steps = [("exp_tratado", "exp", trade(ts.EXPORT), ["CO_ANO", "CO_MES"], "append"),
+             ("imp_tratado", "imp", trade(ts.IMPORT), ["CO_ANO", "CO_MES"], "append"),
              ("ncm_tratado", "ncm", silver_product_codes, None, "overwrite")]  # product codes: a snapshot
     steps += [(f"{t}_tratado", t, (lambda d, r=r: silver_lookup(d, *r)), None, "overwrite")
               for t, r in TRADE_LOOKUPS.items()]
@@ -276,7 +288,8 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
                  .select(F.col("origin_path_name").alias("caminho_arquivo"),
                          F.col("file_name_only").alias("nome_arquivo"), F.lit(grp).alias("tipo_operacao"),
                          F.lit(batch).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("data_processamento"),
-                         F.col("count").cast("long").alias("num_registros")))
+                         F.col("count").cast("long").alias("num_registros"),
+                         F.lit(None).cast("long").alias("tamanho"), F.lit(None).cast("timestamp").alias("modificado")))
             m.write.mode("append").parquet(lake.manifest)
             return m.agg(F.coalesce(F.sum("num_registros"), F.lit(0))).first()[0]
         _guard(table, load, results)

@@ -182,3 +182,14 @@ def test_registry_rerun_after_partial_batch_is_exact(spark, tmp_path):
     assert spark.read.parquet(lake.silver("estabelecimentos_tratado")).count() == 3
     counts = {r["table_name"]: r["total_registros"] for r in jobs.gold_registry(spark, lake, run2).collect()}
     assert counts["dim_empresa"] == 3 and counts["fato_estabelecimento"] == 3
+
+
+def test_trade_silver_optional_dedup(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    h = "CO_ANO;CO_MES;CO_NCM;CO_UNID;CO_PAIS;SG_UF_NCM;CO_VIA;CO_URF;QT_ESTAT;KG_LIQUIDO;VL_FOB"
+    write(f"{landing}/EXP_2023.csv", h + "\r\n2023;5;1;1;1;SP;1;1;1;1;1\r\n2023;5;1;1;1;SP;1;1;1;1;1\r\n"
+          "2023;6;1;1;1;SP;1;1;1;1;1\r\n")
+    run = dt.datetime(2024, 3, 1, 6)
+    jobs.bronze_trade(spark, landing, lake, run)
+    jobs.silver_trade(spark, lake, run, dedup=True)
+    assert spark.read.parquet(lake.silver("exp_tratado")).count() == 2

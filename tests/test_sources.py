@@ -178,3 +178,23 @@ def test_expected_columns_align_header_driven_reads_only(spark, tmp_path):
     res2 = read_csv_with_quotes(spark, str(tmp_path / "e"), schema=string_schema(["P", "Q", "R"], None),
                                 expected_cols=["A"])
     assert res2.columns == ["P", "Q", "R"]                      # Q2: a given schema wins
+
+
+def test_manifest_version_key_reloads_republished_file(spark, tmp_path):
+    import datetime as dt
+    import time
+    landing, manifest, bronze = (str(tmp_path / p) for p in ("landing", "manifest", "bronze"))
+
+    def reader(paths):
+        return read_csv_with_quotes(spark, paths, multiline=False).ok
+
+    write(f"{landing}/EXP_2022.csv", HEADER + "2022;1;a\r\n")
+    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 1),
+                              key="version") == (1, 1)
+    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 2),
+                              key="version") == (0, 0)
+    time.sleep(1.1)
+    write(f"{landing}/EXP_2022.csv", HEADER + "2022;1;a\r\n2022;2;b\r\n")      # republished, same name
+    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 3)) == (0, 0)
+    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 4),
+                              key="version") == (1, 2)
