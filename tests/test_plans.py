@@ -113,3 +113,22 @@ def test_trade_rows_on_bucketed_tables(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS lk_lineitem")
         spark.sql("DROP TABLE IF EXISTS lk_orders")
+
+
+FILE_QUERIES = {"csv_roundtrip", "csv_corrupt", "csv_sanitized", "csv_rejects", "archive_lines", "file_routing",
+                "incremental_rows", "incremental_files", "run_summary", "watermark_rows", "positional_shards",
+                "stream_rows", "partition_advice", "salt_layout"}
+
+
+def test_no_python_and_pruned_scans_in_table_queries(spark):
+    """Table queries stay JVM-side (no Python evaluation) and never read all lineitem columns."""
+    from lakeloom.plans.index import QUERIES
+    full_lineitem = "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," \
+                    "l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double,l_returnflag:string," \
+                    "l_linestatus:string,l_shipdate:timestamp_ntz>"
+    for name, (fn, _sql) in sorted(QUERIES.items()):
+        if name in FILE_QUERIES:
+            continue
+        p = plan(fn(spark, SF))
+        assert "EvalPython" not in p and "MapInPandas" not in p, name
+        assert full_lineitem not in p, name
