@@ -146,8 +146,16 @@ def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str) -> Dat
     return bronze.join(broadcast_if_small(batches), "batch_id", "left_semi")
 
 
+def _write_observed(df: DataFrame, writer) -> int:
+    """Run ``writer(df_observed)`` and return the rows written, observed during the write
+    itself (Q28: no second job over the target)."""
+    obs = Observation("rows")
+    writer(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return int(obs.get["n"] or 0)
+
+
 def overwrite_touched_partitions(source: DataFrame, batch: DataFrame, keys: list[str],
-                                 transform: Callable[[DataFrame], DataFrame], target_path: str) -> None:
+                                 transform: Callable[[DataFrame], DataFrame], target_path: str) -> int:
     """Recompute and replace only the partitions (``keys`` values) a new batch touches.
 
     The touched key values are a small distinct set; every source row of those
@@ -160,8 +168,8 @@ def overwrite_touched_partitions(source: DataFrame, batch: DataFrame, keys: list
         c = F.col(k).eqNullSafe(F.col(f"__t_{k}"))
         cond = c if cond is None else cond & c
     rows = source.join(touched, cond, "left_semi")
-    (transform(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).parquet(target_path))
+    return _write_observed(transform(rows), lambda d: d.write.mode("overwrite")
+                           .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target_path))
 
 
 def run_summary(manifest: DataFrame) -> DataFrame:
@@ -203,7 +211,7 @@ def process_incremental(spark: SparkSession, source: DataFrame, log_path: str, t
                         transform: Callable[[DataFrame], DataFrame], target_path: str,
                         run_ts: dt.datetime, partition_by: list[str] | None = None,
                         mode: str = "append") -> int:
-    """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns the target's rows.
+    """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns the rows written.
 
     ``mode="append"`` adds the new rows (event tables); ``mode="overwrite"`` replaces
     the target with the transformed new snapshot (code tables); ``mode="rebuild"``
@@ -214,11 +222,15 @@ def process_incremental(spark: SparkSession, source: DataFrame, log_path: str, t
     wm = read_watermark(spark, log_path, table)
     batch = after_watermark(source, wm)
     if mode in ("overwrite", "rebuild") and batch.isEmpty():
-        return spark.read.parquet(target_path).count() if _exists(spark, target_path) else 0
+        return 0
     out = transform(source if mode == "rebuild" else batch)
-    w = out.write.mode("overwrite" if mode == "rebuild" else mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target_path)
+
+    def write(d: DataFrame) -> None:
+        w = d.write.mode("overwrite" if mode == "rebuild" else mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target_path)
+
+    n = _write_observed(out, write)
     register_watermark(spark, log_path, table, batch, run_ts)
-    return spark.read.parquet(target_path).count()
+    return n

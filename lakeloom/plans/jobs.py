@@ -177,10 +177,11 @@ def _touched(spark, source, lake, target, fn, keys, run_ts, wm_col="DATA_TRANSFO
     """Watermarked step that rebuilds only the partitions its new rows touch (idempotent)."""
     staged = fn(source)
     batch = inc.after_watermark(staged, inc.read_watermark(spark, lake.watermarks, target), wm_col)
-    if not batch.isEmpty():
-        inc.overwrite_touched_partitions(staged, batch, keys, lambda d: d, lake.silver(target))
-        inc.register_watermark(spark, lake.watermarks, target, batch, run_ts, wm_col)
-    return spark.read.parquet(lake.silver(target)).count() if _exists(spark, lake.silver(target)) else 0
+    if batch.isEmpty():
+        return 0
+    n = inc.overwrite_touched_partitions(staged, batch, keys, lambda d: d, lake.silver(target))
+    inc.register_watermark(spark, lake.watermarks, target, batch, run_ts, wm_col)
+    return n
 
 
 def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bool = False) -> DataFrame:
