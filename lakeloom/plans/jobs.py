@@ -24,7 +24,7 @@ from ..operators.checks import duplicate_key_report, table_count_report
 from ..operators.dedup import dedup_by_key, distinct_rows
 from ..operators.joins import broadcast_if_small
 from ..operators.layout import salted_layout
-from ..sources.archives import archive_lines
+from ..sources.archives import archive_files, archive_lines
 from ..sources.csv import header_columns, read_csv_with_quotes, string_schema
 from ..sources.files import list_files, route_files
 from . import incremental as inc
@@ -271,6 +271,10 @@ def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.da
     anomes = run_ts.strftime("%Y%m")
     batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
     for grp, (table, cols) in S.REGISTRY_GROUPS.items():
+        if archive_files(spark, landing, group=grp).isEmpty():  # listing only, no archive opened
+            results.append((table, "skipped", 0, "no archives for this group"))
+            continue
+
         def load(grp=grp, table=table, cols=cols):
             ddl = ", ".join(f"`{c}` STRING" for c in cols)
             # only this group's archives are opened; each archive is extracted once per run

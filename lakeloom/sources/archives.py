@@ -59,6 +59,14 @@ def group_of(path_col) -> "F.Column":
     return F.regexp_replace(F.regexp_replace(name, r"\.[^.]*$", ""), "[0-9]", "")
 
 
+def archive_files(spark: SparkSession, path, glob: str = "*.zip", recursive: bool = True,
+                  group: str | None = None) -> DataFrame:
+    """The archives of a folder (one group's only, when given): path and size, no content read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "length"))
+    return files if group is None else files.filter(group_of(F.col("path")) == F.lit(group))
+
+
 def archive_lines(spark: SparkSession, path, encoding: str = "iso-8859-1", glob: str = "*.zip",
                   recursive: bool = True, drop_empty_lines: bool = True,
                   group: str | None = None) -> DataFrame:

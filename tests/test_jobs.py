@@ -193,3 +193,13 @@ def test_trade_silver_optional_dedup(spark, tmp_path):
     jobs.bronze_trade(spark, landing, lake, run)
     jobs.silver_trade(spark, lake, run, dedup=True)
     assert spark.read.parquet(lake.silver("exp_tratado")).count() == 2
+
+
+def test_cli_registry(spark, tmp_path):
+    from lakeloom import cli
+    landing = str(tmp_path / "zips")
+    registry_landing(landing)
+    rc = cli.main(["registry", "--landing", landing, "--lake", str(tmp_path / "lake"),
+                   "--run-ts", "2024-03-01T06:00:00"])
+    assert rc == 0
+    assert spark.read.parquet(str(tmp_path / "lake" / "gold" / "fato_estabelecimento")).count() == 3
