@@ -51,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     for df in steps:
         df.show(100, truncate=False)
         if "status" in df.columns:
-            failed |= df.filter("status = 'error'").count() > 0
+            failed |= df.filter("status <> 'ok'").filter("mensagem <> 'no archives for this group'") \
+                        .filter("mensagem <> 'no bronze table'").count() > 0
     return 1 if failed else 0
 
 

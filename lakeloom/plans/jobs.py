@@ -225,6 +225,11 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
     """M1-M9: dimensions (overwritten), facts (the year/month partitions touched by rows
     after the watermark are rebuilt, Q18/Q19), consolidated view registered, validation
     tables written."""
+    needed = ["exp_tratado", "imp_tratado", "ncm_tratado", "ncm_sh_tratado", "ncm_isic_tratado",
+              "ncm_cgce_tratado", "ncm_fat_agreg_tratado", "pais_tratado", "uf_tratado", "uf_mun_tratado"]
+    missing = [t for t in needed if not _exists(spark, lake.silver(t))]
+    if missing:  # nothing half-built: report what is missing, as the other steps do
+        return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
     rd = lambda t: spark.read.parquet(lake.silver(t))
     exp, imp = rd("exp_tratado"), rd("imp_tratado")
     d_month = ts.dim_month(exp, imp, run_ts=run_ts)

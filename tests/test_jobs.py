@@ -203,3 +203,9 @@ def test_cli_registry(spark, tmp_path):
                    "--run-ts", "2024-03-01T06:00:00"])
     assert rc == 0
     assert spark.read.parquet(str(tmp_path / "lake" / "gold" / "fato_estabelecimento")).count() == 3
+
+
+def test_gold_trade_reports_missing_inputs(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    out = {r["tabela"]: r["status"] for r in jobs.gold_trade(spark, lake, dt.datetime(2024, 3, 1)).collect()}
+    assert out["exp_tratado"] == "skipped" and len(out) == 10
