@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, simhash
 from .common import read
 
 
@@ -14,7 +14,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_rules,)}
+    f.__name__: f for f in (op7_quality_rules, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {}
