@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash
-from .common import read
+from . import quality, simhash, token_store
+from .common import read, shared_path
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    path = shared_path(spark, "token-store")
+    token_store.write_store(read(spark, sf_dir, "documents"), path,
+                            lambda: token_store.WordEncoder(vocabulary), end_id=1)
+    return token_store.read_digests(spark, path)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +29,6 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_rules, op10_simhash_golay)}
+    f.__name__: f for f in (op2_token_store, op7_quality_rules, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {}
