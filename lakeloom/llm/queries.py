@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, simhash, token_store
+from . import quality, sentencepiece_codec, simhash, token_store
 from .common import read, shared_path
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_table(read(spark, sf_dir, "documents"),
+                                            public_tokenizers.path("piece_bpe_32k.model"), verify=True)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     path = shared_path(spark, "token-store")
@@ -29,6 +34,6 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_store, op7_quality_rules, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op7_quality_rules, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {}
