@@ -1,24 +1,54 @@
-"""Corpus pipeline: quality rules, near-duplicate removal, source mixing, tokenising."""
+"""Corpus pipeline: quality rules, near-duplicate removal, source mixing, tokenising.
+
+Each stage calls one operator of ``lakeloom.llm`` on everything that its predecessor kept.
+Rows of a stage's input may hold nulls, repeat each other or be missing altogether; the
+operators' docstrings define what becomes of them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import quality
+from lakeloom.llm import mixing, quality, sentencepiece_codec, simhash
 from lakeloom.llm.common import read, written
 
+#: The mixture is to hold as many tokens as come in, all of the clean domain. Rates of clean
+#: documents then are 1 or a little more, those of toxic and junk documents fall to 0.
+MIX = mixing.Mix({"clean": 1.0, "junk": 0.0, "toxic": 0.0})
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs calibrated on the labelled ones."""
     return quality.quality_filter(docs, read(spark, sf_dir, "labels"))
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at 4 bits of 64, over 4-word shingles."""
+    return simhash.drop_near_duplicates(docs, shingle=4, max_bits=4)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at the rates that make the mixture clean; none is repeated."""
+    return mixing.mix_rows(docs, read(spark, sf_dir, "labels"), mixing.quality_domain(), MIX, max_copies=1)
+
+
+def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every document left."""
+    return sentencepiece_codec.encode_table(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("source_mixing", source_mixing),
+    ("sentencepiece_ids", sentencepiece_ids),
 ]
 
+#: The stages count binomial tails, hash shingles, train a classifier and run Viterbi: not SQL.
+#: tests/llm/test_pipeline.py checks the result against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sentencepiece_codec, simhash, token_store
+from . import mixing, quality, sentencepiece_codec, simhash, token_store
 from .common import read, shared_path
 
 
@@ -24,6 +24,15 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path)
 
 
+#: Shares of the tokens that the mixture shall have.
+TARGET_WEIGHTS = {"clean": 0.90, "junk": 0.08, "toxic": 0.02}
+
+
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), mixing.quality_domain(),
+                          mixing.Mix(TARGET_WEIGHTS))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -34,6 +43,6 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op7_quality_rules, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op7_quality_rules, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {}
