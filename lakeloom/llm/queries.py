@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sentencepiece_codec, simhash, token_store
+from . import licenses, mixing, quality, sentencepiece_codec, simhash, token_store
 from .common import read, shared_path
 
 
@@ -37,12 +37,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
+
+
 def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op7_quality_rules, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {}
