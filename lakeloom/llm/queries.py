@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, sentencepiece_codec, simhash, token_store
+from . import licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk
 from .common import read, shared_path
 
 
@@ -33,6 +34,11 @@ def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           mixing.Mix(TARGET_WEIGHTS))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), scale=1024.0)
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -47,6 +53,18 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
-
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op6_exact_topk, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
+
+ORACLES: dict[str, str] = {
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS vec FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.vec, b.vec)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10
+    """,
+}
