@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk
+from . import html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk
 from .common import read, shared_path
 
 
@@ -34,6 +34,10 @@ def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           mixing.Mix(TARGET_WEIGHTS))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), scale=1024.0)
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -53,7 +57,7 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op6_exact_topk, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op6_exact_topk, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": """
