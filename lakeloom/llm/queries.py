@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk
+from . import html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk, warc
 from .common import read, shared_path
 
 
@@ -51,13 +51,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc.responses_of_pages(read(spark, sf_dir, "pages"), date="2026-01-01T00:00:00Z")
+    return warc.derivatives(responses, "page_id").drop("record")
+
+
 def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op6_exact_topk, op7_quality_rules, op8_license_scan, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": """
