@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk, warc
+from . import chat, html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk, warc
 from .common import read, shared_path
 
 
@@ -38,6 +38,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(read(spark, sf_dir, "pages"))
 
 
+def op5_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_order(read(spark, sf_dir, "conversations"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), scale=1024.0)
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -62,7 +66,7 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op5_chat_threads, op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": """
