@@ -13,7 +13,8 @@ from .operators.dedup import dedup_by_key, distinct_rows, latest_per_key  # noqa
 from .operators.layout import partition_advice, salt_advice  # noqa: F401
 from .session import build_session  # noqa: F401
 from .sources.archives import archive_lines  # noqa: F401
-from .sources.csv import read_csv_with_quotes, write_quarantine  # noqa: F401
+from .sources.csv import read_csv_with_quotes  # noqa: F401
+from .sources.quarantine import store_rejects, stored_rejects  # noqa: F401
 from .sources.sanitize import sanitize_csv  # noqa: F401
 
 __version__ = "0.1.0"

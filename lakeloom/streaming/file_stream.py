@@ -9,14 +9,13 @@ dynamic overwrite), so a retried batch after a lost executor replaces its own ou
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import base_name
 from ..sources.csv import CORRUPT_COL, string_schema
+from ..sources.quarantine import BROKEN_RECORD, fields_set, reject, store_rejects
 
 
 def csv_file_stream(spark: SparkSession, landing: str, columns: list[str], delimiter: str = ";",
@@ -36,16 +35,18 @@ def csv_file_stream(spark: SparkSession, landing: str, columns: list[str], delim
                      base_name(F.col("_metadata.file_path")).alias("file_name_only"))
 
 
-def _batch_writer(bronze_path: str, quarantine_path: str | None, partition_by: list[str]):
+def _batch_writer(bronze_path: str, quarantine_path: str, columns: list[str], partition_by: list[str]):
     def write(batch: DataFrame, batch_id: int) -> None:
+        # parsed once: both outputs read the batch from here
         stamped = batch.withColumn("ingestion_dt", F.current_timestamp()).withColumn(
-            "batch_id", F.lit(int(batch_id)))
+            "batch_id", F.lit(int(batch_id))).persist()
         good = stamped.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
         (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", *partition_by).parquet(bronze_path))
-        if quarantine_path:
-            # all columns: a projection of only the corrupt record is refused on raw files
-            stamped.filter(F.col(CORRUPT_COL).isNotNull()).write.mode("append").json(quarantine_path)
+        broken = stamped.filter(F.col(CORRUPT_COL).isNotNull()).select(*reject(
+            F.col("origin_path_name"), F.col(CORRUPT_COL), F.lit(BROKEN_RECORD), fields_set(columns) - 1))
+        store_rejects(broken, quarantine_path, f"s{int(batch_id):09d}")
+        stamped.unpersist()
     return write
 
 
@@ -53,12 +54,12 @@ def load_available(spark: SparkSession, landing: str, columns: list[str], bronze
                    checkpoint: str, partition_by: list[str] | None = None,
                    quarantine_path: str | None = None, **reader_options) -> None:
     """Run one ``availableNow`` pass: every file not yet seen by this checkpoint is
-    loaded once; a second call with no new files writes nothing."""
+    loaded once; a second call with no new files writes nothing. Rejected rows go to
+    ``quarantine_path`` (by default beside the table), one partition a micro-batch."""
+    quarantine = quarantine_path or f"{bronze_path.rstrip('/')}_rejects"
+    data = [c for c in columns if c not in (partition_by or [])]
     stream = csv_file_stream(spark, landing, columns, **reader_options)
-    q = (stream.writeStream.foreachBatch(_batch_writer(bronze_path, quarantine_path, partition_by or []))
+    q = (stream.writeStream.foreachBatch(_batch_writer(bronze_path, quarantine, data, partition_by or []))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
-
-def run_stamp(ts: dt.datetime | None = None) -> str:
-    return (ts or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d%H%M%S")

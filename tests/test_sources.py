@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.plans import incremental as inc
 from lakeloom.sources.archives import archive_group, archive_lines
-from lakeloom.sources.csv import align_columns, corrupt_records, read_csv_with_quotes, write_quarantine
+from lakeloom.sources.csv import align_columns, corrupt_records, read_csv_with_quotes
+from lakeloom.sources.quarantine import store_rejects, stored_rejects
 from lakeloom.sources.files import list_files, route_files
 from lakeloom.sources.sanitize import sanitize_csv
 
@@ -36,8 +37,14 @@ def test_quoted_reader_routes_corrupt_rows(spark, tmp_path):
     bad = sorted(r[0] for r in corrupt_records(res.rejected).collect())
     assert bad == ["2024;4", "2024;5;x;extra"]
     q = str(tmp_path / "quarantine")
-    assert write_quarantine(res.rejected, q)
-    assert spark.read.json(q).count() == 2
+    store_rejects(res.rejected, q, "b1")
+    store_rejects(res.rejected, q, "b2")
+    assert store_rejects(res.rejected, q, "b2").count() == 2          # a retried load replaces its own part
+    rows = sorted((r["linha"], r["qt_delim"], r["motivo"], r["batch_id"]) for r in stored_rejects(spark, q).collect())
+    assert rows == [("2024;4", 1, "broken_record", b) for b in ("b1", "b2")] + [
+        ("2024;5;x;extra", 2, "broken_record", b) for b in ("b1", "b2")]
+    store_rejects(res.rejected.limit(0), q, "b3")                     # nothing rejected: nothing to read
+    assert stored_rejects(spark, q).count() == 4
 
 
 def test_align_columns(spark):
@@ -148,10 +155,13 @@ def test_sanitizer_partitions_its_input(spark, tmp_path_factory, lines):
 
 def test_binary_lines_provenance_and_small_readers(spark, tmp_path):
     from lakeloom.sources.csv import empty_like, read_table, with_provenance
-    from lakeloom.sources.sanitize import lines_from_binary, read_binary_files
+    from lakeloom.sources.sanitize import commonest_line, read_binary_files, read_lines
     write(str(tmp_path / "b" / "x.csv"), "CO;NO\r\n1;São\r\n\r\n2;Ção\r\n")
-    lines = lines_from_binary(read_binary_files(spark, str(tmp_path / "b")))
+    lines = read_lines(spark, str(tmp_path / "b"))
     assert [r["linha"] for r in lines.collect()] == ["CO;NO", "1;São", "2;Ção"]
+    assert read_binary_files(spark, str(tmp_path / "b")).select("length").first()[0] == 23
+    assert commonest_line(lines) == "1;São"                            # all once: the smallest text
+    assert commonest_line(lines.union(lines.where("linha like '2%'"))) == "2;Ção"
     ok = read_csv_with_quotes(spark, str(tmp_path / "b")).ok
     prov = with_provenance(ok).first()
     assert prov["file_name_only"] == "x.csv" and prov["origin_path_name"].endswith("/b/x.csv")
