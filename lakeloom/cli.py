@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("domain", choices=["trade", "registry"])
     p.add_argument("--landing", required=True)
     p.add_argument("--lake", required=True)
-    p.add_argument("--full", action="store_true", help="full refresh instead of incremental (trade bronze)")
+    p.add_argument("--full", action="store_true", help="full refresh of the bronze tables instead of incremental")
     p.add_argument("--run-ts", default=None, help="ISO timestamp stamped on this run (default: now, UTC)")
     a = p.parse_args(argv)
     run_ts = (dt.datetime.fromisoformat(a.run_ts) if a.run_ts
@@ -45,11 +45,11 @@ def main(argv: list[str] | None = None) -> int:
         steps = [jobs.bronze_trade(spark, a.landing, lake, run_ts, "full" if a.full else "incremental"),
                  jobs.silver_trade(spark, lake, run_ts), jobs.gold_trade(spark, lake, run_ts)]
     else:
-        steps = [jobs.bronze_registry(spark, a.landing, lake, run_ts), jobs.silver_registry(spark, lake, run_ts),
+        steps = [jobs.bronze_registry(spark, a.landing, lake, run_ts, "full" if a.full else "incremental"), jobs.silver_registry(spark, lake, run_ts),
                  jobs.gold_registry(spark, lake, run_ts)]
     failed = False
     for df in steps:
-        df.show(100, truncate=False)
+        df.show(df.count(), truncate=False)
         if "status" in df.columns:
             failed |= df.filter("status <> 'ok'").filter("mensagem <> 'no archives for this group'") \
                         .filter("mensagem <> 'no bronze table'").count() > 0

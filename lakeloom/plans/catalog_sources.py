@@ -23,6 +23,7 @@ from .catalog import register
 RUN_1 = dt.datetime(2024, 1, 31, 6, 0, 0)
 RUN_2 = dt.datetime(2024, 2, 1, 6, 0, 0)
 RUN_3 = dt.datetime(2024, 2, 2, 6, 0, 0)
+RUN_4 = dt.datetime(2024, 2, 3, 6, 0, 0)
 FIRST_BATCH_LAST_DAY = "20240115"
 
 
@@ -119,7 +120,7 @@ def file_routing(spark, sf_dir):
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 
 
-def _incremental_runs(spark, sf_dir):
+def _incremental_runs(spark, sf_dir, refresh=False, log=False):
     """Three bronze runs over a landing folder that grows between them (C1-C7, C13):
     days up to the 15th, then all days, then nothing new. Then a silver step twice
     (C8-C10): the second sees no rows after the watermark."""
@@ -130,9 +131,9 @@ def _incremental_runs(spark, sf_dir):
     silver = os.path.join(root, "silver")
 
     def reader(paths):
-        ok = read_csv_with_quotes(spark, paths, header=True, multiline=False).ok
+        got = read_csv_with_quotes(spark, paths, header=True, multiline=False)
         day = F.regexp_extract(F.col("_metadata.file_path"), r"dia=([0-9]{8})", 1).cast("int")
-        return ok.withColumn("dia", day)
+        return got._replace(ok=got.ok.withColumn("dia", day))
 
     fx.write_event_days(t, landing, None, FIRST_BATCH_LAST_DAY)
     inc.load_new_files(spark, landing, manifest, bronze, reader, "EVT", RUN_1, ["dia"], glob="*.csv")
@@ -147,9 +148,11 @@ def _incremental_runs(spark, sf_dir):
                          F.col("value").try_cast("double").alias("value"), "dia", "ingestion_dt")
 
     for run in (RUN_2, RUN_3):
-        source = inc.committed(spark, spark.read.parquet(bronze), manifest)
+        source = inc.committed(spark, spark.read.parquet(bronze), manifest, "EVT")
         inc.process_incremental(spark, source, wm_log, "silver_events", to_silver, silver, run)
-    return bronze, manifest, silver
+    if refresh:
+        inc.load_new_files(spark, landing, manifest, bronze, reader, "EVT", RUN_4, ["dia"], glob="*.csv", full=True)
+    return (bronze, manifest, silver, wm_log) if log else (bronze, manifest, silver)
 
 
 @register("incremental_rows", """
@@ -159,7 +162,7 @@ FROM events""")
 def incremental_rows(spark, sf_dir):
     """The bronze table after three runs holds every event exactly once."""
     bronze, manifest, _ = _incremental_runs(spark, sf_dir)
-    return inc.committed(spark, spark.read.parquet(bronze), manifest).select(*EVENT_COLUMNS, "dia")
+    return inc.committed(spark, spark.read.parquet(bronze), manifest, "EVT").select(*EVENT_COLUMNS, "dia")
 
 
 @register("incremental_files", """
@@ -173,15 +176,27 @@ def incremental_files(spark, sf_dir):
 
 
 @register("run_summary", """
-SELECT 'EVT' AS tipo_operacao, count(*) AS registros,
-       CAST(count(DISTINCT strftime(ts, '%Y%m%d')) AS BIGINT) AS dias FROM events""")
+SELECT 'EVT' AS tipo_operacao, count(*) AS registros, CAST(0 AS BIGINT) AS rejeitados,
+       TIMESTAMP '2024-02-03 06:00:00' AS ultimo_processamento,
+       true AS arquivos_unicos FROM events""")
 def run_summary(spark, sf_dir):
-    """Per operation type, rows loaded and day folders covered."""
-    _, manifest, _ = _incremental_runs(spark, sf_dir)
-    m = spark.read.parquet(manifest)
-    day = F.regexp_extract("caminho_arquivo", r"dia=([0-9]{8})", 1)
-    return (m.groupBy("tipo_operacao")
-             .agg(F.sum("num_registros").alias("registros"), F.countDistinct(day).alias("dias")))
+    """The summary after incremental runs and one full refresh counts every row once."""
+    _, manifest, _ = _incremental_runs(spark, sf_dir, refresh=True)
+    m = inc.read_manifest(spark, manifest)
+    files = inc.live_files(m).agg((F.count(F.lit(1)) == F.countDistinct("caminho_arquivo")).alias("arquivos_unicos"))
+    return inc.run_summary(m).select(
+        "tipo_operacao", "registros", "rejeitados", F.col("ultimo_processamento").cast("timestamp_ntz")
+        .alias("ultimo_processamento"), F.lit(files.first()[0]).alias("arquivos_unicos"))
+
+
+@register("silver_summary", """
+SELECT 'silver_events' AS tabela, CAST(1 AS BIGINT) AS execucoes, count(*) AS registros,
+       TIMESTAMP '2024-02-01 06:00:00' AS ultima_transformacao FROM events""")
+def silver_summary(spark, sf_dir):
+    """The watermark log after two silver steps, the second of which found nothing new."""
+    _, _, _, log = _incremental_runs(spark, sf_dir, log=True)
+    return inc.watermark_summary(spark.read.schema(inc.WATERMARK_SCHEMA).parquet(log)).select(
+        "tabela", "execucoes", "registros", F.col("ultima_transformacao").cast("timestamp_ntz").alias("ultima_transformacao"))
 
 
 @register("watermark_rows", """

@@ -2,10 +2,15 @@
 
 Bronze: list the landing folder, keep files whose name is not in the manifest (a
 left-anti join, C1), read only those (C2 by pruning), add provenance and load
-columns (C3/C4), append the data (B1/B3), then append one manifest row per file
-(C5). The data is written before the manifest, and each load writes a distinct
-``batch_id`` partition with dynamic overwrite, so a rerun after a crash replaces
-that batch instead of doubling it.
+columns (C3/C4), write the data as the load's own ``batch_id`` partition (B1/B3),
+its rejected rows to the quarantine (B9), then append one manifest row per file (C5),
+files without a good row included. The manifest is the commit log: a batch without
+manifest rows does not exist for readers, and its files are loaded again.
+
+A full refresh (C12) is one more batch whose manifest rows are marked ``full``: from the
+moment they are there, readers see the last full batch of the operation type and what
+came after it. A refresh that dies earlier changes nothing; old batches are removed
+once they can no longer be seen.
 
 Silver/gold: the high-watermark is the max of the batch's own ``ingestion_dt``
 (Q7), looked up and registered under one table name (Q17).
@@ -22,8 +27,9 @@ from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampType)
 
 from ..functions.keys import base_name
-from ..operators.joins import broadcast_if_small
+from ..sources.csv import ReadResult
 from ..sources.files import list_files
+from ..sources.quarantine import store_rejects
 
 MANIFEST_SCHEMA = StructType([
     StructField("caminho_arquivo", StringType(), True),
@@ -32,6 +38,8 @@ MANIFEST_SCHEMA = StructType([
     StructField("batch_id", StringType(), True),
     StructField("data_processamento", TimestampType(), True),
     StructField("num_registros", LongType(), True),
+    StructField("num_rejeitados", LongType(), True),
+    StructField("modo", StringType(), True),
     StructField("tamanho", LongType(), True),
     StructField("modificado", TimestampType(), True),
 ])
@@ -44,9 +52,13 @@ WATERMARK_SCHEMA = StructType([
 ])
 
 
+FULL, INCREMENTAL = "full", "incremental"
+
+
 class LoadResult(NamedTuple):
     new_files: int
     rows: int
+    rejected: int = 0
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -65,85 +77,120 @@ def read_manifest(spark: SparkSession, manifest_path: str, tipo: str | None = No
     return m if tipo is None else m.filter(F.col("tipo_operacao") == F.lit(tipo))
 
 
+def batch_name(run_ts: dt.datetime, tipo: str) -> str:
+    """The batch of one table in one run."""
+    return f"b{run_ts:%Y%m%d%H%M%S%f}-{tipo.lower()}"
+
+
+def live_files(manifest: DataFrame) -> DataFrame:
+    """The manifest rows that count: of each operation type those since its last full refresh,
+    and of a file that was loaded more than once the last."""
+    since = manifest.where(F.col("modo") == FULL).groupBy("tipo_operacao").agg(
+        F.max("data_processamento").alias("desde"))
+    valid = manifest.join(since, "tipo_operacao", "left").where(
+        F.col("desde").isNull() | (F.col("data_processamento") >= F.col("desde"))).drop("desde")
+    last = valid.groupBy("tipo_operacao", "caminho_arquivo").agg(
+        F.max(F.struct("data_processamento", "batch_id")).alias("ultimo"))
+    return valid.join(last, ["tipo_operacao", "caminho_arquivo"]).where(
+        F.struct("data_processamento", "batch_id") == F.col("ultimo")).drop("ultimo").select(
+        *MANIFEST_SCHEMA.fieldNames())
+
+
 def new_files(files: DataFrame, manifest: DataFrame, key: str = "name") -> DataFrame:
     """Files not yet in the manifest.
 
     ``key="name"`` compares bare file names (the source behaviour); ``key="version"``
     compares (name, size, modification time), so a file republished under the same
-    name is loaded again (Q33). The manifest holds one row per loaded file: its size
-    is checked before it is broadcast; beyond the bound the anti join stays a shuffle.
+    name is loaded again and replaces its former rows (Q33). The join strategy is left
+    to adaptive execution, which knows the size of the manifest in bytes.
     """
     if key == "version":
         seen = manifest.select(F.col("nome_arquivo").alias("name"), F.col("tamanho").alias("length"),
                                F.col("modificado").alias("modificationTime")).distinct()
-        return files.join(broadcast_if_small(seen), ["name", "length", "modificationTime"], "left_anti")
-    seen = manifest.select(F.col("nome_arquivo").alias(key)).distinct()
-    return files.join(broadcast_if_small(seen), key, "left_anti")
+        return files.join(seen, ["name", "length", "modificationTime"], "left_anti")
+    return files.join(manifest.select(F.col("nome_arquivo").alias(key)).distinct(), key, "left_anti")
 
 
-def new_rows(rows: DataFrame, manifest: DataFrame, name_col: str = "file_name_only") -> DataFrame:
-    """C2 (row form): rows of files already in the manifest removed by a left-anti join."""
-    seen = manifest.select(F.col("nome_arquivo").alias(name_col)).distinct()
-    return rows.join(broadcast_if_small(seen), name_col, "left_anti")
+def commit_batch(spark: SparkSession, files: DataFrame, good: DataFrame, rejected: DataFrame, manifest_path: str,
+                 tipo: str, batch: str, run_ts: dt.datetime, full: bool) -> LoadResult:
+    """One manifest row for each file of the load, with its good and rejected rows.
+
+    ``files`` has ``caminho_arquivo, nome_arquivo, tamanho, modificado``; ``good`` and
+    ``rejected`` are what was written, with the file in ``origin_path_name`` / ``arquivo``.
+    """
+    counts = (good.select(F.col("origin_path_name").alias("caminho_arquivo"), F.lit(1).alias("g"), F.lit(0).alias("r"))
+              .unionByName(rejected.select(F.col("arquivo").alias("caminho_arquivo"), F.lit(0).alias("g"), F.lit(1).alias("r")))
+              .groupBy("caminho_arquivo").agg(F.sum("g").cast("long").alias("g"), F.sum("r").cast("long").alias("r")))
+    rows = files.join(counts, "caminho_arquivo", "left").select(
+        "caminho_arquivo", "nome_arquivo", F.lit(tipo).alias("tipo_operacao"), F.lit(batch).alias("batch_id"),
+        F.lit(run_ts).cast("timestamp").alias("data_processamento"),
+        F.coalesce("g", F.lit(0)).cast("long").alias("num_registros"),
+        F.coalesce("r", F.lit(0)).cast("long").alias("num_rejeitados"),
+        F.lit(FULL if full else INCREMENTAL).alias("modo"), "tamanho", "modificado")
+    # Q28: the load's totals are observed on the manifest write itself, not recomputed by another job.
+    obs = Observation("load")
+    (rows.observe(obs, F.count(F.lit(1)).alias("f"), F.sum("num_registros").alias("n"), F.sum("num_rejeitados").alias("r"))
+         .coalesce(1).write.mode("append").parquet(manifest_path))
+    stats = obs.get
+    return LoadResult(int(stats["f"] or 0), int(stats["n"] or 0), int(stats["r"] or 0))
 
 
 def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze_path: str,
-                   reader: Callable[[list[str]], DataFrame], tipo: str, run_ts: dt.datetime,
+                   reader: Callable[[list[str]], ReadResult], tipo: str, run_ts: dt.datetime,
                    partition_by: list[str] | None = None, glob: str | None = None,
-                   full: bool = False, key: str = "name") -> LoadResult:
-    """One incremental bronze load (C1 -> read -> C3/C4 -> B1/B3 -> C5/B8).
+                   full: bool = False, key: str = "name", quarantine_path: str | None = None) -> LoadResult:
+    """One bronze load (C1 -> read -> C3/C4 -> B1/B3 and B9 -> C5/B8).
 
-    ``reader`` receives the new file paths and returns their rows as a DataFrame; the
-    batch is identified by ``run_ts`` and written as its own ``batch_id`` partition.
-    ``full=True`` is the full-refresh mode (C12): every file is read and the table is
-    replaced.
+    ``reader`` receives the new file paths and returns good and rejected rows (see
+    ``read_csv_with_quotes``); rejects go to ``quarantine_path``, by default beside the
+    table. ``full=True`` reads every file and makes the batch the table's only one (C12).
     """
     files = list_files(spark, landing, path_glob_filter=glob)
-    todo = files if full else new_files(files, read_manifest(spark, manifest_path, tipo), key)
-    listed = todo.select("path", "length", "modificationTime").collect()  # file names only, no data
+    todo = files if full else new_files(files, live_files(read_manifest(spark, manifest_path, tipo)), key)
+    listed = todo.select("path", "name", "length", "modificationTime").collect()  # file names only, no data
     paths = [r["path"] for r in listed]
     if not paths:
         return LoadResult(0, 0)
-    versions = spark.createDataFrame([(r["path"], r["length"], r["modificationTime"]) for r in listed],
-                                     "caminho_arquivo string, tamanho long, modificado timestamp")
-    batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
-    rows = reader(paths)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("origin_path_name"),
-                       base_name(F.col("_metadata.file_path")).alias("file_name_only"),
-                       F.lit(run_ts).cast("timestamp").alias("ingestion_dt"),
-                       F.lit(batch).alias("batch_id"),
-                       F.lit(tipo).alias("tipo_operacao"))
-    parts = ["batch_id", *(partition_by or [])]
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic")
-         .partitionBy(*parts).parquet(bronze_path))
-    # Manifest from the written batch (not a second read of the sources): one row per file.
-    written = spark.read.parquet(bronze_path).filter(F.col("batch_id") == F.lit(batch))
-    manifest_rows = (written.groupBy("origin_path_name", "file_name_only").count()
-                     .select(F.col("origin_path_name").alias("caminho_arquivo"),
-                             F.col("file_name_only").alias("nome_arquivo"),
-                             F.lit(tipo).alias("tipo_operacao"), F.lit(batch).alias("batch_id"),
-                             F.lit(run_ts).cast("timestamp").alias("data_processamento"),
-                             F.col("count").cast("long").alias("num_registros"))
-                     .join(versions, "caminho_arquivo", "left")
-                     .select(*MANIFEST_SCHEMA.fieldNames()))
-    # Q28: the load's file and row totals are observed on the manifest write itself,
-    # not recomputed by another job.
-    obs = Observation("load")
-    (manifest_rows.observe(obs, F.count(F.lit(1)).alias("f"), F.sum("num_registros").alias("r"))
-        .write.mode("append").parquet(manifest_path))
-    stats = obs.get
-    return LoadResult(int(stats["f"] or 0), int(stats["r"] or 0))
+    versions = spark.createDataFrame(
+        [tuple(r) for r in listed],
+        "caminho_arquivo string, nome_arquivo string, tamanho long, modificado timestamp")
+    batch = batch_name(run_ts, tipo)
+    got = reader(paths)
+    rows = got.ok.select("*", F.col("_metadata.file_path").alias("origin_path_name"),
+                         base_name(F.col("_metadata.file_path")).alias("file_name_only"),
+                         F.lit(run_ts).cast("timestamp").alias("ingestion_dt"),
+                         F.lit(batch).alias("batch_id"), F.lit(tipo).alias("tipo_operacao"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", *(partition_by or [])).parquet(bronze_path))
+    rejects = store_rejects(got.rejected, quarantine_path or f"{bronze_path.rstrip('/')}_rejects", batch)
+    written = spark.read.schema(rows.schema).parquet(bronze_path).filter(F.col("batch_id") == F.lit(batch))
+    result = commit_batch(spark, versions, written, rejects, manifest_path, tipo, batch, run_ts, full)
+    if full:
+        drop_batches(spark, bronze_path, keep=batch)
+    return result
+
+
+def drop_batches(spark: SparkSession, bronze_path: str, keep: str, above: str = "") -> None:
+    """Remove the folders of batches that a committed full refresh has replaced."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(bronze_path + above)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and name != f"batch_id={keep}":
+            fs.delete(st.getPath(), True)
 
 
-def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str) -> DataFrame:
-    """Bronze rows of committed batches only: the manifest is the commit log.
+def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str, tipo: str) -> DataFrame:
+    """Bronze rows of one operation type that readers may see: the manifest is the commit log.
 
-    A load writes its batch partition first and its manifest rows last, so a batch
-    left by a crashed run has no manifest row; it stays invisible here, and its files,
-    still absent from the manifest, are loaded again by the next run.
+    A row counts if its batch is the one that the manifest names for its file. A batch left
+    by a crashed run, one that a full refresh replaced and the former rows of a republished
+    file have no such entry.
     """
-    batches = read_manifest(spark, manifest_path).select("batch_id").distinct()
-    return bronze.join(broadcast_if_small(batches), "batch_id", "left_semi")
+    live = live_files(read_manifest(spark, manifest_path, tipo)).select(
+        "batch_id", F.col("caminho_arquivo").alias("origin_path_name"))
+    return bronze.join(live, ["batch_id", "origin_path_name"], "left_semi").select(*bronze.columns)
 
 
 def _write_observed(df: DataFrame, writer) -> int:
@@ -162,7 +209,7 @@ def overwrite_touched_partitions(source: DataFrame, batch: DataFrame, keys: list
     partitions is transformed again and written with dynamic partition overwrite, so
     running the step twice (after a failure) gives the same table, never duplicates.
     """
-    touched = broadcast_if_small(batch.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct())
+    touched = batch.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
     cond = None
     for k in keys:  # NULL-safe: rows with a NULL partition value are rebuilt too
         c = F.col(k).eqNullSafe(F.col(f"__t_{k}"))
@@ -173,10 +220,10 @@ def overwrite_touched_partitions(source: DataFrame, batch: DataFrame, keys: list
 
 
 def run_summary(manifest: DataFrame) -> DataFrame:
-    """Files, rows and last load per operation type, ordered."""
-    return (manifest.groupBy("tipo_operacao")
+    """Files, rows, rejected rows and last load per operation type, ordered."""
+    return (live_files(manifest).groupBy("tipo_operacao")
             .agg(F.count(F.lit(1)).alias("arquivos"), F.sum("num_registros").alias("registros"),
-                 F.max("data_processamento").alias("ultimo_processamento"))
+                 F.sum("num_rejeitados").alias("rejeitados"), F.max("data_processamento").alias("ultimo_processamento"))
             .orderBy("tipo_operacao"))
 
 
@@ -207,29 +254,44 @@ def register_watermark(spark: SparkSession, log_path: str, table: str, batch: Da
     row.filter(F.col("data_ultima_transformacao").isNotNull()).write.mode("append").parquet(log_path)
 
 
+def watermark_summary(log: DataFrame) -> DataFrame:
+    """Runs, rows and last transformation per table of the watermark log, ordered."""
+    return (log.groupBy("tabela")
+            .agg(F.count(F.lit(1)).alias("execucoes"), F.sum("total_registros").alias("registros"),
+                 F.max("data_ultima_transformacao").alias("ultima_transformacao"),
+                 F.max("data_processamento").alias("ultimo_processamento"))
+            .orderBy("tabela"))
+
+
 def process_incremental(spark: SparkSession, source: DataFrame, log_path: str, table: str,
                         transform: Callable[[DataFrame], DataFrame], target_path: str,
                         run_ts: dt.datetime, partition_by: list[str] | None = None,
                         mode: str = "append") -> int:
     """Silver/gold step: C8 -> C9 -> transform -> B1 -> C10. Returns the rows written.
 
-    ``mode="append"`` adds the new rows (event tables); ``mode="overwrite"`` replaces
-    the target with the transformed new snapshot (code tables); ``mode="rebuild"``
-    replaces it with the transform of the whole source (tables deduplicated across
-    batches, idempotent on rerun). The last two write only when the source holds rows
-    after the watermark, so an idle run never empties a table.
+    ``mode="append"`` adds the new rows (event tables) as a partition named by the
+    watermark that they start from (column ``desde``): a step that died between its data
+    and its watermark starts from the same one again and replaces that partition.
+    ``mode="overwrite"`` replaces the target with the transformed new snapshot (code
+    tables); ``mode="rebuild"`` replaces it with the transform of the whole source (tables
+    deduplicated across batches). The last two replace the whole table, partitions
+    that no longer occur included, and only when the source holds rows after the
+    watermark, so an idle run never empties a table.
     """
     wm = read_watermark(spark, log_path, table)
     batch = after_watermark(source, wm)
-    if mode in ("overwrite", "rebuild") and batch.isEmpty():
+    if batch.isEmpty():
         return 0
     out = transform(source if mode == "rebuild" else batch)
+    keys = list(partition_by or [])
+    if mode == "append":
+        start = "inicio" if wm is None else f"{wm:%Y%m%d%H%M%S%f}"
+        out, keys, overwrite = out.withColumn("desde", F.lit("w" + start)), ["desde", *keys], "dynamic"
+    else:
+        overwrite = "static"
 
     def write(d: DataFrame) -> None:
-        w = d.write.mode("overwrite" if mode == "rebuild" else mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target_path)
+        d.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(*keys).parquet(target_path)
 
     n = _write_observed(out, write)
     register_watermark(spark, log_path, table, batch, run_ts)

@@ -1,9 +1,10 @@
 """Medallion jobs: bronze (K1-K10), silver (L1-L22) and gold (M1-M16) as functions.
 
 Each job reads and writes parquet tables under one lake root and returns a small
-status DataFrame (one row per table: status, rows, message), so one failing table
-does not stop the others (C11). ``run_ts`` stamps every load; ``mode="full"`` is
-the full-refresh variant (C12).
+status DataFrame (one row per table: status, rows, rejected rows, message), so one
+failing table does not stop the others (C11). ``run_ts`` stamps every load;
+``mode="full"`` is the full-refresh variant (C12). Rejected rows of every bronze load
+go to ``quarantine/<table>`` (B9): accepted and rejected rows together are the rows read.
 """
 
 from __future__ import annotations
@@ -21,16 +22,18 @@ from ..functions import cleaning as cl
 from ..operators import registry_star as rs
 from ..operators import trade_star as ts
 from ..operators.checks import duplicate_key_report, table_count_report
-from ..operators.dedup import dedup_by_key, distinct_rows
-from ..operators.joins import broadcast_if_small
+from ..operators.dedup import dedup_by_key, latest_per_key
 from ..operators.layout import salted_layout
-from ..sources.archives import archive_files, archive_lines
-from ..sources.csv import header_columns, read_csv_with_quotes, string_schema
+from ..session import scratch_path
+from ..sources.archives import archive_files, lines_of_archives
+from ..sources.csv import CORRUPT_COL, header_columns, read_csv_with_quotes, string_schema
 from ..sources.files import list_files, route_files
+from ..sources.quarantine import BROKEN_RECORD, fields_set, reject, store_rejects
 from . import incremental as inc
 
 STATUS_SCHEMA = StructType([StructField("tabela", StringType()), StructField("status", StringType()),
-                            StructField("registros", LongType()), StructField("mensagem", StringType())])
+                            StructField("registros", LongType()), StructField("rejeitados", LongType()),
+                            StructField("mensagem", StringType())])
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,9 @@ class Lake:
     def bronze(self, t: str) -> str:
         return os.path.join(self.root, "bronze", t)
 
+    def quarantine(self, t: str) -> str:
+        return os.path.join(self.root, "quarantine", t)
+
     def silver(self, t: str) -> str:
         return os.path.join(self.root, "silver", t)
 
@@ -57,16 +63,18 @@ class Lake:
 
 
 def _status(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, STATUS_SCHEMA)
+    """Rows (table, status, rows, message) or (table, status, rows, rejected, message)."""
+    return spark.createDataFrame([r if len(r) == 5 else (*r[:3], 0, r[3]) for r in rows], STATUS_SCHEMA)
 
 
 def _guard(name: str, fn, results: list):
     """C11: run one table's step, record the outcome, never raise."""
     try:
         n = fn()
-        results.append((name, "ok", int(n or 0), None))
+        rows, rejected = (n.rows, n.rejected) if isinstance(n, inc.LoadResult) else (int(n or 0), 0)
+        results.append((name, "ok", rows, rejected, None))
     except Exception as e:  # noqa: BLE001
-        results.append((name, "error", 0, f"{type(e).__name__}: {str(e)[:300]}"))
+        results.append((name, "error", 0, 0, f"{type(e).__name__}: {e}"))
 
 
 def _drop_provenance(df: DataFrame) -> DataFrame:
@@ -75,45 +83,50 @@ def _drop_provenance(df: DataFrame) -> DataFrame:
 
 # ================================================================== trade
 
+TRADE_LOADS = [  # table, operation type, file pattern, columns, partitions
+    ("exp", "EXP", "EXP_[0-9][0-9][0-9][0-9].csv", S.EXPORT_COLUMNS, ["ano", "mes"]),
+    ("imp", "IMP", "IMP_[0-9][0-9][0-9][0-9].csv", S.IMPORT_COLUMNS, ["ano", "mes"]),
+    ("ncm", "NCM", "NCM.csv", S.PRODUCT_COLUMNS, ["dt_ingestao"]),
+]
+
+
+def trade_reader(spark: SparkSession, columns: list[str], run_ts: dt.datetime, multiline: bool = False):
+    """Reader of one trade file kind: fixed string columns, partition columns, rejects apart.
+    ``multiline`` is for sources whose quoted fields hold line breaks; it makes a file one task."""
+    def reader(paths):
+        got = read_csv_with_quotes(spark, paths, schema=string_schema(columns), multiline=multiline)
+        extra = [F.lit(run_ts.date()).alias("dt_ingestao")]
+        if "CO_ANO" in columns:
+            extra += [F.col("CO_ANO").try_cast("int").alias("ano"), F.col("CO_MES").try_cast("int").alias("mes")]
+        return got._replace(ok=got.ok.select("*", *extra))
+    return reader
+
+
+def aux_type(table: str) -> str:
+    """The operation type of an auxiliary table: each is a commit log of its own."""
+    return f"AUX_{table.upper()}"
+
+
 def bronze_trade(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datetime,
-                 mode: str = "incremental") -> DataFrame:
+                 mode: str = "incremental", key: str = "name", multiline: bool = False) -> DataFrame:
     """K1-K4 (+K10): exports, imports and product codes by fixed schema, partitioned by
     year/month (product codes by load date, Q14); every other CSV as an auxiliary table
-    whose columns come from its header."""
+    whose columns come from its header. ``key="version"`` reloads files that were
+    republished under their old name (yearly files that grow)."""
     full = mode == "full"
     results: list = []
-    specs = [("exp", "EXP", "EXP_[0-9][0-9][0-9][0-9].csv", S.EXPORT_COLUMNS, ["ano", "mes"]),
-             ("imp", "IMP", "IMP_[0-9][0-9][0-9][0-9].csv", S.IMPORT_COLUMNS, ["ano", "mes"]),
-             ("ncm", "NCM", "NCM.csv", S.PRODUCT_COLUMNS, ["dt_ingestao"])]
-    for table, tipo, glob, cols, parts in specs:
-        def reader(paths, cols=cols):
-            ok = read_csv_with_quotes(spark, paths, schema=string_schema(cols), multiline=True).ok
-            extra = [F.lit(run_ts.date()).alias("dt_ingestao")]
-            if "CO_ANO" in cols:
-                extra += [F.col("CO_ANO").try_cast("int").alias("ano"), F.col("CO_MES").try_cast("int").alias("mes")]
-            return ok.select("*", *extra)
-
-        _guard(table, lambda: inc.load_new_files(spark, landing, lake.manifest, lake.bronze(table), reader,
-                                                 tipo, run_ts, parts, glob=glob, full=full).rows, results)
+    for table, tipo, glob, cols, parts in TRADE_LOADS:
+        _guard(table, lambda: inc.load_new_files(
+            spark, landing, lake.manifest, lake.bronze(table), trade_reader(spark, cols, run_ts, multiline), tipo, run_ts,
+            parts, glob=glob, full=full, key=key, quarantine_path=lake.quarantine(table)), results)
     routed = route_files(list_files(spark, landing)).filter(F.col("kind") == "AUX")
-    if not full:
-        routed = inc.new_files(routed, inc.read_manifest(spark, lake.manifest, "AUX"))
-    aux = routed.select("path", "name", "table_name").collect()  # a handful of auxiliary file names
-    for row in aux:
-        name = row["table_name"]
-
-        def load_aux(path=row["path"], name=name, file_name=row["name"]):
-            # A snapshot table: a new file replaces the table, then the manifest records it.
-            cols = header_columns(spark, path)
-            ok = read_csv_with_quotes(spark, path, schema=string_schema(cols)).ok
-            ok = ok.select("*", F.lit(run_ts).cast("timestamp").alias("ingestion_dt"))
-            ok.write.mode("overwrite").parquet(lake.bronze(name))
-            n = spark.read.parquet(lake.bronze(name)).count()
-            spark.createDataFrame([(path, file_name, "AUX", "b" + run_ts.strftime("%Y%m%d%H%M%S%f"), run_ts, n,
-                                    None, None)], inc.MANIFEST_SCHEMA).write.mode("append").parquet(lake.manifest)
-            return n
-
-        _guard(name, load_aux, results)
+    for row in routed.select("path", "name", "table_name").collect():  # a handful of auxiliary file names
+        def header_reader(paths, path=row["path"]):
+            return read_csv_with_quotes(spark, paths, schema=string_schema(header_columns(spark, path)), multiline=multiline)
+
+        _guard(row["table_name"], lambda row=row, reader=header_reader: inc.load_new_files(
+            spark, landing, lake.manifest, lake.bronze(row["table_name"]), reader, aux_type(row["table_name"]), run_ts,
+            glob=row["name"], full=full, key=key, quarantine_path=lake.quarantine(row["table_name"])), results)
     return _status(spark, results)
 
 
@@ -121,7 +134,7 @@ def silver_trade_rows(bronze: DataFrame, kind: str) -> DataFrame:
     """Typed trade rows. Product code padded to 8 like the dimension (Q35),
     country as int like the dimension (Q36), quantities as bigint (Q9)."""
     cols = [F.col("CO_ANO").try_cast("int").alias("CO_ANO"), F.col("CO_MES").try_cast("int").alias("CO_MES"),
-            cl.zero_pad(F.trim("CO_NCM"), 8).alias("CO_NCM"), F.col("CO_UNID").alias("CO_UNID"),
+            cl.zero_pad(F.trim("CO_NCM"), 8, truncate=False).alias("CO_NCM"), F.col("CO_UNID").alias("CO_UNID"),
             F.col("CO_PAIS").try_cast("int").alias("CO_PAIS"), F.col("SG_UF_NCM").alias("SG_UF_NCM"),
             F.col("CO_VIA").alias("CO_VIA"), F.col("CO_URF").alias("CO_URF"),
             F.col("QT_ESTAT").try_cast("bigint").alias("QT_ESTAT"),
@@ -138,7 +151,8 @@ def silver_product_codes(bronze: DataFrame) -> DataFrame:
     """L1: blanks to NULL (F5), NCM padded to 8, SH6 to 6, foreign-language names and
     unused codes dropped, provenance dropped (Q30)."""
     df = cl.whitespace_blanks_to_null_df(_drop_provenance(bronze))
-    df = cl.zero_pad_df(df, {"CO_NCM": 8, "CO_SH6": 6, "CO_ISIC_CLASSE": 4, "CO_CGCE_N3": 3, "CO_FAT_AGREG": 2})
+    df = cl.zero_pad_df(df, {"CO_NCM": 8, "CO_SH6": 6, "CO_ISIC_CLASSE": 4, "CO_CGCE_N3": 3, "CO_FAT_AGREG": 2},
+                        truncate=False)
     return df.drop("NO_NCM_ESP", "NO_NCM_ING", "CO_PPE", "CO_PPI", "CO_SIIT")
 
 
@@ -147,7 +161,7 @@ def silver_lookup(bronze: DataFrame, pads: dict[str, int] | None = None, ints: l
     """Blanks to NULL, codes padded, integer codes typed, unused columns dropped."""
     df = cl.whitespace_blanks_to_null_df(_drop_provenance(bronze))
     if pads:
-        df = cl.zero_pad_df(df, pads)
+        df = cl.zero_pad_df(df, pads, truncate=False)
     for c in ints:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).try_cast("int"))
@@ -175,10 +189,11 @@ def _exists(spark, path):
 
 def _touched(spark, source, lake, target, fn, keys, run_ts, wm_col="DATA_TRANSFORMACAO"):
     """Watermarked step that rebuilds only the partitions its new rows touch (idempotent)."""
-    staged = fn(source)
-    batch = inc.after_watermark(staged, inc.read_watermark(spark, lake.watermarks, target), wm_col)
-    if batch.isEmpty():
+    wm = inc.read_watermark(spark, lake.watermarks, target)
+    if inc.after_watermark(source, wm).isEmpty():  # judged on the bronze rows, before any transformation
         return 0
+    staged = fn(source)
+    batch = inc.after_watermark(staged, wm, wm_col)
     n = inc.overwrite_touched_partitions(staged, batch, keys, lambda d: d, lake.silver(target))
     inc.register_watermark(spark, lake.watermarks, target, batch, run_ts, wm_col)
     return n
@@ -199,19 +214,17 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bo
             return out
         return fn
 
-    steps = [("exp_tratado", "exp", trade(ts.EXPORT), ["CO_ANO", "CO_MES"], "append"),
-             ("imp_tratado", "imp", trade(ts.IMPORT), ["CO_ANO", "CO_MES"], "append"),
-             ("ncm_tratado", "ncm", silver_product_codes, None, "overwrite")]  # product codes: a snapshot
-    steps += [(f"{t}_tratado", t, (lambda d, r=r: silver_lookup(d, *r)), None, "overwrite")
+    steps = [("exp_tratado", "exp", "EXP", trade(ts.EXPORT), ["CO_ANO", "CO_MES"], "append"),
+             ("imp_tratado", "imp", "IMP", trade(ts.IMPORT), ["CO_ANO", "CO_MES"], "append"),
+             ("ncm_tratado", "ncm", "NCM", silver_product_codes, None, "overwrite")]  # product codes: a snapshot
+    steps += [(f"{t}_tratado", t, aux_type(t), (lambda d, r=r: silver_lookup(d, *r)), None, "overwrite")
               for t, r in TRADE_LOOKUPS.items()]
-    for target, source, fn, parts, mode in steps:
+    for target, source, tipo, fn, parts, mode in steps:
         if not _exists(spark, lake.bronze(source)):
             results.append((target, "skipped", 0, "no bronze table"))
             continue
-        def step(source=source, target=target, fn=fn, parts=parts, mode=mode):
-            bronze = spark.read.parquet(lake.bronze(source))
-            if "batch_id" in bronze.columns:
-                bronze = inc.committed(spark, bronze, lake.manifest)
+        def step(source=source, target=target, tipo=tipo, fn=fn, parts=parts, mode=mode):
+            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest, tipo)
             if parts:  # event tables: replace the year/month partitions the new rows touch
                 return _touched(spark, bronze, lake, target, fn, parts, run_ts)
             return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
@@ -266,104 +279,136 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
 
 # ================================================================== registry
 
-def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datetime) -> DataFrame:
+def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datetime,
+                    mode: str = "incremental") -> DataFrame:
     """K5-K9: every archive's members parsed quote-aware (``from_csv``) into the table of
     its group, keyed by (archive, member) (Q32), partitioned by load month ``anomes``
-    (Q15: ``yyyyMM``). Members already in the manifest are skipped (C1)."""
-    manifest = inc.read_manifest(spark, lake.manifest)
-    seen = manifest.select(F.col("caminho_arquivo").alias("member_key")).distinct()
+    (Q15: ``yyyyMM``). Rows of the wrong width go to the quarantine (Q1). Archives in the
+    manifest are skipped before they are opened (C1); ``mode="full"`` reads all (C12)."""
+    full = mode == "full"
     results: list = []
-    anomes = run_ts.strftime("%Y%m")
-    batch = "b" + run_ts.strftime("%Y%m%d%H%M%S%f")
     for grp, (table, cols) in S.REGISTRY_GROUPS.items():
-        if archive_files(spark, landing, group=grp).isEmpty():  # listing only, no archive opened
+        archives = archive_files(spark, landing, group=grp)  # listing only, no archive opened
+        if archives.isEmpty():
             results.append((table, "skipped", 0, "no archives for this group"))
             continue
-
-        def load(grp=grp, table=table, cols=cols):
-            ddl = ", ".join(f"`{c}` STRING" for c in cols)
-            # only this group's archives are opened; each archive is extracted once per run
-            part = archive_lines(spark, landing, group=grp)
-            part = part.withColumn("member_key", F.concat_ws("!", "archive", "member"))
-            part = part.join(broadcast_if_small(seen), "member_key", "left_anti")
-            parsed = part.select(F.from_csv("line", ddl, {"sep": ";", "quote": '"', "escape": '"'}).alias("r"),
-                                 "member_key", F.col("member").alias("file_name_only"))
-            out = parsed.select("r.*", F.col("member_key").alias("origin_path_name"), "file_name_only",
-                                F.lit(run_ts).cast("timestamp").alias("ingestion_dt"), F.lit(anomes).alias("anomes"),
-                                F.lit(batch).alias("batch_id"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("anomes", "batch_id").parquet(lake.bronze(table)))
-            written = spark.read.parquet(lake.bronze(table)).filter(F.col("batch_id") == F.lit(batch))
-            m = (written.groupBy("origin_path_name", "file_name_only").count()
-                 .select(F.col("origin_path_name").alias("caminho_arquivo"),
-                         F.col("file_name_only").alias("nome_arquivo"), F.lit(grp).alias("tipo_operacao"),
-                         F.lit(batch).alias("batch_id"), F.lit(run_ts).cast("timestamp").alias("data_processamento"),
-                         F.col("count").cast("long").alias("num_registros"),
-                         F.lit(None).cast("long").alias("tamanho"), F.lit(None).cast("timestamp").alias("modificado")))
-            m.write.mode("append").parquet(lake.manifest)
-            return m.agg(F.coalesce(F.sum("num_registros"), F.lit(0))).first()[0]
-        _guard(table, load, results)
+        if not full:
+            known = inc.live_files(inc.read_manifest(spark, lake.manifest, grp)).select(
+                F.substring_index("caminho_arquivo", "!", 1).alias("path")).distinct()
+            archives = archives.join(known, "path", "left_anti")
+        _guard(table, lambda: _load_archives(spark, archives, lake, grp, table, cols, run_ts, full), results)
     return _status(spark, results)
 
 
+def _load_archives(spark: SparkSession, archives: DataFrame, lake: Lake, grp: str, table: str, cols: list[str],
+                   run_ts: dt.datetime, full: bool) -> inc.LoadResult:
+    if archives.isEmpty():
+        return inc.LoadResult(0, 0)
+    ddl = ", ".join(f"`{c}` STRING" for c in [*cols, CORRUPT_COL])
+    batch = inc.batch_name(run_ts, grp)
+    options = {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
+    lines = lines_of_archives(spark, archives.select("path"), quoted=True)
+    parsed = lines.select(F.from_csv("line", ddl, options).alias("r"), F.concat_ws("!", "archive", "member").alias("file"),
+                          F.col("member").alias("name"))
+    # every line lands once, good or not; both outputs are read from there, so archives are opened once
+    staged_path = scratch_path(spark, f"archives-{table}")
+    parsed.write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.schema(parsed.schema).parquet(staged_path)
+    good = staged.where(F.col(f"r.{CORRUPT_COL}").isNull()).select(
+        *[F.col(f"r.{c}").alias(c) for c in cols], F.col("file").alias("origin_path_name"), F.col("name").alias("file_name_only"),
+        F.lit(run_ts).cast("timestamp").alias("ingestion_dt"), F.lit(run_ts.strftime("%Y%m")).alias("anomes"),
+        F.lit(batch).alias("batch_id"))
+    bad = staged.where(F.col(f"r.{CORRUPT_COL}").isNotNull()).select(F.col("file"), "r.*").select(*reject(
+        F.col("file"), F.col(CORRUPT_COL), F.lit(BROKEN_RECORD), fields_set(cols) - 1))
+    (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "anomes").parquet(lake.bronze(table)))
+    rejects = store_rejects(bad, lake.quarantine(table), batch)
+    files = staged.select(F.col("file").alias("caminho_arquivo"), F.col("name").alias("nome_arquivo"),
+                          F.lit(None).cast("long").alias("tamanho"), F.lit(None).cast("timestamp").alias("modificado")).distinct()
+    written = spark.read.schema(good.schema).parquet(lake.bronze(table)).where(F.col("batch_id") == batch)
+    result = inc.commit_batch(spark, files, written, rejects, lake.manifest, grp, batch, run_ts, full)
+    if full:
+        inc.drop_batches(spark, lake.bronze(table), keep=batch)
+    return result
+
+
+def _tidy_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Codes keep their characters: ends stripped, blanks to NULL."""
+    return cl.blanks_to_null_df(cl.strip_df(df, columns), columns)
+
+
+def _newest(df: DataFrame, keys: list[str], *then: str) -> DataFrame:
+    """The row of the last load per business key (I1 as intended: load time, then ``then``)."""
+    return latest_per_key(df, keys, "ingestion_dt", list(then))
+
+
 def silver_companies(b: DataFrame) -> DataFrame:
-    """Key rules (E1, E2), text cleaning (F1, F2, F4) on text columns only (Q16),
-    capital parsed as decimal (F13), key padded to 8, full-row dedup (I10)."""
-    df = _drop_provenance(b).filter(cl.not_null_or_blank("CNPJ_BASICO") & cl.not_sentinel_key("CNPJ_BASICO"))
-    df = cl.clean_text_df(df, ["RAZAO_SOCIAL_NOME_EMPRESARIAL"])
+    """Key rules (E1, E2), newest row per company, text cleaning (F1, F2, F4) on text
+    columns only (Q16), codes stripped, capital parsed as decimal (F13), keys padded (never
+    cut), placeholders for missing size and federative entity (F7)."""
+    codes = ["CNPJ_BASICO", "NATUREZA_JURIDICA", "QUALIFICACAO_DO_RESPONSAVEL", "CAPITAL_SOCIAL_DA_EMPRESA",
+             "PORTE_DA_EMPRESA", "ENTE_FEDERATIVO_RESPONSAVEL"]
+    df = _tidy_codes(b, codes).filter(cl.not_null_or_blank("CNPJ_BASICO") & cl.not_sentinel_key("CNPJ_BASICO"))
+    df = cl.zero_pad_df(df, {"CNPJ_BASICO": 8, "NATUREZA_JURIDICA": 4, "QUALIFICACAO_DO_RESPONSAVEL": 2}, truncate=False)
+    df = cl.clean_text_df(_drop_provenance(_newest(df, ["CNPJ_BASICO"])), ["RAZAO_SOCIAL_NOME_EMPRESARIAL"])
     df = df.withColumn("CAPITAL_SOCIAL_DA_EMPRESA", cl.parse_decimal("CAPITAL_SOCIAL_DA_EMPRESA"))
-    df = cl.zero_pad_df(df, {"CNPJ_BASICO": 8, "NATUREZA_JURIDICA": 4, "QUALIFICACAO_DO_RESPONSAVEL": 2})
-    df = df.withColumn("PORTE_DA_EMPRESA", cl.null_to(F.col("PORTE_DA_EMPRESA"), "00"))
-    df = df.withColumn("ENTE_FEDERATIVO_RESPONSAVEL", cl.not_informed(F.col("ENTE_FEDERATIVO_RESPONSAVEL")))
-    return distinct_rows(df)
+    for c in ("PORTE_DA_EMPRESA", "ENTE_FEDERATIVO_RESPONSAVEL"):
+        df = df.withColumn(c, cl.null_to(F.col(c), cl.NOT_INFORMED))
+    return df
 
 
 def silver_establishments(b: DataFrame) -> DataFrame:
-    """Key rules, contact columns dropped (real names, Q29), dates parsed (F3),
-    codes padded, placeholders (F6), flags (F15), secondary activities padded in place
-    (F26, no explode, Q13), full-row dedup."""
-    df = _drop_provenance(b).filter(cl.not_null_or_blank("CNPJ_BASICO") & cl.not_sentinel_key("CNPJ_BASICO"))
-    df = df.drop("DDD1", "TELEFONE1", "DDD2", "TELEFONE2", "DDD_FAX", "FAX", "CORREIO_ELETRONICO",
-                 "SITUACAO_ESPECIAL", "DATA_SITUACAO_ESPECIAL", "COMPLEMENTO", "NUMERO", "TIPO_LOGRADOURO",
-                 "LOGRADOURO", "BAIRRO")
+    """Key rules, newest row per establishment, contact columns dropped (real names,
+    Q29), codes stripped and padded (never cut), dates parsed (F3), placeholders (F6), flags
+    (F15), secondary activities padded in place (F26, no explode, Q13)."""
+    df = b.drop("DDD1", "TELEFONE1", "DDD2", "TELEFONE2", "DDD_FAX", "FAX", "CORREIO_ELETRONICO",
+                "SITUACAO_ESPECIAL", "DATA_SITUACAO_ESPECIAL", "COMPLEMENTO", "NUMERO", "TIPO_LOGRADOURO",
+                "LOGRADOURO", "BAIRRO")
+    df = _tidy_codes(df, ["CNPJ_BASICO", "CNPJ_ORDEM", "CNPJ_DV", "IDENTIFICADOR_MATRIZ_FILIAL", "SITUACAO_CADASTRAL",
+                          "MOTIVO_SITUACAO_CADASTRAL", "PAIS", "CNAE_FISCAL_PRINCIPAL", "CNAE_FISCAL_SECUNDARIA", "CEP",
+                          "UF", "MUNICIPIO", "DATA_SITUACAO_CADASTRAL", "DT_INICIO_ATIVIDADE"])
+    df = df.filter(cl.not_null_or_blank("CNPJ_BASICO") & cl.not_sentinel_key("CNPJ_BASICO"))
+    df = cl.zero_pad_df(df, {"CNPJ_BASICO": 8, "CNPJ_ORDEM": 4, "CNPJ_DV": 2, "CNAE_FISCAL_PRINCIPAL": 7,
+                             "MUNICIPIO": 4, "MOTIVO_SITUACAO_CADASTRAL": 2, "PAIS": 3}, truncate=False)
+    df = _drop_provenance(_newest(df, ["CNPJ_BASICO", "CNPJ_ORDEM", "CNPJ_DV"]))
     df = cl.clean_text_df(df, ["NOME_FANTASIA", "NOME_CIDADE_EXTERIOR"])
     df = cl.parse_dates_df(df, ["DATA_SITUACAO_CADASTRAL", "DT_INICIO_ATIVIDADE"])
-    df = cl.zero_pad_df(df, {"CNPJ_BASICO": 8, "CNPJ_ORDEM": 4, "CNPJ_DV": 2, "CNAE_FISCAL_PRINCIPAL": 7,
-                             "MUNICIPIO": 4, "MOTIVO_SITUACAO_CADASTRAL": 2, "PAIS": 3})
     df = df.withColumn("UF", F.upper("UF")).withColumn("NOME_FANTASIA", cl.not_informed(F.col("NOME_FANTASIA")))
     df = df.withColumn("CNAE_FISCAL_SECUNDARIA", cl.pad_list("CNAE_FISCAL_SECUNDARIA", 7))
     df = df.withColumn("CNPJ_PREFIXO", F.substring("CNPJ_BASICO", 1, 2))
-    return salted_layout(rs.establishment_flags(distinct_rows(df)), "CNPJ_PREFIXO", "CNPJ_BASICO")
+    return salted_layout(rs.establishment_flags(df), "CNPJ_PREFIXO", "CNPJ_BASICO")
 
 
 def silver_partners(b: DataFrame) -> DataFrame:
-    """Text cleaning on names, date parsed, default country (F9), key rules (E3),
-    dedup on (company, partner) with a total order (I11/Q10)."""
-    df = _drop_provenance(b).withColumn("CNPJ_BASICO", cl.zero_pad("CNPJ_BASICO", 8))
+    """Codes stripped, newest row per (company, partner id) as in the gold dimension
+    (I11/Q10: a total order), text cleaning on names, date parsing, default country (F9),
+    key rules (E3)."""
+    df = _tidy_codes(b, ["CNPJ_BASICO", "IDENTIFICADOR_DO_SOCIO", "CPF_CNPJ_DO_SOCIO", "QUALIFICACAO_DO_SOCIO",
+                         "DATA_DE_ENTRADA_NA_SOCIEDADE", "PAIS", "FAIXA_ETARIA"])
+    df = df.withColumn("CNPJ_BASICO", cl.zero_pad("CNPJ_BASICO", 8, truncate=False))
     df = df.filter(cl.key_has_length("CNPJ_BASICO", 8))
+    df = _drop_provenance(_newest(df, ["CNPJ_BASICO", "IDENTIFICADOR_DO_SOCIO"], "DATA_DE_ENTRADA_NA_SOCIEDADE"))
     df = cl.clean_text_df(df, ["NOME_DO_SOCIO", "NOME_DO_REPRESENTANTE_LEGAL"])
     df = cl.parse_dates_df(df, ["DATA_DE_ENTRADA_NA_SOCIEDADE"])
-    df = df.withColumn("PAIS", cl.zero_pad(cl.default_country(F.col("PAIS")), 3))
-    df = df.withColumn("QUALIFICACAO_DO_SOCIO", cl.zero_pad("QUALIFICACAO_DO_SOCIO", 2))
-    return dedup_by_key(df, ["CNPJ_BASICO", "IDENTIFICADOR_DO_SOCIO", "NOME_DO_SOCIO"],
-                        ["DATA_DE_ENTRADA_NA_SOCIEDADE"])
+    df = df.withColumn("PAIS", cl.zero_pad(cl.default_country(F.col("PAIS")), 3, truncate=False))
+    return df.withColumn("QUALIFICACAO_DO_SOCIO", cl.zero_pad("QUALIFICACAO_DO_SOCIO", 2, truncate=False))
 
 
 def silver_simples(b: DataFrame) -> DataFrame:
-    """Dates parsed, options checked (E4), latest row per company (I1 as intended)."""
-    df = _drop_provenance(b).withColumn("CNPJ_BASICO", cl.zero_pad("CNPJ_BASICO", 8))
-    df = df.filter(cl.key_has_length("CNPJ_BASICO", 8)
-                   & F.upper("OPCAO_PELO_SIMPLES").isin("S", "N"))
-    df = cl.parse_dates_df(df, ["DATA_DE_OPCAO_PELO_SIMPLES", "DATA_DE_EXCLUSAO_DO_SIMPLES",
-                                "DATA_DE_OPCAO_PELO_MEI", "DATA_DE_EXCLUSAO_DO_MEI"])
-    df = df.withColumn("OPCAO_PELO_SIMPLES", F.upper("OPCAO_PELO_SIMPLES")).withColumn(
-        "OPCAO_PELO_MEI", F.upper("OPCAO_PELO_MEI"))
-    return dedup_by_key(df, ["CNPJ_BASICO"], ["DATA_DE_OPCAO_PELO_SIMPLES"], descending=True)
+    """Options checked (E4), newest row per company by load time, then option date
+    (I1 as intended), dates parsed."""
+    dates = ["DATA_DE_OPCAO_PELO_SIMPLES", "DATA_DE_EXCLUSAO_DO_SIMPLES", "DATA_DE_OPCAO_PELO_MEI", "DATA_DE_EXCLUSAO_DO_MEI"]
+    df = _tidy_codes(b, ["CNPJ_BASICO", "OPCAO_PELO_SIMPLES", "OPCAO_PELO_MEI", *dates])
+    df = df.withColumn("CNPJ_BASICO", cl.zero_pad("CNPJ_BASICO", 8, truncate=False))
+    df = cl.upper_df(df, ["OPCAO_PELO_SIMPLES", "OPCAO_PELO_MEI"])
+    df = df.filter(cl.key_has_length("CNPJ_BASICO", 8) & F.col("OPCAO_PELO_SIMPLES").isin("S", "N"))
+    return cl.parse_dates_df(_drop_provenance(_newest(df, ["CNPJ_BASICO"], "DATA_DE_OPCAO_PELO_SIMPLES")), dates)
 
 
 def silver_codes(b: DataFrame, width: int = 4) -> DataFrame:
-    """Code tables cleaned, code padded like its references (Q37), one row per code."""
-    df = _drop_provenance(b).withColumn("CODIGO", cl.zero_pad(F.trim("CODIGO"), width))
+    """Code tables cleaned, code padded like its references (Q37, never
+    cut, so no two codes become one), one row per code."""
+    df = _drop_provenance(b).withColumn("CODIGO", cl.zero_pad(F.trim("CODIGO"), width, truncate=False))
     df = cl.clean_text_df(df, ["DESCRICAO"])
     return dedup_by_key(df.filter(F.col("CODIGO").isNotNull()), ["CODIGO"], ["DESCRICAO"])
 
@@ -382,6 +427,7 @@ REGISTRY_SILVER = {
 }
 
 
+GROUP_OF = {table: grp for grp, (table, _cols) in S.REGISTRY_GROUPS.items()}
 CODE_TABLES = {"naturezas_tratado", "qualificacoes_tratado", "paises_tratado", "municipios_tratado",
                "cnaes_tratado", "motivos_tratado"}
 
@@ -402,7 +448,7 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
         parts = ["salt"] if target == "estabelecimentos_tratado" else None
 
         def step(source=source, target=target, fn=fn, mode=mode, parts=parts):
-            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest)
+            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest, GROUP_OF[source])
             return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
                                            run_ts, parts, mode)
 
@@ -411,7 +457,13 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
 
 
 def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """Dimensions and the company fact, partitioned by state."""
+    """Dimensions and the company fact, partitioned by state (B3). Every table is
+    replaced whole: a state that lost its last company keeps no old rows."""
+    needed = ["empresas_tratado", "estabelecimentos_tratado", "naturezas_tratado", "socios_tratado",
+              "qualificacoes_tratado", "paises_tratado"]
+    missing = [t for t in needed if not _exists(spark, lake.silver(t))]
+    if missing:
+        return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
     rd = lambda t: spark.read.parquet(lake.silver(t))
     comps, est = rd("empresas_tratado"), rd("estabelecimentos_tratado")
     d_open = rs.dim_opening_date(est, run_ts)
@@ -420,11 +472,12 @@ def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataF
     d_partner = rs.dim_partner(rd("socios_tratado"), rd("qualificacoes_tratado"), rd("paises_tratado"), run_ts)
     d_open.write.mode("overwrite").parquet(lake.gold("dim_tempo_abertura"))
     d_company.write.mode("overwrite").parquet(lake.gold("dim_empresa"))
-    d_est.write.mode("overwrite").partitionBy("SG_UF").parquet(lake.gold("dim_estabelecimento"))
+    d_est.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("SG_UF").parquet(lake.gold("dim_estabelecimento"))
     d_partner.write.mode("overwrite").parquet(lake.gold("dim_socios_perfil"))
     fact = rs.fact_establishment(spark.read.parquet(lake.gold("dim_empresa")),
                                  spark.read.parquet(lake.gold("dim_estabelecimento")), run_ts)
-    fact.write.mode("overwrite").partitionBy("SG_UF_RESPONSAVEL").parquet(lake.gold("fato_estabelecimento"))
+    (fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("SG_UF_RESPONSAVEL")
+         .parquet(lake.gold("fato_estabelecimento")))
     g = lambda t: spark.read.parquet(lake.gold(t))
     # M17-M19 (B12): the analytic views over the written gold tables
     est_view = rs.establishment_view(g("dim_estabelecimento"), rd("estabelecimentos_tratado"))

@@ -46,5 +46,5 @@ REGISTRY_GROUPS = {
 }
 
 # Columns every bronze table gains (C3/C4) and that silver drops with one shared list (Q30).
-PROVENANCE_COLUMNS = ["origin_path_name", "file_name_only", "origin_file_name", "ingestion_dt", "batch_id",
-                      "tipo_operacao", "anomes", "ano", "mes"]
+PROVENANCE_COLUMNS = ["origin_path_name", "file_name_only", "origin_file_name", "ingestion_dt", "dt_ingestao",
+                      "batch_id", "tipo_operacao", "anomes", "ano", "mes"]

@@ -1,11 +1,10 @@
 """Archive extraction as a Spark job.
 
-Each ZIP archive is one ``binaryFile`` row; ``mapInPandas`` opens it inside the task
-and yields its members' lines in bounded chunks, so archives are extracted in
-parallel and nothing passes through the driver. ``binaryFile`` packs files into
-partitions of at most ``spark.sql.files.maxPartitionBytes``, so one Arrow batch holds
-either several small archives up to that size or one large archive alone. Limits: an
-archive is not splittable and must fit the ``binaryFile`` row limit (2 GB).
+Only the paths travel: ``mapInPandas`` opens an archive inside the task, reads it from the
+shared file system piece by piece and yields its members' records in bounded chunks, so
+archives are extracted in parallel, of any size, and nothing passes through the driver. On
+file systems that Python cannot open by path the content comes through ``binaryFile``
+(2 GB an archive). An archive is not splittable: it is the unit of work.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 LINE_SCHEMA = "archive string, grp string, member string, line_no long, line string"
 CHUNK_LINES = 50_000
+STREAMED_SCHEMES = ("/", "file:")
 
 
 def archive_group(name: str) -> str:
@@ -28,28 +28,61 @@ def archive_group(name: str) -> str:
     return re.sub(r"[0-9]", "", stem)
 
 
-def _extract(encoding: str, drop_empty: bool):
+def _records(lines, quoted: bool):
+    """(number of the first line, text) of each record. With ``quoted``, physical lines are put
+    together until the quotes are even, so a line break inside quotes stays in its record."""
+    start, held, odd = 0, [], False
+    for number, line in lines:
+        if not held:
+            start = number
+        held.append(line)
+        odd ^= quoted and line.count('"') % 2 == 1
+        if not odd:
+            yield start, "\n".join(held)
+            held = []
+    if held:
+        yield start, "\n".join(held)
+
+
+def _member_lines(archive, path: str, encoding: str, drop_empty: bool, quoted: bool):
+    """Frames of at most ``CHUNK_LINES`` records of one open archive."""
+    columns, rows = ["archive", "grp", "member", "line_no", "line"], []
+    grp = archive_group(path.rsplit("/", 1)[-1])
+    with zipfile.ZipFile(archive) as zf:
+        for member in zf.namelist():
+            if member.endswith("/"):
+                continue
+            with zf.open(member) as fh:
+                text = io.TextIOWrapper(fh, encoding=encoding, newline="\n")
+                physical = ((i + 1, raw.rstrip("\n").rstrip("\r")) for i, raw in enumerate(text))
+                for number, line in _records(physical, quoted):
+                    if drop_empty and not line.strip():
+                        continue
+                    rows.append((path, grp, member, number, line))
+                    if len(rows) >= CHUNK_LINES:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+    if rows:
+        yield pd.DataFrame(rows, columns=columns)
+
+
+def _from_content(encoding: str, drop_empty: bool, quoted: bool):
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                name = path.rsplit("/", 1)[-1]
-                grp = archive_group(name)
-                rows = []
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for member in zf.namelist():
-                        if member.endswith("/"):
-                            continue
-                        with zf.open(member) as fh:
-                            for i, raw in enumerate(io.TextIOWrapper(fh, encoding=encoding, newline="\n")):
-                                line = raw.rstrip("\n").rstrip("\r")
-                                if drop_empty and not line.strip():
-                                    continue
-                                rows.append((path, grp, member, i + 1, line))
-                                if len(rows) >= CHUNK_LINES:
-                                    yield pd.DataFrame(rows, columns=["archive", "grp", "member", "line_no", "line"])
-                                    rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "grp", "member", "line_no", "line"])
+                yield from _member_lines(io.BytesIO(content), path, encoding, drop_empty, quoted)
+    return run
+
+
+def _from_path(encoding: str, drop_empty: bool, quoted: bool):
+    def run(batches):
+        from pyarrow import fs
+        for pdf in batches:
+            for path in pdf["path"]:
+                uri = path if "://" in path or ":" not in path else path.replace(":", "://", 1)
+                store, place = fs.FileSystem.from_uri(uri)
+                with store.open_input_file(place) as archive:
+                    yield from _member_lines(archive, path, encoding, drop_empty, quoted)
     return run
 
 
@@ -67,17 +100,35 @@ def archive_files(spark: SparkSession, path, glob: str = "*.zip", recursive: boo
     return files if group is None else files.filter(group_of(F.col("path")) == F.lit(group))
 
 
+def lines_of_archives(spark: SparkSession, archives: DataFrame, encoding: str = "iso-8859-1",
+                      drop_empty_lines: bool = True, quoted: bool = False, stream: bool | None = None) -> DataFrame:
+    """The records of the archives whose ``path`` is listed.
+
+    ``stream=True`` opens an archive by its path inside the task and reads it piece by piece,
+    whatever its size; ``False`` takes the content through ``binaryFile`` (2 GB at most). By
+    default paths that every node can open are streamed.
+    """
+    first = archives.select("path").first()
+    if first is None:
+        return spark.createDataFrame([], LINE_SCHEMA)
+    if stream is None:
+        stream = first["path"].startswith(STREAMED_SCHEMES)
+    if stream:  # one archive a task where there are as many tasks
+        paths = archives.select("path").repartition("path")
+        return paths.mapInPandas(_from_path(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
+    names = [r["path"] for r in archives.select("path").collect()]  # archive names only
+    bins = spark.read.format("binaryFile").load(names)
+    return bins.select("path", "content").mapInPandas(_from_content(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
+
+
 def archive_lines(spark: SparkSession, path, encoding: str = "iso-8859-1", glob: str = "*.zip",
                   recursive: bool = True, drop_empty_lines: bool = True,
-                  group: str | None = None) -> DataFrame:
+                  group: str | None = None, quoted: bool = False, stream: bool | None = None) -> DataFrame:
     """``(archive, grp, member, line_no, line)`` for every member line of every archive.
 
     Members are keyed by (archive, member), never by member name alone (Q32), so two
     archives holding a member of the same name stay distinct. ``group`` keeps only the
     archives of one group, selected on the file path before any archive is opened.
     """
-    bins = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", str(recursive).lower()).load(path))
-    if group is not None:
-        bins = bins.filter(group_of(F.col("path")) == F.lit(group))
-    return bins.select("path", "content").mapInPandas(_extract(encoding, drop_empty_lines), LINE_SCHEMA)
+    return lines_of_archives(spark, archive_files(spark, path, glob, recursive, group), encoding,
+                             drop_empty_lines, quoted, stream)

@@ -7,7 +7,10 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from lakeloom import schemas as S
+from lakeloom.plans import incremental as inc
 from lakeloom.plans import jobs
+from lakeloom.sources.quarantine import stored_rejects
 
 
 def write(path, text):
@@ -157,7 +160,7 @@ def test_trade_rerun_after_partial_batch_is_exact(spark, tmp_path):
     jobs.bronze_trade(spark, landing, lake, run1)
     # simulate a crash after the data write of run1: drop the manifest (the commit log)
     shutil.rmtree(lake.manifest)
-    assert inc.committed(spark, spark.read.parquet(lake.bronze("exp")), lake.manifest).count() == 0
+    assert inc.committed(spark, spark.read.parquet(lake.bronze("exp")), lake.manifest, "EXP").count() == 0
     run2 = dt.datetime(2024, 3, 2, 6)
     jobs.bronze_trade(spark, landing, lake, run2)
     assert spark.read.parquet(lake.bronze("exp")).count() == 6          # orphan batch still on disk
@@ -209,3 +212,177 @@ def test_gold_trade_reports_missing_inputs(spark, tmp_path):
     lake = jobs.Lake(str(tmp_path / "lake"))
     out = {r["tabela"]: r["status"] for r in jobs.gold_trade(spark, lake, dt.datetime(2024, 3, 1)).collect()}
     assert out["exp_tratado"] == "skipped" and len(out) == 10
+
+
+EXP_HEADER = "CO_ANO;CO_MES;CO_NCM;CO_UNID;CO_PAIS;SG_UF_NCM;CO_VIA;CO_URF;QT_ESTAT;KG_LIQUIDO;VL_FOB"
+
+
+def drop_manifest_rows(spark, lake, tipo):
+    """As after a crash between the data and the manifest of one table."""
+    import shutil
+    rest = spark.read.schema(inc.MANIFEST_SCHEMA).parquet(lake.manifest).where(F.col("tipo_operacao") != tipo).collect()
+    shutil.rmtree(lake.manifest)
+    spark.createDataFrame(rest, inc.MANIFEST_SCHEMA).write.parquet(lake.manifest)
+
+
+def test_rejects_reach_the_quarantine(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\n2024;1;1;10;023;SP;1;1;3;10;100\r\nshort;line\r\n"
+          "2024;1;1;10;023;SP;1;1;3;10;100;too;long\r\n")
+    write(f"{landing}/UF.csv", "CO_UF;SG_UF\r\n35;SP\r\nbad\r\n")
+    write(f"{landing}/EXP_2023.csv", EXP_HEADER + "\r\nonly;bad\r\n")
+    st = {r["tabela"]: r for r in jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 1)).collect()}
+    assert (st["exp"]["registros"], st["exp"]["rejeitados"]) == (1, 3)
+    assert (st["uf"]["registros"], st["uf"]["rejeitados"]) == (1, 1)
+    bad = stored_rejects(spark, lake.quarantine("exp")).collect()
+    assert sorted(r["linha"] for r in bad) == ["2024;1;1;10;023;SP;1;1;3;10;100;too;long", "only;bad", "short;line"]
+    live = {r["nome_arquivo"]: r for r in inc.live_files(inc.read_manifest(spark, lake.manifest, "EXP")).collect()}
+    assert live["EXP_2023.csv"]["num_registros"] == 0 and live["EXP_2023.csv"]["num_rejeitados"] == 1
+    again = {r["tabela"]: r for r in jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 2)).collect()}
+    assert again["exp"]["registros"] == 0 and again["exp"]["rejeitados"] == 0   # the file without a good row is known
+
+
+def test_only_bad_rows_in_the_first_file(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\nonly;bad\r\n")
+    st = {r["tabela"]: r for r in jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 1)).collect()}
+    assert st["exp"]["status"] == "ok" and st["exp"]["rejeitados"] == 1
+
+
+def test_one_tables_lost_manifest_rows(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    run1, run2 = dt.datetime(2024, 3, 1, 6), dt.datetime(2024, 3, 2, 6)
+    jobs.bronze_trade(spark, landing, lake, run1)
+    drop_manifest_rows(spark, lake, "IMP")
+    jobs.bronze_trade(spark, landing, lake, run2)
+    jobs.silver_trade(spark, lake, run2)
+    assert spark.read.parquet(lake.silver("imp_tratado")).count() == 1
+    assert spark.read.parquet(lake.silver("exp_tratado")).count() == 3
+
+
+def test_full_refresh_counts_once_and_survives_a_crash(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    days = [dt.datetime(2024, 3, d, 6) for d in range(1, 6)]
+    jobs.bronze_trade(spark, landing, lake, days[0])
+    for d in days[1:3]:
+        jobs.bronze_trade(spark, landing, lake, d, mode="full")
+    manifest = inc.read_manifest(spark, lake.manifest)
+    assert {r["tipo_operacao"]: r["registros"] for r in inc.run_summary(manifest).collect()}["EXP"] == 3
+    seen = lambda: inc.committed(spark, spark.read.parquet(lake.bronze("exp")), lake.manifest, "EXP").count()
+    assert seen() == 3
+    before = manifest.collect()
+    import shutil
+    backup = str(tmp_path / "backup")
+    shutil.copytree(lake.bronze("exp"), backup)
+    jobs.bronze_trade(spark, landing, lake, days[3], mode="full")       # dies before its manifest rows ...
+    shutil.copytree(backup, lake.bronze("exp"), dirs_exist_ok=True)     # ... so the old batch is still there
+    shutil.rmtree(lake.manifest)
+    spark.createDataFrame(before, inc.MANIFEST_SCHEMA).write.parquet(lake.manifest)
+    assert seen() == 3
+    jobs.bronze_trade(spark, landing, lake, days[4])
+    jobs.silver_trade(spark, lake, days[4])
+    assert spark.read.parquet(lake.silver("exp_tratado")).count() == 3
+
+
+def test_republished_file_replaces_its_rows(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    row = "2024;1;1;10;023;SP;1;1;3;10;100\r\n"
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\n" + row)
+    jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 1), key="version")
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\n" + row + row.replace("SP", "RJ"))
+    jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 2), key="version")
+    jobs.silver_trade(spark, lake, dt.datetime(2024, 3, 2))
+    assert sorted(r["SG_UF_NCM"] for r in spark.read.parquet(lake.silver("exp_tratado")).collect()) == ["RJ", "SP"]
+
+
+def test_rebuild_drops_partitions_that_no_longer_occur(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "t")
+    for day, salts in ((1, 4), (2, 1)):
+        src = spark.range(8).select("id", F.lit(dt.datetime(2024, 3, day)).alias("ingestion_dt"))
+        inc.process_incremental(spark, src, log, "t", lambda d, n=salts: d.withColumn("salt", F.col("id") % n), target,
+                                dt.datetime(2024, 3, day), ["salt"], "rebuild")
+    assert spark.read.parquet(target).count() == 8
+
+
+def test_append_step_repeated_before_its_watermark(spark, tmp_path):
+    import shutil
+    log, target = str(tmp_path / "log"), str(tmp_path / "t")
+    src = spark.range(5).select("id", F.lit(dt.datetime(2024, 3, 1)).alias("ingestion_dt"))
+    step = lambda s, d: inc.process_incremental(spark, s, log, "t", lambda x: x, target, dt.datetime(2024, 3, d))
+    step(src, 1)
+    shutil.rmtree(log)                                   # the data is there, the watermark is not
+    step(src, 2)
+    more = src.union(spark.range(5, 7).select("id", F.lit(dt.datetime(2024, 3, 3)).alias("ingestion_dt")))
+    step(more, 3)
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(7))
+    assert inc.watermark_summary(spark.read.parquet(log)).first()["execucoes"] == 2
+
+
+def est_line(ordem, mark, uf="SP", status="02", dv="90"):
+    return (f'"12345678";"{ordem}";"{dv}";"{mark}";"ACME";"{status}";"20200101";"0";"";"";"20200101";"4711302";"";'
+            f'"RUA";"X";"1";"";"C";"01000000";"{uf}";"7107";"11";"1";"";"";"";"";"";"";""')
+
+
+def test_second_registry_load(spark, tmp_path):
+    landing, lake = str(tmp_path / "zips"), jobs.Lake(str(tmp_path / "lake"))
+    registry_landing(landing)
+    zip_member(landing, "Simples.zip", "K.SIMPLES", ['"12345678";"S";"20200101";"";"N";"";""'])
+    run1, run2 = dt.datetime(2024, 3, 1, 6), dt.datetime(2024, 4, 1, 6)
+    jobs.bronze_registry(spark, landing, lake, run1)
+    jobs.silver_registry(spark, lake, run1)
+    zip_member(landing, "Empresas7.zip", "K.EMPRECSV", ['" 12345678 ";"ACME NOVA";"2062 ";"49";"2000,00";"";""',
+                                                        '"33333333";"short"', '"44444444";"Line\nbreak; SA";"2062";"49";"1,00";"01";""'])
+    zip_member(landing, "Estabelecimentos7.zip", "K.ESTABELE", [est_line("0001", 1), est_line("0002", 2, "RJ", dv="70"), est_line("0003", 2, "RJ")])
+    zip_member(landing, "Simples7.zip", "K.SIMPLES", ['"12345678";"N";"20200101";"20240101";"N";"";""'])
+    st = {r["tabela"]: r for r in jobs.bronze_registry(spark, landing, lake, run2).collect()}
+    assert (st["empresas"]["registros"], st["empresas"]["rejeitados"]) == (2, 1)
+    assert st["naturezas"]["registros"] == 0
+    assert [r["linha"] for r in stored_rejects(spark, lake.quarantine("empresas")).collect()] == ['"33333333";"short"']
+    jobs.silver_registry(spark, lake, run2)
+    comp = {r["CNPJ_BASICO"]: r for r in spark.read.parquet(lake.silver("empresas_tratado")).collect()}
+    assert set(comp) == {"12345678", "01234567", "22222222", "44444444"}
+    assert float(comp["12345678"]["CAPITAL_SOCIAL_DA_EMPRESA"]) == 2000.0
+    assert comp["12345678"]["PORTE_DA_EMPRESA"] == "NAO INFORMADO" and comp["12345678"]["NATUREZA_JURIDICA"] == "2062"
+    assert spark.read.parquet(lake.silver("simples_tratado")).first()["OPCAO_PELO_SIMPLES"] == "N"
+    est = {r["CNPJ_ORDEM"]: r for r in spark.read.parquet(lake.silver("estabelecimentos_tratado"))
+           .where("CNPJ_BASICO = '12345678'").collect()}
+    assert set(est) == {"0001", "0002", "0003"}
+    jobs.gold_registry(spark, lake, run2)
+    assert spark.table("vw_empresa_completa").where("CO_CNPJ_BASICO = '12345678'").count() == 3
+    # a full refresh reads everything again and changes nothing
+    jobs.bronze_registry(spark, landing, lake, dt.datetime(2024, 5, 1), mode="full")
+    jobs.silver_registry(spark, lake, dt.datetime(2024, 5, 1))
+    assert spark.read.parquet(lake.silver("empresas_tratado")).count() == 4
+
+
+def test_loaded_archives_are_not_opened_again(spark, tmp_path):
+    landing, lake = str(tmp_path / "zips"), jobs.Lake(str(tmp_path / "lake"))
+    registry_landing(landing)
+    jobs.bronze_registry(spark, landing, lake, dt.datetime(2024, 3, 1))
+    for name in os.listdir(landing):                     # unreadable now: opening one would fail
+        with open(os.path.join(landing, name), "wb") as fh:
+            fh.write(b"not a zip")
+    st = jobs.bronze_registry(spark, landing, lake, dt.datetime(2024, 3, 2)).collect()
+    assert all(r["status"] in ("ok", "skipped") and r["registros"] == 0 for r in st), st
+
+
+def test_gold_registry_reports_missing_inputs(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    assert {r["status"] for r in jobs.gold_registry(spark, lake, dt.datetime(2024, 3, 1)).collect()} == {"skipped"}
+
+
+def test_long_codes_are_not_cut(spark):
+    bronze = spark.createDataFrame([("12345", "a"), ("12346", "b"), ("7", "c")], "CODIGO string, DESCRICAO string")
+    assert sorted(r["CODIGO"] for r in jobs.silver_codes(bronze, 4).collect()) == ["0007", "12345", "12346"]
+
+
+def test_product_codes_keep_no_provenance(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    run = dt.datetime(2024, 3, 1, 6)
+    jobs.bronze_trade(spark, landing, lake, run)
+    jobs.silver_trade(spark, lake, run)
+    for t in ("ncm_tratado", "pais_tratado", "uf_mun_tratado"):
+        assert not {c.lower() for c in spark.read.parquet(lake.silver(t)).columns} & set(S.PROVENANCE_COLUMNS), t
