@@ -52,12 +52,14 @@ def add_salt(df: DataFrame, key: str | Column, n: int, name: str = "salt") -> Da
     return df.withColumn(name, hash_bucket(key, n))
 
 
-def repartition_by_salt(df: DataFrame, key: str, n: int, partitions: int | None = None) -> DataFrame:
-    """Spread a skewed key over ``n`` buckets, then hash-partition on (key, salt)."""
-    salted = add_salt(df, key, n)
-    if partitions:
-        return salted.repartition(partitions, key, "salt")
-    return salted.repartition(key, "salt")
+def repartition_by_salt(df: DataFrame, key: str, n: int, partitions: int | None = None,
+                        spread: list[str] | None = None) -> DataFrame:
+    """Hash-partition on (key, salt), where the salt comes from the ``spread`` columns (by
+    default all but the key): a function of the key itself would leave a hot key whole."""
+    columns = spread or [c for c in df.columns if c != key]
+    salt = F.lit(0) if n <= 1 else F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+    salted = df.withColumn("salt", salt)
+    return salted.repartition(partitions, key, "salt") if partitions else salted.repartition(key, "salt")
 
 
 def estimate_row_bytes(df: DataFrame, sample_rows: int = DEFAULT_SAMPLE_ROWS,

@@ -272,22 +272,34 @@ def salt_advice(spark, sf_dir):
     return lo.salt_advice(si.Tables(spark, sf_dir).lineitem, "l_suppkey")
 
 
-@register("salt_layout", None)
+@register("salt_layout", """
+WITH n AS (SELECT l_suppkey, count(*) AS c FROM lineitem GROUP BY 1)
+SELECT count(*) AS suppliers, CAST(sum(c) AS BIGINT) AS rows, true AS in_range, true AS hot_key_split FROM n""")
 def salt_layout(spark, sf_dir):
-    """Lineitem salted by supplier with the advised bucket count; rows per
-    (salt) bucket. xxhash64 has no DuckDB twin, so this key has no oracle."""
+    """Lineitem salted by supplier with the advised bucket count. What must hold: no
+    row or key lost, buckets in range, the largest supplier in every bucket."""
     li = si.Tables(spark, sf_dir).lineitem
-    n = lo.salt_advice(li, "l_suppkey").first()["salt"]
-    salted = lo.repartition_by_salt(li.select("l_suppkey", "l_orderkey"), "l_suppkey", n)
-    return salted.groupBy("salt").agg(F.count(F.lit(1)).alias("rows"),
-                                      F.countDistinct("l_suppkey").alias("suppliers"))
-
-
-@register("partition_advice", None)
+    n = int(lo.salt_advice(li, "l_suppkey").first()["salt"])
+    salted = lo.repartition_by_salt(li.select("l_suppkey", "l_orderkey", "l_linenumber"), "l_suppkey", n)
+    per_key = salted.groupBy("l_suppkey", "salt").agg(F.count(F.lit(1)).alias("c")).groupBy("l_suppkey").agg(
+        F.sum("c").alias("c"), F.count(F.lit(1)).alias("buckets"), F.min("salt").alias("low"), F.max("salt").alias("high"))
+    return per_key.agg(F.count(F.lit(1)).alias("suppliers"), F.sum("c").alias("rows"),
+                       ((F.min("low") >= 0) & (F.max("high") < n)).alias("in_range"),
+                       (F.max(F.struct("c", "buckets"))["buckets"] == n).alias("hot_key_split"))
+
+
+@register("partition_advice", q.with_(q.STAR_CTES, f"""
+SELECT count(*) AS total_rows, {lo.FILE_MB_INCREMENTAL} AS desired_file_mb, true AS measured, true AS consistent
+FROM fact_export"""))
 def partition_advice(spark, sf_dir):
-    """File-count advice for the export fact from a written sample's bytes."""
+    """File-count advice for the export fact from a written sample's bytes. The
+    bytes depend on the writer; the advice must follow from the figures reported."""
     fexp, _ = build_facts(si.Tables(spark, sf_dir))
-    return lo.partition_advice(fexp, lo.FILE_MB_INCREMENTAL)
+    r = lo.partition_advice(fexp, lo.FILE_MB_INCREMENTAL)
+    total = F.col("total_rows") * F.col("avg_row_bytes")
+    wanted = F.greatest(F.lit(1.0), F.floor(total / (F.col("desired_file_mb") * 1048576.0)))
+    return r.select("total_rows", "desired_file_mb", (F.col("avg_row_bytes") > 0).alias("measured"),
+                    (F.col("recommended_partitions") == wanted).alias("consistent"))
 
 
 @register("registry_counts", q.with_(q.REGISTRY_CTES, """
