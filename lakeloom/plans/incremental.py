@@ -30,6 +30,7 @@ from ..functions.keys import base_name
 from ..sources.csv import ReadResult
 from ..sources.files import list_files
 from ..sources.quarantine import store_rejects
+from ..sources.sinks import ensure_table
 
 MANIFEST_SCHEMA = StructType([
     StructField("caminho_arquivo", StringType(), True),
@@ -61,19 +62,9 @@ class LoadResult(NamedTuple):
     rejected: int = 0
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 def read_manifest(spark: SparkSession, manifest_path: str, tipo: str | None = None) -> DataFrame:
     """The manifest, empty when it does not exist yet, optionally one operation type."""
-    if _exists(spark, manifest_path):
-        m = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
-    else:
-        m = spark.createDataFrame([], MANIFEST_SCHEMA)
+    m = ensure_table(spark, manifest_path, MANIFEST_SCHEMA)
     return m if tipo is None else m.filter(F.col("tipo_operacao") == F.lit(tipo))
 
 
@@ -231,9 +222,7 @@ def run_summary(manifest: DataFrame) -> DataFrame:
 
 def read_watermark(spark: SparkSession, log_path: str, table: str):
     """The last registered high-watermark of ``table`` (None when none)."""
-    if not _exists(spark, log_path):
-        return None
-    row = (spark.read.schema(WATERMARK_SCHEMA).parquet(log_path)
+    row = (ensure_table(spark, log_path, WATERMARK_SCHEMA)
            .filter(F.col("tabela") == F.lit(table))
            .agg(F.max("data_ultima_transformacao").alias("wm")).first())
     return row["wm"] if row else None

@@ -27,7 +27,8 @@ from ..operators.layout import salted_layout
 from ..session import scratch_path
 from ..sources.archives import archive_files, lines_of_archives
 from ..sources.csv import CORRUPT_COL, header_columns, read_csv_with_quotes, string_schema
-from ..sources.files import list_files, route_files
+from ..sources.files import list_files, path_exists, route_files
+from ..sources import sinks
 from ..sources.quarantine import BROKEN_RECORD, fields_set, reject, store_rejects
 from . import incremental as inc
 
@@ -183,10 +184,6 @@ TRADE_LOOKUPS = {
 }
 
 
-def _exists(spark, path):
-    return inc._exists(spark, path)
-
-
 def _touched(spark, source, lake, target, fn, keys, run_ts, wm_col="DATA_TRANSFORMACAO"):
     """Watermarked step that rebuilds only the partitions its new rows touch (idempotent)."""
     wm = inc.read_watermark(spark, lake.watermarks, target)
@@ -220,7 +217,7 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bo
     steps += [(f"{t}_tratado", t, aux_type(t), (lambda d, r=r: silver_lookup(d, *r)), None, "overwrite")
               for t, r in TRADE_LOOKUPS.items()]
     for target, source, tipo, fn, parts, mode in steps:
-        if not _exists(spark, lake.bronze(source)):
+        if not path_exists(spark, lake.bronze(source)):
             results.append((target, "skipped", 0, "no bronze table"))
             continue
         def step(source=source, target=target, tipo=tipo, fn=fn, parts=parts, mode=mode):
@@ -240,7 +237,7 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
     tables written."""
     needed = ["exp_tratado", "imp_tratado", "ncm_tratado", "ncm_sh_tratado", "ncm_isic_tratado",
               "ncm_cgce_tratado", "ncm_fat_agreg_tratado", "pais_tratado", "uf_tratado", "uf_mun_tratado"]
-    missing = [t for t in needed if not _exists(spark, lake.silver(t))]
+    missing = [t for t in needed if not path_exists(spark, lake.silver(t))]
     if missing:  # nothing half-built: report what is missing, as the other steps do
         return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
     rd = lambda t: spark.read.parquet(lake.silver(t))
@@ -441,7 +438,7 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
     """
     results: list = []
     for target, (source, fn) in REGISTRY_SILVER.items():
-        if not _exists(spark, lake.bronze(source)):
+        if not path_exists(spark, lake.bronze(source)):
             results.append((target, "skipped", 0, "no bronze table"))
             continue
         mode = "overwrite" if target in CODE_TABLES else "rebuild"
@@ -461,7 +458,7 @@ def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataF
     replaced whole: a state that lost its last company keeps no old rows."""
     needed = ["empresas_tratado", "estabelecimentos_tratado", "naturezas_tratado", "socios_tratado",
               "qualificacoes_tratado", "paises_tratado"]
-    missing = [t for t in needed if not _exists(spark, lake.silver(t))]
+    missing = [t for t in needed if not path_exists(spark, lake.silver(t))]
     if missing:
         return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
     rd = lambda t: spark.read.parquet(lake.silver(t))
@@ -494,3 +491,20 @@ def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataF
     return table_count_report({n: spark.read.parquet(lake.gold(n)) for n in
                                ("dim_tempo_abertura", "dim_empresa", "dim_estabelecimento",
                                 "dim_socios_perfil", "fato_estabelecimento")})
+
+
+GOLD_TABLES = ["dim_tempo", "dim_produto", "dim_geografia", "dim_localidade_br", "fato_balanca_exp", "fato_balanca_imp",
+               "dim_tempo_abertura", "dim_empresa", "dim_estabelecimento", "dim_socios_perfil", "fato_estabelecimento"]
+
+
+def register_tables(spark: SparkSession, lake: Lake, silver: str = "silver", gold: str = "gold") -> DataFrame:
+    """The silver and gold tables that exist, as external tables of two databases."""
+    names = {silver: (lake.silver, ["exp_tratado", "imp_tratado", "ncm_tratado", *(f"{t}_tratado" for t in TRADE_LOOKUPS),
+                                    *REGISTRY_SILVER]), gold: (lake.gold, GOLD_TABLES)}
+    results: list = []
+    for database, (place, tables) in names.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for t in tables:
+            if path_exists(spark, place(t)):
+                _guard(f"{database}.{t}", lambda: sinks.register_external(spark, f"`{database}`.`{t}`", place(t)), results)
+    return _status(spark, results)

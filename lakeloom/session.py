@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,31 +49,55 @@ CLUSTER_CONF = {
 
 def build_session(master: str = "local[*]", app: str = "lakeloom",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    """Local/test builder. On a cluster the platform's session is used as is."""
+    """Local/test builder; with a cluster's master the settings of ``CLUSTER_CONF`` apply."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not master.startswith("local"):
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if master.startswith("local"):
+        ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they need not run where
+    the driver does."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lakeloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="lakeloom-zip-"), "lakeloom_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _dirs, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(target)
+    sc._lakeloom_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local runs, tests) a private folder
-    is created and registered.
+    A cluster names it. Only a local master (one machine, tests) gets a private folder of
+    its own where it is unset; on a cluster that folder would not be shared, so this raises.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(cur)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cur)
     return cur
 
 

@@ -40,3 +40,10 @@ def route_files(files: DataFrame) -> DataFrame:
              .when(F.lower(name).endswith(CSV_EXTENSION), F.lit("AUX")))
     table = F.lower(F.regexp_replace(name, r"\.[^.]*$", ""))
     return files.select("*", kind.alias("kind"), table.alias("table_name"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .files import path_exists
+
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None,
                 max_records_per_file: int | None = None) -> None:
@@ -43,17 +45,18 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite",
 def register_external(spark: SparkSession, name: str, path: str) -> None:
     """Catalog entry over an existing parquet directory (no-op when present);
     Hive-style partition folders are registered too."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The table at ``path``, or an empty one with ``schema`` when absent."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001  (missing path)
+    """The table at ``path``, or an empty one with ``schema`` where there is no such path.
+    A table that is there but cannot be read raises: as a control table it must not look empty."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_rows(spark: SparkSession, path: str, rows: list[tuple], schema: StructType) -> None:

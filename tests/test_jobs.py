@@ -386,3 +386,20 @@ def test_product_codes_keep_no_provenance(spark, tmp_path):
     jobs.silver_trade(spark, lake, run)
     for t in ("ncm_tratado", "pais_tratado", "uf_mun_tratado"):
         assert not {c.lower() for c in spark.read.parquet(lake.silver(t)).columns} & set(S.PROVENANCE_COLUMNS), t
+
+
+def test_tables_by_name(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    run = dt.datetime(2024, 3, 1, 6)
+    jobs.bronze_trade(spark, landing, lake, run)
+    jobs.silver_trade(spark, lake, run)
+    try:
+        for _ in range(2):
+            out = jobs.register_tables(spark, lake, "t_silver", "t_gold").collect()
+            assert out and all(r["status"] == "ok" for r in out), out
+        assert spark.table("t_silver.exp_tratado").count() == 3
+        assert spark.table("t_silver.ncm_tratado").count() == 1
+    finally:
+        for d in ("t_silver", "t_gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS {d} CASCADE")
