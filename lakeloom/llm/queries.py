@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, licenses, mixing, quality, sentencepiece_codec, simhash, token_store, topk, warc
+from . import chat, html_text, licenses, mixing, oracles, quality, sentencepiece_codec, simhash, token_store, topk, warc
 from .common import read, shared_path
 
 
@@ -69,15 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op5_chat_threads, op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives, op10_simhash_golay)}
 
 ORACLES: dict[str, str] = {
-    "op6_exact_topk": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS vec FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (
-            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.vec, b.vec)::BIGINT AS score
-            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
-        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10
-    """,
+    "op6_exact_topk": oracles.TOP_K,
+    "op7_quality_rules": oracles.quality_rules(),
+    "op8_license_scan": oracles.license_scan(),
 }
