@@ -93,8 +93,10 @@ def trade_fact(trade: DataFrame, d_month: DataFrame, d_product: DataFrame, d_geo
     the data). Only the three surrogate keys are taken from the dimensions.
     """
     months = bounded_broadcast(d_month.select(*PERIOD_KEYS, F.col("sk_tempo").alias("fk_tempo")))
-    products = d_product.select("CO_NCM", F.col("sk_produto").alias("fk_produto"))
-    geo = d_geo.select("CO_PAIS", F.col("sk_geografia").alias("fk_geografia"))
+    # One row per key, stated by an aggregate: a duplicate in a dimension cannot multiply
+    # facts, and a report that reads no product or country key loses the join altogether.
+    products = d_product.select("CO_NCM", F.col("sk_produto").alias("fk_produto")).dropDuplicates(["CO_NCM"])
+    geo = d_geo.select("CO_PAIS", F.col("sk_geografia").alias("fk_geografia")).dropDuplicates(["CO_PAIS"])
     joined = (trade.join(months, on=PERIOD_KEYS, how="left")
                    .join(products, on="CO_NCM", how="left")
                    .join(geo, on="CO_PAIS", how="left"))
@@ -125,6 +127,16 @@ def consolidated(fact_exp: DataFrame, fact_imp: DataFrame) -> DataFrame:
     return e.unionByName(i)
 
 
+def consolidated_once(fact: DataFrame) -> DataFrame:
+    """M7/I8 from one fact of both operation types: one pass over the trade rows instead of a
+    union of two; exports get 0 freight and insurance."""
+    money = [F.when(F.col("TIPO_OPERACAO") == IMPORT, F.col(c)).otherwise(F.lit(0)).cast("decimal(18,4)").alias(c)
+             for c in ("valor_frete", "valor_seguro")]
+    ts = ["data_processamento_fato"] if "data_processamento_fato" in fact.columns else []
+    return fact.select("fk_tempo", "fk_produto", "fk_geografia", "CO_ANO", "CO_MES", "valor_fob", "peso_liquido_kg",
+                       F.col("TIPO_OPERACAO").alias("tipo_operacao"), *ts, *money)
+
+
 def total(c: str, scale: int = 2) -> F.Column:
     """Exact decimal total (money columns are decimal, so the sum is order-free)."""
     return F.sum(c).cast(f"decimal(38,{scale})")

@@ -30,7 +30,7 @@ def register(name: str, sql: str | None):
 # ------------------------------------------------------------------ trade star builders
 
 def build_dims(t: si.Tables):
-    d_month = ts.dim_month(si.trade_periods(t, "EXP"), si.trade_periods(t, "IMP"))
+    d_month = ts.dim_month(si.trade_periods(t))
     d_product = ts.dim_product(si.product_codes(t), si.hs_lookup(t), si.isic_lookup(t),
                                si.cgce_lookup(t), si.fat_lookup(t))
     d_geo = ts.dim_geography(si.countries(t))
@@ -44,9 +44,15 @@ def build_facts(t: si.Tables):
     return fexp, fimp
 
 
+def build_consolidated(t: si.Tables):
+    """Both operation types in one pass over the trade rows."""
+    return ts.consolidated_once(ts.trade_fact(si.trade_rows(t), *build_dims(t), ts.IMPORT))
+
+
 @register("dim_month", q.with_([q.DIM_MONTH_CTE], "SELECT * FROM dim_month"))
 def dim_month(spark, sf_dir):
-    return build_dims(si.Tables(spark, sf_dir))[0]
+    t = si.Tables(spark, sf_dir)
+    return ts.dim_month(si.trade_periods(t, "EXP"), si.trade_periods(t, "IMP"))
 
 
 @register("dim_product", q.with_([q.DIM_PRODUCT_CTE], "SELECT * FROM dim_product"))
@@ -77,6 +83,12 @@ def fact_import(spark, sf_dir):
 
 @register("consolidated", q.with_(q.STAR_CTES, "SELECT * FROM consolidated"))
 def consolidated(spark, sf_dir):
+    return build_consolidated(si.Tables(spark, sf_dir))
+
+
+@register("consolidated_union", q.with_(q.STAR_CTES, "SELECT * FROM consolidated"))
+def consolidated_union(spark, sf_dir):
+    """M7/I8 as the jobs publish it: a union of the two written facts."""
     return ts.consolidated(*build_facts(si.Tables(spark, sf_dir)))
 
 
@@ -107,7 +119,7 @@ SELECT tipo_operacao, CAST(SUM(valor_fob) AS DECIMAL(38,2)) AS total_fob,
        CAST(SUM(valor_frete) AS DECIMAL(38,4)) AS total_frete, COUNT(*) AS total_linhas
 FROM consolidated WHERE CO_ANO = {REPORT_YEAR} GROUP BY tipo_operacao"""))
 def report_by_operation(spark, sf_dir):
-    return ts.report_by_operation(ts.consolidated(*build_facts(si.Tables(spark, sf_dir))), REPORT_YEAR)
+    return ts.report_by_operation(build_consolidated(si.Tables(spark, sf_dir)), REPORT_YEAR)
 
 
 @register("report_by_year", q.with_(q.STAR_CTES, """
@@ -115,7 +127,7 @@ SELECT CO_ANO, COUNT(*) AS total_registros, CAST(SUM(valor_fob) AS DECIMAL(38,2)
        CAST(SUM(peso_liquido_kg) AS BIGINT) AS soma_peso
 FROM consolidated GROUP BY CO_ANO"""))
 def report_by_year(spark, sf_dir):
-    return ts.report_by_year(ts.consolidated(*build_facts(si.Tables(spark, sf_dir))))
+    return ts.report_by_year(build_consolidated(si.Tables(spark, sf_dir)))
 
 
 @register("fact_total", q.with_(q.STAR_CTES, """

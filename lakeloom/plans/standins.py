@@ -55,8 +55,10 @@ def trade_rows(t: Tables) -> DataFrame:
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                            "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    # Both keys are primary; stated by an aggregate, so a query that reads neither country nor
+    # segment reads lineitem alone.
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").dropDuplicates(["l_orderkey"])
+    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment").dropDuplicates(["o_custkey"])
     j = li.join(o, "l_orderkey", "left").join(c, "o_custkey", "left")
     is_imp = F.coalesce(F.col("l_returnflag") == F.lit("R"), F.lit(False))
     # Money is exact decimal from here on, so totals never depend on summation order.
@@ -84,9 +86,11 @@ def imports(t: Tables) -> DataFrame:
     return trade_rows(t).filter(F.col("TIPO_OPERACAO") == "IMP")
 
 
-def trade_periods(t: Tables, kind: str) -> DataFrame:
-    """Year/month of one operation type. The left joins above keep every lineitem,
-    so the distinct periods come from lineitem alone (no join needed)."""
+def trade_periods(t: Tables, kind: str | None = None) -> DataFrame:
+    """Year/month of one operation type, or of both. The left joins above keep every
+    lineitem, so the distinct periods come from lineitem alone (no join needed)."""
+    if kind is None:
+        return t.lineitem.select(F.year("l_shipdate").alias("CO_ANO"), F.month("l_shipdate").alias("CO_MES"))
     flag = F.coalesce(F.col("l_returnflag") == F.lit("R"), F.lit(False))
     li = t.lineitem.filter(flag if kind == "IMP" else ~flag)
     return li.select(F.year("l_shipdate").alias("CO_ANO"), F.month("l_shipdate").alias("CO_MES"))

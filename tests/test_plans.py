@@ -133,3 +133,13 @@ def test_no_python_and_pruned_scans_in_table_queries(spark):
         p = plan(fn(spark, SF))
         assert "EvalPython" not in p and "MapInPandas" not in p, name
         assert full_lineitem not in p, name
+
+
+def test_reports_read_only_what_they_report(spark):
+    """Joins whose columns a report does not read are gone; the consolidated view passes once over lineitem."""
+    from lakeloom.plans.index import QUERIES
+    for name, fn in ((n, QUERIES[n][0]) for n in ("monthly_stats_export", "monthly_stats_import", "report_by_year", "fact_total")):
+        p = plan(fn(spark, SF))
+        for table in ("orders", "customer", "part", "nation"):
+            assert f"/{table}.parquet" not in p, (name, table)
+    assert 1 <= plan(QUERIES["consolidated"][0](spark, SF)).count("/lineitem.parquet") <= 2
