@@ -1,16 +1,13 @@
-"""Helpers shared by the operators: shared-folder tables, free column names, package shipping."""
+"""Helpers shared by the operators: shared-folder tables, free column names, row keys."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.session import ensure_checkpoint_dir
+from lakeloom.session import ensure_checkpoint_dir, ship_package  # noqa: F401
 
 #: The six ASCII white-space characters: space and U+0009 to U+000D.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -48,21 +45,3 @@ def free_name(df: DataFrame, base: str) -> str:
 def stable_key(*cols):
     """One non-null string for a tuple of columns; nulls stay apart from every value."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_lakeloom_shipped", False):
-        return
-    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    root = os.path.dirname(here)
-    target = os.path.join(tempfile.mkdtemp(prefix="lakeloom-zip-"), "lakeloom_package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _dirs, names in os.walk(here):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(target)
-    sc._lakeloom_shipped = True
