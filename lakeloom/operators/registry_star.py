@@ -71,7 +71,7 @@ def dim_establishment(establishments: DataFrame, companies: DataFrame, run_ts=No
         F.col("CNAE_FISCAL_PRINCIPAL").alias("CO_CNAE_PRINCIPAL"),
         "DT_INICIO_ATIVIDADE",
         F.col("SITUACAO_CADASTRAL").alias("CO_SITUACAO_CADASTRAL"),
-        "CO_PORTE",
+        "CO_PORTE", flag_equals("IDENTIFICADOR_MATRIZ_FILIAL", "1").alias("FL_MATRIZ"),
     ).withColumn("sk_estabelecimento", surrogate_key("CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"))
     out = dedup_by_key(out, ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"])
     return _stamp(out, "data_criacao", run_ts)
@@ -103,9 +103,10 @@ def dim_partner(partners: DataFrame, qualifications: DataFrame, countries: DataF
 
 
 def head_office_order(prefix: str = "CO_CNPJ"):
-    """Total order of a company's establishments (Q10): numeric order number, then check digits."""
+    """Total order of a company's establishments (Q10): the head office first, then the numeric
+    order number, then the check digits."""
     ordem, dv = F.col(f"{prefix}_ORDEM"), F.col(f"{prefix}_DV")
-    return [F.length(ordem), ordem, dv]
+    return [~F.col("FL_MATRIZ"), F.length(ordem), ordem, dv]
 
 
 def fact_establishment(d_company: DataFrame, d_establishment: DataFrame, run_ts=None) -> DataFrame:
@@ -116,13 +117,13 @@ def fact_establishment(d_company: DataFrame, d_establishment: DataFrame, run_ts=
     branches costs no more than one with a single branch.
     """
     est = d_establishment.select(
-        "CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV",
+        "CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV", "FL_MATRIZ",
         F.col("SG_UF").alias("SG_UF_RESPONSAVEL"), "DT_INICIO_ATIVIDADE",
         F.col("sk_estabelecimento").alias("fk_estabelecimento"))
     head = dedup_by_key(est, ["CO_CNPJ_BASICO"], head_office_order())
     out = (d_company.select("CO_CNPJ_BASICO", "NO_RAZAO_SOCIAL", "VL_CAPITAL_SOCIAL", "PORTE_EMPRESA",
                             F.col("sk_empresa").alias("fk_empresa"))
-           .join(head.drop("CO_CNPJ_ORDEM", "CO_CNPJ_DV"), "CO_CNPJ_BASICO", "left")
+           .join(head.drop("CO_CNPJ_ORDEM", "CO_CNPJ_DV", "FL_MATRIZ"), "CO_CNPJ_BASICO", "left")
            .select("CO_CNPJ_BASICO", "NO_RAZAO_SOCIAL", "VL_CAPITAL_SOCIAL", "PORTE_EMPRESA",
                    "SG_UF_RESPONSAVEL", "DT_INICIO_ATIVIDADE", "fk_empresa", "fk_estabelecimento"))
     if run_ts is not None:

@@ -179,7 +179,7 @@ EST_CTE = f"""est AS (
          {pad('n.n_regionkey', 2)} AS UF,
          {pad('c.c_nationkey', 4)} AS MUNICIPIO
   FROM orders o
-  LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS head_key FROM orders GROUP BY o_custkey) h
+  LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS head_key FROM orders GROUP BY o_custkey) h
     ON o.o_custkey = h.o_custkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -216,13 +216,14 @@ DIM_EST_CTE = f"""dim_establishment AS (
   SELECT e.CNPJ_BASICO AS CO_CNPJ_BASICO, e.CNPJ_ORDEM AS CO_CNPJ_ORDEM, e.CNPJ_DV AS CO_CNPJ_DV,
          e.UF AS SG_UF, e.MUNICIPIO AS CO_MUNICIPIO, e.CNAE_FISCAL_PRINCIPAL AS CO_CNAE_PRINCIPAL,
          e.DT_INICIO_ATIVIDADE, e.SITUACAO_CADASTRAL AS CO_SITUACAO_CADASTRAL, cp.CO_PORTE,
+         coalesce(e.IDENTIFICADOR_MATRIZ_FILIAL = '1', false) AS FL_MATRIZ,
          {sk('e.CNPJ_BASICO', 'e.CNPJ_ORDEM', 'e.CNPJ_DV')} AS sk_estabelecimento
   FROM est e
   LEFT JOIN (SELECT CNPJ_BASICO, min(PORTE_DA_EMPRESA) AS CO_PORTE FROM companies GROUP BY CNPJ_BASICO) cp
     ON e.CNPJ_BASICO = cp.CNPJ_BASICO
   QUALIFY row_number() OVER (PARTITION BY e.CNPJ_BASICO, e.CNPJ_ORDEM, e.CNPJ_DV ORDER BY {order_all(
       'e.UF', 'e.MUNICIPIO', 'e.CNAE_FISCAL_PRINCIPAL', 'e.DT_INICIO_ATIVIDADE', 'e.SITUACAO_CADASTRAL',
-      'cp.CO_PORTE')}) = 1
+      'cp.CO_PORTE', 'FL_MATRIZ')}) = 1
 )"""
 
 DIM_PARTNER_CTE = f"""dim_partner AS (
@@ -242,7 +243,7 @@ DIM_PARTNER_CTE = f"""dim_partner AS (
 FACT_EST_CTE = """head AS (
   SELECT CO_CNPJ_BASICO, SG_UF AS SG_UF_RESPONSAVEL, DT_INICIO_ATIVIDADE, sk_estabelecimento AS fk_estabelecimento
   FROM dim_establishment
-  QUALIFY row_number() OVER (PARTITION BY CO_CNPJ_BASICO ORDER BY length(CO_CNPJ_ORDEM), CO_CNPJ_ORDEM,
+  QUALIFY row_number() OVER (PARTITION BY CO_CNPJ_BASICO ORDER BY NOT FL_MATRIZ, length(CO_CNPJ_ORDEM), CO_CNPJ_ORDEM,
           CO_CNPJ_DV, SG_UF NULLS FIRST, DT_INICIO_ATIVIDADE NULLS FIRST, sk_estabelecimento) = 1
 ),
 fact_establishment AS (

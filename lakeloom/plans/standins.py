@@ -198,12 +198,12 @@ def qualifications(t: Tables) -> DataFrame:
 def establishments(t: Tables) -> DataFrame:
     """Silver establishments (L14 shape) from orders.
 
-    Head office (``IDENTIFICADOR_MATRIZ_FILIAL = '1'``) is the customer's lowest order
-    key: a per-customer ``min`` (partially aggregated, so a hot customer is folded on
+    Head office (``IDENTIFICADOR_MATRIZ_FILIAL = '1'``) is the customer's highest order
+    key, so it is not the lowest order number: a per-customer ``max`` (partially aggregated, so a hot customer is folded on
     the map side) joined back on the customer key (G2 form; AQE splits skewed keys).
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    heads = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("head_key"))
+    heads = o.groupBy("o_custkey").agg(F.max("o_orderkey").alias("head_key"))
     n = broadcast_if_small(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
     loc = (t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
            .join(n, "c_nationkey", "left"))
