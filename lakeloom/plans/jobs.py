@@ -24,7 +24,7 @@ from ..operators import trade_star as ts
 from ..operators.checks import duplicate_key_report, table_count_report
 from ..operators.dedup import dedup_by_key, latest_per_key
 from ..operators.layout import salted_layout
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.archives import archive_files, lines_of_archives
 from ..sources.csv import CORRUPT_COL, header_columns, read_csv_with_quotes, string_schema
 from ..sources.files import list_files, path_exists, route_files
@@ -251,18 +251,28 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
                      ("dim_localidade_br", d_loc)):
         df.write.mode("overwrite").parquet(lake.gold(name))
     dims = {n: spark.read.parquet(lake.gold(n)) for n in ("dim_tempo", "dim_produto", "dim_geografia")}
+    ensure_checkpoint_dir(spark)
     for fact, src, kind in (("fato_balanca_exp", exp, ts.EXPORT), ("fato_balanca_imp", imp, ts.IMPORT)):
         # Rows after the fact's watermark decide which year/month partitions are rebuilt
-        # (Q18/Q19); rebuilding whole partitions keeps a rerun after a failure exact.
+        # (Q18/Q19), and rows whose product or country was unknown and is known now;
+        # rebuilding whole partitions keeps a rerun after a failure exact.
         wm = inc.read_watermark(spark, lake.watermarks, fact)
         batch = inc.after_watermark(src, wm, "DATA_TRANSFORMACAO")
-        if not batch.isEmpty():
-            inc.overwrite_touched_partitions(
-                src, batch, ["CO_ANO", "CO_MES"],
-                lambda rows, kind=kind: ts.trade_fact(rows, dims["dim_tempo"], dims["dim_produto"],
-                                                      dims["dim_geografia"], kind, run_ts),
-                lake.gold(fact))
-            inc.register_watermark(spark, lake.watermarks, fact, batch, run_ts, "DATA_TRANSFORMACAO")
+        touched = batch.select("CO_ANO", "CO_MES")
+        if path_exists(spark, lake.gold(fact)):
+            old = spark.read.parquet(lake.gold(fact))
+            for key, dim, code in (("fk_produto", "dim_produto", "CO_NCM"), ("fk_geografia", "dim_geografia", "CO_PAIS")):
+                late = old.where(F.col(key).isNull()).join(dims[dim].select(code), code, "left_semi")
+                touched = touched.union(late.select("CO_ANO", "CO_MES"))
+        touched = touched.distinct().checkpoint()  # the fact is about to be replaced; at most 12 rows a year
+        if touched.isEmpty():
+            continue
+        inc.overwrite_touched_partitions(
+            src, touched, ["CO_ANO", "CO_MES"],
+            lambda rows, kind=kind: ts.trade_fact(rows, dims["dim_tempo"], dims["dim_produto"],
+                                                  dims["dim_geografia"], kind, run_ts),
+            lake.gold(fact))
+        inc.register_watermark(spark, lake.watermarks, fact, batch, run_ts, "DATA_TRANSFORMACAO")
     fexp, fimp = spark.read.parquet(lake.gold("fato_balanca_exp")), spark.read.parquet(lake.gold("fato_balanca_imp"))
     ts.consolidated(fexp, fimp).createOrReplaceTempView("vw_balanca_comercial_consolidada")
     checks = duplicate_key_report({"dim_tempo": (dims["dim_tempo"], ["CO_ANO", "CO_MES"]),

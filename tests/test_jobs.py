@@ -388,6 +388,24 @@ def test_product_codes_keep_no_provenance(spark, tmp_path):
         assert not {c.lower() for c in spark.read.parquet(lake.silver(t)).columns} & set(S.PROVENANCE_COLUMNS), t
 
 
+def test_a_product_that_comes_later_reaches_old_facts(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    days = [dt.datetime(2024, 3, d, 6) for d in (1, 2)]
+    for step in (lambda d: jobs.bronze_trade(spark, landing, lake, d, key="version"),
+                 lambda d: jobs.silver_trade(spark, lake, d), lambda d: jobs.gold_trade(spark, lake, d)):
+        step(days[0])
+    unknown = lambda: spark.read.parquet(lake.gold("fato_balanca_exp")).where("CO_NCM = '99999999'").first()
+    assert unknown()["fk_produto"] is None
+    with open(f"{landing}/NCM.csv", "ab") as fh:
+        fh.write(b"99999999;10;1;1;1;2;1;111;1;111;1;Novo;x;y\r\n")
+    for step in (lambda d: jobs.bronze_trade(spark, landing, lake, d, key="version"),
+                 lambda d: jobs.silver_trade(spark, lake, d), lambda d: jobs.gold_trade(spark, lake, d)):
+        step(days[1])
+    assert unknown()["fk_produto"] is not None
+    assert spark.read.parquet(lake.gold("fato_balanca_exp")).count() == 3
+
+
 def test_tables_by_name(spark, tmp_path):
     landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
     trade_landing(landing)
