@@ -21,7 +21,10 @@ store; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,41 +47,69 @@ _SCHEMA = ("shard int, block int, n_docs int, n_tokens long, before long, width
            "doc_ids binary, ends binary, ids binary")
 
 
-class WordEncoder:
+#: Words of letters that normalisation only lower-cases, with the punctuation after them.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?]*)")
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level tokenizers write a byte as itself where it is a visible Latin-1 character, else
+    as the next character from U+0100 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class WordEncoder(dict):
     """A ``tokenizers`` tokenizer that meets each distinct word once.
 
-    Only for tokenizers that never look across a space or a line feed: their pre-tokenizer
-    drops white space and no token spans it. Then a text's ids are those of its words, one
-    after the other. The cache holds ``CACHE_WORDS`` words at most and starts afresh
-    beyond; long words are not kept.
+    Only for byte-level tokenizers that lower-case, split letters from punctuation and never
+    look across a space or a line feed: no token spans white space, so a text's ids are
+    those of its words, one after the other. A plain word's letters and punctuation are
+    single pre-tokens and go to the tokenizer's model as such; any other word goes through
+    the whole tokenizer. The dictionary holds ``CACHE_WORDS`` words at most and starts
+    afresh beyond; long words are not kept.
     """
 
     def __init__(self, path: str):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.cache: dict[str, bytes] = {"": b""}
+        self.code = "H" if self.width == 2 else "I"
+        self.bytes_of = _byte_alphabet()
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _part(self, text: str) -> bytes:
+        got = self.parts.get(text)
+        if got is None:
+            symbols = text if text.isascii() else text.encode().decode("latin-1").translate(self.bytes_of)
+            got = self.parts[text] = self._pack([t.id for t in self.model.tokenize(symbols)])
+        return got
+
+    def __missing__(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            got = self._part(plain[1].lower()) + self._part(plain[2])
+        else:
+            got = self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(word) <= _CACHED_CHARS:
+            self[word] = got
+        return got
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-            cache[""] = b""
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set()
-        for p in parts:
-            new.update(set(p).difference(cache))
-        if new:
-            words = list(new)
-            kind = f"<u{self.width}"
-            coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            cache.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(words, coded))
-        out = [b"".join(map(cache.__getitem__, p)) for p in parts]
-        for w in new:
-            if len(w) > _CACHED_CHARS:
-                del cache[w]
-        return out
+        if len(self) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+            self.clear()
+            self.parts.clear()
+            self[""] = self.parts[""] = b""
+        return [b"".join(map(self.__getitem__, (t or "").replace("\n", " ").split(" "))) for t in texts]
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
