@@ -169,7 +169,7 @@ def silver_lookup(bronze: DataFrame, pads: dict[str, int] | None = None, ints: l
     return cl.drop_columns(df, *drop)
 
 
-# Auxiliary-table rules (L2-L9): table -> (pads, int columns, dropped columns).
+# Code widths, integer columns and unused columns of the auxiliary source tables.
 TRADE_LOOKUPS = {
     "ncm_sh": ({"CO_SH6": 6, "CO_SH4": 4, "CO_SH2": 2}, [],
                ["NO_SH6_ESP", "NO_SH6_ING", "NO_SH4_ESP", "NO_SH4_ING", "NO_SH2_ESP", "NO_SH2_ING",
