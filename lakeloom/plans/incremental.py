@@ -29,7 +29,7 @@ from pyspark.sql.types import (LongType, StringType, StructField, StructType,
 from ..functions.keys import base_name
 from ..sources.csv import ReadResult
 from ..sources.files import list_files
-from ..sources.quarantine import store_rejects
+from ..sources.quarantine import REJECT_SCHEMA, store_rejects
 from ..sources.sinks import ensure_table
 
 MANIFEST_SCHEMA = StructType([
@@ -127,13 +127,13 @@ def commit_batch(spark: SparkSession, files: DataFrame, good: DataFrame, rejecte
 
 
 def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze_path: str,
-                   reader: Callable[[list[str]], ReadResult], tipo: str, run_ts: dt.datetime,
+                   reader: Callable[[list[str]], ReadResult | DataFrame], tipo: str, run_ts: dt.datetime,
                    partition_by: list[str] | None = None, glob: str | None = None,
                    full: bool = False, key: str = "name", quarantine_path: str | None = None) -> LoadResult:
     """One bronze load (C1 -> read -> C3/C4 -> B1/B3 and B9 -> C5/B8).
 
     ``reader`` receives the new file paths and returns good and rejected rows (see
-    ``read_csv_with_quotes``); rejects go to ``quarantine_path``, by default beside the
+    ``read_csv_with_quotes``), or a DataFrame of good rows alone; rejects go to ``quarantine_path``, by default beside the
     table. ``full=True`` reads every file and makes the batch the table's only one (C12).
     """
     files = list_files(spark, landing, path_glob_filter=glob)
@@ -147,6 +147,8 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
         "caminho_arquivo string, nome_arquivo string, tamanho long, modificado timestamp")
     batch = batch_name(run_ts, tipo)
     got = reader(paths)
+    if isinstance(got, DataFrame):  # a reader that rejects nothing
+        got = ReadResult(got, spark.createDataFrame([], REJECT_SCHEMA), got.columns)
     rows = got.ok.select("*", F.col("_metadata.file_path").alias("origin_path_name"),
                          base_name(F.col("_metadata.file_path")).alias("file_name_only"),
                          F.lit(run_ts).cast("timestamp").alias("ingestion_dt"),

@@ -111,7 +111,7 @@ def test_incremental_two_then_three_then_none(spark, tmp_path):
     write(f"{landing}/EXP_2024.csv", HEADER + "2024;1;d\r\n")
     r2 = inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 2))
     r3 = inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 3))
-    assert (r1, r2, r3) == ((2, 3), (1, 1), (0, 0))
+    assert (r1, r2, r3) == ((2, 3, 0), (1, 1, 0), (0, 0, 0))
     assert spark.read.parquet(bronze).count() == 4
     m = spark.read.parquet(manifest)
     assert m.agg(F.sum("num_registros")).first()[0] == spark.read.parquet(bronze).count()
@@ -200,11 +200,11 @@ def test_manifest_version_key_reloads_republished_file(spark, tmp_path):
 
     write(f"{landing}/EXP_2022.csv", HEADER + "2022;1;a\r\n")
     assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 1),
-                              key="version") == (1, 1)
+                              key="version") == (1, 1, 0)
     assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 2),
-                              key="version") == (0, 0)
+                              key="version") == (0, 0, 0)
     time.sleep(1.1)
     write(f"{landing}/EXP_2022.csv", HEADER + "2022;1;a\r\n2022;2;b\r\n")      # republished, same name
-    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 3)) == (0, 0)
+    assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 3)) == (0, 0, 0)
     assert inc.load_new_files(spark, landing, manifest, bronze, reader, "EXP", dt.datetime(2024, 1, 4),
-                              key="version") == (1, 2)
+                              key="version") == (1, 2, 0)
