@@ -42,7 +42,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .common import ship_package, written
 from .components import components
@@ -215,19 +214,21 @@ def fingerprint_labels(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     return both
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", fp: str = "fp", max_bits: int = MAX_BITS) -> DataFrame:
-    """``(doc_id, fp, component_id, component)`` per row of ``docs`` (id and fingerprint columns).
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", fp: str = "fp", max_bits: int = MAX_BITS,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp, component_id, component)`` and the columns ``keep`` per row of ``docs``
+    (id and fingerprint columns).
 
     ``component_id`` is the smallest id of the component, ``component`` its smallest
     fingerprint, which also tells components without any id apart.
     """
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"))
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"), *keep)
     nodes = written(slim.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "nodes")
     labels = fingerprint_labels(nodes.select("fp"), max_bits).select(F.col("node").alias("fp"), "label")
     placed = written(nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "placed")
     ids = placed.groupBy("label").agg(F.min("low_id").alias("component_id"))
     return slim.join(placed.select("fp", "label").join(ids, "label"), "fp").select(
-        "doc_id", "fp", "component_id", F.col("label").alias("component"))
+        "doc_id", "fp", "component_id", F.col("label").alias("component"), *keep)
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
@@ -248,14 +249,14 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     names = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(doc_id).alias("doc_id"),
                        F.col(text).alias("text"))
-    prints = written(with_fingerprint(held, "text", "fp", shingle).drop("text"), "prints")
-    groups = near_duplicates(prints, max_bits=max_bits)
+    # the row number is written with the row, so it names the same row in every later read
+    prints = written(with_fingerprint(held, "text", "fp", shingle).drop("text").withColumns(
+        {"hash": F.xxhash64("row"), "number": F.monotonically_increasing_id()}), "prints")
+    groups = near_duplicates(prints, max_bits=max_bits, keep=("hash", "number"))
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k")).select("k.doc_id", "k.fp")
-    same = prints.join(kept.select(F.col("doc_id").alias("d2"), F.col("fp").alias("f2")),
-                       (F.col("fp") == F.col("f2")) & F.col("doc_id").eqNullSafe(F.col("d2")), "left_semi")
-    one = Window.partitionBy("fp", "doc_id").orderBy(F.xxhash64("row"), F.to_json("row"))
-    return same.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row.*")
+        F.min(F.struct("hash", "number")).alias("first")).select(F.col("first.number").alias("number"))
+    # texts are moved once, by the join that keeps one row a component
+    return prints.join(kept, "number", "left_semi").select("row.*")
 
 
 def fingerprint_hex(fp):
