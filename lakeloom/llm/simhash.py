@@ -255,8 +255,9 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     groups = near_duplicates(prints, max_bits=max_bits, keep=("hash", "number"))
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
         F.min(F.struct("hash", "number")).alias("first")).select(F.col("first.number").alias("number"))
-    # texts are moved once, by the join that keeps one row a component
-    return prints.join(kept, "number", "left_semi").select("row.*")
+    # texts are moved once, by the join that keeps one row a component; the list of kept rows grows
+    # with the input, so it is never broadcast, and the join is the same at every size
+    return prints.join(kept.hint("merge"), "number", "left_semi").select("row.*")
 
 
 def fingerprint_hex(fp):
