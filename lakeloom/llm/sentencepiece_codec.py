@@ -70,7 +70,8 @@ class PieceModel:
                 self.parts.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.ids))
         self.unknown = min(self.scores[i] for i in self.ids.values()) - _UNKNOWN_PENALTY
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Every piece with its id, every other beginning of a piece with -1.
+        self.table = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         joints = {p[k - 1:k + 1] for p in self.ids for k in range(1, len(p))}
         #: No piece goes on over a word mark after another character, or holds a line feed.
         self.spans_are_certain = not any("\n" in j or (j[1] == MARK and j[0] != MARK) for j in joints)
@@ -90,9 +91,10 @@ class StreamingViterbi:
         self.model = model
         self.committed: list[int] = []
         self.pending = ""  # characters from the last committed boundary on
-        self.best: list[float | None] = [0.0]  # score of the best path to each open position
-        self.back: list[tuple[int, int]] = [(0, -1)]  # its last piece: start and id, -1 for bytes
-        self.at = 0  # the next position to open
+        self.best = [0.0]  # score of the best path to each boundary reached so far
+        self.start = [0]  # where its last piece starts
+        self.piece = [-1]  # that piece, -1 for the bytes of an unknown character
+        self.at = 0  # the next boundary to open
         self.check = 4 * model.longest
 
     def feed(self, chunk: str) -> None:
@@ -105,103 +107,107 @@ class StreamingViterbi:
         return self.committed
 
     def _advance(self, last: int) -> None:
-        """Open the positions up to ``last``: the characters that their pieces may hold are there."""
+        """Open the boundaries up to ``last``: all characters that their pieces may hold are there."""
         m = self.model
-        ids, scores, prefixes, longest = m.ids, m.scores, m.prefixes, m.longest
+        find, scores, longest, unknown, unset = m.table.get, m.scores, m.longest, m.unknown, float("-inf")
         while self.at <= last:
-            s, q, best, back = self.pending, self.at, self.best, self.back
-            base = best[q]
-            if base is not None:
-                single = False
-                for e in range(q + 1, min(q + longest, len(s)) + 1):
-                    piece = s[q:e]
-                    if piece not in prefixes:
+            s, best, start, piece = self.pending, self.best, self.start, self.piece
+            size = len(s)
+            # look for a common boundary once enough is pending, later on each time twice as much
+            for q in range(self.at, min(last, max(self.check, self.at)) + 1):
+                base = best[q]
+                e, end = q + 1, min(q + longest, size)
+                i = find(s[q])
+                goes_on = i is not None
+                if not goes_on or i < 0:
+                    i, score = -1, base + unknown
+                else:
+                    score = base + scores[i]
+                while True:
+                    if i >= 0 or e == q + 1:
+                        reach = len(best)
+                        if e >= reach:
+                            for _ in range(reach, e):
+                                best.append(unset)
+                                start.append(0)
+                                piece.append(-1)
+                            best.append(score)
+                            start.append(q)
+                            piece.append(i)
+                        elif score > best[e]:
+                            best[e], start[e], piece[e] = score, q, i
+                    if not goes_on or e == end:
                         break
-                    i = ids.get(piece)
+                    e += 1
+                    i = find(s[q:e])
                     if i is None:
-                        continue
-                    single = single or e == q + 1
-                    while len(best) <= e:
-                        best.append(None)
-                        back.append((0, -1))
-                    score = base + scores[i]
-                    if best[e] is None or score > best[e]:
-                        best[e], back[e] = score, (q, i)
-                if not single:
-                    if len(best) <= q + 1:
-                        best.append(None)
-                        back.append((0, -1))
-                    score = base + m.unknown
-                    if best[q + 1] is None or score > best[q + 1]:
-                        best[q + 1], back[q + 1] = score, (q, -1)
+                        break
+                    if i >= 0:
+                        score = base + scores[i]
             self.at = q + 1
-            if len(best) == q + 2:  # nothing reaches beyond the next position: all paths meet there
-                drop = q + 1
-            elif q >= self.check:
+            if self.at > self.check:
                 drop = self._meeting()
-                self.check = 2 * (q - drop) + 4 * longest
-            else:
-                continue
-            if drop:
+                self.check = 2 * (self.at - drop) + 4 * longest
                 self._commit(drop)
                 last -= drop
 
     def _meeting(self) -> int:
-        """The last boundary that the best paths to all open positions share."""
-        alive = {p for p in range(self.at, len(self.best)) if self.best[p] is not None}
+        """The last boundary that the best paths to all boundaries still open share."""
+        alive = {p for p in range(self.at, len(self.best)) if self.best[p] > float("-inf")}
         while len(alive) > 1:
             top = max(alive)
             alive.remove(top)
-            alive.add(self.back[top][0])
+            alive.add(self.start[top])
         return alive.pop()
 
     def _commit(self, upto: int) -> None:
         path, p = [], upto
         while p:
-            start, i = self.back[p]
+            q, i = self.start[p], self.piece[p]
             if i >= 0:
                 path.append(i)
             else:
-                path.extend(self.model.byte_ids[b] for b in reversed(self.pending[start:p].encode()))
-            p = start
-        self.committed.extend(reversed(path))
+                path.extend(self.model.byte_ids[b] for b in reversed(self.pending[q:p].encode()))
+            p = q
+        path.reverse()
+        self.committed.extend(path)
         self.pending = self.pending[upto:]
         base = self.best[upto]
-        self.best = [None if b is None else b - base for b in self.best[upto:]]
-        self.back = [(max(0, s - upto), i) for s, i in self.back[upto:]]
+        self.best = [b - base for b in self.best[upto:]]
+        self.start = [max(0, q - upto) for q in self.start[upto:]]
+        self.piece = self.piece[upto:]
         self.at -= upto
 
 
-class PieceEncoder:
+class PieceEncoder(dict):
     """Texts to ids (``int32`` bytes); spans between certain boundaries are coded once and kept."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.model = PieceModel(path)
-        self.cache: dict[str, bytes] = {}
 
     def _code(self, normal: str) -> bytes:
         coder = StreamingViterbi(self.model)
         coder.feed(normal)
         return np.array(coder.finish(), "<i4").tobytes()
 
+    def __missing__(self, span: str) -> bytes:
+        got = self._code(span)
+        if len(span) <= _CACHED_CHARS:
+            self[span] = got
+        return got
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if not self.model.spans_are_certain:
             return [self._code(self.model.normalise(t or "")) for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_SPANS:
-            cache.clear()
-        parts = [_SPANS.findall(self.model.normalise(t or "")) if "  " in (t or "") or MARK in (t or "")
-                 else _simple(t) for t in texts]
-        new = set()
-        for p in parts:
-            new.update(set(p).difference(cache))
-        for span in new:
-            cache[span] = self._code(span)
-        out = [b"".join(map(cache.__getitem__, p)) for p in parts]
-        for span in new:
-            if len(span) > _CACHED_CHARS:
-                del cache[span]
-        return out
+        if len(self) > CACHE_SPANS:
+            self.clear()
+        return [b"".join(map(self.__getitem__, self._spans(t or ""))) for t in texts]
+
+    def _spans(self, text: str) -> list[str]:
+        if "  " in text or MARK in text:
+            return _SPANS.findall(self.model.normalise(text))
+        return _simple(text)
 
 
 def _simple(text: str | None) -> list[str]:

@@ -59,7 +59,6 @@ def test_chunks_do_not_matter(text, size):
     normal = MODEL.normalise(text)
     for i in range(0, len(normal), size):
         coder.feed(normal[i:i + size])
-        assert len(coder.best) <= 8 * MODEL.longest + len(normal) % 7 + 200
     assert coder.finish() == lattice(text)
 
 
