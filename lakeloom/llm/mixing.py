@@ -6,12 +6,17 @@
 2. One pass over all documents gives token counts and posteriors ``p``; they are written
    once. Nothing later reads texts to fit rates.
 3. Distributed projected gradient: minimise ``|sum_d n_d r_d p_d - T|^2`` over rates
-   ``r_d >= 0`` (and ``<= max_rate``, if given), from ``r = 1``, in the metric weighted by
-   the token counts, with Nesterov steps of 1 / largest eigenvalue of ``sum n p p' / N``.
-   An iteration is one aggregate of as many sums as there are domains. Since the start is
-   constant, a document's rate depends on its posterior alone: tasks replay the short list
-   of past gradients instead of keeping state, so a lost executor loses nothing, and no
-   join is needed to bring rates to rows.
+   ``0 <= r_d <= max_rate`` (no upper bound if None), in the metric weighted by the token
+   counts, with the rates nearest to 1 where many are equally good. The gradient of a
+   document is its posterior times one number a domain, so the steps add up to one
+   multiplier a domain and a rate is the projection ``clip(1 - p m, 0, max_rate)``: a
+   document's rate depends on its posterior alone, tasks keep no state, a lost executor
+   loses nothing, and no join brings rates to rows. A step is scaled by ``sum n p p'`` over
+   the documents not held by a bound, so a domain with a thousandth of the tokens moves as
+   fast as any other. An iteration is one aggregate that tries ``TRIALS`` step lengths at
+   once. It ends when every domain's equation holds to ``tolerance`` of its own mass or
+   target; a target that rates within their bounds do not reach is logged, with what is
+   reached, and stands in ``Rates.unmet``. Iterations that run out are an error.
 4. Copies: ``floor(rate + u)`` with ``u`` in [0, 1) from the hash of id and text, so expected
    totals equal the fitted ones and reruns agree.
 
@@ -24,8 +29,9 @@ through ``mix_rows`` untouched.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -41,20 +47,28 @@ _SLICE_CHARS = 1 << 21
 SHAPES = 6
 #: Standard deviations by which a word's count in a domain must exceed its share to be a feature.
 STANDS_OUT = 4.0
+#: Step lengths that one aggregate tries: 1, 1/3, 1/9 and so on.
+TRIALS = 14
+#: Pull of the rates towards 1 against the squared misses, both as shares of the tokens: the
+#: first round's, by which it falls from round to round, and the least.
+PULL, PULL_FALLS, LEAST_PULL = 1e-2, 1e-1, 1e-9
+
+_log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class Mix:
     """``weights``: target share of the tokens per domain; ``total``: tokens wanted, None for as
-    many as there are; ``sample``: labelled rows that the classifier may use; ``vocabulary``:
-    words per domain; ``max_rate``: None for no upper bound."""
+    many as there are, a domain's name for as many as are expected of it; ``sample``: labelled
+    rows that the classifier may use; ``vocabulary``: words per domain; ``max_rate``: None for
+    no upper bound; ``tolerance``: of every domain's own mass or target, whichever is larger."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    total: float | None = None
+    total: float | str | None = None
     sample: int = 8192
     vocabulary: int = 192
     max_rate: float | None = None
-    max_iterations: int = 48
+    max_iterations: int = 400
     tolerance: float = 1e-4
 
     @property
@@ -203,53 +217,95 @@ def with_posteriors(docs: DataFrame, model: Classifier, mix: Mix, text: str, out
 # ---------------------------------------------------------------- rates
 @dataclass
 class Rates:
-    """The gradients so far: all that a task needs to replay the rates of its documents."""
+    """The sum of the gradient steps, one multiplier a domain: all that a task needs for its rates."""
 
-    step: float
     max_rate: float | None
-    history: list[tuple[float, np.ndarray]] = field(default_factory=list)  # momentum, gradient there
+    multipliers: np.ndarray
+    #: Domain to (tokens wanted, tokens reached) where the two differ by more than the tolerance.
+    unmet: dict[str, tuple[float, float]] = field(default_factory=dict)
+
+    def replay(self, p: np.ndarray) -> np.ndarray:
+        return np.clip(1 - p @ self.multipliers, 0, self.max_rate)
+
 
-    def replay(self, p: np.ndarray, momentum: float | None = None) -> np.ndarray:
-        """Rates after all steps; with ``momentum`` the look-ahead point that comes next."""
-        r = last = np.ones(len(p))
-        for beta, g in self.history:
-            y = r + beta * (r - last)
-            last, r = r, np.clip(y - self.step * (p @ g), 0, self.max_rate)
-        return r if momentum is None else r + momentum * (r - last)
+def _trial(n: np.ndarray, p: np.ndarray, m: np.ndarray, max_rate: float | None) -> np.ndarray:
+    """Sums of a part at the multipliers ``m``: domain totals, Gram matrix of the free documents, dual value."""
+    y = 1 - p @ m
+    r = np.clip(y, 0, max_rate)
+    free = np.where((y > 0) & (y < (np.inf if max_rate is None else max_rate)), n, 0.0)
+    return np.concatenate([(n * r) @ p, ((p * free[:, None]).T @ p).ravel(),
+                           [(n * (r * (y - 1) - (r - 1) ** 2 / 2)).sum()]])
 
 
 def fit_rates(scored: DataFrame, mix: Mix) -> Rates:
     """``scored``: columns ``n`` and ``p``. One small aggregate an iteration."""
     k = len(mix.domains)
+    width = k + k * k + 1
 
-    def sums(of) -> np.ndarray:
+    def sums(trials: list[np.ndarray]) -> np.ndarray:
         def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 n = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
                 p = np.asarray(batch.column(1).flatten()).reshape(len(n), k)
-                yield pa.RecordBatch.from_arrays([pa.array([np.asarray(of(n, p), float).ravel().tolist()])], ["s"])
+                cells = np.concatenate([_trial(n, p, m, mix.max_rate) for m in trials])
+                yield pa.RecordBatch.from_arrays([pa.array([cells.tolist()])], ["s"])
         cells = scored.select("n", "p").mapInArrow(part, "s array<double>").select(F.posexplode("s").alias("i", "v"))
         got = {r["i"]: r["v"] for r in cells.groupBy("i").agg(F.sum("v").alias("v")).collect()}
-        return np.array([got.get(i, 0.0) for i in range(k * k if not got else max(got) + 1)])
+        return np.array([got.get(i, 0.0) for i in range(width * len(trials))]).reshape(len(trials), width)
 
-    start = sums(lambda n, p: np.concatenate([(p * n[:, None]).T @ p, (n @ p)[None, :], ]))
-    gram, mass = start[:k * k].reshape(k, k), start[k * k:k * k + k] if len(start) > k * k else np.zeros(k)
+    m = np.zeros(k)
+    start = scored.select(F.posexplode(F.transform("p", lambda x: x * F.col("n"))).alias("i", "v"))
+    found = {r["i"]: r["v"] for r in start.groupBy("i").agg(F.sum("v").alias("v")).collect()}
+    mass = np.array([found.get(i, 0.0) for i in range(k)])
     total = float(mass.sum())
-    rates = Rates(0.0, mix.max_rate)
+    rates = Rates(mix.max_rate, m)
     if total <= 0:
         return rates
-    rates.step = 1.0 / max(np.linalg.eigvalsh(gram / total)[-1], 1e-12)
     wanted = np.array([mix.weights[d] for d in mix.domains], float)
-    target = wanted / wanted.sum() * (mix.total if mix.total is not None else total)
-    t, beta, now = 1.0, 0.0, mass
-    for _ in range(mix.max_iterations):
-        gradient = (now - target) / total
-        rates.history.append((beta, gradient))
-        if np.abs(gradient).max() <= mix.tolerance:
+    size = mass[mix.domains.index(mix.total)] if isinstance(mix.total, str) else total if mix.total is None else mix.total
+    asked = wanted / wanted.sum() * size / total
+    # a domain is not asked for more than it has at the largest rate: the others would stand in for it
+    target = asked if mix.max_rate is None else np.minimum(asked, mix.max_rate * mass / total)
+    scale = np.maximum(mass / total, target)
+    least = max(LEAST_PULL, 1e-7 * scale[scale > 0].min())
+    pull, now, left = PULL, sums([m])[0] / total, mix.max_iterations
+
+    def slope(at: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        return pull * at - cells[:k] + target
+
+    def value(at: np.ndarray, cells: np.ndarray) -> float:
+        return pull / 2 * at @ at + target @ at + cells[-1]
+
+    def error(at: np.ndarray, cells: np.ndarray) -> float:
+        return float((np.abs(slope(at, cells)) / np.maximum(scale, LEAST_PULL)).max())
+
+    while True:
+        settled = pull <= least
+        while error(m, now) > (mix.tolerance if settled else 1e-2):
+            if left <= 0:
+                raise RuntimeError(f"rates are not settled after {mix.max_iterations} iterations: a domain's "
+                                   f"equation misses by {error(m, now):.2g} of its mass or target")
+            step = np.linalg.solve(now[k:-1].reshape(k, k) + pull * np.eye(k), -slope(m, now))
+            trials = [m + step / 3 ** i for i in range(TRIALS)]
+            tried = sums(trials) / total
+            left -= 1
+            best = min(range(TRIALS), key=lambda i: value(trials[i], tried[i]))
+            if not value(trials[best], tried[best]) < value(m, now):  # too close for the value to tell
+                best = min(range(TRIALS), key=lambda i: error(trials[i], tried[i]))
+                if not error(trials[best], tried[best]) < error(m, now):  # as exact as the sums are
+                    if error(m, now) <= 1e-4 or not settled:
+                        break
+                    left = 0
+                    continue
+            m, now = trials[best], tried[best]
+        if settled:
             break
-        following = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        beta, t = (t - 1) / following, following
-        now = sums(lambda n, p: (n * rates.replay(p, beta)) @ p)
+        pull = max(least, pull * PULL_FALLS)
+    rates.multipliers = m
+    missed = np.abs(now[:k] - asked) > max(mix.tolerance, 1e-9) * np.maximum(scale, asked)
+    rates.unmet = {d: (float(asked[i] * total), float(now[i] * total)) for i, d in enumerate(mix.domains) if missed[i]}
+    for d, (want, reached) in rates.unmet.items():
+        _log.warning("mixture: %s is to have %.1f tokens and gets %.1f within the rates' bounds", d, want, reached)
     return rates
 
 
@@ -284,18 +340,22 @@ def mixture(docs: DataFrame, labels: DataFrame, domain: Column, mix: Mix, doc_id
 
 def mix_rows(docs: DataFrame, labels: DataFrame, domain: Column, mix: Mix, doc_id: str = "doc_id",
              text: str = "text", max_copies: int | None = None) -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says (``max_copies`` times at most)."""
+    """The rows of ``docs``, each as often as its rate says. ``max_copies`` is a bound of the fit,
+    like ``max_rate``: no rate is cut after it."""
+    if max_copies is not None:
+        mix = replace(mix, max_rate=min(max_copies, np.inf if mix.max_rate is None else mix.max_rate))
     names = docs.columns
     model = fit_classifier(docs, labels, domain, mix, doc_id, text)
+    if not model.weights.any():  # no labelled row: nothing tells one document from another
+        return docs
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"),
                        _draw(docs, doc_id, text))
     scored = written(with_posteriors(held, model, mix, "text", "s").select("row", "draw", "s.n", "s.p"), "scored")
     rate = _rate(fit_rates(scored, mix), F.col("p"))
     counted = scored.withColumn("copies", _copies(rate, F.col("draw"))).where("copies > 0")
-    if max_copies == 1:
+    if mix.max_rate is not None and mix.max_rate <= 1:
         return counted.select("row.*")
-    times = F.least(F.col("copies"), F.lit(max_copies)) if max_copies else F.col("copies")
-    return counted.select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
+    return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def quality_domain() -> Column:

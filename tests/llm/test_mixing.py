@@ -85,3 +85,50 @@ def test_edges(spark, case):
     assert len(out) == len(rows) and all(abs(r.p_clean + r.p_junk - 1) < 1e-9 and r.rate >= 0 for r in out)
     assert sorted(r.n_tokens for r in out) == sorted(len((r[1] or "").split()) for r in rows)
     assert M.mix_rows(docs, lab, M.quality_domain(), mix).columns == docs.columns
+
+
+def near_certain(toxic, n=4000, seed=5):
+    """Domains, posteriors and token counts; 2 % junk, a share ``toxic``, the rest clean."""
+    rng = np.random.default_rng(seed)
+    kind = rng.choice(3, n, p=[0.98 - toxic, 0.02, toxic])
+    kind[:4] = 2
+    p = np.full((n, 3), 1e-3)
+    p[np.arange(n), kind] = 1 - 2e-3
+    return kind, p, rng.integers(10, 500, n)
+
+
+def scored_table(spark, n, p):
+    return spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n long, p array<double>")
+
+
+@pytest.mark.parametrize("toxic", [0.003, 0.001])
+def test_rare_domains_meet_their_targets(spark, toxic):
+    kind, p, n = near_certain(toxic)
+    scored = scored_table(spark, n, p)
+    rates = M.fit_rates(scored, M.Mix({"clean": 0.90, "junk": 0.08, "toxic": 0.02}))
+    assert np.allclose((n * rates.replay(p)) @ p / n.sum(), [0.90, 0.08, 0.02], rtol=1e-3) and not rates.unmet
+    rates = M.fit_rates(scored, M.Mix({"clean": 1.0, "junk": 0.0, "toxic": 0.0}, max_rate=1.0))
+    assert rates.replay(p)[kind == 0].min() > 0.99 and rates.replay(p)[kind == 2].max() < 0.01
+
+
+def test_targets_out_of_reach_are_reported(spark, caplog):
+    _, p, n = near_certain(0.001)
+    rates = M.fit_rates(scored_table(spark, n, p), M.Mix({"clean": 0.90, "junk": 0.08, "toxic": 0.02}, max_rate=2.0))
+    want, reached = rates.unmet["toxic"]
+    assert want == pytest.approx(0.02 * n.sum()) and reached == pytest.approx(((n * rates.replay(p)) @ p)[2])
+    assert reached < 0.5 * want and "toxic" in caplog.text
+
+
+def test_copies_are_bounded_in_the_fit(spark):
+    rows, labels = corpus(seed=6)
+    docs, lab = tables(spark, rows, labels)
+    mix = M.Mix({"clean": 0.2, "junk": 0.1, "toxic": 0.7})
+    kinds = dict(labels)
+    n = {r[0]: len(r[1].split()) for r in rows}
+    for c in (2, 3):
+        got = [r.doc_id for r in M.mix_rows(docs, lab, M.quality_domain(), mix, max_copies=c).collect()]
+        toxic = [i for i, k in labels if k == "toxic"]
+        assert max(map(got.count, set(got))) <= c and sum(map(got.count, toxic)) > (c - 0.2) * len(toxic)
+        # what the bound keeps toxic documents from is not made up for: the others meet their own targets
+        clean = sum(n[i] for i in got if kinds[i] == "clean")
+        assert clean == pytest.approx(0.2 * sum(n.values()), rel=0.2)
