@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeloom.llm import mixing, quality, sentencepiece_codec, simhash
 from lakeloom.llm.common import read, written
 
-#: The mixture is to hold as many tokens as come in, all of the clean domain. Rates of clean
-#: documents then are 1 or a little more, those of toxic and junk documents fall to 0.
-MIX = mixing.Mix({"clean": 1.0, "junk": 0.0, "toxic": 0.0})
+#: The mixture is to hold the tokens expected of the clean domain and no others, no document
+#: twice: rates of clean documents stay 1 or nearly so, those of toxic and junk documents fall to 0.
+MIX = mixing.Mix({"clean": 1.0, "junk": 0.0, "toxic": 0.0}, total="clean", max_rate=1.0)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at the rates that make the mixture clean; none is repeated."""
-    return mixing.mix_rows(docs, read(spark, sf_dir, "labels"), mixing.quality_domain(), MIX, max_copies=1)
+    return mixing.mix_rows(docs, read(spark, sf_dir, "labels"), mixing.quality_domain(), MIX)
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 import math
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 
 import corpus_pipeline as P
-from lakeloom.llm import quality
+from lakeloom.llm import mixing, quality
 from lakeloom.llm.sentencepiece_codec import PieceModel
 from tests.llm.test_quality import brute as measures
 from tests.llm.test_sentencepiece import lattice
@@ -103,3 +104,19 @@ def test_each_stage_takes_empty_and_extra(spark, folder):
         assert out.columns == extra.columns and out.collect() == []
     assert P.STAGES[-1][1](spark, extra, path).collect() == []
     assert [n for n, _ in P.STAGES] == ["quality_rules", "simhash_near_dedup", "source_mixing", "sentencepiece_ids"]
+
+
+def test_mixture_keeps_clean_documents_of_uncertain_posterior(spark):
+    """A few per cent of junk in the posteriors of clean documents neither drops them nor repeats any."""
+    rng = np.random.default_rng(8)
+    n, kind = rng.integers(10, 500, 4000), rng.choice(3, 4000, p=[0.9, 0.08, 0.02])
+    off, other = rng.beta(1, 30, 4000), rng.random(4000)
+    p = np.empty((4000, 3))
+    for i in range(3):
+        at, (a, b) = kind == i, [j for j in range(3) if j != i]
+        p[at, i], p[at, a], p[at, b] = 1 - off[at], (off * other)[at], (off * (1 - other))[at]
+    scored = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n long, p array<double>")
+    r = mixing.fit_rates(scored, P.MIX).replay(p)
+    drawn = np.minimum(r, 1)
+    assert r.max() <= 1 and drawn[kind == 0].mean() > 0.998 and drawn[kind > 0].max() < 0.01
+    assert (n * drawn) @ p[:, 0] > 0.99 * (n @ p[:, 0])
