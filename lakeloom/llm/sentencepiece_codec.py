@@ -205,13 +205,13 @@ class PieceEncoder(dict):
         return [b"".join(map(self.__getitem__, self._spans(t or ""))) for t in texts]
 
     def _spans(self, text: str) -> list[str]:
-        if "  " in text or MARK in text:
+        if text[:1] == " " or "  " in text or MARK in text:
             return _SPANS.findall(self.model.normalise(text))
         return _simple(text)
 
 
 def _simple(text: str | None) -> list[str]:
-    """The spans of a text without double spaces and word marks: each word with its mark, and line feeds."""
+    """The spans of a text without a leading space, double spaces and word marks: each word with its mark, and line feeds."""
     if not text:
         return []
     return (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")

@@ -105,3 +105,8 @@ def test_tables(spark):
 @pytest.mark.parametrize("text,spans", [("a b\nc", ["▁a", "▁b", "\n", "c"]), ("a \n b", ["▁a", "▁", "\n", "▁b"])])
 def test_spans(text, spans):
     assert [s for s in S._simple(text) if s] == spans
+
+
+@pytest.mark.parametrize("text", [" ver", " ing", " ver ver", " \nver", "\n ver", " ", " a"])
+def test_a_leading_space_joins_the_mark_in_front(text):
+    assert ints(ENCODER([text])[0]) == lattice(text)
