@@ -6,9 +6,12 @@ vocabulary cost less than any piece by 10 and become byte pieces. Of equal sums
 whose last piece starts first wins, at every boundary.
 
 The lattice is never held whole. Positions are opened from left to right; an opened
-position only reaches as far as the longest piece, so scores are kept for that window
-alone. Back pointers wait until every path that can still be extended passes one common
-boundary; the ids up to it are committed and forgotten. That is at the latest where no
+position only reaches as far as the longest piece. Scores and back pointers are kept from
+the last commit on. A boundary that every path still open passes is looked for once 4 x the
+longest piece is pending, then each time the pending text has doubled and grown by as much;
+the ids up to it are committed and forgotten. So up to twice the text since the paths last
+met is held, and 4 x the longest piece more, and a shorter text is committed at its end
+only. Paths meet at the latest where no
 piece of the vocabulary holds the two characters on either side, as before every word
 mark that follows another character. Such certain boundaries cut a text into spans whose
 ids do not depend on their surroundings, so each task keeps the ids of spans it has met

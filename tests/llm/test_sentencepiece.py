@@ -110,3 +110,14 @@ def test_spans(text, spans):
 @pytest.mark.parametrize("text", [" ver", " ing", " ver ver", " \nver", "\n ver", " ", " a"])
 def test_a_leading_space_joins_the_mark_in_front(text):
     assert ints(ENCODER([text])[0]) == lattice(text)
+
+
+def test_scores_are_kept_since_the_last_commit_only():
+    rnd = random.Random(5)
+    coder = S.StreamingViterbi(MODEL)
+    kept = []
+    for _ in range(2_000):
+        coder.feed("".join(rnd.choice("thequickbrown") for _ in range(16)))
+        kept.append(max(len(coder.best), len(coder.start), len(coder.piece)))
+    # the text that is looked over at once, the chunk, and the pieces that reach on
+    assert max(kept) <= 2 * (4 * MODEL.longest) + 16 + 2 * MODEL.longest and coder.committed
