@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, licenses, mixing, oracles, quality, sentencepiece_codec, simhash, token_store, topk, warc
+from . import (chat, html_text, licenses, mixing, oracles, periodic, quality, sentencepiece_codec, simhash, token_store,
+               topk, warc)
 from .common import read, shared_path
 
 
@@ -65,8 +66,21 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.repeat_tails(read(spark, sf_dir, "documents")), min_length=24, min_repeats=3)
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op5_chat_threads, op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives, op10_simhash_golay)}
+    f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op5_chat_threads,
+                            op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives,
+                            op10_simhash_golay, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": oracles.TOP_K,
