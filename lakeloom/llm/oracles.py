@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import licenses, quality
+from collections.abc import Sequence
+
+from . import licenses, link_trust, quality
 
 TOP_K = """
 WITH v AS (
@@ -96,3 +98,60 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT base_failed AND rules IS NULL AS kept
 FROM m LEFT JOIN failed USING (rid)
 """
+
+
+def link_trust_verdicts(rules: Sequence[link_trust.Rule], threshold: float = 0.5, alpha: float = link_trust.ALPHA,
+                        rounds: int = link_trust.ROUNDS, kin: int = link_trust.KIN) -> str:
+    """Rules by a join with their table; one common table expression a round of propagation."""
+    lower = lambda x: f"translate({x}, '{link_trust.UPPER}', '{link_trust.LOWER}')"
+    table = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in rules)
+    link = link_trust.LINK.replace("'", "''")
+    steps = "".join(f""",
+x{i + 1} AS MATERIALIZED (
+    SELECT kind, host, sum(x)::BIGINT AS x FROM (
+        SELECT kind, host, x FROM base UNION ALL
+        SELECT r.kind, r.dst, floor(x * rate)::BIGINT FROM x{i} x JOIN rates r ON r.kind = x.kind AND r.src = x.host)
+    GROUP BY ALL)""" for i in range(rounds))
+    return f"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS html,
+                  CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT rid, page_id, html, {lower("regexp_extract(rest, '^[^/?#]*')")} AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(verdict, host, path) AS (VALUES {table}),
+fit AS (SELECT u.rid, r.host || r.path AS rule, r.verdict
+        FROM u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+        QUALIFY row_number() OVER (PARTITION BY u.rid ORDER BY length(r.host || r.path) DESC, length(r.host) DESC,
+                                   r.host || r.path DESC, r.verdict DESC) = 1),
+j AS (SELECT u.*, f.rule, f.verdict AS ruled FROM u LEFT JOIN fit f USING (rid)),
+found AS (SELECT DISTINCT rid, host, {lower('dst')} AS dst FROM (
+            SELECT rid, host, unnest(regexp_extract_all(html, '{link}', 1)) AS dst FROM u) WHERE host <> ''),
+links AS (SELECT host AS src, dst, count(*) AS w FROM found WHERE dst <> host AND dst <> '' GROUP BY ALL),
+hosts AS (SELECT host FROM u WHERE host <> '' UNION SELECT dst FROM links),
+chain AS (SELECT host, array_to_string(string_split(host, '.')[i:], '.') AS domain FROM (
+            SELECT host, unnest(range(2, len(string_split(host, '.')))) AS i FROM hosts
+            WHERE length(host) <= {link_trust.LONGEST_HOST})),
+near AS (SELECT c.host, max_by(c.domain, length(c.domain)) AS domain FROM chain c JOIN hosts h ON h.host = c.domain GROUP BY c.host),
+edges AS (SELECT src, dst, sum(w) AS w FROM (
+            SELECT src, dst, w FROM links UNION ALL SELECT host, domain, {kin} FROM near
+            UNION ALL SELECT domain, host, {kin} FROM near) WHERE {kin} > 0 OR w > 0 GROUP BY ALL),
+ways AS (SELECT 'trust' AS kind, src, dst, w FROM edges UNION ALL SELECT 'distrust', dst, src, w FROM edges),
+shares AS (SELECT host, floor(('{float(link_trust.UNIT)!r}'::DOUBLE * count(*) FILTER (ruled = 'allow')) / count(*)::DOUBLE)::BIGINT AS allow,
+                  floor(('{float(link_trust.UNIT)!r}'::DOUBLE * count(*) FILTER (ruled = 'block')) / count(*)::DOUBLE)::BIGINT AS block
+           FROM j WHERE host <> '' GROUP BY host),
+x0 AS MATERIALIZED (
+    SELECT kind, host, x FROM (SELECT 'trust' AS kind, host, allow AS x FROM shares
+                               UNION ALL SELECT 'distrust', host, block FROM shares) WHERE x > 0),
+rates AS MATERIALIZED (
+    SELECT kind, src, dst, ('{alpha!r}'::DOUBLE * w::DOUBLE) / (sum(w) OVER (PARTITION BY kind, src))::DOUBLE AS rate FROM ways
+    UNION ALL
+    SELECT kind, host, host, '{alpha!r}'::DOUBLE FROM (SELECT kind, host FROM x0 UNION SELECT kind, dst FROM ways)
+    WHERE (kind, host) NOT IN (SELECT (kind, src) FROM ways)),
+base AS MATERIALIZED (SELECT kind, host, floor(x * '{1.0 - alpha!r}'::DOUBLE)::BIGINT AS x FROM x0){steps},
+scores AS (SELECT host, coalesce(sum(x) FILTER (kind = 'trust'), 0)::BIGINT AS trust,
+                  coalesce(sum(x) FILTER (kind = 'distrust'), 0)::BIGINT AS distrust FROM x{rounds} GROUP BY host)
+SELECT page_id, j.host, path, rule,
+       coalesce(ruled, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) >= {int(threshold * link_trust.UNIT)}
+                            THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0)::BIGINT AS trust, coalesce(distrust, 0)::BIGINT AS distrust
+FROM j LEFT JOIN scores s ON s.host = j.host
+"""

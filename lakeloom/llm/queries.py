@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, html_text, licenses, mixing, oracles, periodic, quality, sentencepiece_codec, simhash, token_store,
-               topk, warc)
+from . import (chat, html_text, licenses, link_trust, mixing, oracles, periodic, prefix_trie, quality,
+               sentencepiece_codec, simhash, token_store, topk, warc)
 from .common import read, shared_path
 
 
@@ -66,6 +66,19 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.branched(turns, group=5, most=8))
+
+
+URL_RULES = [link_trust.Rule("block", "net"), link_trust.Rule("allow", "example.net", "/en/"),
+             link_trust.Rule("block", "example.com", "/de/"), link_trust.Rule("allow", "org", "/fr/")]
+
+
+def op12_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(periodic.repeat_tails(read(spark, sf_dir, "documents")), min_length=24, min_repeats=3)
     best = found.withColumn("best", periodic.strongest(F.col("runs")))
@@ -80,10 +93,11 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_token_store, op3_soft_mixing, op4_html_text, op5_chat_threads,
                             op6_exact_topk, op7_quality_rules, op8_license_scan, op9_warc_derivatives,
-                            op10_simhash_golay, op13_periodic_runs)}
+                            op10_simhash_golay, op11_prefix_trie, op12_link_trust, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op6_exact_topk": oracles.TOP_K,
     "op7_quality_rules": oracles.quality_rules(),
     "op8_license_scan": oracles.license_scan(),
+    "op12_link_trust": oracles.link_trust_verdicts(URL_RULES),
 }
