@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,35 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+_tables: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def working_tables() -> Iterator[list[str]]:
+    """The paths that ``written`` makes inside the block; nested blocks add to the outer ones."""
+    mine: list[str] = []
+    outer = _tables.get()
+    token = _tables.set(mine)
+    try:
+        yield mine
+    finally:
+        _tables.reset(token)
+        if outer is not None:
+            outer += mine
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete working tables that nothing reads any more. The call for a collection lets Spark's
+    cleaner see that their shuffles are done with as well, and free those files too."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if paths:
+        gc.collect()
+        jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -31,6 +64,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    if _tables.get() is not None:
+        _tables.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, working_tables, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,11 +14,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs every node on the smallest neighbour it knows, by one aggregate and
     one join per star; the number of rounds grows with the logarithm of the longest
     chain. A round's result is a table in the shared folder, so that a lost executor
-    costs no earlier round. Ends when a round changes nothing. Null ends and loops are
+    costs no earlier round; it is deleted when the next one is there. Ends when a round changes nothing. Null ends and loops are
     ignored; an empty table gives an empty result.
     """
     e = edges.select(F.col("a"), F.col("b")).where("a <> b")
-    e = written(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    with working_tables() as old:
+        e = written(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,7 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (down.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
-        e = written(small, "stars")
+        with working_tables() as new:
+            e = written(small, "stars")
+        discard(edges.sparkSession, old)
+        old = new
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break

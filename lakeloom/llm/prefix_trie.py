@@ -323,8 +323,8 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame, block: int = BLOCK) -> Dat
     opened = written(_open_nodes(parts), "trie-nodes")
     closed = parts.where("NOT open")
     named = ["depth", "n", "conv_id", "children", "leaves", "saved", "ends"]
-    root = opened.where("depth = 0").select(F.lit(1).cast("long").alias("depth"), F.col("conv_id").alias("up"))  # one row
-    first = closed.where("parent_conv IS NULL AND depth = 1").join(F.broadcast(root), "depth")
+    root = opened.where("depth = 0").select(F.col("k1").alias("q1"), F.col("k2").alias("q2"), F.col("conv_id").alias("up"))
+    first = closed.where("parent_conv IS NULL AND depth = 1").join(F.broadcast(root), ["q1", "q2"])  # one row
     above = opened.where("depth > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("q1"),
                                             F.col("k2").alias("q2"), F.col("conv_id").alias("up"))
     deeper = closed.where("parent_conv IS NULL AND depth > 1").join(above, ["depth", "q1", "q2"])

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship_package, written
+from .common import discard, free_name, ship_package, working_tables, written
 from .components import components
 
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -178,12 +178,29 @@ def _close(a, b, max_bits: int):
     return F.bit_count(a.bitwiseXOR(b)) <= max_bits
 
 
+#: Fingerprints that one task turns into keys, at most: some 75 keys each.
+KEY_TASK_PRINTS = 250_000
+
+
 def fingerprint_labels(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(node, label)`` of the distinct fingerprints in ``prints(fp)`` that have a neighbour."""
+    """``(node, label)`` of the distinct fingerprints in ``prints(fp)``, a written table, that have a neighbour."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
-    ship_package(prints.sparkSession)
-    keyed = written(prints.mapInArrow(_emit, "bucket long, fp long, side byte"), "golay-keys")
+    spark = prints.sparkSession
+    ship_package(spark)
+    with working_tables() as used:
+        both = _labels(prints, max_bits)
+        out = written(both, "fingerprint-labels")
+        used.pop()  # the result stays, all that it was made from goes
+    discard(spark, used)
+    return out
+
+
+def _labels(prints: DataFrame, max_bits: int) -> DataFrame:
+    spark = prints.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prints.count() // KEY_TASK_PRINTS))
+    spread = prints.repartition(tasks, "fp")  # keys are many times the fingerprints: as many tasks as they need
+    keyed = written(spread.mapInArrow(_emit, "bucket long, fp long, side byte"), "golay-keys")
     stats = written(
         keyed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"),
                                     F.bit_or("side").alias("sides"))
@@ -208,10 +225,10 @@ def fingerprint_labels(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
         (F.col("own") != F.col("own2")) & _close(F.col("fp"), F.col("fp2"), max_bits)
         & (F.col("side").bitwiseOR(F.col("side2")) == 3))
     late = written(components(meet.select(F.col("own").alias("a"), F.col("own2").alias("b"))), "late-labels")
-    late = late.select(F.col("node").alias("label"), F.col("label").alias("root"))
-    both = stars.join(late, "label", "full").select(
-        F.coalesce("node", "label").alias("node"), F.coalesce("root", "label").alias("label"))
-    return both
+    roots = late.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    moved = stars.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    apart = late.join(stars.select("node"), "node", "left_anti").select("node", "label")  # no star held them
+    return moved.union(apart)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", fp: str = "fp", max_bits: int = MAX_BITS,
@@ -226,7 +243,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", fp: str = "fp", max
     nodes = written(slim.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "nodes")
     labels = fingerprint_labels(nodes.select("fp"), max_bits).select(F.col("node").alias("fp"), "label")
     placed = written(nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "placed")
-    ids = placed.groupBy("label").agg(F.min("low_id").alias("component_id"))
+    # written before the join, so that both of its sides come from a shuffle and a hot label can be split
+    ids = written(placed.groupBy("label").agg(F.min("low_id").alias("component_id")), "component-ids")
     return slim.join(placed.select("fp", "label").join(ids, "label"), "fp").select(
         "doc_id", "fp", "component_id", F.col("label").alias("component"), *keep)
 
@@ -239,25 +257,42 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return near_duplicates(prints, max_bits=max_bits)
 
 
+#: The place of a row of a table of files that is read as it is: its file and its number in it.
+FILE_PLACE = ("_metadata.file_path", "_metadata.row_index")
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
-                         max_bits: int = MAX_BITS) -> DataFrame:
+                         max_bits: int = MAX_BITS, place: tuple[str, str] | None = None) -> DataFrame:
     """One row of each component, with the columns of ``docs``: the row of the smallest id.
 
     Rows that repeat that id (in the component) count as copies; the first by the hash of
     all columns stays. A component without any id keeps one row as well.
+
+    ``place`` names two columns that tell the rows apart and are the same at every read:
+    ``FILE_PLACE`` where ``docs`` is a parquet table as read. Without it the rows are written
+    to the shared folder first. Working tables hold places and fingerprints; texts are moved
+    once, by the join that keeps one row a component.
     """
     names = docs.columns
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(doc_id).alias("doc_id"),
-                       F.col(text).alias("text"))
-    # the row number is written with the row, so it names the same row in every later read
-    prints = written(with_fingerprint(held, "text", "fp", shingle).drop("text").withColumns(
-        {"hash": F.xxhash64("row"), "number": F.monotonically_increasing_id()}), "prints")
-    groups = near_duplicates(prints, max_bits=max_bits, keep=("hash", "number"))
+    if place is None:
+        wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+        docs, place = written(wrapped, "rows"), FILE_PLACE
+        col, kept_columns = (lambda c: F.col("row")[c]), ["row.*"]
+    else:
+        col, kept_columns = (lambda c: F.col(f"`{c}`")), [F.col(f"`{c}`") for c in names]
+    everything = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    file, number = F.xxhash64(F.col(place[0])), F.col(place[1])
+    held = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"), F.xxhash64(everything).alias("hash"),
+                       file.alias("file"), number.alias("number"))
+    prints = written(with_fingerprint(held, "text", "fp", shingle).drop("text"), "prints")
+    groups = near_duplicates(prints, max_bits=max_bits, keep=("hash", "file", "number"))
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
-        F.min(F.struct("hash", "number")).alias("first")).select(F.col("first.number").alias("number"))
-    # texts are moved once, by the join that keeps one row a component; the list of kept rows grows
-    # with the input, so it is never broadcast, and the join is the same at every size
-    return prints.join(kept.hint("merge"), "number", "left_semi").select("row.*")
+        F.min(F.struct("hash", "file", "number")).alias("first")).select("first.file", "first.number")
+    # the list of kept rows grows with the input, so it is never broadcast: one kind of join at every size
+    f, n = free_name(docs, "file"), free_name(docs, "number")
+    kept = written(kept.select(F.col("file").alias(f), F.col("number").alias(n)), "kept")
+    placed = docs.select("*", file.alias(f), number.alias(n))
+    return placed.join(kept.hint("merge"), [f, n], "left_semi").select(*kept_columns)
 
 
 def fingerprint_hex(fp):
