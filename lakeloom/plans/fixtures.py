@@ -77,6 +77,42 @@ def write_event_days(t: Tables, landing: str, first_day: str | None, last_day: s
        .option("encoding", "ISO-8859-1").mode("append").partitionBy("dia").csv(landing))
 
 
+def _hadoop(t: Tables, path: str):
+    p = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_named_csv(t: Tables, rows, landing: str, names, by: str | None = None, sep: str = ";", quote: str = '"') -> None:
+    """Header-bearing ``;`` Latin-1 files with names of their own, old files of these names replaced.
+
+    ``names`` is the file's name, or a function from a value of the column ``by`` to it: one file
+    for each value, written by the task that holds it, then renamed.
+    """
+    staged = scratch_path(t.spark, "named-csv")
+    w = (rows.repartition(by) if by else rows.coalesce(1)).write.mode("overwrite")
+    w = w.partitionBy(by) if by else w
+    w.option("sep", sep).option("header", "true").option("quote", quote).option("escape", '"').option(
+        "encoding", "ISO-8859-1").csv(staged)
+    root, fs = _hadoop(t, landing)
+    fs.mkdirs(root)
+    pattern, _ = _hadoop(t, os.path.join(staged, f"{by}=*" if by else "", "part-*"))
+    for st in fs.globStatus(pattern):
+        value = st.getPath().getParent().getName().partition("=")[2]
+        target, _ = _hadoop(t, os.path.join(landing, names(value) if by else names))
+        fs.delete(target, False)
+        fs.rename(st.getPath(), target)
+
+
+def write_named_lines(t: Tables, rows, landing: str, names, by: str) -> None:
+    """The same for lines as they are: the one column besides ``by`` holds them and names the header line."""
+    write_named_csv(t, rows, landing, names, by, sep="\t", quote="")
+
+
+def remove_file(t: Tables, landing: str, name: str) -> None:
+    path, fs = _hadoop(t, os.path.join(landing, name))
+    fs.delete(path, False)
+
+
 def _zip_writer(folder: str, member: str, group: str):
     """Stream one task's lines into one archive member (memory bounded by a batch).
 
@@ -103,6 +139,12 @@ def _zip_writer(folder: str, member: str, group: str):
     return run
 
 
+def write_archives(t: Tables, lines, group: str, member: str, folder: str) -> None:
+    """The column ``value`` as headerless lines in ZIP archives ``<group><n>.zip``, one a partition of ``lines``."""
+    lines.select("value").mapInPandas(_zip_writer(folder, member, group), "archive string, lines long").write.format(
+        "noop").mode("overwrite").save()
+
+
 def write_supplier_archives(t: Tables, partitions: int = 3) -> str:
     """Headerless ``;`` lines of supplier written as ZIP archives named ``Socios<n>.zip``,
     every archive holding a member of the same name; one archive per task (at least

@@ -26,7 +26,8 @@ from ..operators.dedup import dedup_by_key, latest_per_key
 from ..operators.layout import salted_layout
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.archives import archive_files, lines_of_archives
-from ..sources.csv import CORRUPT_COL, header_columns, read_csv_with_quotes, string_schema
+from ..sources.csv import (CORRUPT_COL, ReadResult, align_columns, header_columns, read_csv_with_quotes,
+                           string_schema)
 from ..sources.files import list_files, path_exists, route_files
 from ..sources import sinks
 from ..sources.quarantine import BROKEN_RECORD, fields_set, reject, store_rejects
@@ -62,6 +63,10 @@ class Lake:
     def watermarks(self) -> str:
         return os.path.join(self.root, "control", "watermarks")
 
+    @property
+    def partitions(self) -> str:
+        return os.path.join(self.root, "control", "partitions")
+
 
 def _status(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Rows (table, status, rows, message) or (table, status, rows, rejected, message)."""
@@ -103,6 +108,27 @@ def trade_reader(spark: SparkSession, columns: list[str], run_ts: dt.datetime, m
     return reader
 
 
+def header_reader(spark: SparkSession, multiline: bool = False):
+    """K4: reader of auxiliary files, each by its own header (A3): files with the same header are read
+    together, a column that a file does not have is NULL in its rows."""
+    def reader(paths):
+        layouts: dict[tuple, list[str]] = {}
+        for path in paths:  # a load's auxiliary files, a first line each
+            layouts.setdefault(tuple(header_columns(spark, path)), []).append(path)
+        parts = [read_csv_with_quotes(spark, group, schema=string_schema(list(names)), multiline=multiline)
+                 for names, group in layouts.items()]
+        if len(parts) == 1:
+            return parts[0]
+        names = list({c.lower(): c for part in reversed(parts) for c in reversed(part.columns)}.values())[::-1]
+        named = [align_columns(p.ok.select("*", F.col("_metadata.file_path").alias("origin_path_name")),
+                               [*names, "origin_path_name"]) for p in parts]
+        ok, rejected = named[0], parts[0].rejected
+        for more, part in zip(named[1:], parts[1:]):
+            ok, rejected = ok.unionByName(more), rejected.unionByName(part.rejected)
+        return ReadResult(ok, rejected, names)
+    return reader
+
+
 def aux_type(table: str) -> str:
     """The operation type of an auxiliary table: each is a commit log of its own."""
     return f"AUX_{table.upper()}"
@@ -121,11 +147,9 @@ def bronze_trade(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datet
             spark, landing, lake.manifest, lake.bronze(table), trade_reader(spark, cols, run_ts, multiline), tipo, run_ts,
             parts, glob=glob, full=full, key=key, quarantine_path=lake.quarantine(table)), results)
     routed = route_files(list_files(spark, landing)).filter(F.col("kind") == "AUX")
-    for row in routed.select("path", "name", "table_name").collect():  # a handful of auxiliary file names
-        def header_reader(paths, path=row["path"]):
-            return read_csv_with_quotes(spark, paths, schema=string_schema(header_columns(spark, path)), multiline=multiline)
-
-        _guard(row["table_name"], lambda row=row, reader=header_reader: inc.load_new_files(
+    reader = header_reader(spark, multiline)
+    for row in routed.select("name", "table_name").distinct().collect():  # a handful of auxiliary file names
+        _guard(row["table_name"], lambda row=row: inc.load_new_files(
             spark, landing, lake.manifest, lake.bronze(row["table_name"]), reader, aux_type(row["table_name"]), run_ts,
             glob=row["name"], full=full, key=key, quarantine_path=lake.quarantine(row["table_name"])), results)
     return _status(spark, results)
@@ -148,6 +172,13 @@ def silver_trade_rows(bronze: DataFrame, kind: str) -> DataFrame:
     return bronze.select(*cols)
 
 
+#: The columns of the two silver trade tables, as ``silver_trade_rows`` makes them.
+SILVER_TRADE = {
+    kind: f"CO_ANO int, CO_MES int, CO_NCM string, CO_UNID string, CO_PAIS int, SG_UF_NCM string, CO_VIA string, CO_URF string, "
+          f"QT_ESTAT bigint, KG_LIQUIDO bigint, VL_FOB decimal(18,2), {more}TIPO_OPERACAO string, DATA_TRANSFORMACAO timestamp"
+    for kind, more in ((ts.EXPORT, ""), (ts.IMPORT, "VL_FRETE decimal(18,4), VL_SEGURO decimal(18,4), "))}
+
+
 def silver_product_codes(bronze: DataFrame) -> DataFrame:
     """L1: blanks to NULL (F5), NCM padded to 8, SH6 to 6, foreign-language names and
     unused codes dropped, provenance dropped (Q30)."""
@@ -184,18 +215,6 @@ TRADE_LOOKUPS = {
 }
 
 
-def _touched(spark, source, lake, target, fn, keys, run_ts, wm_col="DATA_TRANSFORMACAO"):
-    """Watermarked step that rebuilds only the partitions its new rows touch (idempotent)."""
-    wm = inc.read_watermark(spark, lake.watermarks, target)
-    if inc.after_watermark(source, wm).isEmpty():  # judged on the bronze rows, before any transformation
-        return 0
-    staged = fn(source)
-    batch = inc.after_watermark(staged, wm, wm_col)
-    n = inc.overwrite_touched_partitions(staged, batch, keys, lambda d: d, lake.silver(target))
-    inc.register_watermark(spark, lake.watermarks, target, batch, run_ts, wm_col)
-    return n
-
-
 def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bool = False) -> DataFrame:
     """L1-L11 (+L22): each silver table from rows after its watermark.
     ``dedup=True`` removes identical trade rows (the deduplication the source documents
@@ -221,11 +240,14 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bo
             results.append((target, "skipped", 0, "no bronze table"))
             continue
         def step(source=source, target=target, tipo=tipo, fn=fn, parts=parts, mode=mode):
-            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest, tipo)
-            if parts:  # event tables: replace the year/month partitions the new rows touch
-                return _touched(spark, bronze, lake, target, fn, parts, run_ts)
-            return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
-                                           run_ts, None, mode)
+            loads = inc.loads_of(spark, lake.manifest, tipo)
+            bronze = inc.read_bronze(spark, lake.bronze(source), lake.manifest, tipo, loads)
+            if parts:  # event tables: replace the year/month partitions that changed, remove those that emptied
+                return inc.refresh_by_partition(spark, bronze, loads, lake.manifest, tipo, lake.watermarks, lake.partitions,
+                                                target, parts, fn, lake.silver(target), run_ts)
+            return inc.process_incremental(
+                spark, inc.committed(spark, bronze, lake.manifest, tipo), lake.watermarks, target, fn, lake.silver(target),
+                run_ts, None, mode, loads)
 
         _guard(target, step, results)
     return _status(spark, results)
@@ -241,7 +263,8 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
     if missing:  # nothing half-built: report what is missing, as the other steps do
         return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
     rd = lambda t: spark.read.parquet(lake.silver(t))
-    exp, imp = rd("exp_tratado"), rd("imp_tratado")
+    exp, imp = (spark.read.schema(SILVER_TRADE[k]).parquet(lake.silver(t))
+                for k, t in ((ts.EXPORT, "exp_tratado"), (ts.IMPORT, "imp_tratado")))
     d_month = ts.dim_month(exp, imp, run_ts=run_ts)
     d_product = ts.dim_product(rd("ncm_tratado"), rd("ncm_sh_tratado"), rd("ncm_isic_tratado"),
                                rd("ncm_cgce_tratado"), rd("ncm_fat_agreg_tratado"), run_ts=run_ts)
@@ -252,28 +275,16 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
         df.write.mode("overwrite").parquet(lake.gold(name))
     dims = {n: spark.read.parquet(lake.gold(n)) for n in ("dim_tempo", "dim_produto", "dim_geografia")}
     ensure_checkpoint_dir(spark)
-    for fact, src, kind in (("fato_balanca_exp", exp, ts.EXPORT), ("fato_balanca_imp", imp, ts.IMPORT)):
-        # Rows after the fact's watermark decide which year/month partitions are rebuilt
-        # (Q18/Q19), and rows whose product or country was unknown and is known now;
-        # rebuilding whole partitions keeps a rerun after a failure exact.
-        wm = inc.read_watermark(spark, lake.watermarks, fact)
-        batch = inc.after_watermark(src, wm, "DATA_TRANSFORMACAO")
-        touched = batch.select("CO_ANO", "CO_MES")
-        if path_exists(spark, lake.gold(fact)):
-            old = spark.read.parquet(lake.gold(fact))
-            for key, dim, code in (("fk_produto", "dim_produto", "CO_NCM"), ("fk_geografia", "dim_geografia", "CO_PAIS")):
-                late = old.where(F.col(key).isNull()).join(dims[dim].select(code), code, "left_semi")
-                touched = touched.union(late.select("CO_ANO", "CO_MES"))
-        touched = touched.distinct().checkpoint()  # the fact is about to be replaced; at most 12 rows a year
-        if touched.isEmpty():
-            continue
-        inc.overwrite_touched_partitions(
-            src, touched, ["CO_ANO", "CO_MES"],
-            lambda rows, kind=kind: ts.trade_fact(rows, dims["dim_tempo"], dims["dim_produto"],
-                                                  dims["dim_geografia"], kind, run_ts),
-            lake.gold(fact))
-        inc.register_watermark(spark, lake.watermarks, fact, batch, run_ts, "DATA_TRANSFORMACAO")
-    fexp, fimp = spark.read.parquet(lake.gold("fato_balanca_exp")), spark.read.parquet(lake.gold("fato_balanca_imp"))
+    facts = {}
+    for fact, silver, src, kind in (("fato_balanca_exp", "exp_tratado", exp, ts.EXPORT),
+                                    ("fato_balanca_imp", "imp_tratado", imp, ts.IMPORT)):
+        def star(rows, kind=kind):
+            return ts.trade_fact(rows, dims["dim_tempo"], dims["dim_produto"], dims["dim_geografia"], kind, run_ts)
+
+        shape = star(src.limit(0)).schema
+        _refresh_fact(spark, lake, fact, silver, src, star, shape, dims, run_ts)
+        facts[fact] = spark.read.schema(shape).parquet(lake.gold(fact))
+    fexp, fimp = facts["fato_balanca_exp"], facts["fato_balanca_imp"]
     ts.consolidated(fexp, fimp).createOrReplaceTempView("vw_balanca_comercial_consolidada")
     checks = duplicate_key_report({"dim_tempo": (dims["dim_tempo"], ["CO_ANO", "CO_MES"]),
                                    "dim_produto": (dims["dim_produto"], ["CO_NCM"]),
@@ -284,6 +295,31 @@ def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
     return counts
 
 
+def _refresh_fact(spark: SparkSession, lake: Lake, fact: str, silver: str, src: DataFrame, star, shape: StructType,
+                  dims: dict, run_ts: dt.datetime) -> None:
+    """M5/M6: a fact's months follow those that its silver table logged since the version that the fact was
+    built from (Q18/Q19), and those with rows whose product or country was unknown and is known now.
+    Months that silver no longer has are removed. Rebuilding whole months keeps a rerun exact."""
+    keys = ["CO_ANO", "CO_MES"]
+    state = inc.read_state(spark, lake.watermarks, fact)
+    version = inc.last_version(spark, lake.partitions, silver)
+    old = spark.read.schema(shape).parquet(lake.gold(fact)) if path_exists(spark, lake.gold(fact)) else None
+    if state.source_version is None or old is None:  # never built, or before versions were kept
+        touched = src.select(*keys) if old is None else src.select(*keys).union(old.select(*keys))
+    else:
+        touched = inc.partitions_since(spark, lake.partitions, silver, state.source_version, src.select(*keys).schema)
+    if old is not None:
+        for key, dim, code in (("fk_produto", "dim_produto", "CO_NCM"), ("fk_geografia", "dim_geografia", "CO_PAIS")):
+            late = old.where(F.col(key).isNull()).join(dims[dim].select(code), code, "left_semi")
+            touched = touched.union(late.select(*keys))
+    touched = touched.distinct().checkpoint()  # the fact is about to be replaced; at most 12 rows a year
+    if old is not None and touched.isEmpty():
+        return
+    n = inc.replace_partitions(spark, src, touched, keys, star, lake.gold(fact))
+    watermark = inc.read_watermark(spark, lake.watermarks, silver)
+    inc.register_step(spark, lake.watermarks, fact, run_ts, n, inc.StepState(watermark, None, version))
+
+
 # ================================================================== registry
 
 def bronze_registry(spark: SparkSession, landing: str, lake: Lake, run_ts: dt.datetime,
@@ -327,6 +363,7 @@ def _load_archives(spark: SparkSession, archives: DataFrame, lake: Lake, grp: st
         F.lit(batch).alias("batch_id"))
     bad = staged.where(F.col(f"r.{CORRUPT_COL}").isNotNull()).select(F.col("file"), "r.*").select(*reject(
         F.col("file"), F.col(CORRUPT_COL), F.lit(BROKEN_RECORD), fields_set(cols) - 1))
+    inc.drop_batch(spark, lake.bronze(table), batch)  # what a former attempt of this run left
     (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "anomes").parquet(lake.bronze(table)))
     rejects = store_rejects(bad, lake.quarantine(table), batch)
@@ -336,6 +373,7 @@ def _load_archives(spark: SparkSession, archives: DataFrame, lake: Lake, grp: st
     result = inc.commit_batch(spark, files, written, rejects, lake.manifest, grp, batch, run_ts, full)
     if full:
         inc.drop_batches(spark, lake.bronze(table), keep=batch)
+        inc.drop_batches(spark, lake.quarantine(table), keep=batch)
     return result
 
 
@@ -455,9 +493,12 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
         parts = ["salt"] if target == "estabelecimentos_tratado" else None
 
         def step(source=source, target=target, fn=fn, mode=mode, parts=parts):
-            bronze = inc.committed(spark, spark.read.parquet(lake.bronze(source)), lake.manifest, GROUP_OF[source])
-            return inc.process_incremental(spark, bronze, lake.watermarks, target, fn, lake.silver(target),
-                                           run_ts, parts, mode)
+            tipo = GROUP_OF[source]
+            loads = inc.loads_of(spark, lake.manifest, tipo)
+            bronze = inc.read_bronze(spark, lake.bronze(source), lake.manifest, tipo, loads)
+            return inc.process_incremental(
+                spark, inc.committed(spark, bronze, lake.manifest, tipo), lake.watermarks, target, fn, lake.silver(target),
+                run_ts, parts, mode, loads)
 
         _guard(target, step, results)
     return _status(spark, results)

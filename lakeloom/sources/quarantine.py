@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from .files import delete_path
+
 BROKEN_RECORD = "broken_record"
 
 REJECT_SCHEMA = StructType([
@@ -32,6 +34,7 @@ def fields_set(columns: list[str]) -> Column:
 def store_rejects(rejected: DataFrame, path: str, batch: str = "single") -> DataFrame:
     """Write the rejects of one load as JSON lines, replacing that load's partition;
     returns what is stored for the load."""
+    delete_path(rejected.sparkSession, f"{path.rstrip('/')}/batch_id={batch}")  # a repeat may reject nothing
     (rejected.select(*REJECT_SCHEMA.fieldNames(), F.lit(batch).alias("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "none")
      .partitionBy("batch_id").json(path))
@@ -39,5 +42,6 @@ def store_rejects(rejected: DataFrame, path: str, batch: str = "single") -> Data
 
 
 def stored_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored reject with the load that brought it."""
+    """Every stored reject with the load that brought it, dead and replaced loads included (see
+    ``incremental.committed_rejects``)."""
     return spark.read.schema(StructType([*REJECT_SCHEMA.fields, StructField("batch_id", StringType())])).json(path)
