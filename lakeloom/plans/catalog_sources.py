@@ -14,6 +14,7 @@ from ..session import scratch_path
 from ..sources.archives import archive_lines as read_archive_lines
 from ..sources.csv import corrupt_records, read_csv_with_quotes, read_positional_csv
 from ..sources.files import list_files, route_files
+from ..sources.records import read_csv_records
 from ..sources.sanitize import sanitize_csv
 from . import fixtures as fx
 from . import incremental as inc
@@ -42,6 +43,20 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv_with_quotes(spark, folder, path_glob_filter="*.csv").ok
 
 
+@register("csv_multiline", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+       p_name || '; "' || p_brand || '"' || chr(10) || 'Açúcar São Paulo' AS p_name,
+       p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
+FROM part
+UNION ALL SELECT 'rejected', CAST(n_nationkey AS VARCHAR) || ';' || n_name, NULL, NULL, NULL, NULL FROM nation""")
+def csv_multiline(spark, sf_dir):
+    """A1/A2: the same files read in splits, quoted line breaks and all, with the rows that do not fit."""
+    got = read_csv_records(spark, fx.write_quoted_part_csv(si.Tables(spark, sf_dir)), path_glob_filter="*.csv")
+    none = [F.lit(None).cast("string").alias(c) for c in got.columns[2:]]
+    return got.ok.drop("origin_path_name").unionByName(got.rejected.select(
+        F.lit("rejected").alias(got.columns[0]), F.col("linha").alias(got.columns[1]), *none))
+
+
 @register("csv_corrupt", """
 SELECT CAST(n_nationkey AS VARCHAR) || ';' || n_name AS _corrupt_record FROM nation""")
 def csv_corrupt(spark, sf_dir):

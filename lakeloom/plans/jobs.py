@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from ..sources.csv import (CORRUPT_COL, ReadResult, align_columns, header_column
                            string_schema)
 from ..sources.files import list_files, path_exists, route_files
 from ..sources import sinks
+from ..sources.records import read_csv_records
 from ..sources.quarantine import BROKEN_RECORD, fields_set, reject, store_rejects
 from . import incremental as inc
 
@@ -98,9 +100,10 @@ TRADE_LOADS = [  # table, operation type, file pattern, columns, partitions
 
 def trade_reader(spark: SparkSession, columns: list[str], run_ts: dt.datetime, multiline: bool = False):
     """Reader of one trade file kind: fixed string columns, partition columns, rejects apart.
-    ``multiline`` is for sources whose quoted fields hold line breaks; it makes a file one task."""
+    ``multiline`` is for sources whose quoted fields hold line breaks; those are read in splits too."""
     def reader(paths):
-        got = read_csv_with_quotes(spark, paths, schema=string_schema(columns), multiline=multiline)
+        read = read_csv_records if multiline else partial(read_csv_with_quotes, multiline=False)
+        got = read(spark, paths, schema=string_schema(columns))
         extra = [F.lit(run_ts.date()).alias("dt_ingestao")]
         if "CO_ANO" in columns:
             extra += [F.col("CO_ANO").try_cast("int").alias("ano"), F.col("CO_MES").try_cast("int").alias("mes")]

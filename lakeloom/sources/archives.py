@@ -1,10 +1,12 @@
 """Archive extraction as a Spark job.
 
-Only the paths travel: ``mapInPandas`` opens an archive inside the task, reads it from the
-shared file system piece by piece and yields its members' records in bounded chunks, so
-archives are extracted in parallel, of any size, and nothing passes through the driver. On
-file systems that Python cannot open by path the content comes through ``binaryFile``
-(2 GB an archive). An archive is not splittable: it is the unit of work.
+Only paths and member names travel. A first pass reads the central directory at the end of each
+archive and lists its members; then every (archive, member) is a unit of work of its own: its
+task opens the archive, seeks to the member and yields its records in bounded chunks. So one
+archive of many members spreads over as many tasks, archives may be of any size, and nothing
+passes through the driver. A member is a deflate stream, which has no place to start but its
+beginning. On file systems that Python cannot open by path the content comes through
+``binaryFile`` (2 GB an archive, one archive a task).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 LINE_SCHEMA = "archive string, grp string, member string, line_no long, line string"
 CHUNK_LINES = 50_000
+MEMBER_TASKS = 20_000
 STREAMED_SCHEMES = ("/", "file:")
 
 
@@ -44,12 +47,12 @@ def _records(lines, quoted: bool):
         yield start, "\n".join(held)
 
 
-def _member_lines(archive, path: str, encoding: str, drop_empty: bool, quoted: bool):
-    """Frames of at most ``CHUNK_LINES`` records of one open archive."""
+def _member_lines(archive, path: str, encoding: str, drop_empty: bool, quoted: bool, only: str | None = None):
+    """Frames of at most ``CHUNK_LINES`` records of one open archive, or of one member of it."""
     columns, rows = ["archive", "grp", "member", "line_no", "line"], []
     grp = archive_group(path.rsplit("/", 1)[-1])
     with zipfile.ZipFile(archive) as zf:
-        for member in zf.namelist():
+        for member in zf.namelist() if only is None else [only]:
             if member.endswith("/"):
                 continue
             with zf.open(member) as fh:
@@ -74,18 +77,38 @@ def _from_content(encoding: str, drop_empty: bool, quoted: bool):
     return run
 
 
+def _open(path: str):
+    from pyarrow import fs
+    uri = path if "://" in path or ":" not in path else path.replace(":", "://", 1)
+    store, place = fs.FileSystem.from_uri(uri)
+    return store.open_input_file(place)
+
+
+def _directory(batches):
+    """``(path, member, size)`` of every member, from the central directories alone."""
+    for pdf in batches:
+        for path in pdf["path"]:
+            with _open(path) as archive, zipfile.ZipFile(archive) as zf:
+                rows = [(path, i.filename, i.file_size) for i in zf.infolist() if not i.is_dir()]
+            yield pd.DataFrame(rows, columns=["path", "member", "size"])
+
+
 def _from_path(encoding: str, drop_empty: bool, quoted: bool):
     def run(batches):
-        from pyarrow import fs
         for pdf in batches:
-            for path in pdf["path"]:
-                uri = path if "://" in path or ":" not in path else path.replace(":", "://", 1)
-                store, place = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(place) as archive:
-                    yield from _member_lines(archive, path, encoding, drop_empty, quoted)
+            for path, member in zip(pdf["path"], pdf["member"]):
+                with _open(path) as archive:
+                    yield from _member_lines(archive, path, encoding, drop_empty, quoted, member)
     return run
 
 
+def archive_members(archives: DataFrame) -> DataFrame:
+    """``(path, member, size)`` of every member of the archives whose ``path`` is listed."""
+    paths = archives.select("path")
+    return paths.repartition(paths.sparkSession.sparkContext.defaultParallelism).mapInPandas(
+        _directory, "path string, member string, size long")
+
+
 def group_of(path_col) -> "F.Column":
     """Column form of ``archive_group`` over a file path."""
     name = F.regexp_extract(path_col, r"[^/]+$", 0)
@@ -104,8 +127,8 @@ def lines_of_archives(spark: SparkSession, archives: DataFrame, encoding: str =
                       drop_empty_lines: bool = True, quoted: bool = False, stream: bool | None = None) -> DataFrame:
     """The records of the archives whose ``path`` is listed.
 
-    ``stream=True`` opens an archive by its path inside the task and reads it piece by piece,
-    whatever its size; ``False`` takes the content through ``binaryFile`` (2 GB at most). By
+    ``stream=True`` opens an archive by its path inside the task and reads one member piece by
+    piece, whatever its size; ``False`` takes the content through ``binaryFile`` (2 GB at most). By
     default paths that every node can open are streamed.
     """
     first = archives.select("path").first()
@@ -113,9 +136,13 @@ def lines_of_archives(spark: SparkSession, archives: DataFrame, encoding: str =
         return spark.createDataFrame([], LINE_SCHEMA)
     if stream is None:
         stream = first["path"].startswith(STREAMED_SCHEMES)
-    if stream:  # one archive a task where there are as many tasks
-        paths = archives.select("path").repartition("path")
-        return paths.mapInPandas(_from_path(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
+    if stream:
+        members = archive_members(archives)
+        # a number of its own, as adaptive execution would put so few bytes into one task: a member a task
+        # up to MEMBER_TASKS, then some members a task
+        tasks = max(1, min(members.count(), MEMBER_TASKS))
+        return members.repartition(tasks, "path", "member").select("path", "member").mapInPandas(
+            _from_path(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
     names = [r["path"] for r in archives.select("path").collect()]  # archive names only
     bins = spark.read.format("binaryFile").load(names)
     return bins.select("path", "content").mapInPandas(_from_content(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
