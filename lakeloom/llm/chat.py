@@ -4,9 +4,11 @@ A message's lines have a quote level, the number of ``>`` marks that lead them.
 level 0 are its own; runs of equal level above are quoted passages. Lines are normalised
 (marks off, white space folded, lower case). Units of linking are whole passages and single
 lines; units of a message that can be quoted are its whole own text, its runs of own lines
-and each of them. Units are hashed, reduced to the first message of the conversation that
-wrote them, and joined with the quoted ones: many to one, so a line that everybody writes
-or quotes multiplies nothing.
+and each of them. Units are hashed, and each quoted one is linked to the latest message of the
+conversation that wrote it before: an as-of join by turn. Writers and quotes of a unit are put
+in one order and every quote takes the last writer ahead of it, so a line that everybody
+writes or quotes multiplies nothing. The order is kept within ranges of turns, whose last
+writers are handed on from range to range: a unit that a third of all messages hold is split.
 
 A message answers the earlier message from which most of its outermost quoted characters
 come; a whole passage counts for more than all of its lines. Ties go to the later message.
@@ -25,7 +27,7 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stable_key, written
@@ -90,16 +92,40 @@ def parse_messages(messages: DataFrame, conv: str = "conv_id", turn: str = "turn
                      F.aggregate("quoted", F.lit(0), lambda a, r: a + F.size(r["lines"])).alias("n_quoted"))
 
 
+#: Ranges of turns, cut at quantiles of all turns, so that a hot conversation falls into many.
+TURN_RANGES = 64
+
+
+def latest_writers(quotes: DataFrame, writers: DataFrame, bounds: list[float]) -> DataFrame:
+    """``quotes`` plus ``writer``: the greatest ``who`` below the quote's own among the writers of its unit;
+    without a writer a quote is left out. Units are ``scope, h, n``; ``who`` begins with the turn."""
+    unit = ["scope", "h", "n"]
+    turn = F.col("who.turn")
+    span = F.when(turn.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= turn)))
+    wrote = writers.join(quotes.select(*unit).distinct(), unit, "left_semi").select(*unit, "who", F.lit(1).alias("writes"))
+    events = quotes.withColumn("writes", F.lit(0)).unionByName(wrote, allowMissingColumns=True).withColumn("span", span)
+    mine = F.when(F.col("writes") == 1, F.col("who"))
+    # at one message its quotes come first, so that it is no writer of its own quotes
+    ahead = Window.partitionBy(*unit, "span").orderBy("who", "writes").rowsBetween(Window.unboundedPreceding, -1)
+    near = events.withColumn("writer", F.last(mine, ignorenulls=True).over(ahead)).where("writes = 0").drop("writes")
+    earlier = Window.partitionBy(*unit).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    handed = events.groupBy(*unit, "span").agg(F.max(mine).alias("top")).select(  # a row a range of a unit
+        *unit, "span", F.max("top").over(earlier).alias("handed"))
+    out = near.join(handed, [*unit, "span"]).withColumn("writer", F.coalesce("writer", "handed"))
+    return out.where("writer IS NOT NULL").drop("span", "handed")
+
+
 def reply_links(parsed: DataFrame) -> DataFrame:
     """``(message, parent, n_linked)`` of the messages whose quotes are found in earlier ones."""
     once = parsed.dropDuplicates(["message"])
-    written_by = (once.select("scope", F.struct("turn", "message").alias("who"), F.explode("own").alias("u"))
-                  .groupBy("scope", "u.h", "u.n").agg(F.min("who").alias("first")))
+    who = F.struct("turn", "message").alias("who")
+    writers = once.select("scope", who, F.explode("own").alias("u")).select("scope", "who", "u.h", "u.n")
     quotes = once.where(F.size("quoted") > 0).select(
-        "scope", F.struct("turn", "message").alias("who"), F.explode("quoted").alias("u"),
-        F.array_min(F.transform("quoted", lambda q: q["level"])).alias("outer"))
-    found = quotes.select("scope", "who", "outer", "u.h", "u.n", "u.level", "u.weight").join(
-        written_by, ["scope", "h", "n"]).where(F.col("first") < F.col("who"))
+        "scope", who, F.explode("quoted").alias("u"), F.array_min(F.transform("quoted", lambda q: q["level"])).alias("outer"))
+    quotes = quotes.select("scope", "who", "outer", "u.h", "u.n", "u.level", "u.weight")
+    bounds = parsed.select(F.col("turn").cast("double").alias("turn")).approxQuantile(
+        "turn", [i / TURN_RANGES for i in range(1, TURN_RANGES)], 0.001)
+    found = latest_writers(quotes, writers, sorted(set(bounds))).withColumnRenamed("writer", "first")
     score = found.groupBy("who.message", "first").agg(
         F.sum(F.when(F.col("level") == F.col("outer"), F.col("weight")).otherwise(F.lit(0))).alias("weight"),
         F.count("*").alias("units"))

@@ -48,10 +48,10 @@ def brute(rows):
             for lv, ls in quoted:
                 todo = [("\n".join(ls), 2 * len("\n".join(ls)) + 1)] if len(ls) > 1 else []
                 for unit, w in todo + [(x, len(x)) for x in ls]:
-                    first = next((o for _, o, have in before if unit in have), None)
-                    if first is not None:
+                    latest = next((o for _, o, have in reversed(before) if unit in have), None)
+                    if latest is not None:
                         units += 1
-                        weight[first] = weight.get(first, 0) + (w if lv == outer else 0)
+                        weight[latest] = weight.get(latest, 0) + (w if lv == outer else 0)
             best = max(weight, key=lambda o: (weight[o], key(o)[:2]), default=None)
             parent[r] = best if best is not None and weight[best] > 0 else None
             res[r] = [units, sum(len(ls) for _, ls in quoted)]
@@ -67,7 +67,7 @@ def test_matches_brute_force(spark):
     rnd = random.Random(12)
     pool = [f"line {i} of text" for i in range(60)] + ["thanks"] * 30
     rows = []
-    for conv in [*range(12), None]:
+    for conv in [*range(60), None]:  # enough for chains of answers under the latest-writer rule
         said = []
         for turn in range(rnd.randint(1, 9)):
             parts = []
@@ -98,6 +98,15 @@ def test_matches_brute_force(spark):
     assert order == sorted(order)
 
 
+def test_a_recurring_line_is_linked_to_its_last_writer(spark):
+    rows = [(1, i, "u", "thanks" if i % 3 else "other") for i in range(300)] + [(1, 300, "u", "> thanks\nwelcome"), (1, 2, "q", "> thanks"),
+            (1, None, "q", "> thanks"), (None, 5, "u", "thanks"), (None, 6, "q", "> thanks"), (1, 301, "s", "thanks\n> thanks")]
+    out = {(r.conv_id, r.turn, r.role): r.parent_turn for r in C.reply_order(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert out[1, 300, "u"] == 299 and out[1, None, "q"] is None and out[None, 6, "q"] == 5
+    assert out[1, 2, "q"] in (1, 2) and out[1, 301, "s"] == 299
+
+
 def test_nested_levels_and_edges(spark):
     rows = [(1, 0, "a", "first\nmessage"), (1, 1, "b", "> first\n> message\nsecond"),
             (1, 2, "a", ">> first\n>> message\n> second\nthird"), (1, None, "x", None), (1, 3, "c", "> nobody said this"),
