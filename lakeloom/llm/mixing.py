@@ -1,7 +1,7 @@
 """Soft-membership mixing: domain posteriors, then document rates that meet target totals.
 
-1. A classifier is fitted on a bounded sample of labelled rows (``Mix.sample`` rows with the
-   smallest id hashes): presence of the ``Mix.vocabulary`` words per domain that stand out most
+1. A classifier is fitted on a bounded sample of labelled rows (``Mix.sample`` documents at most, by
+   the hash of id and text; an id's equal texts count once): presence of the ``Mix.vocabulary`` words per domain that stand out most
    by chi-square, and six shape measures, into a softmax regression.
 2. One pass over all documents gives token counts and posteriors ``p``; they are written
    once. Nothing later reads texts to fit rates.
@@ -127,8 +127,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, mix: Mix,
     chosen = (labels.select(F.col(doc_id).alias("_id"), domain.alias("_domain")).distinct()
               .where(F.col("_id").isNotNull() & F.col("_domain").isin(domains))
               .orderBy(F.xxhash64("_id"), "_id", "_domain").limit(mix.sample))
-    rows = written(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-                   .join(F.broadcast(chosen), "_id").select("_domain", "text"), "labelled")  # mix.sample rows at most
+    held = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id")
+    # an id may stand in many rows: each of its texts counts once, and the bound is one of rows
+    once = held.groupBy("_id", "_domain", F.xxhash64("text").alias("_key")).agg(F.first("text").alias("text"))
+    rows = written(once.orderBy(F.xxhash64("_id", "_key"), "_id", "_domain", "_key").limit(mix.sample)
+                   .select("_domain", "text").repartition(docs.sparkSession.sparkContext.defaultParallelism), "labelled")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -132,3 +132,14 @@ def test_copies_are_bounded_in_the_fit(spark):
         # what the bound keeps toxic documents from is not made up for: the others meet their own targets
         clean = sum(n[i] for i in got if kinds[i] == "clean")
         assert clean == pytest.approx(0.2 * sum(n.values()), rel=0.2)
+
+
+def test_one_labelled_id_of_many_rows_stays_within_the_sample(spark, monkeypatch):
+    rows = [(1, f"text {i} of one id") for i in range(3000)] + [(2, "copy of it")] * 500 + [(i, f"clean words {i}") for i in range(3, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    mix = M.Mix({"clean": 1.0, "junk": 0.0, "toxic": 0.0}, sample=100)
+    seen = []
+    monkeypatch.setattr(M, "_softmax_regression", lambda x, y: seen.append(len(x)) or np.zeros((x.shape[1], y.shape[1])))
+    M.fit_classifier(docs, labels, M.quality_domain(), mix)
+    assert seen == [100]
