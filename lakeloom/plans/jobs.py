@@ -85,6 +85,21 @@ def _guard(name: str, fn, results: list):
         results.append((name, "error", 0, 0, f"{type(e).__name__}: {e}"))
 
 
+def _run_steps(steps: list[tuple[str, list[str], object]], there) -> list[tuple]:
+    """C11 for tables that build on each other: steps ``(name, needs, fn)`` in order. A step whose needs are
+    not there, or failed, is skipped and says which; the others run. ``there(table)`` answers for tables
+    that no step makes."""
+    results: list = []
+    for name, needs, fn in steps:
+        done = {r[0]: r[1] for r in results}
+        lacking = [n for n in needs if done.get(n, "ok") != "ok" or (n not in done and not there(n))]
+        if lacking:
+            results.append((name, "skipped", 0, f"needs {', '.join(lacking)}"))
+        else:
+            _guard(name, fn, results)
+    return results
+
+
 def _drop_provenance(df: DataFrame) -> DataFrame:
     return df.drop(*S.PROVENANCE_COLUMNS)
 
@@ -256,46 +271,64 @@ def silver_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime, dedup: bo
     return _status(spark, results)
 
 
+TRADE_GOLD_INPUTS = ["exp_tratado", "imp_tratado", "ncm_tratado", "ncm_sh_tratado", "ncm_isic_tratado",
+                     "ncm_cgce_tratado", "ncm_fat_agreg_tratado", "pais_tratado", "uf_tratado", "uf_mun_tratado"]
+
+
 def gold_trade(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """M1-M9: dimensions (overwritten), facts (the year/month partitions touched by rows
-    after the watermark are rebuilt, Q18/Q19), consolidated view registered, validation
-    tables written."""
-    needed = ["exp_tratado", "imp_tratado", "ncm_tratado", "ncm_sh_tratado", "ncm_isic_tratado",
-              "ncm_cgce_tratado", "ncm_fat_agreg_tratado", "pais_tratado", "uf_tratado", "uf_mun_tratado"]
-    missing = [t for t in needed if not path_exists(spark, lake.silver(t))]
-    if missing:  # nothing half-built: report what is missing, as the other steps do
-        return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
-    rd = lambda t: spark.read.parquet(lake.silver(t))
-    exp, imp = (spark.read.schema(SILVER_TRADE[k]).parquet(lake.silver(t))
-                for k, t in ((ts.EXPORT, "exp_tratado"), (ts.IMPORT, "imp_tratado")))
-    d_month = ts.dim_month(exp, imp, run_ts=run_ts)
-    d_product = ts.dim_product(rd("ncm_tratado"), rd("ncm_sh_tratado"), rd("ncm_isic_tratado"),
-                               rd("ncm_cgce_tratado"), rd("ncm_fat_agreg_tratado"), run_ts=run_ts)
-    d_geo = ts.dim_geography(rd("pais_tratado"), run_ts=run_ts)
-    d_loc = ts.dim_locality(rd("uf_mun_tratado"), rd("uf_tratado"), run_ts=run_ts)
-    for name, df in (("dim_tempo", d_month), ("dim_produto", d_product), ("dim_geografia", d_geo),
-                     ("dim_localidade_br", d_loc)):
-        df.write.mode("overwrite").parquet(lake.gold(name))
-    dims = {n: spark.read.parquet(lake.gold(n)) for n in ("dim_tempo", "dim_produto", "dim_geografia")}
+    """M1-M9: dimensions (overwritten), facts (the year/month partitions that silver changed are
+    rebuilt, Q18/Q19), consolidated view registered, validation tables written.
+
+    Returns the row counts of the tables. Where a silver table is missing or a step fails, the
+    steps that do not need it run all the same, and a status row for each table comes back instead (C11).
+    """
+    missing = [t for t in TRADE_GOLD_INPUTS if not path_exists(spark, lake.silver(t))]
+    lost = [(t, "skipped", 0, "silver table missing") for t in missing]
+    if len(missing) == len(TRADE_GOLD_INPUTS):
+        return _status(spark, lost)
     ensure_checkpoint_dir(spark)
-    facts = {}
-    for fact, silver, src, kind in (("fato_balanca_exp", "exp_tratado", exp, ts.EXPORT),
-                                    ("fato_balanca_imp", "imp_tratado", imp, ts.IMPORT)):
-        def star(rows, kind=kind):
-            return ts.trade_fact(rows, dims["dim_tempo"], dims["dim_produto"], dims["dim_geografia"], kind, run_ts)
-
-        shape = star(src.limit(0)).schema
-        _refresh_fact(spark, lake, fact, silver, src, star, shape, dims, run_ts)
-        facts[fact] = spark.read.schema(shape).parquet(lake.gold(fact))
-    fexp, fimp = facts["fato_balanca_exp"], facts["fato_balanca_imp"]
-    ts.consolidated(fexp, fimp).createOrReplaceTempView("vw_balanca_comercial_consolidada")
-    checks = duplicate_key_report({"dim_tempo": (dims["dim_tempo"], ["CO_ANO", "CO_MES"]),
-                                   "dim_produto": (dims["dim_produto"], ["CO_NCM"]),
-                                   "dim_geografia": (dims["dim_geografia"], ["CO_PAIS"])})
-    checks.write.mode("overwrite").parquet(lake.gold("check_duplicate_keys"))
-    counts = table_count_report({**dims, "dim_localidade_br": spark.read.parquet(lake.gold("dim_localidade_br")),
-                                 "fato_balanca_exp": fexp, "fato_balanca_imp": fimp})
-    return counts
+    rd = lambda t: spark.read.parquet(lake.silver(t))
+    gold = lambda t: spark.read.parquet(lake.gold(t))
+    kinds = {"fato_balanca_exp": ("exp_tratado", ts.EXPORT), "fato_balanca_imp": ("imp_tratado", ts.IMPORT)}
+    trade = {t: spark.read.schema(SILVER_TRADE[k]).parquet(lake.silver(t)) for t, k in kinds.values() if t not in missing}
+    used = ("dim_tempo", "dim_produto", "dim_geografia")
+
+    def build(name, make):
+        return lambda: make().write.mode("overwrite").parquet(lake.gold(name))
+
+    def star(rows, kind):
+        return ts.trade_fact(rows, *map(gold, used), kind, run_ts)
+
+    def fact(name):
+        silver, kind = kinds[name]
+        make = partial(star, kind=kind)
+        shape = make(trade[silver].limit(0)).schema
+        _refresh_fact(spark, lake, name, silver, trade[silver], make, shape, {d: gold(d) for d in used}, run_ts)
+
+    def read_fact(name):
+        silver, kind = kinds[name]
+        return spark.read.schema(star(trade[silver].limit(0), kind).schema).parquet(lake.gold(name))
+
+    def view():
+        sinks.create_view(ts.consolidated(*map(read_fact, kinds)), "vw_balanca_comercial_consolidada")
+
+    def checks():
+        keys = {"dim_tempo": ["CO_ANO", "CO_MES"], "dim_produto": ["CO_NCM"], "dim_geografia": ["CO_PAIS"]}
+        duplicate_key_report({d: (gold(d), k) for d, k in keys.items()}).write.mode("overwrite").parquet(
+            lake.gold("check_duplicate_keys"))
+
+    both, product = ["exp_tratado", "imp_tratado"], TRADE_GOLD_INPUTS[2:7]
+    steps = [("dim_tempo", both, build("dim_tempo", lambda: ts.dim_month(*map(trade.get, both), run_ts=run_ts))),
+             ("dim_produto", product, build("dim_produto", lambda: ts.dim_product(*map(rd, product), run_ts=run_ts))),
+             ("dim_geografia", ["pais_tratado"], build("dim_geografia", lambda: ts.dim_geography(rd("pais_tratado"), run_ts=run_ts))),
+             ("dim_localidade_br", ["uf_mun_tratado", "uf_tratado"],
+              build("dim_localidade_br", lambda: ts.dim_locality(rd("uf_mun_tratado"), rd("uf_tratado"), run_ts=run_ts))),
+             *[(f, [kinds[f][0], *used], partial(fact, f)) for f in kinds],
+             ("vw_balanca_comercial_consolidada", list(kinds), view), ("check_duplicate_keys", list(used), checks)]
+    results = _run_steps(steps, lambda t: t not in missing)
+    if any(r[1] != "ok" for r in results):
+        return _status(spark, lost + results)
+    return table_count_report({**{d: gold(d) for d in (*used, "dim_localidade_br")}, **{f: read_fact(f) for f in kinds}})
 
 
 def _refresh_fact(spark: SparkSession, lake: Lake, fact: str, silver: str, src: DataFrame, star, shape: StructType,
@@ -507,44 +540,65 @@ def silver_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> Dat
     return _status(spark, results)
 
 
+REGISTRY_GOLD_INPUTS = ["empresas_tratado", "estabelecimentos_tratado", "naturezas_tratado", "socios_tratado",
+                        "qualificacoes_tratado", "paises_tratado"]
+
+
 def gold_registry(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
-    """Dimensions and the company fact, partitioned by state (B3). Every table is
-    replaced whole: a state that lost its last company keeps no old rows."""
-    needed = ["empresas_tratado", "estabelecimentos_tratado", "naturezas_tratado", "socios_tratado",
-              "qualificacoes_tratado", "paises_tratado"]
-    missing = [t for t in needed if not path_exists(spark, lake.silver(t))]
-    if missing:
-        return _status(spark, [(t, "skipped", 0, "silver table missing") for t in missing])
+    """Dimensions and the company fact, partitioned by state (B3), and the analytic views. Every
+    table is replaced whole: a state that lost its last company keeps no old rows.
+
+    Returns the row counts of the tables, or a status row for each table where one could not be built (C11).
+    """
+    missing = [t for t in REGISTRY_GOLD_INPUTS if not path_exists(spark, lake.silver(t))]
+    lost = [(t, "skipped", 0, "silver table missing") for t in missing]
+    if len(missing) == len(REGISTRY_GOLD_INPUTS):
+        return _status(spark, lost)
     rd = lambda t: spark.read.parquet(lake.silver(t))
-    comps, est = rd("empresas_tratado"), rd("estabelecimentos_tratado")
-    d_open = rs.dim_opening_date(est, run_ts)
-    d_company = rs.dim_company(comps, rd("naturezas_tratado"), run_ts)
-    d_est = rs.dim_establishment(est, comps, run_ts)
-    d_partner = rs.dim_partner(rd("socios_tratado"), rd("qualificacoes_tratado"), rd("paises_tratado"), run_ts)
-    d_open.write.mode("overwrite").parquet(lake.gold("dim_tempo_abertura"))
-    d_company.write.mode("overwrite").parquet(lake.gold("dim_empresa"))
-    d_est.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("SG_UF").parquet(lake.gold("dim_estabelecimento"))
-    d_partner.write.mode("overwrite").parquet(lake.gold("dim_socios_perfil"))
-    fact = rs.fact_establishment(spark.read.parquet(lake.gold("dim_empresa")),
-                                 spark.read.parquet(lake.gold("dim_estabelecimento")), run_ts)
-    (fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("SG_UF_RESPONSAVEL")
-         .parquet(lake.gold("fato_estabelecimento")))
     g = lambda t: spark.read.parquet(lake.gold(t))
-    # M17-M19 (B12): the analytic views over the written gold tables
-    est_view = rs.establishment_view(g("dim_estabelecimento"), rd("estabelecimentos_tratado"))
-    rs.company_complete(g("fato_estabelecimento"), est_view).createOrReplaceTempView("vw_empresa_completa")
-    rs.company_partner(g("dim_socios_perfil"), g("fato_estabelecimento")).createOrReplaceTempView(
-        "vw_empresa_socios_detalhado")
-    rs.region_rollup(g("fato_estabelecimento"), est_view).createOrReplaceTempView("vw_empresas_por_regiao")
-    duplicate_key_report({"dim_empresa": (g("dim_empresa"), ["CO_CNPJ_BASICO"]),
-                          "dim_estabelecimento": (g("dim_estabelecimento"),
-                                                  ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"]),
-                          "dim_socios_perfil": (g("dim_socios_perfil"), ["CO_CNPJ_BASICO", "ID_SOCIO"]),
-                          "fato_estabelecimento": (g("fato_estabelecimento"), ["CO_CNPJ_BASICO"])}
-                         ).write.mode("overwrite").parquet(lake.gold("check_duplicate_keys"))
-    return table_count_report({n: spark.read.parquet(lake.gold(n)) for n in
-                               ("dim_tempo_abertura", "dim_empresa", "dim_estabelecimento",
-                                "dim_socios_perfil", "fato_estabelecimento")})
+
+    def build(name, make, state=None):
+        def step():
+            w = make().write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (w.partitionBy(state) if state else w).parquet(lake.gold(name))
+        return step
+
+    def est_view():
+        return rs.establishment_view(g("dim_estabelecimento"), rd("estabelecimentos_tratado"))
+
+    def view(name, make):  # M17-M19 (B12): the analytic views over the written gold tables
+        def step():
+            sinks.create_view(make(), name)
+        return step
+
+    def checks():
+        keys = {"dim_empresa": ["CO_CNPJ_BASICO"], "dim_estabelecimento": ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"],
+                "dim_socios_perfil": ["CO_CNPJ_BASICO", "ID_SOCIO"], "fato_estabelecimento": ["CO_CNPJ_BASICO"]}
+        duplicate_key_report({t: (g(t), k) for t, k in keys.items()}).write.mode("overwrite").parquet(
+            lake.gold("check_duplicate_keys"))
+
+    comps, est, fact = "empresas_tratado", "estabelecimentos_tratado", "fato_estabelecimento"
+    tables = ["dim_tempo_abertura", "dim_empresa", "dim_estabelecimento", "dim_socios_perfil", fact]
+    steps = [
+        ("dim_tempo_abertura", [est], build("dim_tempo_abertura", lambda: rs.dim_opening_date(rd(est), run_ts))),
+        ("dim_empresa", [comps, "naturezas_tratado"],
+         build("dim_empresa", lambda: rs.dim_company(rd(comps), rd("naturezas_tratado"), run_ts))),
+        ("dim_estabelecimento", [est, comps],
+         build("dim_estabelecimento", lambda: rs.dim_establishment(rd(est), rd(comps), run_ts), "SG_UF")),
+        ("dim_socios_perfil", ["socios_tratado", "qualificacoes_tratado", "paises_tratado"],
+         build("dim_socios_perfil", lambda: rs.dim_partner(rd("socios_tratado"), rd("qualificacoes_tratado"),
+                                                           rd("paises_tratado"), run_ts))),
+        (fact, ["dim_empresa", "dim_estabelecimento"],
+         build(fact, lambda: rs.fact_establishment(g("dim_empresa"), g("dim_estabelecimento"), run_ts), "SG_UF_RESPONSAVEL")),
+        ("vw_empresa_completa", [fact], view("vw_empresa_completa", lambda: rs.company_complete(g(fact), est_view()))),
+        ("vw_empresa_socios_detalhado", [fact, "dim_socios_perfil"],
+         view("vw_empresa_socios_detalhado", lambda: rs.company_partner(g("dim_socios_perfil"), g(fact)))),
+        ("vw_empresas_por_regiao", [fact], view("vw_empresas_por_regiao", lambda: rs.region_rollup(g(fact), est_view()))),
+        ("check_duplicate_keys", tables[1:], checks)]
+    results = _run_steps(steps, lambda t: t not in missing)
+    if any(r[1] != "ok" for r in results):
+        return _status(spark, lost + results)
+    return table_count_report({t: g(t) for t in tables})
 
 
 GOLD_TABLES = ["dim_tempo", "dim_produto", "dim_geografia", "dim_localidade_br", "fato_balanca_exp", "fato_balanca_imp",

@@ -421,3 +421,46 @@ def test_tables_by_name(spark, tmp_path):
     finally:
         for d in ("t_silver", "t_gold"):
             spark.sql(f"DROP DATABASE IF EXISTS {d} CASCADE")
+
+
+def test_one_broken_dimension_leaves_the_others_built(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    trade_landing(landing)
+    run = dt.datetime(2024, 3, 1, 6)
+    jobs.bronze_trade(spark, landing, lake, run)
+    jobs.silver_trade(spark, lake, run)
+    import shutil
+    shutil.rmtree(lake.silver("pais_tratado"))
+    spark.range(1).write.mode("overwrite").parquet(lake.silver("uf_tratado"))   # its columns are gone
+    st = {r["tabela"]: (r["status"], r["mensagem"]) for r in jobs.gold_trade(spark, lake, run).collect()}
+    assert st["pais_tratado"] == ("skipped", "silver table missing")
+    assert st["dim_geografia"] == ("skipped", "needs pais_tratado") and st["dim_localidade_br"][0] == "error"
+    assert st["dim_tempo"][0] == st["dim_produto"][0] == "ok"
+    assert st["fato_balanca_exp"] == ("skipped", "needs dim_geografia")
+    assert st["vw_balanca_comercial_consolidada"][0] == "skipped"
+    assert spark.read.parquet(lake.gold("dim_produto")).count() == 1
+
+
+def test_refresh_that_leaves_nothing(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\n2024;1;1;10;023;SP;1;1;3;10;100\r\n")
+    days = [dt.datetime(2024, 3, d, 6) for d in (1, 2)]
+    jobs.bronze_trade(spark, landing, lake, days[0])
+    jobs.silver_trade(spark, lake, days[0])
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\nonly;bad\r\n")
+    jobs.bronze_trade(spark, landing, lake, days[1], mode="full")
+    jobs.silver_trade(spark, lake, days[1])
+    left = spark.read.schema(jobs.SILVER_TRADE["EXP"]).parquet(lake.silver("exp_tratado"))
+    assert left.count() == 0
+    assert inc.committed_rejects(spark, lake.quarantine("exp"), lake.manifest, "EXP").count() == 1
+    assert stored_rejects(spark, lake.quarantine("exp")).count() == 1
+
+
+def test_quarantine_after_a_crash_and_its_rerun(spark, tmp_path):
+    landing, lake = str(tmp_path / "landing"), jobs.Lake(str(tmp_path / "lake"))
+    write(f"{landing}/EXP_2024.csv", EXP_HEADER + "\r\n2024;1;1;10;023;SP;1;1;3;10;100\r\nshort;line\r\n")
+    jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 1))
+    drop_manifest_rows(spark, lake, "EXP")
+    jobs.bronze_trade(spark, landing, lake, dt.datetime(2024, 3, 2))
+    assert stored_rejects(spark, lake.quarantine("exp")).count() == 2
+    assert inc.committed_rejects(spark, lake.quarantine("exp"), lake.manifest, "EXP").count() == 1

@@ -118,7 +118,8 @@ def test_trade_rows_on_bucketed_tables(spark, tmp_path):
 FILE_QUERIES = {"csv_roundtrip", "csv_corrupt", "csv_sanitized", "csv_rejects", "archive_lines", "file_routing",
                 "incremental_rows", "incremental_files", "run_summary", "watermark_rows", "positional_shards",
                 "stream_rows", "partition_advice", "salt_layout", "silver_summary", "bronze_trade_rows",
-                "bronze_rejects"}
+                "bronze_rejects", "csv_multiline", "silver_after_refresh", "fact_after_refresh", "fact_after_republish",
+                "rejects_after_refresh", "aux_columns", "bronze_trade_tables", "bronze_registry_tables", "tables_by_name"}
 
 
 def test_no_python_and_pruned_scans_in_table_queries(spark):
