@@ -1,9 +1,11 @@
 """License scans: fixed phrases, and an exact set-similarity join with notice templates
 (DataFrame functions only).
 
-Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. A text
-block is a line. A block meets a template if it holds at least ``threshold`` of the
-template's distinct words (containment ``|B n T| / |T|``).
+Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. Text
+blocks are the lines, and for each template all stretches of consecutive words, over line ends,
+of ``WINDOW`` times the template's length: a notice may be wrapped anywhere. A block meets a
+template if it holds at least ``threshold`` of the template's distinct words (containment
+``|B n T| / |T|``).
 
 The join is exact and filters before it compares:
 
@@ -14,14 +16,17 @@ The join is exact and filters before it compares:
 - length filter: the block must hold ``need`` template words at all;
 - positional filter: from the first common word at place ``i`` of the template and ``j`` of
   the block, no more than ``1 + min(|T| - i - 1, |B| - j - 1)`` words can be common;
-- what is left is compared in full.
+- what is left is compared in full;
+- stretches pass the same prefix and length filters by their document first, and are compared
+  where a template word begins them: any other stretch holds no more than the next such one.
 
 The index holds the template words alone and comes as a parameter (``Template`` objects in
 code, at most ``MAX_TEMPLATES``), so it travels as a literal of the plan: blocks are probed
 where they are, nothing is shuffled but the word counts, and no block is in one group with
 others. Documents without an indexed word leave after one look at their words.
 
-Defined results: a null or empty text has no words, no place and score 0; every row is
+Defined results: a null or empty text has no words, no place and score 0; very long texts are
+searched whole; every row is
 judged by itself, so ties and repeated rows have equal results; null ids pass; an empty
 table gives an empty result; other columns are not read.
 """
@@ -36,6 +41,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_TEMPLATES = 500
+#: Words of a stretch for each word of the template: room for comment marks and a few words more.
+WINDOW = 1.5
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KELVIN, _KAPPA = "\u212a", "κ" # the one other character whose lower case is an ASCII letter
 
@@ -48,7 +55,16 @@ class Template:
     @property
     def words(self) -> list[str]:
         """Distinct words, in the order of the text."""
-        return list(dict.fromkeys(w for w in re.split(_SEPARATORS, self.text.lower()) if w))
+        return list(dict.fromkeys(self.sequence))
+
+    @property
+    def sequence(self) -> list[str]:
+        return [w for w in re.split(_SEPARATORS, self.text.lower()) if w]
+
+    @property
+    def window(self) -> int:
+        """Words of a stretch that is compared with this template."""
+        return math.ceil(WINDOW * len(self.sequence))
 
 
 # Phrases and their labels.
@@ -106,8 +122,9 @@ def word_ranks(docs: DataFrame, vocabulary: list[str], text: str = "text") -> di
 def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, phrases: dict[str, str] = PHRASES,
          threshold: float = 0.9, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, ``n_words``, the phrase places (``n_base``, ``first_word``, ``last_word``,
-    ``base_labels``), ``blocks`` (line, label, containment of every block and template that
-    meet), ``labels`` of both kinds and ``score``, the largest containment found."""
+    ``base_labels``), ``blocks`` (line, label, containment of every line and template that
+    meet), ``windows`` (first word, label, containment of the best stretch for every template that
+    one meets), ``labels`` of all kinds and ``score``, the largest containment found."""
     if not 0 < threshold <= 1 or len(templates) > MAX_TEMPLATES:
         raise ValueError(f"threshold must lie in (0, 1], templates be {MAX_TEMPLATES} at most")
     templates = [t for t in templates if t.words]
@@ -124,17 +141,18 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, phrases: dict[s
     out = out.withColumn("wanted", F.arrays_overlap("words", _literal(sorted(index)))) if index else (
         out.withColumn("wanted", F.lit(False)))
     out = out.select("doc_id", F.size("words").cast("long").alias("n_words"),
-                     _places(phrases).alias("places"), _blocks(templates, sets, index, ranks).alias("blocks"))
+                     _places(phrases).alias("places"), _blocks(templates, sets, index, ranks).alias("blocks"),
+                     _windows(templates, sets, needs).alias("windows"))
     starts = F.transform("places", lambda p: p["at"])
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
-    found = F.transform("blocks", lambda b: b["label"])
+    found = F.concat(F.transform("blocks", lambda b: b["label"]), F.transform("windows", lambda b: b["label"]))
+    holds = F.concat(F.transform("blocks", lambda b: b["containment"]), F.transform("windows", lambda b: b["containment"]))
     return out.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(base, ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, found)), ",").alias("labels"),
-        F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0)).alias("score"),
-        "blocks")
+        F.coalesce(F.array_max(holds), F.lit(0.0)).alias("score"), "blocks", "windows")
 
 
 def _places(phrases: dict[str, str]) -> Column:
@@ -203,3 +221,29 @@ def _blocks(templates: list[Template], sets: list[list[str]], index: dict, ranks
 
     lines = F.transform(F.split(F.col("low"), "\n"), ordered)
     return F.when(F.col("wanted"), F.flatten(F.transform(lines, meets)).cast(kind)).otherwise(none)
+
+
+def _windows(templates: list[Template], sets: list[list[str]], needs: list[int]) -> Column:
+    """(first word, label, containment) of the best stretch of words for every template that one meets."""
+    kind = "array<struct<word: int, label: string, containment: double>>"
+    none = F.array().cast(kind)
+    if not templates:
+        return none
+    table = F.array(*[F.struct(F.lit(t.label).alias("label"), _literal(s).alias("words"), _literal(s[:len(s) - n + 1]).alias("prefix"),
+                               F.lit(n).alias("need"), F.lit(t.window).alias("window"))
+                      for t, s, n in zip(templates, sets, needs)])
+    words = F.col("words")
+    likely = F.filter(table, lambda t: F.arrays_overlap(words, t["prefix"]) & (
+        F.size(F.array_intersect(words, t["words"])) >= t["need"]))
+
+    def best(t: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(t["words"], F.get(words, i)))
+        return F.array_max(F.transform(starts, lambda i: F.struct(
+            F.size(F.array_intersect(F.slice(words, i + 1, t["window"]), t["words"])).alias("n"), (-i).alias("at"))))
+
+    scored = F.transform(likely, lambda t: F.struct(t["label"].alias("label"), F.size(t["words"]).alias("size"),
+                                                    t["need"].alias("need"), best(t).alias("b")))
+    good = F.filter(scored, lambda s: s["b"]["n"] >= s["need"])
+    return F.when(F.col("wanted"), F.transform(good, lambda s: F.struct(
+        (-s["b"]["at"]).alias("word"), s["label"].alias("label"), (s["b"]["n"] / s["size"]).alias("containment")))
+        .cast(kind)).otherwise(none)

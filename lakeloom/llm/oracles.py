@@ -24,23 +24,32 @@ def _strings(values) -> str:
 
 
 def license_scan(threshold: float = 0.9) -> str:
-    """Places of the phrases by list filters; every line compared with every template."""
+    """Places of the phrases by list filters; every line, and every stretch of words of a template's window
+    in the documents that hold enough of its words at all, compared with every template."""
     word = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
     phrases = " ".join(
         f"""|| list_transform(list_filter(range(1, len(w) - {len(p) - 2}), lambda i: {' AND '.join(
             f"w[i + {j}] = '{x}'" for j, x in enumerate(p))}), lambda i: {{'at': i - 1, 'label': '{label}'}})"""
         for p, label in ((k.split(), v) for k, v in licenses.PHRASES.items()))
-    templates = ",\n".join(f"('{t.label}', {_strings(t.words)})" for t in licenses.TEMPLATES)
+    templates = ",\n".join(f"('{t.label}', {_strings(t.words)}, {t.window})" for t in licenses.TEMPLATES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, list_transform(regexp_extract_all(t, {word}), lambda x: lower(x)) AS w FROM d),
 p AS (SELECT rid, doc_id, t, len(w) AS n_words, []::STRUCT("at" BIGINT, "label" VARCHAR)[] {phrases} AS places FROM w),
-templates(label, words) AS (VALUES {templates}),
+templates(label, words, win) AS (VALUES {templates}),
 lines AS (SELECT rid, list_distinct(list_transform(regexp_extract_all(unnest(string_split(t, chr(10))), {word}),
                                                    lambda x: lower(x))) AS words FROM d),
+stretches AS (
+    SELECT rid, label, t.words AS own, list_distinct(d.w[i:i + win - 1]) AS words
+    FROM (SELECT rid, w, label, t.words, win, unnest(range(1, len(w) + 1)) AS i FROM w
+          JOIN templates t ON len(list_intersect(w, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)) d
+    JOIN templates t USING (label, words, win)),
 met AS (
     SELECT rid, label, len(list_intersect(l.words, t.words)) / len(t.words) AS containment
-    FROM lines l JOIN templates t ON len(list_intersect(l.words, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)),
+    FROM lines l JOIN templates t ON len(list_intersect(l.words, t.words)) >= ceil({threshold} * len(t.words) - 1e-9)
+    UNION ALL
+    SELECT rid, label, len(list_intersect(words, own)) / len(own) FROM stretches
+    WHERE len(list_intersect(words, own)) >= ceil({threshold} * len(own) - 1e-9)),
 best AS (SELECT rid, list(DISTINCT label) AS labels, max(containment) AS score FROM met GROUP BY rid)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base,
        list_min(list_transform(places, lambda x: x.at))::BIGINT AS first_word,

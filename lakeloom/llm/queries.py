@@ -53,7 +53,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks")
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("blocks", "windows")
 
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,15 @@ def brute(text, templates, threshold):
             own = set(t.words)
             if len(held & own) >= math.ceil(threshold * len(own) - 1e-9):
                 blocks.append((n, t.label, len(held & own) / len(own)))
+    stretches = []
+    for t in templates:
+        own, size = set(t.words), math.ceil(1.5 * len(words_of(t.text)))
+        held = [(len(own & set(words[i:i + size])), -i) for i in range(len(words)) if words[i] in own]
+        if held and max(held)[0] >= math.ceil(threshold * len(own) - 1e-9):
+            stretches.append((-max(held)[1], t.label, max(held)[0] / len(own)))
+    met = blocks + stretches
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)),
-            ",".join(sorted(labels | {b[1] for b in blocks})), max((b[2] for b in blocks), default=0.0), sorted(blocks))
+            ",".join(sorted(labels | {b[1] for b in met})), max((b[2] for b in met), default=0.0), sorted(blocks), sorted(stretches))
 
 
 def texts():
@@ -68,10 +75,27 @@ def test_matches_brute_force(spark, threshold):
             continue
         r = got[i]
         mine = (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score,
-                sorted((b.line, b.label, b.containment) for b in r.blocks))
+                sorted((b.line, b.label, b.containment) for b in r.blocks),
+                sorted((b.word, b.label, b.containment) for b in r.windows))
         assert mine == brute(t, L.TEMPLATES, threshold), (i, t[:200])
 
 
+def test_wrapped_notices_are_found(spark):
+    """Notices as they are published: broken into lines, behind comment marks."""
+    import textwrap
+    rows = []
+    for i, t in enumerate(L.TEMPLATES):
+        for j, width in enumerate((20, 40, 72)):
+            lines = textwrap.wrap(t.text, width)
+            rows.append((10 * i + j, "Some text before.\n\n" + "\n".join(f" * {x}" if j == 2 else x for x in lines) + "\nand after."))
+    out = {r.doc_id: r for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in enumerate(L.TEMPLATES):
+        for j in range(3):
+            assert t.label in out[10 * i + j].labels.split(",") and out[10 * i + j].score == 1.0, (t.text, j)
+    apart = "\n".join(w + " filler" * 12 for w in L.TEMPLATES[6].text.split())   # all of its words, far from each other
+    assert L.scan(spark.createDataFrame([(1, apart)], "doc_id long, text string")).first().labels == ""
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert L.scan(empty).collect() == []
