@@ -89,6 +89,26 @@ def with_fingerprint(df: DataFrame, text: str, out: str, shingle: int = 4) -> Da
     return df.withColumn(out, prints(F.col(text)))
 
 
+_SLICE = 256
+
+
+def fingerprints(df: DataFrame, text: str, out: str, shingle: int = 4) -> DataFrame:
+    """The same with ``out`` in the place of ``text``: texts go through the task in small slices, and
+    neither side of it holds a batch of rows with their texts until the fingerprints are back."""
+    ship_package(df.sparkSession)
+    names = [c for c in df.columns if c != text]
+    schema = T.StructType([*[df.schema[c] for c in names], T.StructField(out, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(s, _SLICE)
+                prints = np.array([fingerprint(t.as_py(), shingle) for t in part.column(len(names))], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], pa.array(prints)], [*names, out])
+
+    return df.select(*names, text).mapInArrow(run, schema)
+
+
 # ---------------------------------------------------------------- Golay keys
 def nearest_codeword(words: np.ndarray) -> np.ndarray:
     """Index of the nearest codeword of 23-bit words: the code is perfect, so errors have weight 3 at most."""
@@ -253,7 +273,7 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    max_bits: int = MAX_BITS) -> DataFrame:
     """``near_duplicates`` of a table of texts; fingerprints are computed and written once."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = written(with_fingerprint(slim, "text", "fp", shingle).select("doc_id", "fp"), "prints")
+    prints = written(fingerprints(slim, "text", "fp", shingle), "prints")
     return near_duplicates(prints, max_bits=max_bits)
 
 
@@ -284,7 +304,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     file, number = F.xxhash64(F.col(place[0])), F.col(place[1])
     held = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"), F.xxhash64(everything).alias("hash"),
                        file.alias("file"), number.alias("number"))
-    prints = written(with_fingerprint(held, "text", "fp", shingle).drop("text"), "prints")
+    prints = written(fingerprints(held, "text", "fp", shingle), "prints")
     groups = near_duplicates(prints, max_bits=max_bits, keep=("hash", "file", "number"))
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(
         F.min(F.struct("hash", "file", "number")).alias("first")).select("first.file", "first.number")
