@@ -15,7 +15,7 @@ from ..functions.cleaning import flag_equals
 from ..functions.keys import (month_name, quarter, quarter_label, semester, semester_label,
                               surrogate_key)
 from .dedup import dedup_by_key
-from .joins import broadcast_if_small, one_to_many_left
+from .joins import broadcast_if_small
 
 
 def _stamp(df: DataFrame, name: str, run_ts) -> DataFrame:
@@ -55,9 +55,14 @@ def dim_company(companies: DataFrame, natures: DataFrame, run_ts=None) -> DataFr
     return _stamp(out, "data_criacao", run_ts)
 
 
-def dim_establishment(establishments: DataFrame, companies: DataFrame, run_ts=None) -> DataFrame:
+def dim_establishment(establishments: DataFrame, companies: DataFrame, run_ts=None, flags: bool = False) -> DataFrame:
     """Establishment with its company's size (a real equi join on the company
-    key, not the self-comparison of Q11), key on the three id parts, one row per id."""
+    key, not the self-comparison of Q11), key on the three id parts, one row per id.
+
+    ``flags`` carries FL_ATIVA and QT_FILIAIS along, from rows that have them already (see
+    ``establishment_flags``): the view that M17-M19 expect, without joining the rows to themselves.
+    """
+    own = [F.col("IS_ATIVA").alias("FL_ATIVA"), F.col("QT_FILIAIS")] if flags else []
     comp = companies.select(F.col("CNPJ_BASICO").alias("_cnpj"),
                             F.col("PORTE_DA_EMPRESA").alias("CO_PORTE"))
     comp = comp.groupBy("_cnpj").agg(F.min("CO_PORTE").alias("CO_PORTE"))
@@ -71,7 +76,7 @@ def dim_establishment(establishments: DataFrame, companies: DataFrame, run_ts=No
         F.col("CNAE_FISCAL_PRINCIPAL").alias("CO_CNAE_PRINCIPAL"),
         "DT_INICIO_ATIVIDADE",
         F.col("SITUACAO_CADASTRAL").alias("CO_SITUACAO_CADASTRAL"),
-        "CO_PORTE", flag_equals("IDENTIFICADOR_MATRIZ_FILIAL", "1").alias("FL_MATRIZ"),
+        "CO_PORTE", flag_equals("IDENTIFICADOR_MATRIZ_FILIAL", "1").alias("FL_MATRIZ"), *own
     ).withColumn("sk_estabelecimento", surrogate_key("CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"))
     out = dedup_by_key(out, ["CO_CNPJ_BASICO", "CO_CNPJ_ORDEM", "CO_CNPJ_DV"])
     return _stamp(out, "data_criacao", run_ts)
@@ -154,10 +159,17 @@ def establishment_view(d_establishment: DataFrame, flags: DataFrame) -> DataFram
 
 
 def _fact_with_establishments(fact: DataFrame, est_view: DataFrame) -> DataFrame:
-    """fact LEFT JOIN establishments on the company key, written skew-safe (a company
-    may own a third of all establishments)."""
+    """fact LEFT JOIN establishments on the company key, written skew-safe: a company may own a third of
+    all establishments, and of an outer join only the preserved side can be split.
+
+    The fact says itself which companies have no establishment (no head office, hence no key),
+    so those rows are added to an inner join, whose two sides can both be split.
+    """
     est = est_view.select(*[F.col(c).alias(f"est_{c}") for c in est_view.columns])
-    return one_to_many_left(fact, est, "CO_CNPJ_BASICO", "est_CO_CNPJ_BASICO")
+    matched = fact.join(est, fact["CO_CNPJ_BASICO"] == est["est_CO_CNPJ_BASICO"])
+    alone = fact.where(F.col("fk_estabelecimento").isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in est.schema.fields])
+    return matched.unionByName(alone)
 
 
 def company_complete(fact: DataFrame, est_view: DataFrame) -> DataFrame:

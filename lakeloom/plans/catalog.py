@@ -148,7 +148,7 @@ def build_registry(t: si.Tables):
     d_est = rs.dim_establishment(est, comps)
     d_partner = rs.dim_partner(si.partners(t), si.qualifications(t), si.registry_countries(t))
     fact = rs.fact_establishment(d_company, d_est)
-    est_view = rs.establishment_view(d_est, rs.establishment_flags(est))
+    est_view = rs.dim_establishment(rs.establishment_flags(est), comps, flags=True)
     return dict(companies=comps, est=est, d_company=d_company, d_est=d_est, d_partner=d_partner,
                 fact=fact, est_view=est_view)
 
