@@ -139,7 +139,7 @@ def silver_products(spark, sf_dir):
 @register("silver_lookups", f"""
 SELECT CAST(n_nationkey AS INTEGER) AS CO_MUN_GEO, n_name AS NO_MUN, CAST(n_regionkey AS VARCHAR) AS SG_UF FROM nation""")
 def silver_lookups(spark, sf_dir):
-    """A lookup with an integer code and a dropped column."""
+    """A lookup with an integer code and a dropped column."""
     raw = si.Tables(spark, sf_dir).nation.select(
         text("n_nationkey").alias("CO_MUN_GEO"), F.col("n_name").alias("NO_MUN"), F.lower("n_name").alias("NO_MUN_MIN"),
         text("n_regionkey").alias("SG_UF"))

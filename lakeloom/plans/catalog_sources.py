@@ -185,7 +185,7 @@ SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS dia, count(*) AS num_registros
 def incremental_files(spark, sf_dir):
     """Manifest rows (one per file) summed per day folder."""
     _, manifest, _ = _incremental_runs(spark, sf_dir)
-    m = spark.read.parquet(manifest)
+    m = inc.live_files(inc.read_manifest(spark, manifest))
     day = F.regexp_extract("caminho_arquivo", r"dia=([0-9]{8})", 1).cast("int")
     return m.groupBy(day.alias("dia")).agg(F.sum("num_registros").alias("num_registros"))
 

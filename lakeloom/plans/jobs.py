@@ -203,7 +203,7 @@ def silver_product_codes(bronze: DataFrame) -> DataFrame:
     df = cl.whitespace_blanks_to_null_df(_drop_provenance(bronze))
     df = cl.zero_pad_df(df, {"CO_NCM": 8, "CO_SH6": 6, "CO_ISIC_CLASSE": 4, "CO_CGCE_N3": 3, "CO_FAT_AGREG": 2},
                         truncate=False)
-    return df.drop("NO_NCM_ESP", "NO_NCM_ING", "CO_PPE", "CO_PPI", "CO_SIIT")
+    return df.drop(*S.PRODUCT_UNUSED)
 
 
 def silver_lookup(bronze: DataFrame, pads: dict[str, int] | None = None, ints: list[str] = (),
@@ -442,9 +442,7 @@ def silver_establishments(b: DataFrame) -> DataFrame:
     """Key rules, newest row per establishment, contact columns dropped (real names,
     Q29), codes stripped and padded (never cut), dates parsed (F3), placeholders (F6), flags
     (F15), secondary activities padded in place (F26, no explode, Q13)."""
-    df = b.drop("DDD1", "TELEFONE1", "DDD2", "TELEFONE2", "DDD_FAX", "FAX", "CORREIO_ELETRONICO",
-                "SITUACAO_ESPECIAL", "DATA_SITUACAO_ESPECIAL", "COMPLEMENTO", "NUMERO", "TIPO_LOGRADOURO",
-                "LOGRADOURO", "BAIRRO")
+    df = b.drop(*S.ESTABLISHMENT_UNUSED)
     df = _tidy_codes(df, ["CNPJ_BASICO", "CNPJ_ORDEM", "CNPJ_DV", "IDENTIFICADOR_MATRIZ_FILIAL", "SITUACAO_CADASTRAL",
                           "MOTIVO_SITUACAO_CADASTRAL", "PAIS", "CNAE_FISCAL_PRINCIPAL", "CNAE_FISCAL_SECUNDARIA", "CEP",
                           "UF", "MUNICIPIO", "DATA_SITUACAO_CADASTRAL", "DT_INICIO_ATIVIDADE"])

@@ -14,6 +14,9 @@ PRODUCT_COLUMNS = ["CO_NCM", "CO_UNID", "CO_SH6", "CO_PPE", "CO_PPI", "CO_FAT_AG
                    "CO_CGCE_N3", "CO_SIIT", "CO_ISIC_CLASSE", "CO_EXP_SUBSET", "NO_NCM_POR", "NO_NCM_ESP",
                    "NO_NCM_ING"]
 
+# Columns of the product codes that silver does not keep.
+PRODUCT_UNUSED = ["NO_NCM_ESP", "NO_NCM_ING", "CO_PPE", "CO_PPI", "CO_SIIT"]
+
 # Company registry files (headerless, ';', quoted, ISO-8859-1, inside ZIP archives).
 COMPANY_COLUMNS = ["CNPJ_BASICO", "RAZAO_SOCIAL_NOME_EMPRESARIAL", "NATUREZA_JURIDICA",
                    "QUALIFICACAO_DO_RESPONSAVEL", "CAPITAL_SOCIAL_DA_EMPRESA", "PORTE_DA_EMPRESA",
@@ -24,6 +27,10 @@ ESTABLISHMENT_COLUMNS = ["CNPJ_BASICO", "CNPJ_ORDEM", "CNPJ_DV", "IDENTIFICADOR_
                          "CNAE_FISCAL_SECUNDARIA", "TIPO_LOGRADOURO", "LOGRADOURO", "NUMERO", "COMPLEMENTO",
                          "BAIRRO", "CEP", "UF", "MUNICIPIO", "DDD1", "TELEFONE1", "DDD2", "TELEFONE2", "DDD_FAX",
                          "FAX", "CORREIO_ELETRONICO", "SITUACAO_ESPECIAL", "DATA_SITUACAO_ESPECIAL"]
+# Columns of the establishments that silver does not keep (contacts, addresses).
+ESTABLISHMENT_UNUSED = ["DDD1", "TELEFONE1", "DDD2", "TELEFONE2", "DDD_FAX", "FAX", "CORREIO_ELETRONICO",
+                        "SITUACAO_ESPECIAL", "DATA_SITUACAO_ESPECIAL", "COMPLEMENTO", "NUMERO", "TIPO_LOGRADOURO",
+                        "LOGRADOURO", "BAIRRO"]
 SIMPLES_COLUMNS = ["CNPJ_BASICO", "OPCAO_PELO_SIMPLES", "DATA_DE_OPCAO_PELO_SIMPLES", "DATA_DE_EXCLUSAO_DO_SIMPLES",
                    "OPCAO_PELO_MEI", "DATA_DE_OPCAO_PELO_MEI", "DATA_DE_EXCLUSAO_DO_MEI"]
 PARTNER_COLUMNS = ["CNPJ_BASICO", "IDENTIFICADOR_DO_SOCIO", "NOME_DO_SOCIO", "CPF_CNPJ_DO_SOCIO",
