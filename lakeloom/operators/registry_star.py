@@ -84,16 +84,24 @@ def dim_establishment(establishments: DataFrame, companies: DataFrame, run_ts=No
 
 def dim_partner(partners: DataFrame, qualifications: DataFrame, countries: DataFrame,
                 run_ts=None) -> DataFrame:
-    """Partner with qualification and country descriptions, one row per (company, partner)."""
-    qual = broadcast_if_small(qualifications.select(F.col("CODIGO").alias("CODIGO_QUALIFICACAO"),
-                                                    F.col("DESCRICAO").alias("DESCRICAO_QUALIFICACAO")))
-    ctry = broadcast_if_small(countries.select(F.col("CODIGO").alias("CODIGO_PAIS"),
-                                               F.col("DESCRICAO").alias("DESCRICAO_PAIS")))
-    j = (partners.join(qual, F.col("QUALIFICACAO_DO_SOCIO") == F.col("CODIGO_QUALIFICACAO"), "left")
-                 .join(ctry, F.col("PAIS") == F.col("CODIGO_PAIS"), "left"))
-    out = j.select(
+    """Partner with qualification and country descriptions, one row per (company, partner).
+
+    The rows are reduced before descriptions and key are added: both follow from columns that a kept row
+    has, so the wide ones are neither sorted nor shuffled. Of a code with several descriptions the
+    first counts, as it would in the order of the joined rows.
+    """
+    base = dedup_by_key(partners.select(
         F.col("CNPJ_BASICO").alias("CO_CNPJ_BASICO"),
         F.col("IDENTIFICADOR_DO_SOCIO").alias("ID_SOCIO"),
+        "NOME_DO_SOCIO", "CPF_CNPJ_DO_SOCIO", "QUALIFICACAO_DO_SOCIO", "FAIXA_ETARIA", "PAIS",
+        "DATA_DE_ENTRADA_NA_SOCIEDADE"), ["CO_CNPJ_BASICO", "ID_SOCIO"])
+    one = lambda codes: dedup_by_key(codes.select("CODIGO", "DESCRICAO"), ["CODIGO"])
+    qual = broadcast_if_small(one(qualifications).toDF("CODIGO_QUALIFICACAO", "DESCRICAO_QUALIFICACAO"))
+    ctry = broadcast_if_small(one(countries).toDF("CODIGO_PAIS", "DESCRICAO_PAIS"))
+    j = (base.join(qual, F.col("QUALIFICACAO_DO_SOCIO") == F.col("CODIGO_QUALIFICACAO"), "left")
+             .join(ctry, F.col("PAIS") == F.col("CODIGO_PAIS"), "left"))
+    out = j.select(
+        "CO_CNPJ_BASICO", "ID_SOCIO",
         F.col("NOME_DO_SOCIO").alias("NO_SOCIO"),
         F.col("CPF_CNPJ_DO_SOCIO").alias("NU_CPF_CNPJ_SOCIO"),
         F.col("QUALIFICACAO_DO_SOCIO").alias("CO_QUALIFICACAO"),
@@ -103,7 +111,6 @@ def dim_partner(partners: DataFrame, qualifications: DataFrame, countries: DataF
         F.col("DESCRICAO_PAIS").alias("NO_PAIS"),
         F.col("DATA_DE_ENTRADA_NA_SOCIEDADE").alias("DT_ENTRADA_SOCIEDADE"),
     ).withColumn("sk_socio", surrogate_key("CO_CNPJ_BASICO", "ID_SOCIO"))
-    out = dedup_by_key(out, ["CO_CNPJ_BASICO", "ID_SOCIO"])
     return _stamp(out, "data_criacao", run_ts)
 
 

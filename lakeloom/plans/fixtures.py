@@ -14,7 +14,8 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
+from ..sources.archives import open_stream
 from .standins import Tables
 
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -82,25 +83,53 @@ def _hadoop(t: Tables, path: str):
     return p, p.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _join_parts(job: tuple[list[str], str]) -> None:
+    """One file of many parts: the first part's header, every part's lines. The bytes go through in pieces."""
+    parts, target = job
+    with open_stream(target, "wb") as out:
+        for i, part in enumerate(parts):
+            with open_stream(part) as lines:
+                head = i > 0
+                while piece := lines.read(1 << 22):
+                    if head:
+                        at = piece.find(b"\n")
+                        if at < 0:
+                            continue
+                        piece, head = piece[at + 1:], False
+                    out.write(piece)
+
+
 def write_named_csv(t: Tables, rows, landing: str, names, by: str | None = None, sep: str = ";", quote: str = '"') -> None:
     """Header-bearing ``;`` Latin-1 files with names of their own, old files of these names replaced.
 
     ``names`` is the file's name, or a function from a value of the column ``by`` to it: one file
-    for each value, written by the task that holds it, then renamed.
+    for each value. The lines are written where they are, each task its part of every file; a few
+    values would keep as few tasks busy. The parts of a file are then joined, byte by byte, by one
+    task, and the file renamed.
     """
     staged = scratch_path(t.spark, "named-csv")
-    w = (rows.repartition(by) if by else rows.coalesce(1)).write.mode("overwrite")
+    w = (rows if by else rows.coalesce(1)).write.mode("overwrite")
     w = w.partitionBy(by) if by else w
     w.option("sep", sep).option("header", "true").option("quote", quote).option("escape", '"').option(
         "encoding", "ISO-8859-1").csv(staged)
     root, fs = _hadoop(t, landing)
     fs.mkdirs(root)
     pattern, _ = _hadoop(t, os.path.join(staged, f"{by}=*" if by else "", "part-*"))
-    for st in fs.globStatus(pattern):
+    parts: dict[str, list[str]] = {}
+    for st in fs.globStatus(pattern):  # names of parts, no lines
         value = st.getPath().getParent().getName().partition("=")[2]
-        target, _ = _hadoop(t, os.path.join(landing, names(value) if by else names))
+        parts.setdefault(names(value) if by else names, []).append(st.getPath().toString())
+    joined = [(sorted(p), os.path.join(staged, f"_{name}")) for name, p in parts.items() if len(p) > 1]
+    if joined:
+        ship_package(t.spark)
+        t.spark.sparkContext.parallelize(joined, len(joined)).foreach(_join_parts)
+    made = {name: p[0] for name, p in parts.items()} | {os.path.basename(p)[1:]: p for _, p in joined}
+    for name, path in made.items():
+        source, _ = _hadoop(t, path)
+        target, _ = _hadoop(t, os.path.join(landing, name))
         fs.delete(target, False)
-        fs.rename(st.getPath(), target)
+        fs.rename(source, target)
+    fs.delete(_hadoop(t, staged)[0], True)
 
 
 def write_named_lines(t: Tables, rows, landing: str, names, by: str) -> None:

@@ -35,9 +35,9 @@ from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, Str
 
 from ..functions.keys import base_name
 from ..session import ensure_checkpoint_dir
-from ..sources.csv import ReadResult
+from ..sources.csv import CORRUPT_COL, ReadResult
 from ..sources.files import delete_path, list_files, path_exists
-from ..sources.quarantine import REJECT_SCHEMA, store_rejects, stored_rejects
+from ..sources.quarantine import BROKEN_RECORD, REJECT_SCHEMA, fields_set, reject, store_rejects, stored_rejects
 from ..sources.sinks import append_rows, ensure_table, read_merged
 
 MANIFEST_SCHEMA = StructType([
@@ -174,25 +174,55 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     got = reader(paths)
     if isinstance(got, DataFrame):  # a reader that rejects nothing
         got = ReadResult(got, spark.createDataFrame([], REJECT_SCHEMA), got.columns)
-    ok = got.ok  # a reader of several layouts names the file itself
-    if "origin_path_name" not in ok.columns:
+    keys = list(partition_by or [])
+    ok = got.ok if got.mixed is None else _apart(got.mixed, got.columns, keys, batch)
+    if "origin_path_name" not in ok.columns:  # a reader of several layouts names the file itself
         ok = ok.select("*", F.col("_metadata.file_path").alias("origin_path_name"))
     rows = ok.select("*", base_name(F.col("origin_path_name")).alias("file_name_only"),
                      F.lit(run_ts).cast("timestamp").alias("ingestion_dt"),
                      F.lit(batch).alias("batch_id"), F.lit(tipo).alias("tipo_operacao"))
+    if got.mixed is not None:
+        bad = F.col(CORRUPT_COL).isNotNull()
+        rows = rows.withColumns({c: F.when(bad, F.col(x)).otherwise(F.col(c)) for c, x in _REJECT_PLACES.items()}).drop(
+            *_REJECT_PLACES.values())
     quarantine = quarantine_path or f"{bronze_path.rstrip('/')}_rejects"
     drop_batch(spark, bronze_path, batch)  # what a former attempt of this run left
+    drop_batch(spark, bronze_path, batch + _APART)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", *(partition_by or [])).parquet(bronze_path))
-    rejects = store_rejects(got.rejected, quarantine, batch)
-    written = spark.read.schema(rows.schema).parquet(bronze_path).filter(F.col("batch_id") == F.lit(batch))
+         .partitionBy("batch_id", *keys).parquet(bronze_path))
+    stored = spark.read.schema(rows.schema).parquet(bronze_path)
+    written = stored.filter(F.col("batch_id") == F.lit(batch))
+    if got.mixed is None:
+        rejects = store_rejects(got.rejected, quarantine, batch)
+    else:
+        rejects = stored.filter(F.col("batch_id") == F.lit(batch + _APART)).select(*reject(
+            F.col("origin_path_name"), F.col("file_name_only"), F.lit(BROKEN_RECORD), F.col("tipo_operacao")))
+        store_rejects(rejects, quarantine, batch)
     result = commit_batch(spark, versions, written, rejects, manifest_path, tipo, batch, run_ts, full)
+    drop_batch(spark, bronze_path, batch + _APART)
     if full:
         drop_batches(spark, bronze_path, keep=batch)
         drop_batches(spark, quarantine, keep=batch)
     return result
 
 
+#: Broken rows of a load on their way to the quarantine: a batch of their own, which no manifest names.
+_APART = "-rejeitados"
+_REJECT_PLACES = {"file_name_only": CORRUPT_COL, "tipo_operacao": "_delimitadores", "batch_id": "_lote"}
+
+
+def _apart(mixed: DataFrame, columns: list[str], keys: list[str], batch: str) -> DataFrame:
+    """Good and broken rows of one scan, so that a load parses its files once and writes them in one job.
+
+    A broken row goes to its load's ``-rejeitados`` batch, without partition values (what stands in their
+    place in a broken line is none), and takes its text and number of delimiters along in provenance columns.
+    """
+    bad = F.col(CORRUPT_COL).isNotNull()
+    rows = mixed.select("*", F.when(bad, fields_set(columns) - 1).cast("string").alias("_delimitadores"),
+                        F.lit(batch + _APART).alias("_lote"))
+    return rows.withColumns({k: F.when(~bad, F.col(k)) for k in keys}) if keys else rows
+
+
 def drop_batch(spark: SparkSession, path: str, batch: str) -> None:
     """Remove one batch's folder, if it is there."""
     delete_path(spark, f"{path.rstrip('/')}/batch_id={batch}")

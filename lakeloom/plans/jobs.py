@@ -122,7 +122,7 @@ def trade_reader(spark: SparkSession, columns: list[str], run_ts: dt.datetime, m
         extra = [F.lit(run_ts.date()).alias("dt_ingestao")]
         if "CO_ANO" in columns:
             extra += [F.col("CO_ANO").try_cast("int").alias("ano"), F.col("CO_MES").try_cast("int").alias("mes")]
-        return got._replace(ok=got.ok.select("*", *extra))
+        return got._replace(ok=got.ok.select("*", *extra), mixed=got.mixed and got.mixed.select("*", *extra))
     return reader
 
 

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import clean_text_df, not_informed, zero_pad
 from ..operators.joins import broadcast_if_small
 
+#: Suppliers (a key, a name and a code each) that are sent to every task rather than moving the pairs to them.
+SUPPLIERS_BROADCAST = 1_000_000
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -229,18 +232,20 @@ def partners(t: Tables) -> DataFrame:
     """Silver partners (L20 shape): suppliers that supplied a customer's orders.
 
     Pairs are aggregated after the lineitem-orders join (map-side partial
-    aggregation first), entry date = first order date of the pair.
+    aggregation first), entry date = first order date of the pair. They are grouped by the padded
+    ids that stand for them one to one, so that a dimension with a row per (company, partner)
+    finds its rows where they have to be; suppliers are broadcast while they are few.
     """
     li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     pairs = (li.join(o, "o_orderkey")
-               .groupBy("o_custkey", "l_suppkey")
-               .agg(F.min("o_orderdate").alias("first_date")))
+               .groupBy(zero_pad(F.col("o_custkey"), 8, truncate=False).alias("CNPJ_BASICO"),
+                        zero_pad(F.col("l_suppkey"), 6, truncate=False).alias("IDENTIFICADOR_DO_SOCIO"))
+               .agg(F.min("o_orderdate").alias("first_date"), F.min("l_suppkey").alias("l_suppkey")))
     s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey")
-    j = pairs.join(s, "l_suppkey", "left")
+    j = pairs.join(broadcast_if_small(s, SUPPLIERS_BROADCAST), "l_suppkey", "left")
     return j.select(
-        zero_pad(F.col("o_custkey"), 8, truncate=False).alias("CNPJ_BASICO"),
-        zero_pad(F.col("l_suppkey"), 6, truncate=False).alias("IDENTIFICADOR_DO_SOCIO"),
+        "CNPJ_BASICO", "IDENTIFICADOR_DO_SOCIO",
         F.upper("s_name").alias("NOME_DO_SOCIO"),
         F.concat(F.lit("***"), zero_pad(F.pmod(F.col("l_suppkey"), F.lit(1000)), 3), F.lit("**"))
          .alias("CPF_CNPJ_DO_SOCIO"),

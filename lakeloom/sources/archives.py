@@ -77,13 +77,22 @@ def _from_content(encoding: str, drop_empty: bool, quoted: bool):
     return run
 
 
-def _open(path: str):
+def _place(path: str):
     from pyarrow import fs
-    uri = path if "://" in path or ":" not in path else path.replace(":", "://", 1)
-    store, place = fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(path if "://" in path or ":" not in path else path.replace(":", "://", 1))
+
+
+def _open(path: str):
+    store, place = _place(path)
     return store.open_input_file(place)
 
 
+def open_stream(path: str, mode: str = "rb"):
+    """A file inside a task, in the store that its path names, to be read or (``"wb"``) written from start to end."""
+    store, place = _place(path)
+    return store.open_output_stream(place, compression=None) if mode == "wb" else store.open_input_stream(place, compression=None)
+
+
 def _directory(batches):
     """``(path, member, size)`` of every member, from the central directories alone."""
     for pdf in batches:
