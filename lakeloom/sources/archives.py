@@ -148,9 +148,10 @@ def lines_of_archives(spark: SparkSession, archives: DataFrame, encoding: str =
     if stream:
         members = archive_members(archives)
         # a number of its own, as adaptive execution would put so few bytes into one task: a member a task
-        # up to MEMBER_TASKS, then some members a task
+        # up to MEMBER_TASKS, then some members a task; by ranges, as hashes of so few names would give one
+        # task several members and a third of them none
         tasks = max(1, min(members.count(), MEMBER_TASKS))
-        return members.repartition(tasks, "path", "member").select("path", "member").mapInPandas(
+        return members.repartitionByRange(tasks, "path", "member").select("path", "member").mapInPandas(
             _from_path(encoding, drop_empty_lines, quoted), LINE_SCHEMA)
     names = [r["path"] for r in archives.select("path").collect()]  # archive names only
     bins = spark.read.format("binaryFile").load(names)

@@ -4,16 +4,17 @@ import datetime as dt
 import glob
 import os
 import re
+import zipfile
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.cleaning import parse_decimal
 from lakeloom.operators import registry_star as rs
 from lakeloom.plans import fixtures as fx
 from lakeloom.plans import incremental as inc
 from lakeloom.plans import jobs
 from lakeloom.plans import standins as si
-from lakeloom.sources import csv as source_csv
+from lakeloom import schemas as S
+from lakeloom.sources.archives import lines_of_archives
 from lakeloom.sources.quarantine import stored_rejects
 
 PARTNERS = ("CNPJ_BASICO string, IDENTIFICADOR_DO_SOCIO string, NOME_DO_SOCIO string, CPF_CNPJ_DO_SOCIO string, "
@@ -50,3 +51,55 @@ def test_partner_pairs_are_shuffled_once(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(\w+#\d+, \w+#\d+, ", plan)) == 1
     assert out.count() == 15
+
+
+def test_a_load_parses_its_files_once(spark, tmp_path, monkeypatch):
+    landing, run = tmp_path / "landing", dt.datetime(2024, 1, 1, 6)
+    landing.mkdir()
+    row = "2020;1;1;10;1;SP;1;1;1;1;1,50"
+    (landing / "EXP_2020.csv").write_text("\n".join([";".join(S.EXPORT_COLUMNS), row, "7;short", row, "x;y" + ";z" * 10]) + "\n")
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    reader = jobs.trade_reader(spark, S.EXPORT_COLUMNS, run)
+    alone = []  # the scan of broken lines alone is not stored any more
+    monkeypatch.setattr(inc, "store_rejects", lambda df, *a, real=inc.store_rejects: alone.append(df) or real(df, *a))
+    got = inc.load_new_files(spark, str(landing), lake.manifest, lake.bronze("exp"), reader, "EXP", run, ["ano", "mes"],
+                             quarantine_path=lake.quarantine("exp"))
+    assert got == (1, 2, 2)
+    assert not [f for f in alone[0].inputFiles() if f.endswith(".csv")]
+    bad = stored_rejects(spark, lake.quarantine("exp")).orderBy("linha").collect()
+    assert [(r.linha, r.motivo, r.qt_delim) for r in bad] == [("7;short", "broken_record", 1), ("x;y" + ";z" * 10, "broken_record", 10)]
+    assert all(r.arquivo.endswith("/EXP_2020.csv") for r in bad)
+    stored = spark.read.parquet(lake.bronze("exp"))
+    assert stored.count() == 2 and "_corrupt_record" not in stored.columns
+    assert {(r.file_name_only, r.tipo_operacao, r.ano, r.mes) for r in stored.collect()} == {("EXP_2020.csv", "EXP", 2020, 1)}
+    assert os.listdir(lake.bronze("exp")).count("batch_id=" + inc.batch_name(run, "EXP")) == 1
+    assert not glob.glob(os.path.join(lake.bronze("exp"), "*rejeitados*"))
+
+
+def test_a_named_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    t, landing = si.Tables(spark, str(tmp_path)), str(tmp_path / "landing")
+    parts = []
+    monkeypatch.setattr(fx, "_join_parts", lambda job, real=fx._join_parts: real(job), raising=False)
+    real = fx._hadoop
+    monkeypatch.setattr(fx, "_hadoop", lambda t, p: parts.extend(
+        glob.glob(p) if p.endswith("part-*") else []) or real(t, p))
+    rows = spark.range(0, 100, 1, 5).select(F.col("id").cast("string").alias("a"), F.lit("x;\"y").alias("b"), (F.col("id") % 2).alias("k"))
+    for again in range(2):  # a second time the files are replaced
+        fx.write_named_csv(t, rows, landing, lambda k: f"N_{k}.csv", "k")
+    assert len(parts) == 20
+    assert sorted(f for f in os.listdir(landing) if not f.startswith(".")) == ["N_0.csv", "N_1.csv"]
+    got = open(os.path.join(landing, "N_1.csv"), encoding="iso-8859-1").read().splitlines()
+    assert got[0] == "a;b" and sorted(got[1:]) == sorted(f'{i};"x;""y"' for i in range(1, 100, 2))
+    fx.write_named_lines(t, rows.select(F.col("a").alias("v;w"), "k"), landing, lambda k: f"N_{k}.csv", "k")
+    assert open(os.path.join(landing, "N_0.csv")).read().splitlines()[0] == "v;w"
+    assert spark.read.text(landing).count() == 102
+
+
+def test_each_archive_member_has_a_task_of_its_own(spark, tmp_path):
+    for i in range(12):
+        with zipfile.ZipFile(tmp_path / f"Socios{i}.zip", "w") as z:
+            z.writestr("M", f"{i};a\r\n")
+    paths = spark.createDataFrame([(f"file:{tmp_path}/Socios{i}.zip",) for i in range(12)], "path string")
+    lines = lines_of_archives(spark, paths, stream=True)
+    per_task = lines.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 12
