@@ -1,11 +1,11 @@
-"""Main text of web pages: page structure, then a host suffix array for what structure leaves open.
+"""Main text of web pages: page structure, then a host suffix array for what structure lets pass.
 
 Parsing cuts a page into blocks and drops what structure names as chrome: menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers and markup.
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by line feeds. If the page declares its article
 (``article``, ``main``, or a container named like one), the blocks of all such containers are
-the text: what repeats inside it is part of it. Containers other than the best kind are left
+the text. Containers other than the best kind are left
 out where they hold less than ``RUN`` tokens together (a teaser, say); containers that hold
 less text than stands outside declare nothing.
 
@@ -15,14 +15,24 @@ of the page's text, was a wrapper and no chrome (a page inside a form, a layout
 of states ("no-sidebar", "alert-visible") name no part. Readers' comments, teasers and adverts
 are never taken for wrappers. Parsing takes time linear in the page.
 
-On pages that declare none, repetition across the host decides. Their token streams are
-concatenated into one text per host, whose suffixes are sorted to a depth of ``RUN``
-tokens: suffixes equal to that depth are neighbours in the array, and every substring of
-``RUN`` tokens or more that occurs on distinct pages is a chain of such neighbours. Tokens
-covered by one are boilerplate and go; the unique runs stay. The array is never in one
-place: suffixes are dealt out by (host, hash of their first ``RUN`` tokens) and reduced
-before the shuffle to the smallest and largest page that holds them, so that neither a host
-with a third of all pages nor a menu on all of them gathers in one task.
+Repetition across the host then has its say on every page. The token streams of a host's pages,
+apart for those that declare an article and those that do not, are one text, and its suffix
+array is sorted to a depth of ``RUN`` tokens: Spark sorts the suffixes by ranges of (host, first
+``RUN`` tokens, page), neighbours are compared on their tokens, and each entry keeps the length of
+its common prefix with the one before. Every substring of ``RUN`` tokens or more that occurs
+on distinct pages is a chain of neighbours that share ``RUN`` tokens. On pages that declare no article
+the tokens covered by such a chain are boilerplate and go; the unique runs stay. Inside a declared article
+a text that a few pages share is article text (a quotation, a second edition), so only what more than
+half of the host's declared pages hold, and ``TEMPLATE_PAGES`` at least, counts there, and only blocks that
+it covers from end to end go: a notice under a name that structure does not know. A page that would
+lose half of its article that way is an edition of a text, and keeps it.
+
+Only suffixes that can have such a neighbour enter the array. Each window of ``RUN`` tokens has
+an anchor, the ``ANCHOR`` tokens in it with the smallest hash; equal windows have equal anchors, so
+windows whose anchor is on too few pages of the host are on too few themselves. Counting
+anchors takes a number for some five tokens and no text; their hashes decide nothing else.
+Ranges end between the pages that hold a suffix, so neither a host with a third of all pages nor a
+menu on all of them gathers in one task.
 
 Defined results: null or empty html gives the empty text; very long pages are read whole; a null url belongs to the host
 "" ; equal streams (copies of a page, repeated rows) are one page, so copies do not erase
@@ -36,14 +46,22 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from .common import ship_package, written
 
 #: Tokens of a substring that counts as repeated.
 RUN = 12
+#: Tokens of a window's anchor.
+ANCHOR = 4
+#: Distinct pages of a host that hold a text at least, if it is a template inside their articles.
+TEMPLATE_PAGES = 5
+CACHE_TOKENS = 1 << 20
+_SLICE = 1 << 15
 
 # Names of HTML elements and words that web pages use for their parts.
 _BLOCKS = frozenset(
@@ -314,17 +332,41 @@ def stream_key(blocks: list[str]) -> int:
     return xxhash.xxh64_intdigest("\n".join(blocks)) - (1 << 63)
 
 
-def windows(blocks: list[str]) -> list[int]:
-    """Hashes of the first ``RUN`` tokens of every suffix of the page's token stream that is as long."""
-    import xxhash
-    tokens = " ".join(blocks).split(" ") if blocks else []
-    join, digest = " ".join, xxhash.xxh64_intdigest
-    return [digest(join(tokens[i:i + RUN])) - (1 << 63) for i in range(len(tokens) - RUN + 1)]
+def _stream(blocks: list[str]) -> list[str]:
+    return " ".join(blocks).split(" ") if blocks else []
+
+
+class Anchors(dict):
+    """The anchor of every window of a token stream; the hashes of tokens are kept between pages."""
+
+    def __missing__(self, token: str) -> int:
+        import xxhash
+        if len(self) >= CACHE_TOKENS:
+            self.clear()
+        got = self[token] = xxhash.xxh64_intdigest(token)
+        return got
+
+    def __call__(self, tokens: list[str]) -> np.ndarray:
+        if len(tokens) < RUN:
+            return np.empty(0, np.int64)
+        one = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        n = len(tokens) - ANCHOR + 1
+        key = one[:n].copy()
+        for k in range(1, ANCHOR):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + one[k:k + n]
+        key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(32)
+        inside = np.lib.stride_tricks.sliding_window_view(key, RUN - ANCHOR + 1)
+        return key[inside.argmin(axis=1) + np.arange(len(inside))].view(np.int64)
+
+
+def _covered(starts: list[int]) -> set[int]:
+    return {i + j for i in starts for j in range(RUN)}
 
 
 def without(blocks: list[str], starts: list[int]) -> str:
     """The blocks less the tokens inside the windows that begin at ``starts``."""
-    gone = {i + j for i in starts for j in range(RUN)}
+    gone = _covered(starts)
     out, at = [], 0
     for b in blocks:
         tokens = b.split(" ")
@@ -335,63 +377,148 @@ def without(blocks: list[str], starts: list[int]) -> str:
     return "\n".join(out)
 
 
+def without_templates(blocks: list[str], starts: list[int]) -> str:
+    """The blocks less those that lie inside the windows whole; all of them, if half of the tokens or more would go."""
+    gone = _covered(starts)
+    kept, at, lost = [], 0, 0
+    for b in blocks:
+        n = _tokens(b)
+        if gone.issuperset(range(at, at + n)):
+            lost += n
+        else:
+            kept.append(b)
+        at += n
+    return "\n".join(kept if 2 * lost < at else blocks)
+
+
+_SITE = ["host", "declared"]  # one text each
+
+
+def _anchored(parsed: DataFrame) -> DataFrame:
+    """``(row, site, host, declared, stream, keys)``: the distinct anchors of each page that has a window."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = Anchors()
+        for batch in batches:
+            found = [np.unique(anchors(_stream(b))) for b in batch.column(5).to_pylist()]
+            ends = np.cumsum([0] + [len(f) for f in found]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)) if found else pa.array([], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], keys], ["row", "site", "host", "declared", "stream", "keys"])
+
+    return parsed.select("row", F.xxhash64(*_SITE).alias("site"), *_SITE, "stream", "blocks").mapInArrow(
+        rows, "row long, site long, host string, declared boolean, stream long, keys array<long>")
+
+
+def _candidates(parsed: DataFrame, sites: DataFrame) -> DataFrame:
+    """``(row, keys)``: one page of each distinct stream that holds anchors which enough pages of its site hold,
+    copies of a page counted as pages."""
+    counts = _anchored(parsed).select("site", F.explode("keys").alias("key")).groupBy("site", "key").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = written(counts.join(sites.select(F.xxhash64(*_SITE).alias("site"), "least"), "site").where(
+        "n >= least").select("site", "key"), "anchors")
+    hits = _anchored(parsed).withColumn("key", F.explode("keys")).join(broadcast_if_small(keys), ["site", "key"], "left_semi")
+    return hits.groupBy(*_SITE, "stream").agg(F.min("row").alias("row"), F.collect_set("key").alias("keys")).select("row", "keys")
+
+
+def suffix_array(pages: DataFrame) -> DataFrame:
+    """``(host, declared, head, stream, at, lcp, new)`` for the windows of ``pages(host, declared, stream, blocks, keys)``
+    that have an anchor among ``keys``, in the order of the array within each file.
+
+    ``head`` is the suffix to a depth of ``RUN`` tokens, ``lcp`` counts the tokens that it shares with the entry before
+    (of its site), ``new`` is 1 where the entry before has another head or page. All entries of one head and page are
+    in one range, so the sum of ``new`` counts a head's pages.
+    """
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = Anchors()
+        for batch in batches:
+            for host, declared, stream, blocks, keys in zip(*[c.to_pylist() for c in batch.columns]):
+                tokens = _stream(blocks)
+                at = np.flatnonzero(np.isin(anchors(tokens), np.array(keys, np.int64)))
+                for s in range(0, len(at), _SLICE):
+                    some = at[s:s + _SLICE].tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([host] * len(some), pa.string()), pa.array([declared] * len(some), pa.bool_()),
+                         pa.array([" ".join(tokens[i:i + RUN]) for i in some], pa.string()),
+                         pa.array([stream] * len(some), pa.int64()), pa.array(some, pa.int32())],
+                        [*_SITE, "head", "stream", "at"])
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, tokens = (None, None, None, None), []
+        for batch in batches:
+            shared, new = [], []
+            for entry in zip(*[c.to_pylist() for c in batch.columns[:4]]):
+                if entry[:3] == before[:3]:
+                    shared.append(RUN)
+                else:
+                    last, tokens = tokens, entry[2].split(" ")
+                    same = 0
+                    if entry[:2] == before[:2]:
+                        same = next((i for i, (a, b) in enumerate(zip(last, tokens)) if a != b), RUN)
+                    shared.append(same)
+                new.append(int(entry != before))
+                before = entry
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(shared, pa.int32()), pa.array(new, pa.int32())],
+                [*_SITE, "head", "stream", "at", "lcp", "new"])
+
+    fields = "host string, declared boolean, head string, stream long, at int"
+    ordered = pages.select(*_SITE, "stream", "blocks", "keys").mapInArrow(suffixes, fields).repartitionByRange(
+        *_SITE, "head", "stream").sortWithinPartitions(*_SITE, "head", "stream", "at")
+    return ordered.mapInArrow(neighbours, f"{fields}, lcp int, new int")
+
+
+def repeated_windows(parsed: DataFrame) -> DataFrame:
+    """``(host, declared, stream, starts)``: where the windows begin that enough pages of the site hold."""
+    parsed = parsed.where(F.size("blocks") > 0)
+    sites = parsed.groupBy(*_SITE).agg(F.count_distinct("stream").alias("pages")).select(
+        *_SITE, F.when(F.col("declared"), F.greatest(F.lit(TEMPLATE_PAGES), F.floor(F.col("pages") / 2) + 1)).otherwise(2)
+        .cast("long").alias("least")).where("not declared or least <= pages")
+    sites = written(sites, "sites")
+    candidates = written(_candidates(parsed, sites), "candidates")
+    array = written(suffix_array(parsed.join(broadcast_if_small(candidates, SMALL), "row")), "suffixes")
+    heads = array.groupBy(*_SITE, "head").agg(F.sum("new").alias("n")).join(sites, _SITE).where("n >= least").select(*_SITE, "head")
+    return array.join(heads, [*_SITE, "head"], "left_semi").groupBy(*_SITE, "stream").agg(F.collect_set("at").alias("starts"))
+
+
+#: Rows with a list each that a broadcast takes at most.
+SMALL = 20_000
+
+
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """``(page_id, url, text, n_chars, declared, n_repeated)`` per row; ``n_repeated`` counts the
-    windows that other pages of the host hold as well (0 on pages that declare their article)."""
+    """``(page_id, url, text, n_chars, declared, n_repeated)`` per row; ``n_repeated`` counts the windows
+    that so many other pages of the host hold that they tell a template (on pages that declare no article, one)."""
     ship_package(pages.sparkSession)
-    slim = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
+    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
+    slim = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html")).withColumn("host", host)
     kind = slim.schema["page_id"].dataType.simpleString()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                got = [page_blocks(h) for h in part.column(2).to_pylist()]
+                got = [page_blocks(h) for h in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([d for d, _ in got], pa.bool_()),
-                     pa.array([stream_key(b) if not d else 0 for d, b in got], pa.int64()),
+                    [*part.columns[:3], pa.array([d for d, _ in got], pa.bool_()),
+                     pa.array([stream_key(b) for _, b in got], pa.int64()),
                      pa.array([b for _, b in got], pa.list_(pa.string()))],
-                    ["page_id", "url", "declared", "stream", "blocks"])
-
-    parsed = written(slim.mapInArrow(
-        parse, f"page_id {kind}, url string, declared boolean, stream long, blocks array<string>"), "pages")
-    plain = parsed.where("declared").select(
-        "page_id", "url", F.array_join("blocks", "\n").alias("text"), "declared", F.lit(0).cast("long").alias("n_repeated"))
+                    ["page_id", "url", "host", "declared", "stream", "blocks"])
 
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    open_pages = parsed.where("not declared").withColumn("host", host)
-    streams = open_pages.select("host", "stream", "blocks").dropDuplicates(["host", "stream"])
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys = windows(batch.column(2)[i].as_py())
-                if keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([batch.column(0)[i].as_py()] * len(keys), pa.string()),
-                         pa.array([batch.column(1)[i].as_py()] * len(keys), pa.int64()),
-                         pa.array(range(len(keys)), pa.int32()), pa.array(keys, pa.int64())],
-                        ["host", "stream", "at", "head"])
-
-    array = streams.mapInArrow(suffixes, "host string, stream long, at int, head long")
-    shared = array.groupBy("host", "head").agg(F.min("stream").alias("a"), F.max("stream").alias("b")).where(
-        "a <> b").select("host", "head")
-    covered = array.join(shared, ["host", "head"]).groupBy("host", "stream").agg(F.collect_set("at").alias("starts"))
-    joined = open_pages.join(covered, ["host", "stream"], "left").select(
-        "page_id", "url", "blocks", F.coalesce("starts", F.array().cast("array<int>")).alias("starts"))
+    blocks = slim.select("page_id", "url", "host", "html").mapInArrow(
+        parse, f"page_id {kind}, url string, host string, declared boolean, stream long, blocks array<string>")
+    parsed = written(blocks.withColumn("row", F.monotonically_increasing_id()), "pages", compression="zstd")
+    covered = written(repeated_windows(parsed), "covered")
+    joined = parsed.join(broadcast_if_small(covered, SMALL), [*_SITE, "stream"], "left").select(
+        "page_id", "url", "declared", "blocks", F.coalesce("starts", F.array().cast("array<int>")).alias("starts"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             texts, counts = [], []
-            for blocks, starts in rows:
-                texts.append(without(blocks, starts))
+            for declared, blocks, starts in zip(*[c.to_pylist() for c in batch.columns[2:]]):
+                texts.append("\n".join(blocks) if not starts else
+                             (without_templates if declared else without)(blocks, starts))
                 counts.append(len(starts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array([False] * len(texts), pa.bool_()), pa.array(counts, pa.int64())],
+                [*batch.columns[:2], pa.array(texts, pa.string()), batch.column(2), pa.array(counts, pa.int64())],
                 ["page_id", "url", "text", "declared", "n_repeated"])
 
-    open_text = joined.mapInArrow(keep, f"page_id {kind}, url string, text string, declared boolean, n_repeated long")
-    return plain.union(open_text).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
-                                         "declared", "n_repeated")
+    out = joined.mapInArrow(keep, f"page_id {kind}, url string, text string, declared boolean, n_repeated long")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "declared", "n_repeated")

@@ -129,3 +129,51 @@ def test_time_is_linear_in_the_page():
 
     seconds(500)
     assert seconds(16_000) < 30 * max(seconds(2_000), 0.005)
+
+
+def brute_declared(rows):
+    """Blocks of declared pages, less those covered by windows that over half of the host's distinct declared pages hold."""
+    parsed = [(i, u.split("/")[2], H.page_blocks(h)[1]) for i, u, h in rows]
+    windows = lambda b: [tuple(t[j:j + H.RUN]) for t in [" ".join(b).split(" ")] for j in range(len(t) - H.RUN + 1)]
+    out = []
+    for i, host, blocks in parsed:
+        others = {tuple(b) for _, h, b in parsed if h == host}
+        held = [set(windows(b)) for b in others]
+        least = max(H.TEMPLATE_PAGES, len(others) // 2 + 1)
+        starts = [j for j, w in enumerate(windows(blocks)) if sum(w in h for h in held) >= least]
+        out.append((i, H.without_templates(blocks, starts), len(starts)))
+    return sorted(out)
+
+
+def test_host_suffix_array_decides_on_declared_pages(spark):
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    notice, quote, edition = text(15), text(20), text(80)
+    page = lambda *parts: "<article>" + "".join(f"<p class=x>{p}</p>" for p in parts) + "</article>"
+    rows = [(i, f"http://a.org/{i}", page(text(30), *([notice] if i % 4 else []), text(rnd.randint(5, 40)), *([quote] if i < 8 else [])))
+            for i in range(24)]
+    rows += [(100 + i, f"http://b.org/{i}", page(edition, text(3))) for i in range(8)]    # editions of one text stay whole
+    rows += [(200 + i, f"http://c.org/{i}", page(text(40), notice)) for i in range(4)]    # too few pages for a template
+    rows += [(300 + i, "http://a.org/copy", rows[1][2]) for i in range(30)]               # copies are one page
+    got = H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert sorted((r.page_id, r.text, r.n_repeated) for r in got) == brute_declared(rows)
+    texts = {r.page_id: r.text for r in got}
+    assert notice not in texts[1] and quote in texts[1] and texts[300] == texts[1] and notice in texts[200]
+    assert all(edition in texts[100 + i] for i in range(8))
+
+
+def test_suffix_array_is_sorted_and_neighbours_are_compared(spark):
+    rows = [("h", False, 1, ["a b", "c " * 11 + "d", "e"]), ("h", False, 2, ["a b " + "c " * 11 + "d"]), ("g", False, 3, ["x " * 20 + "y"])]
+    anchors = H.Anchors()
+    rows = [(*r, [int(k) for k in set(anchors(" ".join(r[3]).split(" ")))]) for r in rows]
+    df = spark.createDataFrame(rows, "host string, declared boolean, stream long, blocks array<string>, keys array<long>")
+    array = H.suffix_array(df.coalesce(1)).withColumn("file", F.spark_partition_id()).withColumn("n", F.monotonically_increasing_id()).orderBy("n").collect()
+    assert [tuple(r[:5]) for r in array] == sorted(
+        (h, d, " ".join(t[i:i + H.RUN]), s, i) for h, d, s, b, _ in rows for t in [" ".join(b).split(" ")]
+        for i in range(len(t) - H.RUN + 1))
+    for a, b in zip(array, array[1:]):
+        if a.file == b.file:
+            x, y = a["head"].split(" "), b["head"].split(" ")
+            assert b.lcp == (next((i for i in range(H.RUN) if x[i] != y[i]), H.RUN) if a.host == b.host else 0)
+            assert b.new == (tuple(a[:4]) != tuple(b[:4]))
