@@ -14,8 +14,8 @@ met is held, and 4 x the longest piece more, and a shorter text is committed at
 only. Paths meet at the latest where no
 piece of the vocabulary holds the two characters on either side, as before every word
 mark that follows another character. Such certain boundaries cut a text into spans whose
-ids do not depend on their surroundings, so each task keeps the ids of spans it has met
-(``CACHE_SPANS`` at most, short ones only; full, it starts afresh).
+ids do not depend on their surroundings, so each Python worker keeps the ids of spans it has met
+(``CACHE_SPANS`` at most, short ones only; full, it starts afresh), from one task to the next.
 
 Decoding joins the pieces, turns word marks into spaces and byte pieces into their bytes
 and drops the space of the leading mark. ``decode(encode(t)) == t`` for every text without
@@ -29,7 +29,10 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +76,25 @@ class PieceModel:
                 self.parts.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.ids))
         self.unknown = min(self.scores[i] for i in self.ids.values()) - _UNKNOWN_PENALTY
-        #: Every piece with its id, every other beginning of a piece with -1.
-        self.table = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        self.trie = self._trie()
         joints = {p[k - 1:k + 1] for p in self.ids for k in range(1, len(p))}
         #: No piece goes on over a word mark after another character, or holds a line feed.
         self.spans_are_certain = not any("\n" in j or (j[1] == MARK and j[0] != MARK) for j in joints)
 
+    def _trie(self) -> dict:
+        """Nested ``{character: (id or -1, score, continuations or None)}`` of the pieces; a single
+        character that is no piece scores as unknown."""
+        table = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        longer: dict[str, list[str]] = {}
+        for p in table:
+            longer.setdefault(p[:-1], []).append(p)
+
+        def nodes(p: str) -> dict | None:
+            return {m[-1]: (table[m], self.scores[table[m]] if table[m] >= 0 else self.unknown, nodes(m))
+                    for m in longer[p]} if p in longer else None
+
+        return nodes("")
+
     def normalise(self, text: str) -> str:
         return (" " + text).replace(" ", MARK) if text else ""
 
@@ -90,6 +106,8 @@ class PieceModel:
 class StreamingViterbi:
     """Feed text in chunks; ``committed`` collects the ids that no later character can change."""
 
+    __slots__ = ("model", "committed", "pending", "best", "start", "piece", "at", "check")
+
     def __init__(self, model: PieceModel):
         self.model = model
         self.committed: list[int] = []
@@ -105,49 +123,44 @@ class StreamingViterbi:
         self._advance(len(self.pending) - self.model.longest)
 
     def finish(self) -> list[int]:
+        """The ids of all that was fed; the coder has done its work."""
         self._advance(len(self.pending) - 1)
-        self._commit(len(self.pending))
+        self.committed += self._path(len(self.pending))
         return self.committed
 
     def _advance(self, last: int) -> None:
         """Open the boundaries up to ``last``: all characters that their pieces may hold are there."""
         m = self.model
-        find, scores, longest, unknown, unset = m.table.get, m.scores, m.longest, m.unknown, float("-inf")
+        first, longest = m.trie.get, m.longest
+        other, unset = (-1, m.unknown, None), float("-inf")
         while self.at <= last:
             s, best, start, piece = self.pending, self.best, self.start, self.piece
             size = len(s)
             # look for a common boundary once enough is pending, later on each time twice as much
-            for q in range(self.at, min(last, max(self.check, self.at)) + 1):
+            upto = min(last, max(self.check, self.at))
+            new = min(size, upto + longest) + 1 - len(best)
+            if new > 0:
+                best += [unset] * new
+                start += [0] * new
+                piece += [-1] * new
+            for q in range(self.at, upto + 1):
                 base = best[q]
-                e, end = q + 1, min(q + longest, size)
-                i = find(s[q])
-                goes_on = i is not None
-                if not goes_on or i < 0:
-                    i, score = -1, base + unknown
-                else:
-                    score = base + scores[i]
-                while True:
-                    if i >= 0 or e == q + 1:
-                        reach = len(best)
-                        if e >= reach:
-                            for _ in range(reach, e):
-                                best.append(unset)
-                                start.append(0)
-                                piece.append(-1)
-                            best.append(score)
-                            start.append(q)
-                            piece.append(i)
-                        elif score > best[e]:
-                            best[e], start[e], piece[e] = score, q, i
-                    if not goes_on or e == end:
+                i, score, more = first(s[q], other)
+                score += base
+                e = q + 1
+                if score > best[e]:
+                    best[e], start[e], piece[e] = score, q, i
+                while more is not None and e < size:
+                    node = more.get(s[e])
+                    if node is None:
                         break
+                    i, score, more = node
                     e += 1
-                    i = find(s[q:e])
-                    if i is None:
-                        break
                     if i >= 0:
-                        score = base + scores[i]
-            self.at = q + 1
+                        score += base
+                        if score > best[e]:
+                            best[e], start[e], piece[e] = score, q, i
+            self.at = upto + 1
             if self.at > self.check:
                 drop = self._meeting()
                 self.check = 2 * (self.at - drop) + 4 * longest
@@ -163,7 +176,7 @@ class StreamingViterbi:
             alive.add(self.start[top])
         return alive.pop()
 
-    def _commit(self, upto: int) -> None:
+    def _path(self, upto: int) -> list[int]:
         path, p = [], upto
         while p:
             q, i = self.start[p], self.piece[p]
@@ -173,7 +186,10 @@ class StreamingViterbi:
                 path.extend(self.model.byte_ids[b] for b in reversed(self.pending[q:p].encode()))
             p = q
         path.reverse()
-        self.committed.extend(path)
+        return path
+
+    def _commit(self, upto: int) -> None:
+        self.committed += self._path(upto)
         self.pending = self.pending[upto:]
         base = self.best[upto]
         self.best = [b - base for b in self.best[upto:]]
@@ -192,7 +208,10 @@ class PieceEncoder(dict):
     def _code(self, normal: str) -> bytes:
         coder = StreamingViterbi(self.model)
         coder.feed(normal)
-        return np.array(coder.finish(), "<i4").tobytes()
+        ids = array("i", coder.finish())
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __missing__(self, span: str) -> bytes:
         got = self._code(span)
@@ -213,6 +232,12 @@ class PieceEncoder(dict):
         return _simple(text)
 
 
+@lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """The encoder of a worker's tasks: a model is read, and a span coded, once for all of them."""
+    return PieceEncoder(path)
+
+
 def _simple(text: str | None) -> list[str]:
     """The spans of a text without a leading space, double spaces and word marks: each word with its mark, and line feeds."""
     if not text:
@@ -240,7 +265,7 @@ def encode_table(docs: DataFrame, model_path: str, key: str = "doc_id", text: st
     extra = ", decoded_chars long, round_trip boolean" if verify else ""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model_path)
+        encoder = piece_encoder(model_path)
         for batch in batches:
             for start, texts in _slices(batch, 1):
                 coded = encoder(texts)

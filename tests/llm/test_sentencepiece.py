@@ -121,3 +121,8 @@ def test_scores_are_kept_since_the_last_commit_only():
         kept.append(max(len(coder.best), len(coder.start), len(coder.piece)))
     # the text that is looked over at once, the chunk, and the pieces that reach on
     assert max(kept) <= 2 * (4 * MODEL.longest) + 16 + 2 * MODEL.longest and coder.committed
+
+
+def test_tasks_of_a_worker_share_one_encoder():
+    assert S.piece_encoder(PATH) is S.piece_encoder(PATH)
+    assert S.piece_encoder(PATH)(["several new words"]) == S.PieceEncoder(PATH)(["several new words"])
