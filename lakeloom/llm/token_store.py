@@ -26,6 +26,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,12 @@ class WordEncoder(dict):
         return [b"".join(map(self.__getitem__, (t or "").replace("\n", " ").split(" "))) for t in texts]
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a worker's tasks: each distinct word is coded once for all of them."""
+    return WordEncoder(path)
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
     """(ids, texts) of a batch, cut so that the texts of a slice stay short together."""
     ids, texts = batch.column(0).to_pylist(), batch.column(1)

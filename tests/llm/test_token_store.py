@@ -66,3 +66,8 @@ def test_empty_store(spark):
     path = shared_path(spark, "test-store")
     S.write_store(spark.createDataFrame([], "doc_id long, text string"), path, lambda: S.WordEncoder(PATH), end_id=1)
     assert S.read_store(spark, path).collect() == []
+
+
+def test_tasks_of_a_worker_share_one_encoder():
+    assert S.word_encoder(PATH) is S.word_encoder(PATH)
+    assert S.word_encoder(PATH)(["a word"]) == S.WordEncoder(PATH)(["a word"])
