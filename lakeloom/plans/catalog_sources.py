@@ -148,7 +148,7 @@ def _incremental_runs(spark, sf_dir, refresh=False, log=False):
     def reader(paths):
         got = read_csv_with_quotes(spark, paths, header=True, multiline=False)
         day = F.regexp_extract(F.col("_metadata.file_path"), r"dia=([0-9]{8})", 1).cast("int")
-        return got._replace(ok=got.ok.withColumn("dia", day))
+        return got._replace(ok=got.ok.withColumn("dia", day), mixed=got.mixed.withColumn("dia", day))
 
     fx.write_event_days(t, landing, None, FIRST_BATCH_LAST_DAY)
     inc.load_new_files(spark, landing, manifest, bronze, reader, "EVT", RUN_1, ["dia"], glob="*.csv")

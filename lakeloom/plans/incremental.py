@@ -174,6 +174,8 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     got = reader(paths)
     if isinstance(got, DataFrame):  # a reader that rejects nothing
         got = ReadResult(got, spark.createDataFrame([], REJECT_SCHEMA), got.columns)
+    if got.mixed is not None and [c for c in got.mixed.columns if c != CORRUPT_COL] != got.ok.columns:
+        got = got._replace(mixed=None)  # the reader gave its good rows columns that the scan does not have
     keys = list(partition_by or [])
     ok = got.ok if got.mixed is None else _apart(got.mixed, got.columns, keys, batch)
     if "origin_path_name" not in ok.columns:  # a reader of several layouts names the file itself
