@@ -25,7 +25,8 @@ FREIGHT = ["VL_FRETE", "VL_SEGURO"]
 
 
 def _write_years(t: si.Tables, rows: DataFrame, landing: str, kind: str = "EXP") -> None:
-    fx.write_named_csv(t, rows.withColumn("arquivo_ano", F.col("CO_ANO")), landing, lambda y: f"{kind}_{y}.csv", "arquivo_ano")
+    years = rows.withColumn("arquivo_ano", F.col("CO_ANO").cast("int"))  # numbers are sorted by their bits, texts by comparing
+    fx.write_named_csv(t, years, landing, lambda y: f"{kind}_{y}.csv", "arquivo_ano")
 
 
 def _first_year(t: si.Tables) -> int:

@@ -287,9 +287,27 @@ def committed(spark: SparkSession, bronze: DataFrame, manifest_path: str, tipo:
     by a crashed run, one that a full refresh replaced and the former rows of a republished
     file have no such entry.
     """
-    live = live_files(read_manifest(spark, manifest_path, tipo)).select(
-        "batch_id", F.col("caminho_arquivo").alias("origin_path_name"))
-    return bronze.join(live, ["batch_id", "origin_path_name"], "left_semi").select(*bronze.columns)
+    manifest = read_manifest(spark, manifest_path, tipo)
+    live = live_files(manifest)
+    named = live.select("batch_id", F.col("caminho_arquivo").alias("origin_path_name"))
+    whole, mixed = _batches(manifest, live)
+    if not whole:
+        return bronze.join(named, ["batch_id", "origin_path_name"], "left_semi").select(*bronze.columns)
+    # a batch of which every file counts is taken by its folder, without a look at the file of every row
+    rows = bronze.where(F.col("batch_id").isin(whole))
+    if mixed:
+        rows = rows.union(bronze.where(F.col("batch_id").isin(mixed)).join(
+            named, ["batch_id", "origin_path_name"], "left_semi").select(*bronze.columns))
+    return rows
+
+
+def _batches(manifest: DataFrame, live: DataFrame) -> tuple[list[str], list[str]]:
+    """The batches whose files all count (a load commits its files together) and those of which some do;
+    one row a load reaches the driver."""
+    files = manifest.select("batch_id", F.lit(0).alias("live")).unionByName(live.select("batch_id", F.lit(1).alias("live")))
+    rows = files.where(F.col("batch_id").isNotNull()).groupBy("batch_id").agg(
+        F.count_if(F.col("live") == 0).alias("files"), F.sum("live").alias("live")).where("live > 0").collect()
+    return ([r["batch_id"] for r in rows if r["live"] == r["files"]], [r["batch_id"] for r in rows if r["live"] < r["files"]])
 
 
 def committed_rejects(spark: SparkSession, quarantine_path: str, manifest_path: str, tipo: str) -> DataFrame:

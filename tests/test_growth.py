@@ -103,3 +103,31 @@ def test_each_archive_member_has_a_task_of_its_own(spark, tmp_path):
     lines = lines_of_archives(spark, paths, stream=True)
     per_task = lines.groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) == 12
+
+
+def test_batches_that_count_whole_are_taken_by_their_folders(spark, tmp_path):
+    landing, lake = tmp_path / "landing", jobs.Lake(str(tmp_path / "lake"))
+    landing.mkdir()
+
+    def load(day, **years):
+        for year, uf in years.items():
+            (landing / f"EXP_{year[1:]}.csv").write_text(
+                "\n".join([";".join(S.EXPORT_COLUMNS), *[f"{year[1:]};1;1;10;1;{u};1;1;1;1;1,50" for u in uf]]) + "\n")
+        run = dt.datetime(2024, 1, day, 6)
+        inc.load_new_files(spark, str(landing), lake.manifest, lake.bronze("exp"),
+                           jobs.trade_reader(spark, S.EXPORT_COLUMNS, run), "EXP", run, ["ano", "mes"], key="version")
+
+    def seen():
+        bronze = inc.read_bronze(spark, lake.bronze("exp"), lake.manifest, "EXP")
+        rows = inc.committed(spark, bronze, lake.manifest, "EXP")
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        return sorted((r.CO_ANO, r.SG_UF_NCM) for r in rows.collect()), plan.count("LeftSemi")
+
+    load(1, _2020=["SP"], _2021=["RJ"])
+    load(2, _2022=["MG", "MG"])
+    assert seen() == ([("2020", "SP"), ("2021", "RJ"), ("2022", "MG"), ("2022", "MG")], 0)
+    load(3, _2021=["BA", "CE"])  # the first batch counts in part: its files are looked at row by row
+    rows, joins = seen()
+    assert rows == [("2020", "SP"), ("2021", "BA"), ("2021", "CE"), ("2022", "MG"), ("2022", "MG")] and joins == 1
+    load(4, _2020=["PA"])  # and now not at all
+    assert seen() == ([("2020", "PA"), ("2021", "BA"), ("2021", "CE"), ("2022", "MG"), ("2022", "MG")], 0)
