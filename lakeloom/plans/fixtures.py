@@ -8,6 +8,7 @@ on data that grows with the tables.
 
 from __future__ import annotations
 
+import gzip
 import os
 import zipfile
 
@@ -84,11 +85,11 @@ def _hadoop(t: Tables, path: str):
 
 
 def _join_parts(job: tuple[list[str], str]) -> None:
-    """One file of many parts: the first part's header, every part's lines. The bytes go through in pieces."""
+    """One file of many packed parts: the first part's header, every part's lines. The bytes go through in pieces."""
     parts, target = job
     with open_stream(target, "wb") as out:
         for i, part in enumerate(parts):
-            with open_stream(part) as lines:
+            with open_stream(part) as packed, gzip.open(packed) as lines:
                 head = i > 0
                 while piece := lines.read(1 << 22):
                     if head:
@@ -105,11 +106,12 @@ def write_named_csv(t: Tables, rows, landing: str, names, by: str | None = None,
     ``names`` is the file's name, or a function from a value of the column ``by`` to it: one file
     for each value. The lines are written where they are, each task its part of every file; a few
     values would keep as few tasks busy. The parts of a file are then joined, byte by byte, by one
-    task, and the file renamed.
+    task, and the file renamed. Parts are packed and old files go before the new ones are joined, so the
+    lines lie on the disk in full only once.
     """
     staged = scratch_path(t.spark, "named-csv")
     w = (rows if by else rows.coalesce(1)).write.mode("overwrite")
-    w = w.partitionBy(by) if by else w
+    w = w.partitionBy(by).option("compression", "gzip") if by else w
     w.option("sep", sep).option("header", "true").option("quote", quote).option("escape", '"').option(
         "encoding", "ISO-8859-1").csv(staged)
     root, fs = _hadoop(t, landing)
@@ -119,16 +121,16 @@ def write_named_csv(t: Tables, rows, landing: str, names, by: str | None = None,
     for st in fs.globStatus(pattern):  # names of parts, no lines
         value = st.getPath().getParent().getName().partition("=")[2]
         parts.setdefault(names(value) if by else names, []).append(st.getPath().toString())
-    joined = [(sorted(p), os.path.join(staged, f"_{name}")) for name, p in parts.items() if len(p) > 1]
-    if joined:
+    targets = {name: _hadoop(t, os.path.join(landing, name))[0] for name in parts}
+    for target in targets.values():
+        fs.delete(target, False)
+    made = {name: p[0] for name, p in parts.items()}
+    if by and parts:
+        made = {name: os.path.join(staged, f"_{name}") for name in parts}
         ship_package(t.spark)
-        t.spark.sparkContext.parallelize(joined, len(joined)).foreach(_join_parts)
-    made = {name: p[0] for name, p in parts.items()} | {os.path.basename(p)[1:]: p for _, p in joined}
+        t.spark.sparkContext.parallelize([(sorted(parts[n]), made[n]) for n in made], len(made)).foreach(_join_parts)
     for name, path in made.items():
-        source, _ = _hadoop(t, path)
-        target, _ = _hadoop(t, os.path.join(landing, name))
-        fs.delete(target, False)
-        fs.rename(source, target)
+        fs.rename(_hadoop(t, path)[0], targets[name])
     fs.delete(_hadoop(t, staged)[0], True)
 
 

@@ -195,11 +195,11 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     stored = spark.read.schema(rows.schema).parquet(bronze_path)
     written = stored.filter(F.col("batch_id") == F.lit(batch))
     if got.mixed is None:
-        rejects = store_rejects(got.rejected, quarantine, batch)
+        rejects = store_rejects(got.rejected, quarantine, batch, REJECTS_CODEC)
     else:
         rejects = stored.filter(F.col("batch_id") == F.lit(batch + _APART)).select(*reject(
             F.col("origin_path_name"), F.col("file_name_only"), F.lit(BROKEN_RECORD), F.col("tipo_operacao")))
-        store_rejects(rejects, quarantine, batch)
+        store_rejects(rejects, quarantine, batch, REJECTS_CODEC)
     result = commit_batch(spark, versions, written, rejects, manifest_path, tipo, batch, run_ts, full)
     drop_batch(spark, bronze_path, batch + _APART)
     if full:
@@ -208,6 +208,9 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     return result
 
 
+#: Every load keeps its rejects until a full refresh, and each names its file and reason in full: a line of a
+#: few characters takes some 190 bytes as plain JSON.
+REJECTS_CODEC = "gzip"
 #: Broken rows of a load on their way to the quarantine: a batch of their own, which no manifest names.
 _APART = "-rejeitados"
 _REJECT_PLACES = {"file_name_only": CORRUPT_COL, "tipo_operacao": "_delimitadores", "batch_id": "_lote"}

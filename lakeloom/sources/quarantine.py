@@ -14,6 +14,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from .files import delete_path
 
 BROKEN_RECORD = "broken_record"
+PACKED_ROWS = 1_000_000
 
 REJECT_SCHEMA = StructType([
     StructField("arquivo", StringType()), StructField("linha", StringType()),
@@ -31,13 +32,15 @@ def fields_set(columns: list[str]) -> Column:
     return F.size(F.filter(F.array(*[F.col(f"`{c}`").cast("string") for c in columns]), lambda x: x.isNotNull()))
 
 
-def store_rejects(rejected: DataFrame, path: str, batch: str = "single") -> DataFrame:
+def store_rejects(rejected: DataFrame, path: str, batch: str = "single", compression: str = "none") -> DataFrame:
     """Write the rejects of one load as JSON lines, replacing that load's partition;
-    returns what is stored for the load."""
+    returns what is stored for the load. A compressed file is read by one task, so none holds
+    more than ``PACKED_ROWS`` rows."""
     delete_path(rejected.sparkSession, f"{path.rstrip('/')}/batch_id={batch}")  # a repeat may reject nothing
-    (rejected.select(*REJECT_SCHEMA.fieldNames(), F.lit(batch).alias("batch_id"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "none")
-     .partitionBy("batch_id").json(path))
+    w = (rejected.select(*REJECT_SCHEMA.fieldNames(), F.lit(batch).alias("batch_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression))
+    w = w if compression == "none" else w.option("maxRecordsPerFile", PACKED_ROWS)
+    w.partitionBy("batch_id").json(path)
     return stored_rejects(rejected.sparkSession, path).where(F.col("batch_id") == batch)
 
 

@@ -15,7 +15,8 @@ from lakeloom.plans import jobs
 from lakeloom.plans import standins as si
 from lakeloom import schemas as S
 from lakeloom.sources.archives import lines_of_archives
-from lakeloom.sources.quarantine import stored_rejects
+from lakeloom.sources import quarantine
+from lakeloom.sources.quarantine import store_rejects, stored_rejects
 
 PARTNERS = ("CNPJ_BASICO string, IDENTIFICADOR_DO_SOCIO string, NOME_DO_SOCIO string, CPF_CNPJ_DO_SOCIO string, "
             "QUALIFICACAO_DO_SOCIO string, DATA_DE_ENTRADA_NA_SOCIEDADE string, PAIS string, FAIXA_ETARIA string")
@@ -131,3 +132,49 @@ def test_batches_that_count_whole_are_taken_by_their_folders(spark, tmp_path):
     assert rows == [("2020", "SP"), ("2021", "BA"), ("2021", "CE"), ("2022", "MG"), ("2022", "MG")] and joins == 1
     load(4, _2020=["PA"])  # and now not at all
     assert seen() == ([("2020", "PA"), ("2021", "BA"), ("2021", "CE"), ("2022", "MG"), ("2022", "MG")], 0)
+
+
+def _bytes(folder):
+    return sum(os.path.getsize(os.path.join(top, f)) for top, _, names in os.walk(folder) for f in names)
+
+
+def test_rejects_of_a_load_are_kept_packed(spark, tmp_path):
+    landing, lake = tmp_path / "landing", jobs.Lake(str(tmp_path / "lake"))
+    landing.mkdir()
+    (landing / "EXP_2020.csv").write_text("\n".join([";".join(S.EXPORT_COLUMNS), *[f"{i};short" for i in range(3000)]]) + "\n")
+    for day, key in ((1, "name"), (2, "version")):
+        run = dt.datetime(2024, 1, day, 6)
+        inc.load_new_files(spark, str(landing), lake.manifest, lake.bronze("exp"), jobs.trade_reader(spark, S.EXPORT_COLUMNS, run),
+                           "EXP", run, ["ano", "mes"], key=key, quarantine_path=lake.quarantine("exp"))
+        if day == 1:
+            (landing / "EXP_2020.csv").write_text("\n".join([";".join(S.EXPORT_COLUMNS), *[f"{i};again" for i in range(3001)]]) + "\n")
+    rejects = stored_rejects(spark, lake.quarantine("exp"))
+    assert rejects.count() == 6001  # the former load's are still there
+    assert _bytes(lake.quarantine("exp")) < 6001 * 20
+    got = inc.committed_rejects(spark, lake.quarantine("exp"), lake.manifest, "EXP")
+    assert sorted(r.linha for r in got.collect()) == sorted(f"{i};again" for i in range(3001))
+    assert {(r.arquivo.rsplit("/", 1)[1], r.motivo, r.qt_delim) for r in got.collect()} == {("EXP_2020.csv", "broken_record", 1)}
+
+
+def test_packed_and_plain_rejects_are_read_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quarantine, "PACKED_ROWS", 2)
+    rows = spark.createDataFrame([(f"f{i}", f'"{i};\u00e7', "broken_record", 1) for i in range(5)], quarantine.REJECT_SCHEMA).coalesce(1)
+    path = str(tmp_path / "q")
+    store_rejects(rows, path, "plain")
+    assert store_rejects(rows, path, "packed", "gzip").count() == 5
+    assert len(glob.glob(f"{path}/batch_id=packed/*.json.gz")) == 3  # a packed file is one task's: none is large
+    assert len(glob.glob(f"{path}/batch_id=plain/*.json")) == 1
+    assert sorted(r.linha for r in stored_rejects(spark, path).collect()) == sorted(2 * [f'"{i};\u00e7' for i in range(5)])
+
+
+def test_parts_of_named_files_are_packed(spark, tmp_path, monkeypatch):
+    t, landing, parts = si.Tables(spark, str(tmp_path)), str(tmp_path / "landing"), []
+    real = fx._hadoop
+    monkeypatch.setattr(fx, "_hadoop", lambda t, p: parts.extend(glob.glob(p) if p.endswith("part-*") else []) or real(t, p))
+    rows = spark.range(0, 40_000, 1, 4).select(F.concat(F.lit("10;1;S\u00e3o "), "id").alias("a;b;c"), (F.col("id") % 2).alias("k"))
+    sizes = []
+    monkeypatch.setattr(fx, "ship_package", lambda s, real=fx.ship_package: sizes.append(sum(map(os.path.getsize, parts))) or real(s))
+    fx.write_named_lines(t, rows, landing, lambda k: f"N_{k}.csv", "k")
+    assert sizes[0] * 3 < _bytes(landing)
+    got = open(os.path.join(landing, "N_1.csv"), encoding="iso-8859-1").read().splitlines()
+    assert got[0] == "a;b;c" and sorted(got[1:]) == sorted(f"10;1;S\u00e3o {i}" for i in range(1, 40_000, 2))
