@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
 from ..sources.archives import open_stream
+from ..sources.sinks import open_writers
 from .standins import Tables
 
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 # Decoration that puts a delimiter, quotes, a line break and Latin-1 letters in a field.
 PART_NAME_SUFFIX = ("; \"", "\"\nAçúcar São Paulo")
+FILE_WRITERS = 32
 CUSTOMER_HEADER = "C_CUSTKEY;C_NAME;C_MKTSEGMENT"
 CUSTOMER_HEADER_VARIANT = "\ufeff c_custkey ;C_Name;  c_mktsegment"
 
@@ -112,8 +114,9 @@ def write_named_csv(t: Tables, rows, landing: str, names, by: str | None = None,
     staged = scratch_path(t.spark, "named-csv")
     w = (rows if by else rows.coalesce(1)).write.mode("overwrite")
     w = w.partitionBy(by).option("compression", "gzip") if by else w
-    w.option("sep", sep).option("header", "true").option("quote", quote).option("escape", '"').option(
-        "encoding", "ISO-8859-1").csv(staged)
+    with open_writers(t.spark, FILE_WRITERS):
+        w.option("sep", sep).option("header", "true").option("quote", quote).option("escape", '"').option(
+            "encoding", "ISO-8859-1").csv(staged)
     root, fs = _hadoop(t, landing)
     fs.mkdirs(root)
     pattern, _ = _hadoop(t, os.path.join(staged, f"{by}=*" if by else "", "part-*"))

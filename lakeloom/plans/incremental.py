@@ -38,7 +38,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.csv import CORRUPT_COL, ReadResult
 from ..sources.files import delete_path, list_files, path_exists
 from ..sources.quarantine import BROKEN_RECORD, REJECT_SCHEMA, fields_set, reject, store_rejects, stored_rejects
-from ..sources.sinks import append_rows, ensure_table, read_merged
+from ..sources.sinks import append_rows, ensure_table, open_writers, read_merged
 
 MANIFEST_SCHEMA = StructType([
     StructField("caminho_arquivo", StringType(), True),
@@ -190,8 +190,9 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     quarantine = quarantine_path or f"{bronze_path.rstrip('/')}_rejects"
     drop_batch(spark, bronze_path, batch)  # what a former attempt of this run left
     drop_batch(spark, bronze_path, batch + _APART)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", *keys).parquet(bronze_path))
+    with open_writers(spark, LOAD_WRITERS):
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id", *keys).parquet(bronze_path))
     stored = spark.read.schema(rows.schema).parquet(bronze_path)
     written = stored.filter(F.col("batch_id") == F.lit(batch))
     if got.mixed is None:
@@ -208,6 +209,9 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     return result
 
 
+#: A split of a yearly file holds its months and the broken lines: some 13 partitions. Sorted by partition, the rows of
+#: a split (128 MB of text, ten times that as rows with their provenance) go over the disk.
+LOAD_WRITERS = 32
 #: Every load keeps its rejects until a full refresh, and each names its file and reason in full: a line of a
 #: few characters takes some 190 bytes as plain JSON.
 REJECTS_CODEC = "gzip"

@@ -7,6 +7,8 @@ touches instead of the whole table.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -24,6 +26,19 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     w.save(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int):
+    """Partitioned writes inside keep up to ``most`` files a task open instead of sorting its rows by
+    partition; where a task meets more partitions, Spark sorts what is left. For tasks that meet few."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def save_as_table(df: DataFrame, name: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None, path: str | None = None,
                   bucket_by: tuple[int, list[str]] | None = None) -> None:

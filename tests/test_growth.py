@@ -6,6 +6,8 @@ import os
 import re
 import zipfile
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from lakeloom.operators import registry_star as rs
@@ -17,6 +19,7 @@ from lakeloom import schemas as S
 from lakeloom.sources.archives import lines_of_archives
 from lakeloom.sources import quarantine
 from lakeloom.sources.quarantine import store_rejects, stored_rejects
+from lakeloom.sources.sinks import open_writers
 
 PARTNERS = ("CNPJ_BASICO string, IDENTIFICADOR_DO_SOCIO string, NOME_DO_SOCIO string, CPF_CNPJ_DO_SOCIO string, "
             "QUALIFICACAO_DO_SOCIO string, DATA_DE_ENTRADA_NA_SOCIEDADE string, PAIS string, FAIXA_ETARIA string")
@@ -178,3 +181,25 @@ def test_parts_of_named_files_are_packed(spark, tmp_path, monkeypatch):
     assert sizes[0] * 3 < _bytes(landing)
     got = open(os.path.join(landing, "N_1.csv"), encoding="iso-8859-1").read().splitlines()
     assert got[0] == "a;b;c" and sorted(got[1:]) == sorted(f"10;1;S\u00e3o {i}" for i in range(1, 40_000, 2))
+
+
+def test_a_load_is_written_without_a_sort_by_partition(spark, tmp_path, monkeypatch):
+    landing, lake, run = tmp_path / "landing", jobs.Lake(str(tmp_path / "lake")), dt.datetime(2024, 1, 1, 6)
+    landing.mkdir()
+    rows = [f"{2000 + i % 7};{i % 12 + 1};{i};10;1;SP;1;1;1;1;1,50" for i in range(200)]
+    lines = [x for i, row in enumerate(rows) for x in ([row, f"{i};short"] if i % 3 else [row])]
+    (landing / "EXP_2020.csv").write_text("\n".join([";".join(S.EXPORT_COLUMNS), *lines]) + "\n")
+    key, writers = "spark.sql.maxConcurrentOutputFileWriters", {}
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, real=DataFrameWriter.parquet, **k: (
+        writers.setdefault(path, spark.conf.get(key)), real(self, path, *a, **k))[1])
+    monkeypatch.setattr(inc, "LOAD_WRITERS", 5)  # fewer than there are partitions
+    got = inc.load_new_files(spark, str(landing), lake.manifest, lake.bronze("exp"), jobs.trade_reader(spark, S.EXPORT_COLUMNS, run),
+                             "EXP", run, ["ano", "mes"], quarantine_path=lake.quarantine("exp"))
+    assert got == (1, 200, 133) and writers[lake.bronze("exp")] == "5" and spark.conf.get(key) == before
+    stored = spark.read.parquet(lake.bronze("exp"))
+    assert sorted((r.ano, r.mes, r.CO_NCM) for r in stored.collect()) == sorted((2000 + i % 7, i % 12 + 1, str(i)) for i in range(200))
+    assert sorted(r.linha for r in stored_rejects(spark, lake.quarantine("exp")).collect()) == sorted(f"{i};short" for i in range(200) if i % 3)
+    with pytest.raises(ValueError), open_writers(spark, 3):
+        raise ValueError
+    assert spark.conf.get(key) == before
