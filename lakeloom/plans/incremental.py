@@ -192,7 +192,7 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
     drop_batch(spark, bronze_path, batch + _APART)
     with open_writers(spark, LOAD_WRITERS):
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id", *keys).parquet(bronze_path))
+             .option("compression", LOAD_CODEC).partitionBy("batch_id", *keys).parquet(bronze_path))
     stored = spark.read.schema(rows.schema).parquet(bronze_path)
     written = stored.filter(F.col("batch_id") == F.lit(batch))
     if got.mixed is None:
@@ -212,6 +212,8 @@ def load_new_files(spark: SparkSession, landing: str, manifest_path: str, bronze
 #: A split of a yearly file holds its months and the broken lines: some 13 partitions. Sorted by partition, the rows of
 #: a split (128 MB of text, ten times that as rows with their provenance) go over the disk.
 LOAD_WRITERS = 32
+#: Batches that were replaced or never committed stay until a full refresh, and through it.
+LOAD_CODEC = "zstd"
 #: Every load keeps its rejects until a full refresh, and each names its file and reason in full: a line of a
 #: few characters takes some 190 bytes as plain JSON.
 REJECTS_CODEC = "gzip"

@@ -200,6 +200,7 @@ def test_a_load_is_written_without_a_sort_by_partition(spark, tmp_path, monkeypa
     stored = spark.read.parquet(lake.bronze("exp"))
     assert sorted((r.ano, r.mes, r.CO_NCM) for r in stored.collect()) == sorted((2000 + i % 7, i % 12 + 1, str(i)) for i in range(200))
     assert sorted(r.linha for r in stored_rejects(spark, lake.quarantine("exp")).collect()) == sorted(f"{i};short" for i in range(200) if i % 3)
+    assert all(".zstd." in f for f in stored.inputFiles())  # replaced batches stay until a refresh
     with pytest.raises(ValueError), open_writers(spark, 3):
         raise ValueError
     assert spark.conf.get(key) == before
